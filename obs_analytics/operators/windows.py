@@ -9,7 +9,7 @@ Two physical strategies give the same numbers:
 * ``partition``: one window partitioned by the group key. One shuffle, but
   a whole group is sorted in one task, and with no group key (the
   reference's literal form) the whole data set is.
-* ``blocked`` (default): every row gets its exact rank in its group, the
+* ``blocked``: every row gets its exact rank in its group, the
   ranked rows are cut into blocks of ``block_rows`` and each block also
   receives the last ``rows`` rows of the block before it (the halo). The
   window then runs per (group, block) and halo rows are dropped. No task
@@ -17,6 +17,10 @@ Two physical strategies give the same numbers:
   station holding a third of the data, or the ungrouped global sequence,
   spreads over many tasks.
 
+  It costs a second shuffle of the rows, so ``auto`` (the default) picks
+  it only for a group key whose largest group is over a bound, or for the
+  ungrouped sequence.
+
   The rank needs no sort of a whole group either: rows are bucketed by
   ``bucket_days`` of the order date, per-(group, bucket) counts (a small
   partial aggregate) give each bucket's starting offset by a running sum,
@@ -33,12 +37,17 @@ from ..schema import TRAILING_COLUMN, TRAILING_ROWS
 _TMP = ["_tm_bucket", "_tm_rank", "_tm_shift", "_tm_block"]
 
 
-def _null_safe_join(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
-    renamed = right.select(*[F.col(c).alias(f"_r_{c}") if c in keys else F.col(c)
-                             for c in right.columns])
-    cond = [left[k].eqNullSafe(renamed[f"_r_{k}"]) for k in keys]
-    joined = left.join(renamed, cond)
-    return joined.drop(*[f"_r_{k}" for k in keys])
+def _group_keys(df: DataFrame, by: list[str]) -> tuple[DataFrame, list[str]]:
+    """Non-null stand-ins for the group columns: (is-null flag, value or a
+    default) per column. Joins and windows on plain non-null keys keep one
+    hash partitioning from the join through the rank window, where a
+    null-safe join would force another shuffle."""
+    cols, names = {}, []
+    for i, c in enumerate(by):
+        cols[f"_tm_n{i}"] = F.col(c).isNull()
+        cols[f"_tm_k{i}"] = F.coalesce(F.col(c).cast("string"), F.lit(""))
+        names += [f"_tm_n{i}", f"_tm_k{i}"]
+    return (df.withColumns(cols) if cols else df), names
 
 
 def row_rank(df: DataFrame, order: str, by=(), tiebreak=(), *, bucket_days: int | None = None,
@@ -52,17 +61,29 @@ def row_rank(df: DataFrame, order: str, by=(), tiebreak=(), *, bucket_days: int
     by = list(by)
     if bucket_days is None:
         bucket_days = 366 if by else 1
-    tagged = df.withColumn("_tm_bucket", F.floor(F.unix_date(F.col(order)) / bucket_days))
-    counts = tagged.groupBy(*by, "_tm_bucket").agg(F.count(F.lit(1)).alias("_tm_n"))
-    before = Window.partitionBy(*by).orderBy("_tm_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    keyed, keys = _group_keys(df, by)
+    tagged = keyed.withColumn("_tm_bucket", F.floor(F.unix_date(F.col(order)) / bucket_days))
+    counts = tagged.groupBy(*keys, "_tm_bucket").agg(F.count(F.lit(1)).alias("_tm_n"))
+    before = Window.partitionBy(*keys).orderBy("_tm_bucket").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (counts.withColumn("_tm_offset", F.coalesce(F.sum("_tm_n").over(before), F.lit(0)))
                .drop("_tm_n"))
     # offsets has one row per (group, bucket): small next to the data, and
-    # left to AQE to broadcast when its measured size allows.
-    ranked = _null_safe_join(tagged, offsets, by + ["_tm_bucket"])
-    inside = Window.partitionBy(*by, "_tm_bucket").orderBy(order, *tiebreak)
+    # left to AQE to broadcast when its measured size allows. Joined on the
+    # same keys the rank window partitions by, so one shuffle serves both.
+    ranked = tagged.join(offsets, keys + ["_tm_bucket"])
+    inside = Window.partitionBy(*keys, "_tm_bucket").orderBy(order, *tiebreak)
     ranked = ranked.withColumn(out, F.col("_tm_offset") + F.row_number().over(inside) - 1)
-    return ranked.drop("_tm_offset", "_tm_bucket")
+    return ranked.drop("_tm_offset", "_tm_bucket", *keys)
+
+
+def max_group_rows(df: DataFrame, by) -> int:
+    """Rows in the largest group: one small aggregate (a partial count per
+    task, then one row per group)."""
+    by = list(by)
+    if not by:
+        return df.count()
+    top = df.groupBy(*by).count().agg(F.max("count")).first()[0]
+    return int(top or 0)
 
 
 def _rows_frame_blocked(df: DataFrame, agg: Column, order: str, by, tiebreak, rows: int,
@@ -70,30 +91,39 @@ def _rows_frame_blocked(df: DataFrame, agg: Column, order: str, by, tiebreak, ro
     if block_rows <= rows:
         raise ValueError("block_rows must exceed the frame length")
     ranked = row_rank(df, order, by, tiebreak, bucket_days=bucket_days)
+    ranked, keys = _group_keys(ranked, by)
     rank = F.col("_tm_rank")
     copies = F.when(rank % block_rows >= block_rows - rows, F.array(F.lit(0), F.lit(1))) \
         .otherwise(F.array(F.lit(0)))
     halo = (ranked.withColumn("_tm_shift", F.explode(copies))
             .withColumn("_tm_block", F.floor(rank / block_rows) + F.col("_tm_shift")))
-    w = Window.partitionBy(*by, "_tm_block").orderBy("_tm_rank").rowsBetween(-rows, 0)
+    w = Window.partitionBy(*keys, "_tm_block").orderBy("_tm_rank").rowsBetween(-rows, 0)
     return (halo.withColumn(out, agg.over(w))
             .filter(F.col("_tm_shift") == 0)
-            .drop(*_TMP))
+            .drop(*_TMP, *keys))
 
 
 def trailing_mean(df: DataFrame, value: str = "TAVG", order: str = "DATE", by=("STATION",),
                   tiebreak=(), *, rows: int = TRAILING_ROWS, out: str = TRAILING_COLUMN,
-                  strategy: str = "blocked", bucket_days: int | None = None,
-                  block_rows: int = 4096) -> DataFrame:
+                  strategy: str = "auto", bucket_days: int | None = None,
+                  block_rows: int = 4096, max_partition_rows: int = 2_000_000) -> DataFrame:
     """Mean of ``value`` over the current row and the ``rows`` rows before it.
 
     W1 is ``by=("STATION",)``; W2, the reference's literal ungrouped form,
     is ``by=(), tiebreak=("STATION",)`` (the reference leaves ties on DATE
     in no defined order; STATION makes it total). (by, order, tiebreak)
     must identify a row for the result to be deterministic.
+
+    ``auto`` measures the largest group first (one small aggregate) and
+    takes ``partition`` only when every group has at most
+    ``max_partition_rows`` rows; a hot group, or no group key at all, takes
+    ``blocked``.
     """
     by, tiebreak = list(by), list(tiebreak)
     agg = F.avg(value)
+    if strategy == "auto":
+        small = bool(by) and max_group_rows(df, by) <= max_partition_rows
+        strategy = "partition" if small else "blocked"
     if strategy == "partition":
         w = Window.partitionBy(*by).orderBy(order, *tiebreak).rowsBetween(-rows, 0)
         return df.withColumn(out, agg.over(w))

@@ -20,7 +20,7 @@ from ..operators.windows import trailing_mean
 @dataclass
 class Frames:
     raw: DataFrame
-    window_strategy: str = "blocked"
+    window_strategy: str = "auto"
 
     @property
     def obs(self) -> DataFrame:
