@@ -1,7 +1,8 @@
 """The shared frames of the job, built from a source of raw observations.
 
-``Frames`` builds plans only (no action): raw -> cleaned observations ->
-features with the trailing mean -> model rows -> keyed split.
+``Frames`` builds plans only: raw -> cleaned observations -> features with
+the trailing mean -> model rows -> keyed split. ``persist`` pins the two
+frames that every later result reads, for a job that runs many queries.
 """
 
 from __future__ import annotations
@@ -21,17 +22,20 @@ from ..operators.windows import trailing_mean
 class Frames:
     raw: DataFrame
     window_strategy: str = "auto"
+    _obs: DataFrame | None = None
+    _features: DataFrame | None = None
 
     @property
     def obs(self) -> DataFrame:
         """Cleaned, featured and imputed rows, without the trailing mean."""
-        return prepare_observations(self.raw)
+        return self._obs if self._obs is not None else prepare_observations(self.raw)
 
     @property
     def features(self) -> DataFrame:
         """obs plus TAVG_30DAY_AVG per station."""
-        return trailing_mean(self.obs, "TAVG", "DATE", by=["STATION"],
-                             strategy=self.window_strategy)
+        if self._features is not None:
+            return self._features
+        return trailing_mean(self.obs, "TAVG", "DATE", by=["STATION"], strategy=self.window_strategy)
 
     @property
     def model_rows(self) -> DataFrame:
@@ -49,8 +53,15 @@ class Frames:
     def test(self) -> DataFrame:
         return self.split.filter(~F.col("IS_TRAIN")).drop("IS_TRAIN")
 
+    def persist(self) -> "Frames":
+        """Pin obs and features (memory, spilling to disk). Lost blocks are
+        recomputed from lineage, so this only saves work."""
+        obs = prepare_observations(self.raw).persist(StorageLevel.MEMORY_AND_DISK)
+        feats = trailing_mean(obs, "TAVG", "DATE", by=["STATION"], strategy=self.window_strategy) \
+            .persist(StorageLevel.MEMORY_AND_DISK)
+        return Frames(self.raw, self.window_strategy, obs, feats)
 
-def persisted(df: DataFrame) -> DataFrame:
-    """Keep a frame that several later jobs read; lost blocks are recomputed
-    from lineage, so this is a speed-up, never a correctness dependency."""
-    return df.persist(StorageLevel.MEMORY_AND_DISK)
+    def unpersist(self) -> None:
+        for df in (self._obs, self._features):
+            if df is not None:
+                df.unpersist()
