@@ -16,6 +16,7 @@ from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRe
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import ensure_checkpoint_dir
 from ..schema import (FEATURES, GBT_PARAMS, KEY_COLUMNS, LABEL, LR_PARAMS, MODEL_NAMES,
                       RF_PARAMS)
 from .metrics import MODEL
@@ -47,6 +48,8 @@ def training_frame(train: DataFrame, features=FEATURES, label: str = LABEL,
     the lineage with a reliable checkpoint."""
     spark = train.sparkSession
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    if checkpoint:
+        ensure_checkpoint_dir(spark)
     laid = (train.select(*KEY_COLUMNS, *features, label)
             .repartition(n, *KEY_COLUMNS).sortWithinPartitions(*KEY_COLUMNS))
     return laid.checkpoint(eager=True) if checkpoint else laid

@@ -72,12 +72,14 @@ def land_observations(df: DataFrame, path: str, mode: str = "overwrite") -> None
     """Write observations as Parquet partitioned by year.
 
     Year partitions let the year-range filters of the roll-ups and the
-    forecast prune whole directories; rows are clustered by station inside
-    each partition so per-station windows read sorted runs.
+    forecast prune whole directories. Range partitioning on (year, station)
+    gives each task a contiguous slice, so a task writes one or two files
+    rather than one per year it happens to hold, and rows come out sorted
+    by station and date for the per-station windows.
     """
     (df.withColumn("OBS_YEAR", F.year("DATE"))
-       .repartition("OBS_YEAR", "STATION")
-       .sortWithinPartitions("STATION", "DATE")
+       .repartitionByRange("OBS_YEAR", "STATION", "DATE")
+       .sortWithinPartitions("OBS_YEAR", "STATION", "DATE")
        .write.mode(mode).partitionBy("OBS_YEAR").parquet(path))
 
 
