@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import datetime as _dt
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.calendar import season_name
@@ -125,12 +125,16 @@ def row_accounting(raw: DataFrame, split_rows: DataFrame, train_col: str = "IS_T
 
 # -- recent baseline and climatology ----------------------------------------
 #
-# Both look back from the last year in the data. Instead of one pass for
-# the max year and another for the filtered means (and, in the reference,
-# one query per future month), the data is reduced once to partial sums
-# per (group, YEAR, MONTH): a table of at most 12 rows per group-year. The
-# max year, the look-back filter and the final means all run on that.
-
+# Both look back from the last year in the data. The reference runs one
+# query for the max year and one per future month. Here the data is reduced
+# once to partial sums per (group, YEAR, MONTH) (at most 12 rows per group
+# and year), and the max year, the look-back filters and the means all work
+# on that table in one chain. One chain matters: two branches that need
+# different columns get different plans, and Spark would then read and
+# shuffle the source once per branch.
+
+BASELINE_COLS = ["LATITUDE", "LONGITUDE", "ELEVATION", "PRCP", "TAVG"]
+CLIMATE_COLS = ["TMAX", "TMIN", "TAVG"]
 _MEAN_COLS = ["LATITUDE", "LONGITUDE", "ELEVATION", "PRCP", "TAVG", "TMAX", "TMIN"]
 
 
@@ -142,36 +146,80 @@ def monthly_partials(obs: DataFrame, by=(), cols=_MEAN_COLS) -> DataFrame:
     return obs.groupBy(*by, "YEAR", "MONTH").agg(*aggs)
 
 
-def _with_max_year(partials: DataFrame) -> DataFrame:
-    # one row: broadcasting it is bounded
-    top = partials.agg(F.max("YEAR").alias("MAX_YEAR"))
+def partials_with_max_year(obs: DataFrame, by=(), cols=_MEAN_COLS) -> DataFrame:
+    """Monthly partials plus MAX_YEAR, the last year of the whole data set.
+
+    With no group key the partials have at most 12 rows per year, so the
+    max is a window over that bounded table and nothing reads the source
+    twice. With a group key the partials grow with the groups; the max then
+    comes from a one-column aggregate of the source, a single broadcast row.
+    """
+    by = list(by)
+    partials = monthly_partials(obs, by, cols)
+    if not by:
+        return partials.withColumn("MAX_YEAR", F.max("YEAR").over(Window.partitionBy()))
+    top = obs.agg(F.max("YEAR").alias("MAX_YEAR"))
     return partials.crossJoin(F.broadcast(top))
 
 
-def _mean(c: str):
-    return F.try_divide(F.sum(f"S_{c}"), F.sum(f"N_{c}").cast("double"))
+def _ratio(s, n):
+    return F.try_divide(s, n.cast("double"))
 
 
-def recent_baseline(obs: DataFrame, years: int = BASELINE_YEARS, by=(),
-                    partials: DataFrame | None = None) -> DataFrame:
+def _since(years: int):
+    return F.col("YEAR") >= F.col("MAX_YEAR") - years
+
+
+def recent_baseline(obs: DataFrame, years: int = BASELINE_YEARS, by=()) -> DataFrame:
     """Mean location, precipitation and TAVG over YEAR >= max_year - years."""
-    p = _with_max_year(partials if partials is not None else monthly_partials(obs, by))
-    return (p.filter(F.col("YEAR") >= F.col("MAX_YEAR") - years)
-            .groupBy(*by, "MAX_YEAR")
-            .agg(_mean("LATITUDE").alias("LAT"), _mean("LONGITUDE").alias("LON"),
-                 _mean("ELEVATION").alias("ELEV"), _mean("PRCP").alias("PRCP_MEAN"),
-                 _mean("TAVG").alias("TAVG_BASELINE"),
-                 F.sum("N_TAVG").alias("N_ROWS")))
+    p = partials_with_max_year(obs, by, BASELINE_COLS).filter(_since(years))
+    return p.groupBy(*by, "MAX_YEAR").agg(
+        _ratio(F.sum("S_LATITUDE"), F.sum("N_LATITUDE")).alias("LAT"),
+        _ratio(F.sum("S_LONGITUDE"), F.sum("N_LONGITUDE")).alias("LON"),
+        _ratio(F.sum("S_ELEVATION"), F.sum("N_ELEVATION")).alias("ELEV"),
+        _ratio(F.sum("S_PRCP"), F.sum("N_PRCP")).alias("PRCP_MEAN"),
+        _ratio(F.sum("S_TAVG"), F.sum("N_TAVG")).alias("TAVG_BASELINE"),
+        F.sum("N_TAVG").alias("N_ROWS"))
 
 
-def climatology(obs: DataFrame, years: int = CLIMATOLOGY_YEARS, by=(),
-                partials: DataFrame | None = None) -> DataFrame:
+def climatology(obs: DataFrame, years: int = CLIMATOLOGY_YEARS, by=()) -> DataFrame:
     """Per-month mean TMAX, TMIN, TAVG over YEAR >= max_year - years."""
-    p = _with_max_year(partials if partials is not None else monthly_partials(obs, by))
-    return (p.filter(F.col("YEAR") >= F.col("MAX_YEAR") - years)
-            .groupBy(*by, "MONTH")
-            .agg(_mean("TMAX").alias("AVG_TMAX"), _mean("TMIN").alias("AVG_TMIN"),
-                 _mean("TAVG").alias("AVG_TAVG"), F.sum("N_TAVG").alias("N_ROWS")))
+    p = partials_with_max_year(obs, by, CLIMATE_COLS).filter(_since(years))
+    return p.groupBy(*by, "MONTH").agg(
+        _ratio(F.sum("S_TMAX"), F.sum("N_TMAX")).alias("AVG_TMAX"),
+        _ratio(F.sum("S_TMIN"), F.sum("N_TMIN")).alias("AVG_TMIN"),
+        _ratio(F.sum("S_TAVG"), F.sum("N_TAVG")).alias("AVG_TAVG"),
+        F.sum("N_TAVG").alias("N_ROWS"))
+
+
+def lookback_by_group(obs: DataFrame, by=(), baseline_years: int = BASELINE_YEARS,
+                      climatology_years: int = CLIMATOLOGY_YEARS) -> DataFrame:
+    """A13 and A14 together: one row per group with MAX_YEAR, the baseline
+    means, N_BASELINE and MONTHS, a map month -> (AVG_TMAX, AVG_TMIN,
+    AVG_TAVG) over the climatology years (at most 12 entries). Built in one
+    chain from the monthly partials."""
+    p = partials_with_max_year(obs, by, _MEAN_COLS)
+    rb, rc = _since(baseline_years), _since(climatology_years)
+    aggs = []
+    for c in BASELINE_COLS:
+        aggs += [F.sum(F.when(rb, F.col(f"S_{c}"))).alias(f"B_S_{c}"),
+                 F.sum(F.when(rb, F.col(f"N_{c}"))).alias(f"B_N_{c}")]
+    for c in CLIMATE_COLS:
+        aggs += [F.sum(F.when(rc, F.col(f"S_{c}"))).alias(f"C_S_{c}"),
+                 F.sum(F.when(rc, F.col(f"N_{c}"))).alias(f"C_N_{c}")]
+    per_month = p.groupBy(*by, "MAX_YEAR", "MONTH").agg(*aggs)
+    month_means = F.struct(*[_ratio(F.col(f"C_S_{c}"), F.col(f"C_N_{c}")).alias(f"AVG_{c}")
+                             for c in CLIMATE_COLS])
+    in_window = F.col("C_N_TAVG") > 0
+    return per_month.groupBy(*by, "MAX_YEAR").agg(
+        _ratio(F.sum("B_S_LATITUDE"), F.sum("B_N_LATITUDE")).alias("LAT"),
+        _ratio(F.sum("B_S_LONGITUDE"), F.sum("B_N_LONGITUDE")).alias("LON"),
+        _ratio(F.sum("B_S_ELEVATION"), F.sum("B_N_ELEVATION")).alias("ELEV"),
+        _ratio(F.sum("B_S_PRCP"), F.sum("B_N_PRCP")).alias("PRCP_MEAN"),
+        F.coalesce(F.sum("B_N_TAVG"), F.lit(0)).alias("N_BASELINE"),
+        F.map_from_entries(F.filter(
+            F.collect_list(F.struct("MONTH", F.when(in_window, month_means).alias("m"))),
+            lambda e: e["m"].isNotNull())).alias("MONTHS"))
 
 
 def rollup_all(obs: DataFrame) -> DataFrame:
