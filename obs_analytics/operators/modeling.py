@@ -29,11 +29,14 @@ def feature_stages(features=FEATURES) -> list:
                            withMean=True, withStd=True)]
 
 
-# Execution settings of the tree learners, not model settings: each row's
-# node id is cached (and checkpointed every 10 iterations to the checkpoint
-# directory) instead of walking every tree from the root on every pass.
-# The fitted trees are the same.
-TREE_EXECUTION = {"cacheNodeIds": True, "checkpointInterval": 10}
+# Execution settings, not model settings (the fitted trees are the same).
+# The forest caches each row's node id (checkpointed every 10 levels to the
+# checkpoint directory) instead of walking 100 deep trees from the root on
+# every pass; measured 108 s -> 66 s at sf0.1. The boosted trees are
+# shallow and one per round, where the cache costs more than it saves
+# (59 s -> 84 s), so they only checkpoint their running predictions.
+FOREST_EXECUTION = {"cacheNodeIds": True, "checkpointInterval": 10}
+BOOSTED_EXECUTION = {"cacheNodeIds": False, "checkpointInterval": 10}
 
 
 def regressor(name: str, label: str = LABEL):
@@ -42,9 +45,9 @@ def regressor(name: str, label: str = LABEL):
     if name == MODEL_NAMES[0]:
         return LinearRegression(**common, **LR_PARAMS)
     if name == MODEL_NAMES[1]:
-        return RandomForestRegressor(**common, **RF_PARAMS, **TREE_EXECUTION)
+        return RandomForestRegressor(**common, **RF_PARAMS, **FOREST_EXECUTION)
     if name == MODEL_NAMES[2]:
-        return GBTRegressor(**common, **GBT_PARAMS, **TREE_EXECUTION)
+        return GBTRegressor(**common, **GBT_PARAMS, **BOOSTED_EXECUTION)
     raise ValueError(f"unknown model {name!r}")
 
 
