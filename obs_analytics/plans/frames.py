@@ -24,6 +24,7 @@ class Frames:
     window_strategy: str = "auto"
     _obs: DataFrame | None = None
     _features: DataFrame | None = None
+    _pinned: bool = False
 
     @property
     def obs(self) -> DataFrame:
@@ -35,7 +36,11 @@ class Frames:
         """obs plus TAVG_30DAY_AVG per station."""
         if self._features is not None:
             return self._features
-        return trailing_mean(self.obs, "TAVG", "DATE", by=["STATION"], strategy=self.window_strategy)
+        feats = trailing_mean(self.obs, "TAVG", "DATE", by=["STATION"], strategy=self.window_strategy)
+        if self._pinned:  # built on first use only, then kept
+            self._features = feats.persist(StorageLevel.MEMORY_AND_DISK)
+            return self._features
+        return feats
 
     @property
     def model_rows(self) -> DataFrame:
@@ -54,12 +59,10 @@ class Frames:
         return self.split.filter(~F.col("IS_TRAIN")).drop("IS_TRAIN")
 
     def persist(self) -> "Frames":
-        """Pin obs and features (memory, spilling to disk). Lost blocks are
-        recomputed from lineage, so this only saves work."""
+        """Pin obs now and features on first use (memory, spilling to disk).
+        Lost blocks are recomputed from lineage, so this only saves work."""
         obs = prepare_observations(self.raw).persist(StorageLevel.MEMORY_AND_DISK)
-        feats = trailing_mean(obs, "TAVG", "DATE", by=["STATION"], strategy=self.window_strategy) \
-            .persist(StorageLevel.MEMORY_AND_DISK)
-        return Frames(self.raw, self.window_strategy, obs, feats)
+        return Frames(self.raw, self.window_strategy, obs, None, True)
 
     def unpersist(self) -> None:
         for df in (self._obs, self._features):
