@@ -87,7 +87,7 @@ def max_group_rows(df: DataFrame, by) -> int:
 
 
 def _rows_frame_blocked(df: DataFrame, agg: Column, order: str, by, tiebreak, rows: int,
-                        out: str, bucket_days, block_rows: int) -> DataFrame:
+                        out: str, bucket_days, block_rows: int, last: int = 0) -> DataFrame:
     if block_rows <= rows:
         raise ValueError("block_rows must exceed the frame length")
     ranked = row_rank(df, order, by, tiebreak, bucket_days=bucket_days)
@@ -97,7 +97,7 @@ def _rows_frame_blocked(df: DataFrame, agg: Column, order: str, by, tiebreak, ro
         .otherwise(F.array(F.lit(0)))
     halo = (ranked.withColumn("_tm_shift", F.explode(copies))
             .withColumn("_tm_block", F.floor(rank / block_rows) + F.col("_tm_shift")))
-    w = Window.partitionBy(*keys, "_tm_block").orderBy("_tm_rank").rowsBetween(-rows, 0)
+    w = Window.partitionBy(*keys, "_tm_block").orderBy("_tm_rank").rowsBetween(-rows, last)
     return (halo.withColumn(out, agg.over(w))
             .filter(F.col("_tm_shift") == 0)
             .drop(*_TMP, *keys))
@@ -106,7 +106,8 @@ def _rows_frame_blocked(df: DataFrame, agg: Column, order: str, by, tiebreak, ro
 def trailing_mean(df: DataFrame, value: str = "TAVG", order: str = "DATE", by=("STATION",),
                   tiebreak=(), *, rows: int = TRAILING_ROWS, out: str = TRAILING_COLUMN,
                   strategy: str = "auto", bucket_days: int | None = None,
-                  block_rows: int = 4096, max_partition_rows: int = 2_000_000) -> DataFrame:
+                  block_rows: int = 4096, max_partition_rows: int = 2_000_000,
+                  exclude_current: bool = False) -> DataFrame:
     """Mean of ``value`` over the current row and the ``rows`` rows before it.
 
     W1 is ``by=("STATION",)``; W2, the reference's literal ungrouped form,
@@ -114,6 +115,9 @@ def trailing_mean(df: DataFrame, value: str = "TAVG", order: str = "DATE", by=("
     in no defined order; STATION makes it total). (by, order, tiebreak)
     must identify a row for the result to be deterministic.
 
+    ``exclude_current`` drops the current row from the frame (rows -30..-1):
+    the reference includes it, which leaks the label into this feature.
+
     ``auto`` measures the largest group first (one small aggregate) and
     takes ``partition`` only when every group has at most
     ``max_partition_rows`` rows; a hot group, or no group key at all, takes
@@ -121,15 +125,16 @@ def trailing_mean(df: DataFrame, value: str = "TAVG", order: str = "DATE", by=("
     """
     by, tiebreak = list(by), list(tiebreak)
     agg = F.avg(value)
+    last = -1 if exclude_current else 0
     if strategy == "auto":
         small = bool(by) and max_group_rows(df, by) <= max_partition_rows
         strategy = "partition" if small else "blocked"
     if strategy == "partition":
-        w = Window.partitionBy(*by).orderBy(order, *tiebreak).rowsBetween(-rows, 0)
+        w = Window.partitionBy(*by).orderBy(order, *tiebreak).rowsBetween(-rows, last)
         return df.withColumn(out, agg.over(w))
     if strategy != "blocked":
         raise ValueError(f"unknown strategy {strategy!r}")
-    return _rows_frame_blocked(df, agg, order, by, tiebreak, rows, out, bucket_days, block_rows)
+    return _rows_frame_blocked(df, agg, order, by, tiebreak, rows, out, bucket_days, block_rows, last)
 
 
 def trailing_mean_days(df: DataFrame, value: str = "TAVG", date: str = "DATE",

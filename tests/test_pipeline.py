@@ -91,3 +91,24 @@ def test_streaming_rollups_match_batch(spark, tmp_path):
     for y in want:
         assert got[y].N_ROWS == want[y].N_ROWS
         assert got[y].AVG_TAVG == pytest.approx(want[y].AVG_TAVG)
+
+
+def test_linear_model_matches_normal_equations(spark):
+    """Assembler + scaler + LinearRegression(regParam=0) predicts what the
+    least-squares solution of the normal equations predicts."""
+    import numpy as np
+    from pyspark.ml import Pipeline
+    from pyspark.ml.regression import LinearRegression
+
+    from obs_analytics.operators.modeling import feature_stages
+    from obs_analytics.plans.frames import Frames
+    feats = ["YEAR", "DAY_OF_YEAR", "LATITUDE", "PRCP", "TMAX"]
+    rows = Frames(raw_observations(spark, SF001)).model_rows.select(*feats, "TAVG")
+    model = Pipeline(stages=feature_stages(feats) + [LinearRegression(
+        featuresCol="scaledFeatures", labelCol="TAVG", regParam=0.0, solver="normal")]).fit(rows)
+    out = model.transform(rows).select(*feats, "TAVG", "prediction").collect()
+    got = np.array([r.prediction for r in out])
+    data = np.array([[float(x) for x in r[:-1]] for r in out])
+    X = np.column_stack([data[:, :-1], np.ones(len(data))])
+    beta, *_ = np.linalg.lstsq(X, data[:, -1], rcond=None)
+    assert np.allclose(got, X @ beta, atol=1e-6)

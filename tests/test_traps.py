@@ -267,3 +267,22 @@ def test_rollup_all_equals_single_rollups(spark):
     assert tot.N_ROWS == obs.count()
     seasons = allr.filter("LEVEL = 'season'").agg(F.sum("N_ROWS")).first()[0]
     assert seasons == obs.count()
+
+
+# X13 option: leave the current row out of the trailing frame
+def test_trailing_exclude_current(spark):
+    obs = prepare_observations(_raw(spark, _series(spark, "A", range(40))))
+    for strategy in ["partition", "blocked"]:
+        got = {r.DATE: r.TAVG_30DAY_AVG for r in trailing_mean(
+            obs, strategy=strategy, exclude_current=True, block_rows=33).collect()}
+        assert got[D0] is None
+        assert got[D0 + dt.timedelta(days=1)] == pytest.approx(0.0)
+        assert got[D0 + dt.timedelta(days=39)] == pytest.approx(sum(range(9, 39)) / 30)
+
+
+# No wildcard import of the functions module anywhere in the library
+def test_no_wildcard_function_imports():
+    import pathlib
+    root = pathlib.Path(__file__).resolve().parents[1] / "obs_analytics"
+    for f in root.rglob("*.py"):
+        assert "import *" not in f.read_text(), f
