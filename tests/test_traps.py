@@ -286,3 +286,15 @@ def test_no_wildcard_function_imports():
     root = pathlib.Path(__file__).resolve().parents[1] / "obs_analytics"
     for f in root.rglob("*.py"):
         assert "import *" not in f.read_text(), f
+
+
+def test_overview_variants_and_wide_seasons(spark):
+    rows = _series(spark, "A", range(0, 400, 2)) + _series(spark, "B", range(0, 400, 5))
+    obs = prepare_observations(_raw(spark, rows))
+    exact = rollups.dataset_overview(obs).first()
+    approx = rollups.dataset_overview(obs, approximate=True).first()
+    assert exact.STATIONS == approx.STATIONS == 2
+    wide = {r.YEAR: r for r in rollups.season_year_mean(obs, wide=True).collect()}
+    long = {(r.YEAR, r.SEASON): r.SEASONAL_TEMP for r in rollups.season_year_mean(obs).collect()}
+    for (y, season), v in long.items():
+        assert wide[y][str(season)] == pytest.approx(v)
