@@ -235,5 +235,6 @@ def rounded(sql: str, double_cols: list[str], digits: int = 6) -> str:
     """Wrap ``sql`` so the listed double columns come out rounded."""
     if not double_cols:
         return sql
-    reps = ", ".join(f'round("{c}", {digits}) AS "{c}"' for c in double_cols)
+    # "+ 0.0" turns a rounded -0.0 into 0.0, as Spark's rounding does
+    reps = ", ".join(f'round("{c}", {digits}) + 0.0 AS "{c}"' for c in double_cols)
     return f"SELECT * REPLACE ({reps}) FROM (\n{sql}\n) q"

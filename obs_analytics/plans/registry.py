@@ -43,7 +43,7 @@ class Query:
 
     def spark(self, spark: SparkSession, sf_dir: str) -> DataFrame:
         df = self.build(spark, sf_dir)
-        return df.select(*[F.round(F.col(f.name), 6).alias(f.name)
+        return df.select(*[(F.round(F.col(f.name), 6) + F.lit(0.0)).alias(f.name)
                            if isinstance(f.dataType, T.DoubleType) else F.col(f.name)
                            for f in df.schema.fields])
 
