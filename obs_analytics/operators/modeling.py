@@ -55,9 +55,15 @@ def training_frame(train: DataFrame, features=FEATURES, label: str = LABEL,
                    partitions: int | None = None, checkpoint: bool = True) -> DataFrame:
     """Fix the training rows' layout (hash of the key, sorted inside each
     partition) so tree bagging draws the same rows on every run, and cut
-    the lineage with a reliable checkpoint."""
+    the lineage with a reliable checkpoint.
+
+    The learners pass over these rows hundreds of times (50 boosting rounds
+    of 6 levels each), so the default is one partition per core: every pass
+    is a single wave of tasks. The layout, and so the trees, then depend on
+    the cluster's core count; the train/test split does not.
+    """
     spark = train.sparkSession
-    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    n = partitions or spark.sparkContext.defaultParallelism
     if checkpoint:
         ensure_checkpoint_dir(spark)
     laid = (train.select(*KEY_COLUMNS, *features, label)
