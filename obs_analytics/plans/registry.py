@@ -374,21 +374,22 @@ FROM s CROSS JOIN range(0, {bins}) k
 LEFT JOIN c ON c.BIN = k.range{f" AND c.{by} = s.{by}" if by else ""}"""
 
 
-@register("value_histogram",
-          with_ctes("obs").rstrip("\n") + _hist_sql(
-              "SELECT TAVG AS x FROM obs WHERE TAVG IS NOT NULL AND NOT isnan(TAVG)", 50, None, False)
-          ,
+_HIST_SOURCE = "SELECT TAVG AS x FROM obs WHERE TAVG IS NOT NULL AND NOT isnan(TAVG)"
+_PERIOD_SOURCE = f"""
+  SELECT PERIOD, TAVG AS x
+  FROM (SELECT CASE WHEN "YEAR" <= {TEST_EARLY_END} THEN 'early'
+                    WHEN "YEAR" >= {TEST_LATE_START} THEN 'late' END AS PERIOD, TAVG FROM obs) p
+  WHERE PERIOD IS NOT NULL AND TAVG IS NOT NULL AND NOT isnan(TAVG)"""
+
+
+@register("value_histogram", with_ctes("obs").rstrip("\n") + _hist_sql(_HIST_SOURCE, 50, None, False),
           "BIN_LO BIN_HI")
 def _q(spark, d):
     return distributions.histogram(frames(spark, d).obs, "TAVG", 50)
 
 
 @register("distribution_shift",
-          with_ctes("obs").rstrip("\n") + _hist_sql(
-              f"""SELECT PERIOD, TAVG AS x FROM (SELECT CASE WHEN "YEAR" <= {TEST_EARLY_END} THEN 'early'
-                   WHEN "YEAR" >= {TEST_LATE_START} THEN 'late' END AS PERIOD, TAVG FROM obs) p
-                   WHERE PERIOD IS NOT NULL AND TAVG IS NOT NULL AND NOT isnan(TAVG)""",
-              40, "PERIOD", True),
+          with_ctes("obs").rstrip("\n") + _hist_sql(_PERIOD_SOURCE, 40, "PERIOD", True),
           "BIN_LO BIN_HI DENSITY")
 def _q(spark, d):
     return distributions.distribution_shift(frames(spark, d).obs, "TAVG", 40,
