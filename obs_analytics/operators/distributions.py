@@ -11,7 +11,7 @@ from .sampling import hash_sample
 
 
 def histogram(df: DataFrame, value: str = "TAVG", bins: int = HIST_BINS, by=(),
-              density: bool = False, bounded_groups: bool = True) -> DataFrame:
+              density: bool = False, bounded_groups: bool = False) -> DataFrame:
     """H1 / H2: equal-width histogram over each group's own min..max.
 
     Bins are [lo + i*w, lo + (i+1)*w), the last one closed on the right;
@@ -20,9 +20,10 @@ def histogram(df: DataFrame, value: str = "TAVG", bins: int = HIST_BINS, by=(),
     integrates to 1 per group.
 
     The per-group range is a small aggregate joined back to the rows: one
-    row with no group key, one per group otherwise. ``bounded_groups`` says
-    the group key has a fixed small set of values (as the period tag has),
-    which makes broadcasting the ranges safe; otherwise AQE decides.
+    row with no group key (always broadcast), one per group otherwise.
+    ``bounded_groups`` says the group key has a fixed small set of values
+    (as the two-valued period tag has), which makes broadcasting the ranges
+    safe; without it the join is left to Spark's size check and AQE.
     """
     by = list(by)
     v = F.col(value)
