@@ -21,13 +21,20 @@ def between_years(df: DataFrame, lo: int | None = None, hi: int | None = None,
     """Keep years lo..hi (inclusive) as a DATE range.
 
     Written on the date itself, not on ``year(date)``, so the predicate is
-    pushed into the Parquet scan and prunes year partitions.
+    pushed into the Parquet scan (row-group statistics). On data landed by
+    year (``land_observations``) the same range is also put on the OBS_YEAR
+    partition column, so whole year directories are never listed or read.
     """
     cond = F.lit(True)
     if lo is not None:
         cond = cond & (F.col(date) >= F.lit(_dt.date(lo, 1, 1)))
     if hi is not None:
         cond = cond & (F.col(date) < F.lit(_dt.date(hi + 1, 1, 1)))
+    if "OBS_YEAR" in df.columns:
+        if lo is not None:
+            cond = cond & (F.col("OBS_YEAR") >= lo)
+        if hi is not None:
+            cond = cond & (F.col("OBS_YEAR") <= hi)
     return df.filter(cond)
 
 

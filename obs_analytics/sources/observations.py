@@ -84,5 +84,7 @@ def land_observations(df: DataFrame, path: str, mode: str = "overwrite") -> None
 
 
 def read_landed(spark: SparkSession, path: str) -> DataFrame:
-    """Read observations landed by :func:`land_observations`."""
-    return spark.read.parquet(path).select(*[f.name for f in RAW_SCHEMA.fields])
+    """Read observations landed by :func:`land_observations`: the raw
+    columns plus the OBS_YEAR partition column, which ``between_years``
+    filters on so that a year range skips whole directories."""
+    return spark.read.parquet(path).select(*[f.name for f in RAW_SCHEMA.fields], "OBS_YEAR")

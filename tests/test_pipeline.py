@@ -60,9 +60,14 @@ def test_land_and_write(spark, tmp_path):
     land_observations(raw, str(tmp_path / "landed"))
     back = read_landed(spark, str(tmp_path / "landed"))
     assert back.count() == raw.count()
-    assert back.schema == RAW_SCHEMA
-    plan = back.filter(F.col("DATE") >= F.lit(dt.date(2000, 1, 1)))._jdf.queryExecution().executedPlan().toString()
-    assert "PushedFilters: [IsNotNull(DATE), GreaterThanOrEqual(DATE" in plan
+    assert back.drop("OBS_YEAR").schema == RAW_SCHEMA
+    recent = rollups.between_years(prepare_observations(back), lo=2000)
+    spark.conf.set("spark.sql.maxMetadataStringLength", "1000")  # untruncated filter lists
+    plan = recent._jdf.queryExecution().executedPlan().toString()
+    spark.conf.unset("spark.sql.maxMetadataStringLength")
+    assert "PartitionFilters: [isnotnull(OBS_YEAR" in plan and "(OBS_YEAR" in plan
+    assert "GreaterThanOrEqual(DATE" in plan
+    assert recent.count() == prepare_observations(raw).filter(F.year("DATE") >= 2000).count()
     out = tmp_path / "yearly"
     write_result(rollups.yearly_mean(prepare_observations(back)), str(out))
     assert spark.read.parquet(str(out)).count() == 7
