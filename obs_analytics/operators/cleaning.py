@@ -43,15 +43,26 @@ def impute_offset(df: DataFrame, target: str, base: str, offset: float) -> DataF
     return df.withColumn(target, F.coalesce(F.col(target), F.col(base) + F.lit(offset)))
 
 
+def complete(cols=CRITICAL_COLUMNS):
+    """The P1 condition as a column: every column in ``cols`` is not null."""
+    cond = F.lit(True)
+    for c in cols:
+        cond = cond & F.col(c).isNotNull()
+    return cond
+
+
 def prepare_observations(raw: DataFrame, *, divisor: float = UNIT_DIVISOR,
-                         impute: float = IMPUTE_OFFSET, prcp_fill: float = PRCP_FILL) -> DataFrame:
+                         impute: float = IMPUTE_OFFSET, prcp_fill: float = PRCP_FILL,
+                         keep_incomplete: bool = False) -> DataFrame:
     """Raw observations -> cleaned, converted, featured and imputed rows.
 
     Same order of steps as the reference: drop rows missing a critical
     column, convert units, add calendar features, fill PRCP, impute TMAX /
-    TMIN from TAVG, then TEMP_RANGE from the imputed values.
+    TMIN from TAVG, then TEMP_RANGE from the imputed values. Every step
+    after the drop is per row, so ``keep_incomplete`` can keep all rows
+    (for counting them in the same pass) and leave the drop to the caller.
     """
-    df = drop_incomplete(raw, CRITICAL_COLUMNS)
+    df = raw if keep_incomplete else drop_incomplete(raw, CRITICAL_COLUMNS)
     df = rescale(df, TEMPERATURE_COLUMNS + [PRECIP_COLUMN], divisor)
     df = df.withColumns(calendar_columns("DATE"))
     df = fill_constant(df, PRECIP_COLUMN, prcp_fill)
@@ -60,6 +71,15 @@ def prepare_observations(raw: DataFrame, *, divisor: float = UNIT_DIVISOR,
     return df.withColumn("TEMP_RANGE", F.col("TMAX") - F.col("TMIN"))
 
 
+def model_rows_condition(features=FEATURES, label: str = LABEL):
+    """The P6 condition as a column: no null and no NaN in the features and
+    the label (what ``dropna`` tests)."""
+    cond = F.lit(True)
+    for c in list(features) + [label]:
+        cond = cond & F.col(c).isNotNull() & ~F.isnan(F.col(c))
+    return cond
+
+
 def model_rows(df: DataFrame, features=FEATURES, label: str = LABEL,
                keys=KEY_COLUMNS) -> DataFrame:
     """Keys, features and label; drop rows with a null or NaN in any

@@ -14,6 +14,9 @@ from pyspark.sql import functions as F
 
 from ..functions.calendar import season_name
 from ..schema import BASELINE_YEARS, CLIMATOLOGY_YEARS, SEASON_NAMES
+from .cleaning import complete, model_rows_condition, prepare_observations
+from .sampling import hash_split
+from .windows import trailing_mean
 
 
 def between_years(df: DataFrame, lo: int | None = None, hi: int | None = None,
@@ -118,22 +121,24 @@ def dataset_overview(obs: DataFrame, approximate: bool = False, rsd: float = 0.0
         F.min(v).alias("MIN_TEMP"), F.max(v).alias("MAX_TEMP"))
 
 
-def row_accounting(raw: DataFrame, split_rows: DataFrame, train_col: str = "IS_TRAIN") -> DataFrame:
+def row_accounting(raw: DataFrame, *, window_strategy: str = "auto") -> DataFrame:
     """Rows read, kept by cleaning, usable for the model, train, test.
 
-    Two aggregates: cleaning is a predicate on raw rows, counted as a
-    conditional sum in the raw pass; model rows come from the split frame.
+    One pass over the source. Instead of filtering, rows are flagged CLEAN
+    and the trailing mean runs per (STATION, CLEAN): the clean rows see
+    exactly the windows they would see after the filter, and the other rows
+    are counted without being dropped.
     """
-    cleaned = F.col("DATE").isNotNull() & F.col("TAVG").isNotNull() & \
-        F.col("LATITUDE").isNotNull() & F.col("LONGITUDE").isNotNull()
-    a = raw.agg(F.count(F.lit(1)).alias("RAW_ROWS"),
-                F.sum(cleaned.cast("long")).alias("CLEAN_ROWS"))
-    b = split_rows.agg(F.count(F.lit(1)).alias("MODEL_ROWS"),
-                       F.sum(F.col(train_col).cast("long")).alias("TRAIN_ROWS"))
-    return (a.crossJoin(b)
-            .select("RAW_ROWS", F.coalesce("CLEAN_ROWS", F.lit(0)).alias("CLEAN_ROWS"),
-                    "MODEL_ROWS", F.coalesce("TRAIN_ROWS", F.lit(0)).alias("TRAIN_ROWS"),
-                    (F.col("MODEL_ROWS") - F.coalesce("TRAIN_ROWS", F.lit(0))).alias("TEST_ROWS")))
+    flagged = prepare_observations(raw.withColumn("CLEAN", complete()), keep_incomplete=True)
+    feats = trailing_mean(flagged, "TAVG", "DATE", by=["STATION", "CLEAN"], strategy=window_strategy)
+    usable = F.col("CLEAN") & model_rows_condition()
+    tagged = hash_split(feats)
+    return tagged.agg(
+        F.count(F.lit(1)).alias("RAW_ROWS"),
+        F.count(F.when(F.col("CLEAN"), 1)).alias("CLEAN_ROWS"),
+        F.count(F.when(usable, 1)).alias("MODEL_ROWS"),
+        F.count(F.when(usable & F.col("IS_TRAIN"), 1)).alias("TRAIN_ROWS"),
+        F.count(F.when(usable & ~F.col("IS_TRAIN"), 1)).alias("TEST_ROWS"))
 
 
 # -- recent baseline and climatology ----------------------------------------

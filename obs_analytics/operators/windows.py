@@ -62,7 +62,10 @@ def row_rank(df: DataFrame, order: str, by=(), tiebreak=(), *, bucket_days: int
     if bucket_days is None:
         bucket_days = 366 if by else 1
     keyed, keys = _group_keys(df, by)
-    tagged = keyed.withColumn("_tm_bucket", F.floor(F.unix_date(F.col(order)) / bucket_days))
+    # rows with no order value sort first, as in Spark's ascending order
+    bucket = F.coalesce(F.floor(F.unix_date(F.col(order)) / bucket_days),
+                        F.lit(-(2 ** 62)).cast("long"))
+    tagged = keyed.withColumn("_tm_bucket", bucket)
     counts = tagged.groupBy(*keys, "_tm_bucket").agg(F.count(F.lit(1)).alias("_tm_n"))
     before = Window.partitionBy(*keys).orderBy("_tm_bucket").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (counts.withColumn("_tm_offset", F.coalesce(F.sum("_tm_n").over(before), F.lit(0)))

@@ -65,7 +65,7 @@ def modelling(f: Frames, future_years: int = FUTURE_YEARS,
     predictions = forecasting.forecast(grid, tm.model(winner))
     yearly = forecasting.forecast_yearly(predictions)
     out = {
-        "row_accounting": rollups.row_accounting(f.raw, f.split),
+        "row_accounting": rollups.row_accounting(f.raw),
         "model_comparison": comparison,
         "class_metrics_per_class": metrics.class_metrics_per_class(scored),
         "best_model": best,

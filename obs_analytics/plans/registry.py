@@ -256,8 +256,7 @@ CROSS JOIN (SELECT count(*) AS MODEL_ROWS,
                    cast(coalesce(sum(CASE WHEN IS_TRAIN THEN 1 ELSE 0 END), 0) AS bigint) AS TRAIN_ROWS
             FROM split) b""")
 def _q(spark, d):
-    f = frames(spark, d)
-    return rollups.row_accounting(f.raw, f.split)
+    return rollups.row_accounting(frames(spark, d).raw)
 
 
 @register("recent_baseline", with_ctes("baseline") + "SELECT * FROM baseline",

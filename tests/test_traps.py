@@ -298,3 +298,13 @@ def test_overview_variants_and_wide_seasons(spark):
     long = {(r.YEAR, r.SEASON): r.SEASONAL_TEMP for r in rollups.season_year_mean(obs).collect()}
     for (y, season), v in long.items():
         assert wide[y][str(season)] == pytest.approx(v)
+
+
+def test_row_accounting_keeps_incomplete_rows(spark):
+    rows = _series(spark, "A", range(50)) + [("A", None, 100.0, None, None, None, 1.0),
+                                            ("B", D0, None, None, None, None, 1.0)]
+    raw = _raw(spark, rows)
+    for strategy in ["partition", "blocked"]:
+        r = rollups.row_accounting(raw, window_strategy=strategy).first()
+        assert (r.RAW_ROWS, r.CLEAN_ROWS, r.MODEL_ROWS) == (52, 50, 50)
+        assert r.TRAIN_ROWS + r.TEST_ROWS == 50
