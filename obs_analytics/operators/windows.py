@@ -79,6 +79,9 @@ def row_rank(df: DataFrame, order: str, by=(), tiebreak=(), *, bucket_days: int
     return ranked.drop("_tm_offset", "_tm_bucket", *keys)
 
 
+_GROUP_SIZE_MEMO: dict[tuple, int] = {}
+
+
 def max_group_rows(df: DataFrame, by) -> int:
     """Rows in the largest group: one small aggregate (a partial count per
     task, then one row per group)."""
@@ -89,6 +92,16 @@ def max_group_rows(df: DataFrame, by) -> int:
     return int(top or 0)
 
 
+def _largest_group(df: DataFrame, by: list[str]) -> int:
+    # Remembered per session and plan: the answer only picks between two
+    # strategies that give the same rows, so a stale value can cost time
+    # but never change a result.
+    key = (df.sparkSession.sparkContext.applicationId, df.semanticHash(), tuple(by))
+    if key not in _GROUP_SIZE_MEMO:
+        _GROUP_SIZE_MEMO[key] = max_group_rows(df, by)
+    return _GROUP_SIZE_MEMO[key]
+
+
 def _rows_frame_blocked(df: DataFrame, agg: Column, order: str, by, tiebreak, rows: int,
                         out: str, bucket_days, block_rows: int, last: int = 0) -> DataFrame:
     if block_rows <= rows:
@@ -130,7 +143,7 @@ def trailing_mean(df: DataFrame, value: str = "TAVG", order: str = "DATE", by=("
     agg = F.avg(value)
     last = -1 if exclude_current else 0
     if strategy == "auto":
-        small = bool(by) and max_group_rows(df, by) <= max_partition_rows
+        small = bool(by) and _largest_group(df, by) <= max_partition_rows
         strategy = "partition" if small else "blocked"
     if strategy == "partition":
         w = Window.partitionBy(*by).orderBy(order, *tiebreak).rowsBetween(-rows, last)
