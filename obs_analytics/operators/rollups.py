@@ -121,6 +121,22 @@ def dataset_overview(obs: DataFrame, approximate: bool = False, rsd: float = 0.0
         F.min(v).alias("MIN_TEMP"), F.max(v).alias("MAX_TEMP"))
 
 
+_OVERVIEW_ITEMS = [
+    ("dataset", "total_records", "TOTAL_RECORDS"), ("dataset", "first_year", "FIRST_YEAR"),
+    ("dataset", "last_year", "LAST_YEAR"), ("dataset", "stations", "STATIONS"),
+    ("temperature", "mean", "MEAN_TEMP"), ("temperature", "std", "STD_TEMP"),
+    ("temperature", "min", "MIN_TEMP"), ("temperature", "max", "MAX_TEMP"),
+]
+
+
+def overview_report(obs: DataFrame, approximate: bool = False) -> DataFrame:
+    """R1 in long form: (SECTION, ITEM, VALUE) rows of the one-row overview,
+    stacked with ``stack`` (no second pass over the data)."""
+    wide = dataset_overview(obs, approximate)
+    pairs = ", ".join(f"'{sec}', '{item}', CAST({col} AS DOUBLE)" for sec, item, col in _OVERVIEW_ITEMS)
+    return wide.selectExpr(f"stack({len(_OVERVIEW_ITEMS)}, {pairs}) AS (SECTION, ITEM, VALUE)")
+
+
 def row_accounting(raw: DataFrame, *, window_strategy: str = "auto") -> DataFrame:
     """Rows read, kept by cleaning, usable for the model, train, test.
 

@@ -32,6 +32,7 @@ def exploratory(f: Frames) -> dict[str, DataFrame]:
         "sample_pairs": distributions.sample_pairs(obs),
         "relation_summary": distributions.relation_summary(obs),
         "dataset_overview": rollups.dataset_overview(obs),
+        "overview_report": rollups.overview_report(obs),
     }
 
 

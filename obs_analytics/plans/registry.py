@@ -246,6 +246,23 @@ def _q(spark, d):
     return rollups.dataset_overview(frames(spark, d).obs)
 
 
+@register("overview_report", with_ctes("obs") + """
+SELECT SECTION, ITEM, VALUE
+FROM (SELECT count(*) AS TOTAL_RECORDS, min("YEAR") AS FIRST_YEAR, max("YEAR") AS LAST_YEAR,
+             count(DISTINCT STATION) AS STATIONS, avg(TAVG) AS MEAN_TEMP,
+             stddev_samp(TAVG) AS STD_TEMP, min(TAVG) AS MIN_TEMP, max(TAVG) AS MAX_TEMP
+      FROM obs) o,
+LATERAL (VALUES ('dataset', 'total_records', cast(o.TOTAL_RECORDS AS double)),
+                ('dataset', 'first_year', cast(o.FIRST_YEAR AS double)),
+                ('dataset', 'last_year', cast(o.LAST_YEAR AS double)),
+                ('dataset', 'stations', cast(o.STATIONS AS double)),
+                ('temperature', 'mean', o.MEAN_TEMP), ('temperature', 'std', o.STD_TEMP),
+                ('temperature', 'min', o.MIN_TEMP), ('temperature', 'max', o.MAX_TEMP))
+        v(SECTION, ITEM, VALUE)""", "VALUE")
+def _q(spark, d):
+    return rollups.overview_report(frames(spark, d).obs)
+
+
 @register("row_accounting", with_ctes("raw_obs", "split") + """
 SELECT a.RAW_ROWS, a.CLEAN_ROWS, b.MODEL_ROWS, b.TRAIN_ROWS, b.MODEL_ROWS - b.TRAIN_ROWS AS TEST_ROWS
 FROM (SELECT count(*) AS RAW_ROWS,
