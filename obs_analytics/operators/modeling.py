@@ -39,15 +39,44 @@ FOREST_EXECUTION = {"cacheNodeIds": True, "checkpointInterval": 10}
 BOOSTED_EXECUTION = {"cacheNodeIds": False, "checkpointInterval": 10}
 
 
-def regressor(name: str, label: str = LABEL):
-    """M3-M5: the reference's three estimators with its settings."""
+def _megabytes(size: str) -> float:
+    units = {"k": 1 / 1024, "m": 1, "g": 1024, "t": 1024 * 1024}
+    size = size.strip().lower().rstrip("b")
+    return float(size[:-1]) * units[size[-1]] if size[-1] in units else float(size) / 2 ** 20
+
+
+def tree_memory_mb(spark) -> int:
+    """Per-task budget for the tree learners' split statistics.
+
+    Every concurrent task holds its own statistics arrays, so the budget is
+    a quarter of a JVM's heap shared by the task slots of that JVM, capped
+    at Spark's default of 256 MB. A 100-tree, depth-10 forest with the
+    default on eight slots of a 1 GB heap runs out of memory; with this it
+    splits each level into more passes instead. The node grouping, and with
+    it the order of the forest's random feature draws, then depends on the
+    memory settings (as the training layout depends on the core count).
+    """
+    sc = spark.sparkContext
+    conf = sc.getConf()
+    if sc.master.startswith("local"):
+        heap, slots = _megabytes(conf.get("spark.driver.memory", "1g")), sc.defaultParallelism
+    else:
+        heap = _megabytes(conf.get("spark.executor.memory", "1g"))
+        slots = int(conf.get("spark.executor.cores", "1"))
+    return int(max(16, min(256, heap / 4 / max(slots, 1))))
+
+
+def regressor(name: str, label: str = LABEL, spark=None):
+    """M3-M5: the reference's three estimators with its settings. Given a
+    session, the tree learners get a memory budget that fits its heap."""
     common = {"featuresCol": "scaledFeatures", "labelCol": label, "predictionCol": "prediction"}
+    budget = {"maxMemoryInMB": tree_memory_mb(spark)} if spark is not None else {}
     if name == MODEL_NAMES[0]:
         return LinearRegression(**common, **LR_PARAMS)
     if name == MODEL_NAMES[1]:
-        return RandomForestRegressor(**common, **RF_PARAMS, **FOREST_EXECUTION)
+        return RandomForestRegressor(**common, **RF_PARAMS, **FOREST_EXECUTION, **budget)
     if name == MODEL_NAMES[2]:
-        return GBTRegressor(**common, **GBT_PARAMS, **BOOSTED_EXECUTION)
+        return GBTRegressor(**common, **GBT_PARAMS, **BOOSTED_EXECUTION, **budget)
     raise ValueError(f"unknown model {name!r}")
 
 
@@ -84,7 +113,8 @@ def fit_models(train: DataFrame, names=MODEL_NAMES, features=FEATURES, label: st
     scaled = prep.transform(frame).select(*KEY_COLUMNS, "scaledFeatures", label) \
         .persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        return {name: PipelineModel(stages=[*prep.stages, regressor(name, label).fit(scaled)])
+        return {name: PipelineModel(stages=[*prep.stages,
+                                            regressor(name, label, train.sparkSession).fit(scaled)])
                 for name in names}
     finally:
         scaled.unpersist()

@@ -44,7 +44,7 @@ class TrainedModels:
     def model(self, name: str) -> PipelineModel:
         if name not in self._models:
             self._prepare()
-            fitted = regressor(name, LABEL).fit(self._scaled)
+            fitted = regressor(name, LABEL, self._scaled.sparkSession).fit(self._scaled)
             self._models[name] = PipelineModel(stages=[*self._prep.stages, fitted])
         return self._models[name]
 
