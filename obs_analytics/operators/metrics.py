@@ -71,29 +71,33 @@ def class_metrics_per_class(scored: DataFrame = None, label: str = LABEL,
 
     F1 = 2 TP / (predicted + support), which equals 2PR / (P + R) whenever
     that is defined. Every class is listed for every model.
+
+    One chain: each confusion cell (at most 36 per model) is spread over the
+    class list, adding its count to the support of its true class, to the
+    predictions of its predicted class, and to TP when the two agree; a sum
+    per (model, class) then gives all three. No join, so the scored rows
+    are aggregated once.
     """
     cc = confusion if confusion is not None else confusion_counts(scored, label, prediction, by, cuts)
     by = list(by)
-    true_side = cc.groupBy(*by, F.col("TRUE_CLASS").alias("CLASS")).agg(
-        F.sum("COUNT").alias("SUPPORT"),
-        F.sum(F.when(F.col("TRUE_CLASS") == F.col("PRED_CLASS"), F.col("COUNT")).otherwise(0)).alias("TP"))
-    pred_side = cc.groupBy(*by, F.col("PRED_CLASS").alias("CLASS")).agg(
-        F.sum("COUNT").alias("PREDICTED"))
-    classes = cc.sparkSession.range(len(cuts) + 1).select(F.col("id").cast("int").alias("CLASS"))
-    # one row per model times a fixed six classes
-    grid = cc.select(*by).distinct().crossJoin(F.broadcast(classes)) if by else classes
-    j = grid.join(true_side, by + ["CLASS"], "left").join(pred_side, by + ["CLASS"], "left")
-    tp = F.coalesce("TP", F.lit(0)).cast("double")
-    sup = F.coalesce("SUPPORT", F.lit(0))
-    pred = F.coalesce("PREDICTED", F.lit(0))
+    n_classes = len(cuts) + 1
+    cls = F.explode(F.sequence(F.lit(0), F.lit(n_classes - 1))).alias("CLASS")
+    spread = cc.select(*by, "TRUE_CLASS", "PRED_CLASS", "COUNT", cls)
+    t, p, c, n = F.col("TRUE_CLASS"), F.col("PRED_CLASS"), F.col("CLASS"), F.col("COUNT")
+    sums = spread.groupBy(*by, "CLASS").agg(
+        F.sum(F.when(t == c, n).otherwise(0)).alias("SUPPORT"),
+        F.sum(F.when(p == c, n).otherwise(0)).alias("PREDICTED"),
+        F.sum(F.when((t == c) & (p == c), n).otherwise(0)).alias("TP"))
+    tp = F.col("TP").cast("double")
+    sup, pred = F.col("SUPPORT"), F.col("PREDICTED")
     zero = F.lit(0.0)
-    return j.select(
-        *by, "CLASS", class_label("CLASS", labels).alias("CLASS_LABEL"),
+    return sums.select(
+        *by, F.col("CLASS").cast("int").alias("CLASS"), class_label("CLASS", labels).alias("CLASS_LABEL"),
         F.coalesce(F.try_divide(tp, pred.cast("double")), zero).alias("PRECISION"),
         F.coalesce(F.try_divide(tp, sup.cast("double")), zero).alias("RECALL"),
         F.coalesce(F.try_divide(2 * tp, (pred + sup).cast("double")), zero).alias("F1"),
         sup.cast("long").alias("SUPPORT"), pred.cast("long").alias("PREDICTED"),
-        tp.cast("long").alias("TP"))
+        F.col("TP").cast("long").alias("TP"))
 
 
 def class_metrics(scored: DataFrame = None, label: str = LABEL, prediction: str = "prediction",
