@@ -1,8 +1,5 @@
 """The whole job, sources and sinks, streaming, and model checks."""
 
-import datetime as dt
-import time
-
 import pytest
 from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.sql import functions as F

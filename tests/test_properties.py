@@ -5,7 +5,6 @@ import datetime as dt
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
-from pyspark.sql import functions as F
 
 from obs_analytics.operators import distributions, metrics
 from obs_analytics.operators.sampling import hash_split

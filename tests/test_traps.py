@@ -1,7 +1,6 @@
 """Unit tests on hand-made frames: each semantic trap and corner case."""
 
 import datetime as dt
-import math
 
 import pytest
 from pyspark.sql import functions as F
