@@ -114,3 +114,21 @@ def test_linear_model_matches_normal_equations(spark):
     X = np.column_stack([data[:, :-1], np.ones(len(data))])
     beta, *_ = np.linalg.lstsq(X, data[:, -1], rcond=None)
     assert np.allclose(got, X @ beta, atol=1e-6)
+
+
+def test_streaming_rollups_to_parquet(spark, tmp_path):
+    from obs_analytics.streaming import observation_stream, start_rollups, streaming_rollups
+    src = tmp_path / "in"
+    src.mkdir()
+    header = ",".join(f.name for f in RAW_SCHEMA.fields)
+    lines = [header] + [f"S1,2001-0{m}-15,1,2,3,N,5,,300,,100,,{200 + m}," for m in range(1, 10)]
+    (src / "a.csv").write_text("\n".join(lines) + "\n")
+    out = tmp_path / "out"
+    q = start_rollups(streaming_rollups(observation_stream(spark, str(src)), key="MONTH"),
+                      str(tmp_path / "ckpt"), sink="parquet", path=str(out))
+    try:
+        q.processAllAvailable()
+    finally:
+        q.stop()
+    got = {r.MONTH: r for r in spark.read.parquet(str(out)).collect()}
+    assert len(got) == 9 and got[3].AVG_TAVG == pytest.approx(20.3) and got[3].N_ROWS == 1
