@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from obs_analytics.llm import byte_bpe, token_files
+from obs_analytics.llm import byte_bpe, substring_dedup, token_files
 from obs_analytics.llm.checkpoints import shared_folder
 from obs_analytics.llm.shipping import ship
 
@@ -21,6 +21,12 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.substring_dedup(read(spark, sf_dir, "documents")).select(
+        "doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256")
+    )
+
+
 def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     encoded = byte_bpe.encode(read(spark, sf_dir, "documents"), BYTE_RANKS, public_tokenizers.PATTERN)
     return byte_bpe.decode(encoded, BYTE_RANKS).select(
@@ -37,8 +43,32 @@ def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_substring_dedup": op1_substring_dedup,
     "op4_byte_bpe": op4_byte_bpe,
     "op7_token_files": op7_token_files,
 }
 
-SQL: dict[str, str] = {}
+_OP1 = r"""
+WITH words AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents
+), win AS (
+  SELECT doc_id, i AS start, list_aggregate(list_slice(ws, i, i + 19), 'string_agg', ' ') AS seq
+  FROM (SELECT doc_id, ws, unnest(range(1, greatest(len(ws) - 18, 1))) AS i FROM words)
+), again AS (
+  SELECT doc_id, start FROM (
+    SELECT doc_id, start, row_number() OVER (PARTITION BY seq ORDER BY doc_id, start) AS n FROM win
+  ) WHERE n > 1
+), covered AS (
+  SELECT DISTINCT doc_id, unnest(range(start, start + 20)) AS pos FROM again
+), word AS (
+  SELECT doc_id, i AS pos, ws[i] AS w FROM (SELECT doc_id, ws, unnest(range(1, len(ws) + 1)) AS i FROM words)
+), kept AS (
+  SELECT word.doc_id, count(*) AS n, string_agg(w, ' ' ORDER BY pos) AS text
+  FROM word ANTI JOIN covered USING (doc_id, pos) GROUP BY word.doc_id
+)
+SELECT words.doc_id, cast(len(ws) AS BIGINT) AS n_words, cast(len(ws) - coalesce(n, 0) AS BIGINT) AS n_removed,
+       sha256(coalesce(kept.text, '')) AS kept_sha256
+FROM words LEFT JOIN kept USING (doc_id)
+"""
+
+SQL: dict[str, str] = {"op1_substring_dedup": _OP1}
