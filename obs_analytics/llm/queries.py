@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from obs_analytics.llm import byte_bpe, substring_dedup, token_files
+from obs_analytics.llm import byte_bpe, decontamination, substring_dedup, token_files
 from obs_analytics.llm.checkpoints import shared_folder
 from obs_analytics.llm.shipping import ship
 
@@ -42,10 +42,23 @@ def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.id_checksums(token_files.read_tokens(spark, path))
 
 
+def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontamination.decontaminate(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+    return found.select(
+        "doc_id",
+        "n_words",
+        F.size("hits").cast("long").alias("n_hit"),
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join(F.array_sort(F.col("items").cast("array<string>")), ","), 256).alias("items_sha256"),
+        (F.size("hits") > 0).alias("contaminated"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_substring_dedup": op1_substring_dedup,
     "op4_byte_bpe": op4_byte_bpe,
     "op7_token_files": op7_token_files,
+    "op9_decontamination": op9_decontamination,
 }
 
 _OP1 = r"""
@@ -71,4 +84,32 @@ SELECT words.doc_id, cast(len(ws) AS BIGINT) AS n_words, cast(len(ws) - coalesce
 FROM words LEFT JOIN kept USING (doc_id)
 """
 
-SQL: dict[str, str] = {"op1_substring_dedup": _OP1}
+_OP9 = r"""
+WITH words AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM documents
+), item AS (
+  SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM benchmark
+), win AS (
+  SELECT DISTINCT item_id, array_to_string(list_slice(ws, i, i + 9), ' ') AS seq, least(len(ws), 10) AS n
+  FROM (SELECT item_id, ws, unnest(range(1, greatest(len(ws) - 9, 1) + 1)) AS i FROM item WHERE len(ws) > 0)
+), sizes AS (SELECT DISTINCT n FROM win
+), run AS (
+  SELECT doc_id, i AS start, n, array_to_string(list_slice(ws, i, i + n - 1), ' ') AS seq
+  FROM (SELECT doc_id, ws, n, unnest(range(1, len(ws) - n + 2)) AS i FROM words, sizes)
+), found AS (
+  SELECT doc_id, start, n, item_id FROM run JOIN win USING (seq, n)
+), hit AS (
+  SELECT doc_id, count(DISTINCT pos) AS n_hit FROM (SELECT doc_id, unnest(range(start, start + n)) AS pos FROM found) GROUP BY doc_id
+), items AS (
+  SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS listed
+  FROM (SELECT DISTINCT doc_id, cast(item_id AS VARCHAR) AS item FROM found) GROUP BY doc_id
+)
+SELECT words.doc_id, cast(len(ws) AS BIGINT) AS n_words, cast(coalesce(n_hit, 0) AS BIGINT) AS n_hit,
+       cast(coalesce(n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(listed, '')) AS items_sha256,
+       coalesce(n_hit, 0) > 0 AS contaminated
+FROM words LEFT JOIN hit USING (doc_id) LEFT JOIN items USING (doc_id)
+"""
+
+SQL: dict[str, str] = {"op1_substring_dedup": _OP1, "op9_decontamination": _OP9}
