@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from obs_analytics.llm import byte_bpe, decontamination, substring_dedup, token_files
+from obs_analytics.llm import byte_bpe, decontamination, jaccard_join, substring_dedup, token_files
 from obs_analytics.llm.checkpoints import shared_folder
 from obs_analytics.llm.shipping import ship
 
@@ -34,6 +34,10 @@ def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.jaccard_join(read(spark, sf_dir, "documents"))
+
+
 def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     import uuid
 
@@ -57,6 +61,7 @@ def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_substring_dedup": op1_substring_dedup,
     "op4_byte_bpe": op4_byte_bpe,
+    "op6_jaccard_join": op6_jaccard_join,
     "op7_token_files": op7_token_files,
     "op9_decontamination": op9_decontamination,
 }
@@ -84,6 +89,29 @@ SELECT words.doc_id, cast(len(ws) AS BIGINT) AS n_words, cast(len(ws) - coalesce
 FROM words LEFT JOIN kept USING (doc_id)
 """
 
+_OP6 = r"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x20\x09-\x0D]+') AS ws FROM documents
+), gram AS (
+  SELECT DISTINCT doc_id, array_to_string(list_slice(ws, i, i + 2), ' ') AS g
+  FROM (SELECT doc_id, ws, unnest(range(1, greatest(len(ws) - 2, 1) + 1)) AS i FROM words WHERE len(ws) > 0)
+), size AS (SELECT doc_id, count(*) AS n FROM gram GROUP BY doc_id
+), link AS (
+  SELECT a.doc_id AS x, b.doc_id AS y
+  FROM gram a JOIN gram b ON a.g = b.g AND a.doc_id <> b.doc_id
+  JOIN size s ON s.doc_id = a.doc_id JOIN size t ON t.doc_id = b.doc_id
+  GROUP BY a.doc_id, b.doc_id, s.n, t.n
+  HAVING 100 * count(*) >= 90 * (s.n + t.n - count(*))
+), reach AS (
+  SELECT doc_id AS x, doc_id AS y FROM words
+  UNION
+  SELECT reach.x, link.y FROM reach JOIN link ON link.x = reach.y
+), least AS (SELECT x, min(y) AS component_id FROM reach GROUP BY x)
+SELECT words.doc_id, cast(coalesce(n, 0) AS BIGINT) AS n_shingles, component_id
+FROM words LEFT JOIN size USING (doc_id) JOIN least ON least.x = words.doc_id
+"""
+
 _OP9 = r"""
 WITH words AS (
   SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
@@ -112,4 +140,4 @@ SELECT words.doc_id, cast(len(ws) AS BIGINT) AS n_words, cast(coalesce(n_hit, 0)
 FROM words LEFT JOIN hit USING (doc_id) LEFT JOIN items USING (doc_id)
 """
 
-SQL: dict[str, str] = {"op1_substring_dedup": _OP1, "op9_decontamination": _OP9}
+SQL: dict[str, str] = {"op1_substring_dedup": _OP1, "op6_jaccard_join": _OP6, "op9_decontamination": _OP9}

@@ -13,7 +13,7 @@ To keep the sketch small, a window is counted under its anchor: the run of
 equal anchors at equal offsets, so an anchor is counted at least as often as
 each window that it stands for, and there are about ten times fewer anchors.
 
-Bounds: the bitmap sent to all tasks has ``DEPTH * cells`` bits (32 MB at the
+Bounds: the bitmap sent to all tasks has ``2 * cells`` bits (32 MB at the
 default) whatever the input; with many more anchors than cells more windows
 reach the exact pass, and the result stays the same. No group is gathered:
 exact grouping keeps one smallest (document, start) per window, combined
@@ -34,9 +34,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from obs_analytics.llm import arrays
+from obs_analytics.llm import arrays, sketch
 
-DEPTH, CELLS, BLOCK = 2, 1 << 27, 1 << 20
 LAST = (1 << 63) - 1  # place of rows without an id
 
 
@@ -67,109 +66,34 @@ class Windows:
         return arrays.rolling(self.hashes, self.width)[at], (arrays.rolling(second, self.width, 1)[at] >> arrays.U64(32)).astype(np.uint32)
 
 
-def cells_of(anchors: np.ndarray, cells: int) -> Iterator[np.ndarray]:
-    """The cell of each anchor in each row of the sketch."""
-    for row in range(DEPTH):
-        yield arrays.mixed(anchors ^ arrays.U64(0xA5A5A5A5 * (row + 1))) & arrays.U64(cells - 1)
+def anchor_keys(texts: pa.Array, width: int) -> np.ndarray:
+    """Hashes of the distinct anchors (by place) of a slice of texts."""
+    hashes, where = Windows(texts, width).anchors()
+    new = np.ones(len(where), bool)
+    new[1:] = where[1:] != where[:-1]
+    return hashes[new]
 
 
-def _sketch(anchors: list[np.ndarray], cells: int, block: int) -> pa.RecordBatch:
-    """Rows (block, cells counted once, cells counted more often) of the anchors'
-    sketch; cell numbers within the block are sorted and stored as gaps."""
-    blocks, once, more = [], [], []
-    for row, found in enumerate(cells_of(np.concatenate(anchors), cells)):
-        cell, count = np.unique(found, return_counts=True)
-        edges = np.searchsorted(cell, np.arange(0, cells + 1, block).astype(arrays.U64))
-        low, many = (cell & arrays.U64(block - 1)).astype(np.uint32), count > 1
-        for b in np.flatnonzero(np.diff(edges)):
-            here = slice(edges[b], edges[b + 1])
-            blocks.append(row * (cells // block) + b)
-            once.append(_gaps(low[here][~many[here]]))
-            more.append(_gaps(low[here][many[here]]))
-    return pa.RecordBatch.from_arrays([pa.array(blocks, pa.int32()), pa.array(once, pa.binary()), pa.array(more, pa.binary())], names=["block", "once", "more"])
-
-
-def _gaps(values: np.ndarray) -> bytes:
-    """Sorted numbers as gaps, byte plane by byte plane (high planes are zeros,
-    which the shuffle's compression removes)."""
-    return np.diff(values, prepend=np.uint32(0)).astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes()
-
-
-def _ungaps(coded: bytes) -> np.ndarray:
-    return np.cumsum(np.ascontiguousarray(np.frombuffer(coded, np.uint8).reshape(4, -1).T).view("<u4").ravel(), dtype=np.int64)
-
-
-def repeated_cells(docs: DataFrame, width: int, cells: int) -> np.ndarray:
-    """Bitmap (DEPTH rows of packed bits) of the cells that the merged sketch
-    counts twice or more. ``docs`` has a text column."""
-    block = min(BLOCK, cells)
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        waiting, n = [], 0
-        for batch in batches:
-            for part in arrays.slices(batch, "text"):
-                hashes, where = Windows(part.column(0), width).anchors()
-                new = np.ones(len(where), bool)
-                new[1:] = where[1:] != where[:-1]
-                waiting.append(hashes[new])
-                n += int(new.sum())
-                if n > 1 << 21:
-                    yield _sketch(waiting, cells, block)
-                    waiting, n = [], 0
-        if n:
-            yield _sketch(waiting, cells, block)
-
-    def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now, once, more = None, None, None
-        for batch in batches:
-            for b, new, many in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                if b != now:
-                    if now is not None:
-                        yield done(now, more)
-                    now, once, more = b, np.zeros(block, bool), np.zeros(block, bool)
-                new = _ungaps(new)
-                more[new[once[new]]] = True
-                more[_ungaps(many)] = True
-                once[new] = True
-                once |= more
-        if now is not None:
-            yield done(now, more)
-
-    def done(b: int, more: np.ndarray) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array([b], pa.int32()), pa.array([np.packbits(more).tobytes()], pa.binary())], names=["block", "bits"])
-
-    partial = docs.select("text").mapInArrow(count, "block int, once binary, more binary")
-    merged = partial.repartition("block").sortWithinPartitions("block").mapInArrow(merge, "block int, bits binary")
-    bitmap = np.zeros(DEPTH * cells // 8, np.uint8)
-    for row in merged.toLocalIterator(prefetchPartitions=True):
-        bitmap[row.block * block // 8 : (row.block + 1) * block // 8] = np.frombuffer(row.bits, np.uint8)
-    return bitmap.reshape(DEPTH, cells // 8)
-
-
-def estimated_repeated(windows: Windows, bitmap: np.ndarray) -> np.ndarray:
+def estimated_repeated(windows: Windows, bits: np.ndarray) -> np.ndarray:
     """Start words of the windows that the sketch estimates to be repeated."""
-    hashes, _ = windows.anchors()
-    keep = np.ones(len(hashes), bool)
-    for bits, cell in zip(bitmap, cells_of(hashes, 8 * bitmap.shape[1]), strict=True):
-        keep &= (bits[cell >> arrays.U64(3)] >> (7 - (cell & arrays.U64(7))).astype(np.uint8)) & 1 == 1
-    return windows.at[keep]
+    return windows.at[sketch.reaches(bits, windows.anchors()[0])]
 
 
-def substring_dedup(docs: DataFrame, *, width: int = 20, cells: int = CELLS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def substring_dedup(docs: DataFrame, *, width: int = 20, cells: int = sketch.CELLS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per document: doc_id, n_words, n_removed and ``kept``, its words outside
     every window that also starts earlier, joined by one space. Words are runs
     of characters other than ASCII whitespace."""
     spark = docs.sparkSession
     doc_id = docs[id_col].cast("long")
     rows = docs.select(doc_id.alias("doc_id"), F.coalesce(doc_id, F.lit(LAST)).alias("place"), docs[text_col].alias("text"))
-    shared = spark.sparkContext.broadcast(repeated_cells(rows, width, cells))
+    shared = spark.sparkContext.broadcast(sketch.bitmaps(rows.select("text"), lambda texts: anchor_keys(texts, width), (2,), cells)[0])
 
     def starts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bitmap = shared.value
+        bits = shared.value
         for batch in batches:
             for part in arrays.slices(batch, "text"):
                 found = Windows(part.column(1), width)
-                at = estimated_repeated(found, bitmap)
+                at = estimated_repeated(found, bits)
                 high, low = found.keys(at)
                 doc = np.searchsorted(found.first, at, "right") - 1
                 place, start = part.column(0).to_numpy()[doc], at - found.first[doc]
@@ -183,11 +107,11 @@ def substring_dedup(docs: DataFrame, *, width: int = 20, cells: int = CELLS, id_
                 )
 
     def remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bitmap = shared.value
+        bits = shared.value
         for batch in batches:
             for part in arrays.slices(batch, "text"):
                 found = Windows(part.column(1), width)
-                at = estimated_repeated(found, bitmap)
+                at = estimated_repeated(found, bits)
                 lists = part.column(2)
                 own = np.repeat(np.arange(len(lists)), lists.value_lengths().fill_null(0).to_numpy())
                 firsts = lists.flatten().to_numpy() + found.first[own]
