@@ -8,8 +8,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from obs_analytics.llm import byte_bpe, decontamination, jaccard_join, substring_dedup, token_files
+from obs_analytics.llm import byte_bpe, decontamination, jaccard_join, language, quality, substring_dedup, token_files, toxicity
 from obs_analytics.llm.checkpoints import shared_folder
+from obs_analytics.llm.labelled import fold
 from obs_analytics.llm.shipping import ship
 
 BYTE_RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -27,6 +28,12 @@ def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, held_out = read(spark, sf_dir, "documents"), fold(F.col("doc_id"), 3) == 1
+    model = language.train(docs.select("doc_id", "text"), docs.where(~held_out).select("doc_id", F.col("lang").alias("label")))
+    return language.identify(docs, model).select("doc_id", F.coalesce(held_out, F.lit(True)).alias("held_out"), "lang_pred", "score")
+
+
 def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     encoded = byte_bpe.encode(read(spark, sf_dir, "documents"), BYTE_RANKS, public_tokenizers.PATTERN)
     return byte_bpe.decode(encoded, BYTE_RANKS).select(
@@ -46,6 +53,14 @@ def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.id_checksums(token_files.read_tokens(spark, path))
 
 
+def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = fold(F.col("doc_id"), 3) == 1
+    labels = read(spark, sf_dir, "labels").where(~held_out).select("doc_id", F.col("quality").alias("label"))
+    vectors = quality.measured(read(spark, sf_dir, "documents"))
+    scored = quality.score(vectors, quality.train(vectors, labels))
+    return scored.select("doc_id", F.coalesce(held_out, F.lit(True)).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontamination.decontaminate(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
     return found.select(
@@ -58,12 +73,22 @@ def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, held_out = read(spark, sf_dir, "documents"), fold(F.col("doc_id"), 5) == 0
+    labels = read(spark, sf_dir, "labels").where(~held_out).select("doc_id", F.col("toxic").alias("label"))
+    scored = toxicity.score(docs, toxicity.train(docs, labels))
+    return scored.select("doc_id", F.coalesce(held_out, F.lit(True)).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"), F.size("spans").alias("n_spans"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_substring_dedup": op1_substring_dedup,
+    "op3_language": op3_language,
     "op4_byte_bpe": op4_byte_bpe,
     "op6_jaccard_join": op6_jaccard_join,
     "op7_token_files": op7_token_files,
+    "op8_quality": op8_quality,
     "op9_decontamination": op9_decontamination,
+    "op10_toxicity": op10_toxicity,
 }
 
 _OP1 = r"""
