@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from obs_analytics.llm import byte_bpe, decontamination, jaccard_join, language, quality, substring_dedup, token_files, toxicity
+from obs_analytics.llm import byte_bpe, decontamination, fingerprints, jaccard_join, language, line_dedup, quality, substring_dedup, token_files, toxicity
 from obs_analytics.llm.checkpoints import shared_folder
 from obs_analytics.llm.labelled import fold
 from obs_analytics.llm.shipping import ship
@@ -28,6 +28,26 @@ def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pairs = fingerprints.with_next(read(spark, sf_dir, "documents"))
+    text, cut = F.coalesce("text", F.lit("")), F.floor(F.length(F.coalesce("text", F.lit(""))) / 4).cast("int")
+    edited = pairs.select(
+        "doc_id", "fingerprint", "next_fingerprint", F.length(text).cast("long").alias("n_chars"),
+        F.concat(F.left(text, F.length(text) - cut), F.left(F.coalesce("next_text", F.lit("")), cut)).alias("edited"),
+    )
+    both = edited.withColumn("edited_fingerprint", fingerprints.fingerprint(F.col("edited")))
+    like = lambda other: fingerprints.resemblance(F.col("fingerprint"), F.col(other))
+    return both.select(
+        "doc_id",
+        "n_chars",
+        F.sha2("edited", 256).alias("edited_sha256"),
+        fingerprints.as_string(F.col("fingerprint")).alias("fingerprint"),
+        fingerprints.as_string(F.col("edited_fingerprint")).alias("edited_fingerprint"),
+        like("edited_fingerprint").alias("near_edited"),
+        like("next_fingerprint").alias("near_next"),
+    )
+
+
 def op3_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, held_out = read(spark, sf_dir, "documents"), fold(F.col("doc_id"), 3) == 1
     model = language.train(docs.select("doc_id", "text"), docs.where(~held_out).select("doc_id", F.col("lang").alias("label")))
@@ -41,6 +61,12 @@ def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.line_dedup(read(spark, sf_dir, "documents")).select(
+        "doc_id", "n_lines", "n_removed", F.sha2("kept", 256).alias("kept_sha256")
+    )
+
+
 def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.jaccard_join(read(spark, sf_dir, "documents"))
 
@@ -82,8 +108,10 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_substring_dedup": op1_substring_dedup,
+    "op2_fingerprints": op2_fingerprints,
     "op3_language": op3_language,
     "op4_byte_bpe": op4_byte_bpe,
+    "op5_line_dedup": op5_line_dedup,
     "op6_jaccard_join": op6_jaccard_join,
     "op7_token_files": op7_token_files,
     "op8_quality": op8_quality,
@@ -114,6 +142,30 @@ SELECT words.doc_id, cast(len(ws) AS BIGINT) AS n_words, cast(len(ws) - coalesce
 FROM words LEFT JOIN kept USING (doc_id)
 """
 
+_OP5 = r"""
+WITH line AS (
+  SELECT doc_id, i - 1 AS no, ls[i] AS line
+  FROM (SELECT doc_id, ls, unnest(range(1, len(ls) + 1)) AS i FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents))
+), kind AS (
+  SELECT line, length(line) AS n, min((doc_id, no)) AS first FROM line WHERE length(line) >= 20 GROUP BY line
+), cand AS (
+  SELECT a.line AS x, b.line AS y, a.n AS n, b.n AS m FROM kind a JOIN kind b ON left(a.line, 10) = left(b.line, 10)
+  WHERE a.line <> b.line AND a.n - b.n BETWEEN -1 AND 1 AND b.first < a.first
+  UNION
+  SELECT a.line, b.line, a.n, b.n FROM kind a JOIN kind b ON right(a.line, 10) = right(b.line, 10)
+  WHERE a.line <> b.line AND a.n - b.n BETWEEN -1 AND 1 AND b.first < a.first
+), near AS (
+  SELECT DISTINCT x FROM cand WHERE len(list_filter(range(0, greatest(n, m)), lambda i:
+    left(x, i) = left(y, i) AND substr(x, i + (CASE WHEN n >= m THEN 2 ELSE 1 END)) = substr(y, i + (CASE WHEN m >= n THEN 2 ELSE 1 END)))) > 0
+), stays AS (
+  SELECT first FROM kind ANTI JOIN near ON near.x = kind.line
+)
+SELECT doc_id, cast(count(*) AS BIGINT) AS n_lines, cast(count(*) FILTER (gone) AS BIGINT) AS n_removed,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY no) FILTER (NOT gone), '')) AS kept_sha256
+FROM (SELECT line.*, length(line) >= 20 AND first IS NULL AS gone FROM line LEFT JOIN stays ON stays.first = (doc_id, no))
+GROUP BY doc_id
+"""
+
 _OP6 = r"""
 WITH RECURSIVE words AS (
   SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
@@ -165,4 +217,4 @@ SELECT words.doc_id, cast(len(ws) AS BIGINT) AS n_words, cast(coalesce(n_hit, 0)
 FROM words LEFT JOIN hit USING (doc_id) LEFT JOIN items USING (doc_id)
 """
 
-SQL: dict[str, str] = {"op1_substring_dedup": _OP1, "op6_jaccard_join": _OP6, "op9_decontamination": _OP9}
+SQL: dict[str, str] = {"op1_substring_dedup": _OP1, "op5_line_dedup": _OP5, "op6_jaccard_join": _OP6, "op9_decontamination": _OP9}
