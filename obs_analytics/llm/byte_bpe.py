@@ -20,11 +20,11 @@ from pyspark.sql import DataFrame
 from obs_analytics.llm import arrays, tokens
 
 
-def encode(docs: DataFrame, rank_path: str, pattern: str, *, id_col: str = "doc_id", text_col: str = "text", offsets: bool = False) -> DataFrame:
+def encode(docs: DataFrame, rank_path: str, pattern: str, *, id_col: str = "doc_id", text_col: str = "text", offsets: bool = False, keep_text: bool = False) -> DataFrame:
     """Per document: doc_id, n_tokens and ``ids`` (little-endian unsigned 32-bit
     integers). With ``offsets`` also ``starts`` and ``ends``: the half-open
     range of characters that each token's bytes touch, so tokens that split a
-    character share it."""
+    character share it. With ``keep_text`` the text stays beside its ids."""
     rows = docs.select(docs[id_col].cast("long").alias("doc_id"), docs[text_col].alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -36,10 +36,12 @@ def encode(docs: DataFrame, rank_path: str, pattern: str, *, id_col: str = "doc_
                 out = [part.column(0), pa.array(counts, pa.int64()), arrays.binaries(ids.astype("<u4").tobytes(), counts * 4)]
                 if offsets:
                     out += [arrays.list_array(pa.array(x, pa.int32()), counts) for x in _characters(part.column(1), width[ids], counts)]
+                if keep_text:
+                    out.append(part.column(1))
                 yield pa.RecordBatch.from_arrays(out, names=names)
 
-    names = ["doc_id", "n_tokens", "ids"] + ["starts", "ends"] * offsets
-    schema = "doc_id long, n_tokens long, ids binary" + ", starts array<int>, ends array<int>" * offsets
+    names = ["doc_id", "n_tokens", "ids"] + ["starts", "ends"] * offsets + ["text"] * keep_text
+    schema = "doc_id long, n_tokens long, ids binary" + ", starts array<int>, ends array<int>" * offsets + ", text string" * keep_text
     return rows.mapInArrow(run, schema)
 
 

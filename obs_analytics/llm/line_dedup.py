@@ -49,12 +49,12 @@ def _half_keys(line: Column, size: Column) -> Column:
     return F.array(*pair(size), *pair(size - 1))
 
 
-def line_dedup(docs: DataFrame, *, least: int = LEAST, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def line_dedup(docs: DataFrame, *, least: int = LEAST, id_col: str = "doc_id", text_col: str = "text", carry: list[str] | None = None) -> DataFrame:
     """Per document: doc_id, n_lines, n_removed and ``kept``, its remaining lines
-    joined by newlines."""
+    joined by newlines, after them the columns in ``carry``."""
+    others = F.struct(*(docs[c].alias(f"c{i}") for i, c in enumerate(carry or [])) or [F.lit(None).alias("c0")])
     doc_id = docs[id_col].cast("long")
-    rows = docs.select(F.coalesce(doc_id, F.lit(LAST)).alias("place"), F.xxhash64(docs[text_col]).alias("text_key"), F.coalesce(docs[text_col], F.lit("")).alias("text"))
-    by_doc = rows.repartition("place", "text_key")  # read twice, shuffled once
+    rows = docs.select(F.coalesce(doc_id, F.lit(LAST)).alias("place"), F.xxhash64(docs[text_col]).alias("text_key"), F.coalesce(docs[text_col], F.lit("")).alias("text"), others.alias("others"))
     line, size = F.col("line"), F.length("line")
     order = F.col("place").cast("decimal(38,0)") * F.lit(1 << 32).cast("decimal(10,0)") + F.col("no")
 
@@ -69,20 +69,21 @@ def line_dedup(docs: DataFrame, *, least: int = LEAST, id_col: str = "doc_id", t
     shared = halves.groupBy("key").agg(F.min("h").alias("a"), F.max("h").alias("b")).where("a <> b").select("key")
     live = halves.join(shared, "key", "left_semi").select("h").distinct()
     asked = distinct.join(live, "h", "left_semi").groupBy("place", "text_key").agg(F.collect_list(F.struct("no", "h", "at")).alias("asked"))
-    texts = by_doc.join(asked, ["place", "text_key"]).select(F.split("text", "\n").alias("lines"), F.explode("asked").alias("a"))
+    texts = rows.join(asked, ["place", "text_key"]).select(F.split("text", "\n").alias("lines"), F.explode("asked").alias("a"))
     texts = cut(texts.select("a.h", "a.at", F.get("lines", F.col("a.no")).alias("line")).dropDuplicates(["h", "at"]))
 
     near = neighbours(texts)
     dropped = near.where(F.levenshtein("line", "other", 1) >= 0).select("h", "at")
     firsts = distinct.join(dropped, ["h", "at"], "left_anti").groupBy("place", "text_key").agg(F.collect_list("no").alias("firsts"))
-    numbered = by_doc.join(firsts, ["place", "text_key"], "left").select("place", F.split("text", "\n").alias("lines"), F.coalesce("firsts", F.array().cast("array<int>")).alias("firsts"))
+    numbered = rows.join(firsts, ["place", "text_key"], "left").select("place", "others", F.split("text", "\n").alias("lines"), F.coalesce("firsts", F.array().cast("array<int>")).alias("firsts"))
     numbers = F.sequence(F.lit(0), F.size("lines") - 1)
     judged = F.filter(numbers, lambda i: F.length(F.get("lines", i)) >= least)
-    left = numbered.select("place", "lines", F.array_except(numbers, F.array_except(judged, "firsts")).alias("left"))
+    left = numbered.select("place", "others", "lines", F.array_except(numbers, F.array_except(judged, "firsts")).alias("left"))
     return left.select(
         F.nullif("place", F.lit(LAST)).alias("doc_id"), F.size("lines").cast("long").alias("n_lines"),
         (F.size("lines") - F.size("left")).cast("long").alias("n_removed"),
         F.array_join(F.transform("left", lambda i: F.get("lines", i)), "\n").alias("kept"),
+        *(F.col(f"others.c{i}").alias(c) for i, c in enumerate(carry or [])),
     )
 
 

@@ -124,17 +124,17 @@ def fit(counts: np.ndarray, sums: np.ndarray, products: np.ndarray, *, pooled: f
 
 
 def measured(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, x): the statistics of every document, stored once for fitting
-    and scoring."""
-    rows = docs.select(docs[id_col].cast("long").alias("doc_id"), docs[text_col].alias("text"))
+    """(doc_id, text_key, x): the statistics of every document, stored once for
+    fitting and scoring. text_key is a hash of the text."""
+    rows = docs.select(docs[id_col].cast("long").alias("doc_id"), F.xxhash64(docs[text_col]).alias("text_key"), docs[text_col].alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in arrays.slices(batch, "text"):
-                x = statistics(part.column(1))
-                yield pa.RecordBatch.from_arrays([part.column(0), arrays.list_array(pa.array(x.ravel()), np.full(len(x), x.shape[1]))], names=["doc_id", "x"])
+                x = statistics(part.column(2))
+                yield pa.RecordBatch.from_arrays([*part.columns[:2], arrays.list_array(pa.array(x.ravel()), np.full(len(x), x.shape[1]))], names=["doc_id", "text_key", "x"])
 
-    return table(rows.mapInArrow(run, "doc_id long, x array<double>"), "statistics")
+    return table(rows.mapInArrow(run, "doc_id long, text_key long, x array<double>"), "statistics")
 
 
 def train(vectors: DataFrame, labels: DataFrame) -> Model:
@@ -161,12 +161,12 @@ def train(vectors: DataFrame, labels: DataFrame) -> Model:
 
 
 def score(vectors: DataFrame, model: Model) -> DataFrame:
-    """(doc_id, score) of each row of ``measured``."""
+    """(doc_id, text_key, score) of each row of ``measured``."""
     shared = vectors.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            x = batch.column(1).flatten().to_numpy().reshape(-1, len(NAMES))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(shared.value.scores(x))], names=["doc_id", "score"])
+            x = batch.column(2).flatten().to_numpy().reshape(-1, len(NAMES))
+            yield pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(shared.value.scores(x))], names=["doc_id", "text_key", "score"])
 
-    return vectors.select("doc_id", "x").mapInArrow(run, "doc_id long, score double")
+    return vectors.select("doc_id", "text_key", "x").mapInArrow(run, "doc_id long, text_key long, score double")
