@@ -6,11 +6,11 @@ from .distributions import distribution_shift, histogram, period_tag, relation_s
 from .forecasting import forecast, forecast_change, forecast_grid, forecast_yearly, history_and_forecast
 from .metrics import (best_by_metric, best_model, class_metrics, class_metrics_per_class,
                       confusion_counts, model_comparison, model_grades, regression_metrics)
-from .modeling import feature_stages, fit_models, regressor, score, standin_scores
+from .modeling import feature_stages, regressor, score, standin_scores
 from .rollups import (between_years, climatology, dataset_overview, decade_mean, monthly_mean,
                       recent_baseline, rollup_all, row_accounting, season_range, season_year_mean,
                       value_stats, yearly_extreme, yearly_mean, yearly_mean_since, yearly_precip)
-from .sampling import hash_sample, hash_split, train_test
+from .sampling import hash_sample, hash_split
 from .trends import linear_trend, trend_assessment, trend_line
 from .windows import row_rank, trailing_mean, trailing_mean_days
 

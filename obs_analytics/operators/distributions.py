@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime as _dt
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -11,7 +13,7 @@ from .sampling import hash_sample
 
 
 def histogram(df: DataFrame, value: str = "TAVG", bins: int = HIST_BINS, by=(),
-              density: bool = False, bounded_groups: bool = False) -> DataFrame:
+              density: bool = False, groups: list | None = None) -> DataFrame:
     """H1 / H2: equal-width histogram over each group's own min..max.
 
     Bins are [lo + i*w, lo + (i+1)*w), the last one closed on the right;
@@ -21,12 +23,15 @@ def histogram(df: DataFrame, value: str = "TAVG", bins: int = HIST_BINS, by=(),
 
     The per-group range is a small aggregate joined back to the rows: one
     row with no group key (always broadcast), one per group otherwise.
-    ``bounded_groups`` says the group key has a fixed small set of values
-    (as the two-valued period tag has), which makes broadcasting the ranges
-    safe; without it the join is left to Spark's size check and AQE.
+    ``groups`` names the values of a single group column when they are a fixed
+    short list (as the two-valued period tag's are): other rows are left out,
+    and one range per named value is broadcast. Without it the join is left to
+    Spark's size check and AQE.
     """
     by = list(by)
     v = F.col(value)
+    if groups is not None:
+        df = df.filter(F.col(by[0]).isin(groups))
     rows = df.select(*by, v.alias("_v")).filter(F.col("_v").isNotNull() & ~F.isnan("_v"))
     stats = rows.groupBy(*by).agg(F.min("_v").alias("_lo"), F.max("_v").alias("_hi"),
                                   F.count(F.lit(1)).alias("_n"))
@@ -36,7 +41,7 @@ def histogram(df: DataFrame, value: str = "TAVG", bins: int = HIST_BINS, by=(),
         F.when(same, F.col("_lo") - 0.5).otherwise(F.col("_lo")).alias("_lo"),
         F.when(same, F.col("_hi") + 0.5).otherwise(F.col("_hi")).alias("_hi"))
     stats = stats.withColumn("_norm", F.lit(float(bins)) / (F.col("_hi") - F.col("_lo")))
-    small = F.broadcast(stats) if (not by or bounded_groups) else stats
+    small = F.broadcast(stats) if (not by or groups is not None) else stats
     joined = rows.join(small, by) if by else rows.crossJoin(small)
     idx = F.least(F.floor((F.col("_v") - F.col("_lo")) * F.col("_norm")), F.lit(bins - 1))
     counts = joined.groupBy(*by, idx.cast("int").alias("BIN")).agg(F.count(F.lit(1)).alias("COUNT"))
@@ -66,10 +71,15 @@ def distribution_shift(obs: DataFrame, value: str = "TAVG", bins: int = DENSITY_
                        early_end: int = EARLY_PERIOD_END,
                        late_start: int = LATE_PERIOD_START) -> DataFrame:
     """H2: density histograms of the early and late periods, each on its own
-    range. Years between the two periods are left out."""
-    tagged = (obs.select(period_tag("YEAR", early_end, late_start).alias("PERIOD"), value)
+    range. Years between the two periods are left out: by a DATE range that
+    reaches the scan, and on data landed by year by its partition column."""
+    wanted = ((F.col("DATE") < F.lit(_dt.date(early_end + 1, 1, 1)))
+              | (F.col("DATE") >= F.lit(_dt.date(late_start, 1, 1))))
+    if "OBS_YEAR" in obs.columns:
+        wanted = wanted & ((F.col("OBS_YEAR") <= early_end) | (F.col("OBS_YEAR") >= late_start))
+    tagged = (obs.filter(wanted).select(period_tag("YEAR", early_end, late_start).alias("PERIOD"), value)
               .filter(F.col("PERIOD").isNotNull()))
-    return histogram(tagged, value, bins, by=["PERIOD"], density=True, bounded_groups=True)
+    return histogram(tagged, value, bins, by=["PERIOD"], density=True, groups=["early", "late"])
 
 
 def sample_pairs(obs: DataFrame, fraction: float = SAMPLE_FRACTION, seed: int = SEED,

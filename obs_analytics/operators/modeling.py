@@ -9,7 +9,6 @@ a short, reliable lineage that survives the loss of an executor.
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel, Transformer
 from pyspark.ml.feature import SQLTransformer, StandardScaler, VectorAssembler
 from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
@@ -18,7 +17,7 @@ from pyspark.sql import functions as F
 
 from ..session import ensure_checkpoint_dir
 from ..schema import (FEATURES, GBT_PARAMS, KEY_COLUMNS, LABEL, LR_PARAMS, MODEL_NAMES,
-                      RF_PARAMS)
+                      RF_PARAMS, TRAINING_PARTITIONS, TREE_MEMORY_MB)
 from .metrics import MODEL
 
 
@@ -29,7 +28,6 @@ def feature_stages(features=FEATURES) -> list:
                            withMean=True, withStd=True)]
 
 
-# Execution settings, not model settings (the fitted trees are the same).
 # The forest caches each row's node id (checkpointed every 10 levels to the
 # checkpoint directory) instead of walking 100 deep trees from the root on
 # every pass; measured 108 s -> 66 s at sf0.1. The boosted trees are
@@ -39,60 +37,36 @@ FOREST_EXECUTION = {"cacheNodeIds": True, "checkpointInterval": 10}
 BOOSTED_EXECUTION = {"cacheNodeIds": False, "checkpointInterval": 10}
 
 
-def _megabytes(size: str) -> float:
-    units = {"k": 1 / 1024, "m": 1, "g": 1024, "t": 1024 * 1024}
-    size = size.strip().lower().rstrip("b")
-    return float(size[:-1]) * units[size[-1]] if size[-1] in units else float(size) / 2 ** 20
+def regressor(name: str, label: str = LABEL, memory_mb: int = TREE_MEMORY_MB):
+    """M3-M5: the reference's three estimators with its settings.
 
-
-def tree_memory_mb(spark) -> int:
-    """Per-task budget for the tree learners' split statistics.
-
-    Every concurrent task holds its own statistics arrays, so the budget is
-    a quarter of a JVM's heap shared by the task slots of that JVM, capped
-    at Spark's default of 256 MB. A 100-tree, depth-10 forest with the
-    default on eight slots of a 1 GB heap runs out of memory; with this it
-    splits each level into more passes instead. The node grouping, and with
-    it the order of the forest's random feature draws, then depends on the
-    memory settings (as the training layout depends on the core count).
-    """
-    sc = spark.sparkContext
-    conf = sc.getConf()
-    if sc.master.startswith("local"):
-        heap, slots = _megabytes(conf.get("spark.driver.memory", "1g")), sc.defaultParallelism
-    else:
-        heap = _megabytes(conf.get("spark.executor.memory", "1g"))
-        slots = int(conf.get("spark.executor.cores", "1"))
-    return int(max(16, min(256, heap / 4 / max(slots, 1))))
-
-
-def regressor(name: str, label: str = LABEL, spark=None):
-    """M3-M5: the reference's three estimators with its settings. Given a
-    session, the tree learners get a memory budget that fits its heap."""
+    ``memory_mb`` is the tree learners' budget for split statistics per task.
+    It decides which nodes are split in one pass, and with that the order of
+    the forest's random draws, so it is a model parameter with a fixed default
+    and never follows the heap or the core count. A 100-tree, depth-10 forest
+    on eight task slots needs about eight times this much heap."""
     common = {"featuresCol": "scaledFeatures", "labelCol": label, "predictionCol": "prediction"}
-    budget = {"maxMemoryInMB": tree_memory_mb(spark)} if spark is not None else {}
     if name == MODEL_NAMES[0]:
         return LinearRegression(**common, **LR_PARAMS)
     if name == MODEL_NAMES[1]:
-        return RandomForestRegressor(**common, **RF_PARAMS, **FOREST_EXECUTION, **budget)
+        return RandomForestRegressor(**common, **RF_PARAMS, **FOREST_EXECUTION, maxMemoryInMB=memory_mb)
     if name == MODEL_NAMES[2]:
-        return GBTRegressor(**common, **GBT_PARAMS, **BOOSTED_EXECUTION, **budget)
+        return GBTRegressor(**common, **GBT_PARAMS, **BOOSTED_EXECUTION, maxMemoryInMB=memory_mb)
     raise ValueError(f"unknown model {name!r}")
 
 
 def training_frame(train: DataFrame, features=FEATURES, label: str = LABEL,
-                   partitions: int | None = None, checkpoint: bool = True) -> DataFrame:
+                   partitions: int = TRAINING_PARTITIONS, checkpoint: bool = True) -> DataFrame:
     """Fix the training rows' layout (hash of the key, sorted inside each
     partition) so tree bagging draws the same rows on every run, and cut
     the lineage with a reliable checkpoint.
 
-    The learners pass over these rows hundreds of times (50 boosting rounds
-    of 6 levels each), so the default is one partition per core: every pass
-    is a single wave of tasks. The layout, and so the trees, then depend on
-    the cluster's core count; the train/test split does not.
+    Bagging draws by partition, so ``partitions`` is a model parameter: its
+    default is a constant, and a larger training set takes a larger number
+    (about 1 million rows, 100 MB, per partition) whatever the cluster.
     """
     spark = train.sparkSession
-    n = partitions or spark.sparkContext.defaultParallelism
+    n = partitions
     if checkpoint:
         ensure_checkpoint_dir(spark)
     laid = (train.select(*KEY_COLUMNS, *features, label)
@@ -104,34 +78,23 @@ def fit_feature_stages(train: DataFrame, features=FEATURES) -> PipelineModel:
     return Pipeline(stages=feature_stages(features)).fit(train)
 
 
-def fit_models(train: DataFrame, names=MODEL_NAMES, features=FEATURES, label: str = LABEL,
-               partitions: int | None = None, checkpoint: bool = True) -> dict[str, PipelineModel]:
-    """M6: fit the feature stages once, then each regressor on the scaled
-    rows; each result is a full PipelineModel (assembler, scaler, model)."""
-    frame = training_frame(train, features, label, partitions, checkpoint)
-    prep = fit_feature_stages(frame, features)
-    scaled = prep.transform(frame).select(*KEY_COLUMNS, "scaledFeatures", label) \
-        .persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        return {name: PipelineModel(stages=[*prep.stages,
-                                            regressor(name, label, train.sparkSession).fit(scaled)])
-                for name in names}
-    finally:
-        scaled.unpersist()
-
-
 def score(models: dict[str, Transformer], df: DataFrame, label: str | None = LABEL,
           keep=KEY_COLUMNS) -> DataFrame:
-    """Scored rows of every model, stacked with a MODEL column."""
-    out = None
-    for name, model in models.items():
-        cols = [c for c in keep if c in df.columns]
-        part = model.transform(df).select(
-            *cols, F.lit(name).alias(MODEL),
-            *([F.col(label)] if label and label in df.columns else []),
-            F.col("prediction").cast("double").alias("prediction"))
-        out = part if out is None else out.unionByName(part)
-    return out
+    """Scored rows of every model, stacked with a MODEL column.
+
+    The models are applied one after another to the same rows, each prediction
+    kept under its own name, and the predictions are exploded at the end: the
+    rows are scanned once however many models there are."""
+    held = [c for c in keep if c in df.columns] + ([label] if label and label in df.columns else [])
+    inputs, scored = df.columns, df
+    for i, model in enumerate(models.values()):
+        scored = model.transform(scored).select(*inputs, *[f"_p{k}" for k in range(i)],
+                                                F.col("prediction").cast("double").alias(f"_p{i}"))
+    each = F.explode(F.array(*[F.struct(F.lit(name).alias("m"), F.col(f"_p{i}").alias("p"))
+                               for i, name in enumerate(models)])).alias("_s")
+    keys = [c for c in held if c != label]
+    return scored.select(*held, each).select(*keys, F.col("_s.m").alias(MODEL), *[c for c in held if c == label],
+                                             F.col("_s.p").alias("prediction"))
 
 
 # -- stand-in predictors ------------------------------------------------------

@@ -9,11 +9,12 @@ from __future__ import annotations
 
 import datetime as _dt
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.calendar import season_name
-from ..schema import BASELINE_YEARS, CLIMATOLOGY_YEARS, SEASON_NAMES
+from ..schema import (BASELINE_YEARS, CLIMATOLOGY_YEARS, CORRUPT_COLUMN, FEATURES, KEY_COLUMNS,
+                      SEASON_NAMES, TRAILING_COLUMN)
 from .cleaning import complete, model_rows_condition, prepare_observations
 from .sampling import hash_split
 from .windows import trailing_mean
@@ -43,7 +44,7 @@ def between_years(df: DataFrame, lo: int | None = None, hi: int | None = None,
 
 def yearly_mean(obs: DataFrame, value: str = "TAVG", out: str = "AVG_TAVG") -> DataFrame:
     """A1: mean by YEAR."""
-    return obs.groupBy("YEAR").agg(F.avg(value).alias(out)).orderBy("YEAR")
+    return obs.groupBy("YEAR").agg(F.avg(value).alias(out))
 
 
 def monthly_mean(obs: DataFrame, value: str = "TAVG", out: str = "AVG_TAVG") -> DataFrame:
@@ -58,8 +59,9 @@ def season_range(obs: DataFrame) -> DataFrame:
     seasons = spark.range(len(SEASON_NAMES)).select(F.col("id").cast("int").alias("SEASON"))
     agg = obs.groupBy("SEASON").agg(F.avg("TEMP_RANGE").alias("AVG_RANGE"),
                                     F.count(F.lit(1)).alias("N_ROWS"))
-    # the season list has exactly four rows: broadcasting it is bounded
-    return (F.broadcast(seasons).join(agg, "SEASON", "left")
+    # at most one aggregate row per season code: broadcasting it is bounded, and
+    # the broadcast side of a left join has to be the right one
+    return (seasons.join(F.broadcast(agg), "SEASON", "left")
             .select("SEASON", season_name("SEASON").alias("SEASON_NAME"), "AVG_RANGE",
                     F.coalesce("N_ROWS", F.lit(0)).alias("N_ROWS"))
             .orderBy("SEASON"))
@@ -93,7 +95,7 @@ def yearly_mean_since(obs: DataFrame, start: int, value: str = "TAVG",
                       out: str = "AVG_TEMP", by=()) -> DataFrame:
     """Yearly mean from ``start`` on (optionally per group)."""
     return (between_years(obs, lo=start).groupBy(*by, "YEAR")
-            .agg(F.avg(value).alias(out)).orderBy(*by, "YEAR"))
+            .agg(F.avg(value).alias(out)))
 
 
 def value_stats(obs: DataFrame, value: str = "TAVG") -> DataFrame:
@@ -137,35 +139,44 @@ def overview_report(obs: DataFrame, approximate: bool = False) -> DataFrame:
     return wide.selectExpr(f"stack({len(_OVERVIEW_ITEMS)}, {pairs}) AS (SECTION, ITEM, VALUE)")
 
 
-def row_accounting(raw: DataFrame, *, window_strategy: str = "auto") -> DataFrame:
-    """Rows read, kept by cleaning, usable for the model, train, test.
+def row_accounting(raw: DataFrame) -> DataFrame:
+    """Rows read, kept by cleaning, usable for the model, train and test
+    and, where the reader kept them, rows that failed to parse (CORRUPT_ROWS).
 
-    One pass over the source. Instead of filtering, rows are flagged CLEAN
-    and the trailing mean runs per (STATION, CLEAN): the clean rows see
-    exactly the windows they would see after the filter, and the other rows
-    are counted without being dropped.
+    Partial counts over the rows, without a window: a clean row always has a
+    trailing mean, and that mean is NaN only within reach of a NaN reading.
+    The rows this concerns are taken off by a second count that runs the
+    window over the stations with a NaN TAVG alone, usually none.
     """
     flagged = prepare_observations(raw.withColumn("CLEAN", complete()), keep_incomplete=True)
-    feats = trailing_mean(flagged, "TAVG", "DATE", by=["STATION", "CLEAN"], strategy=window_strategy)
-    usable = F.col("CLEAN") & model_rows_condition()
-    tagged = hash_split(feats)
-    return tagged.agg(
-        F.count(F.lit(1)).alias("RAW_ROWS"),
-        F.count(F.when(F.col("CLEAN"), 1)).alias("CLEAN_ROWS"),
-        F.count(F.when(usable, 1)).alias("MODEL_ROWS"),
-        F.count(F.when(usable & F.col("IS_TRAIN"), 1)).alias("TRAIN_ROWS"),
-        F.count(F.when(usable & ~F.col("IS_TRAIN"), 1)).alias("TEST_ROWS"))
+    ready = model_rows_condition([c for c in FEATURES if c != TRAILING_COLUMN])
+    usable, train = F.col("CLEAN") & ready, F.col("IS_TRAIN")
+    corrupt = [F.count(CORRUPT_COLUMN).alias("CORRUPT_ROWS")] if CORRUPT_COLUMN in raw.columns else []
+    counts = hash_split(flagged).agg(
+        F.count(F.lit(1)).alias("RAW_ROWS"), F.count(F.when(F.col("CLEAN"), 1)).alias("CLEAN_ROWS"),
+        F.count(F.when(usable, 1)).alias("_usable"), F.count(F.when(usable & train, 1)).alias("_train"), *corrupt)
+    clean = prepare_observations(raw).select(*KEY_COLUMNS, *[c for c in FEATURES if c != TRAILING_COLUMN], "TAVG")
+    stations = clean.filter(F.isnan("TAVG")).select(F.col("STATION").alias("_s")).distinct()
+    reached = trailing_mean(clean.join(stations, clean["STATION"].eqNullSafe(stations["_s"]), "left_semi"),
+                            "TAVG", "DATE", by=["STATION"])
+    spoiled = hash_split(reached.filter(ready & F.isnan(TRAILING_COLUMN))).agg(
+        F.count(F.lit(1)).alias("_spoiled"), F.count(F.when(train, 1)).alias("_spoiled_train"))
+    model = F.col("_usable") - F.col("_spoiled")
+    fit = F.col("_train") - F.col("_spoiled_train")
+    # both sides are single rows
+    return counts.crossJoin(F.broadcast(spoiled)).select(
+        "RAW_ROWS", "CLEAN_ROWS", model.alias("MODEL_ROWS"), fit.alias("TRAIN_ROWS"),
+        (model - fit).alias("TEST_ROWS"), *(["CORRUPT_ROWS"] if corrupt else []))
 
 
 # -- recent baseline and climatology ----------------------------------------
 #
 # Both look back from the last year in the data. The reference runs one
-# query for the max year and one per future month. Here the data is reduced
-# once to partial sums per (group, YEAR, MONTH) (at most 12 rows per group
-# and year), and the max year, the look-back filters and the means all work
-# on that table in one chain. One chain matters: two branches that need
-# different columns get different plans, and Spark would then read and
-# shuffle the source once per branch.
+# query for the max year and one per future month. Here the last year is a
+# scalar subquery over the cleaned rows (it reads the critical columns only),
+# the look-back is a DATE range on it, and on data landed by year the same
+# range on OBS_YEAR, so older partitions are never read; the rows left are
+# reduced once to partial sums per (group, YEAR, MONTH).
 
 BASELINE_COLS = ["LATITUDE", "LONGITUDE", "ELEVATION", "PRCP", "TAVG"]
 CLIMATE_COLS = ["TMAX", "TMIN", "TAVG"]
@@ -180,20 +191,15 @@ def monthly_partials(obs: DataFrame, by=(), cols=_MEAN_COLS) -> DataFrame:
     return obs.groupBy(*by, "YEAR", "MONTH").agg(*aggs)
 
 
-def partials_with_max_year(obs: DataFrame, by=(), cols=_MEAN_COLS) -> DataFrame:
-    """Monthly partials plus MAX_YEAR, the last year of the whole data set.
-
-    With no group key the partials have at most 12 rows per year, so the
-    max is a window over that bounded table and nothing reads the source
-    twice. With a group key the partials grow with the groups; the max then
-    comes from a one-column aggregate of the source, a single broadcast row.
-    """
-    by = list(by)
-    partials = monthly_partials(obs, by, cols)
-    if not by:
-        return partials.withColumn("MAX_YEAR", F.max("YEAR").over(Window.partitionBy()))
-    top = obs.agg(F.max("YEAR").alias("MAX_YEAR"))
-    return partials.crossJoin(F.broadcast(top))
+def partials_with_max_year(obs: DataFrame, by=(), cols=_MEAN_COLS,
+                           years: int = CLIMATOLOGY_YEARS) -> DataFrame:
+    """Monthly partials of the years MAX_YEAR - years .. MAX_YEAR, plus MAX_YEAR,
+    the last year of the whole data set."""
+    top = obs.agg(F.max("YEAR")).scalar()
+    recent = obs.filter(F.col("DATE") >= F.make_date(top - years, F.lit(1), F.lit(1)))
+    if "OBS_YEAR" in obs.columns:
+        recent = recent.filter(F.col("OBS_YEAR") >= top - years)
+    return monthly_partials(recent, by, cols).withColumn("MAX_YEAR", top)
 
 
 def _ratio(s, n):
@@ -206,7 +212,7 @@ def _since(years: int):
 
 def recent_baseline(obs: DataFrame, years: int = BASELINE_YEARS, by=()) -> DataFrame:
     """Mean location, precipitation and TAVG over YEAR >= max_year - years."""
-    p = partials_with_max_year(obs, by, BASELINE_COLS).filter(_since(years))
+    p = partials_with_max_year(obs, by, BASELINE_COLS, years).filter(_since(years))
     return p.groupBy(*by, "MAX_YEAR").agg(
         _ratio(F.sum("S_LATITUDE"), F.sum("N_LATITUDE")).alias("LAT"),
         _ratio(F.sum("S_LONGITUDE"), F.sum("N_LONGITUDE")).alias("LON"),
@@ -218,7 +224,7 @@ def recent_baseline(obs: DataFrame, years: int = BASELINE_YEARS, by=()) -> DataF
 
 def climatology(obs: DataFrame, years: int = CLIMATOLOGY_YEARS, by=()) -> DataFrame:
     """Per-month mean TMAX, TMIN, TAVG over YEAR >= max_year - years."""
-    p = partials_with_max_year(obs, by, CLIMATE_COLS).filter(_since(years))
+    p = partials_with_max_year(obs, by, CLIMATE_COLS, years).filter(_since(years))
     return p.groupBy(*by, "MONTH").agg(
         _ratio(F.sum("S_TMAX"), F.sum("N_TMAX")).alias("AVG_TMAX"),
         _ratio(F.sum("S_TMIN"), F.sum("N_TMIN")).alias("AVG_TMIN"),
@@ -232,7 +238,7 @@ def lookback_by_group(obs: DataFrame, by=(), baseline_years: int = BASELINE_YEAR
     means, N_BASELINE and MONTHS, a map month -> (AVG_TMAX, AVG_TMIN,
     AVG_TAVG) over the climatology years (at most 12 entries). Built in one
     chain from the monthly partials."""
-    p = partials_with_max_year(obs, by, _MEAN_COLS)
+    p = partials_with_max_year(obs, by, _MEAN_COLS, max(baseline_years, climatology_years))
     rb, rc = _since(baseline_years), _since(climatology_years)
     aggs = []
     for c in BASELINE_COLS:
@@ -256,6 +262,17 @@ def lookback_by_group(obs: DataFrame, by=(), baseline_years: int = BASELINE_YEAR
             lambda e: e["m"].isNotNull())).alias("MONTHS"))
 
 
+def lookback_coverage(obs: DataFrame, by, years: int = BASELINE_YEARS) -> DataFrame:
+    """Groups in the data, with and without rows in the baseline years: a group
+    without any gets no forecast (FC6), and this says how many there are."""
+    by = list(by)
+    top = obs.agg(F.max("YEAR")).scalar()
+    last = obs.groupBy(*by).agg(F.max("YEAR").alias("_last")).withColumn("_top", top)
+    recent = F.col("_last") >= F.col("_top") - years
+    return last.agg(F.count(F.lit(1)).alias("N_GROUPS"), F.count(F.when(recent, 1)).alias("N_RECENT"),
+                    F.count(F.when(~recent, 1)).alias("N_WITHOUT_RECENT"))
+
+
 def rollup_all(obs: DataFrame) -> DataFrame:
     """A1-A7 and the grand total in one pass with GROUPING SETS.
 
@@ -274,8 +291,3 @@ def rollup_all(obs: DataFrame) -> DataFrame:
         F.avg("TEMP_RANGE").alias("AVG_RANGE"),
         F.max("TMAX").alias("MAX_TMAX"),
         F.sum("PRCP").alias("SUM_PRCP"))
-
-
-def season_list(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame([(i, n) for i, n in enumerate(SEASON_NAMES)],
-                                 "SEASON int, SEASON_NAME string")

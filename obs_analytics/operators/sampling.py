@@ -34,10 +34,3 @@ def hash_split(df: DataFrame, train_fraction: float = TRAIN_FRACTION, keys=KEY_C
                seed: int = SEED, out: str = "IS_TRAIN") -> DataFrame:
     """SA2: tag each row train (True) or test; disjoint and complete."""
     return df.withColumn(out, hash_unit(keys, f"split:{seed}") < F.lit(float(train_fraction)))
-
-
-def train_test(df: DataFrame, train_fraction: float = TRAIN_FRACTION, keys=KEY_COLUMNS,
-               seed: int = SEED) -> tuple[DataFrame, DataFrame]:
-    tagged = hash_split(df, train_fraction, keys, seed)
-    return (tagged.filter("IS_TRAIN").drop("IS_TRAIN"),
-            tagged.filter(~F.col("IS_TRAIN")).drop("IS_TRAIN"))

@@ -17,14 +17,15 @@ Two physical strategies give the same numbers:
   station holding a third of the data, or the ungrouped global sequence,
   spreads over many tasks.
 
-  It costs a second shuffle of the rows, so ``auto`` (the default) picks
-  it only for a group key whose largest group is over a bound, or for the
-  ungrouped sequence.
+  It is the default, grouped or not: nothing is measured while a plan is
+  built, and no plan depends on the size of the data.
 
   The rank needs no sort of a whole group either: rows are bucketed by
-  ``bucket_days`` of the order date, per-(group, bucket) counts (a small
-  partial aggregate) give each bucket's starting offset by a running sum,
-  and a row_number inside the (group, bucket) completes the rank.
+  ``bucket_days`` of the order date and, without a group key, by the first
+  characters of the tie-break, so that one busy day is not one task.
+  Per-(group, bucket) counts (a small partial aggregate) give each bucket's
+  starting offset by a running sum, and a row_number inside the (group,
+  bucket) completes the rank.
 """
 
 from __future__ import annotations
@@ -51,55 +52,51 @@ def _group_keys(df: DataFrame, by: list[str]) -> tuple[DataFrame, list[str]]:
 
 
 def row_rank(df: DataFrame, order: str, by=(), tiebreak=(), *, bucket_days: int | None = None,
-             out: str = "_tm_rank") -> DataFrame:
+             tie_chars: int = 6, out: str = "_tm_rank") -> DataFrame:
     """Exact 0-based rank of each row in its group by (order, tie-break),
     computed without sorting a whole group in one task (see module doc).
 
     ``order`` must be a date column. ``bucket_days`` defaults to 1 with no
-    group key (one bucket per day) and 366 with one.
+    group key (one bucket per day) and 366 with one. Without a group key and
+    with one-day buckets a day is cut further by the first ``tie_chars``
+    characters of the first tie-break column (a string), which orders as the
+    column does; rows without a date get one such bucket per prefix too.
     """
-    by = list(by)
+    by, tiebreak = list(by), list(tiebreak)
     if bucket_days is None:
         bucket_days = 366 if by else 1
     keyed, keys = _group_keys(df, by)
     # rows with no order value sort first, as in Spark's ascending order
     bucket = F.coalesce(F.floor(F.unix_date(F.col(order)) / bucket_days),
                         F.lit(-(2 ** 62)).cast("long"))
-    tagged = keyed.withColumn("_tm_bucket", bucket)
-    counts = tagged.groupBy(*keys, "_tm_bucket").agg(F.count(F.lit(1)).alias("_tm_n"))
-    before = Window.partitionBy(*keys).orderBy("_tm_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (counts.withColumn("_tm_offset", F.coalesce(F.sum("_tm_n").over(before), F.lit(0)))
-               .drop("_tm_n"))
+    cut = bucket_days == 1 and not by and tiebreak and dict(df.dtypes)[tiebreak[0]] == "string"
+    # null sorts before every string: a leading space-free mark keeps it first
+    tie = (F.when(F.col(tiebreak[0]).isNull(), F.lit("0")).otherwise(
+        F.concat(F.lit("1"), F.left(F.col(tiebreak[0]), F.lit(tie_chars)))) if cut else F.lit(""))
+    tagged = keyed.withColumn("_tm_bucket", bucket).withColumn("_tm_tie", tie)
+    parts = ["_tm_bucket", "_tm_tie"] if cut else ["_tm_bucket"]
+    counts = tagged.groupBy(*keys, *parts).agg(F.count(F.lit(1)).alias("_tm_n"))
+    if cut:
+        # offsets inside a day from the day's own prefixes, offsets of days from
+        # one row per day: no window holds all (day, prefix) rows
+        days = counts.groupBy("_tm_bucket").agg(F.sum("_tm_n").alias("_tm_n"))
+        earlier = Window.partitionBy().orderBy("_tm_bucket").rowsBetween(Window.unboundedPreceding, -1)
+        days = days.select("_tm_bucket", F.coalesce(F.sum("_tm_n").over(earlier), F.lit(0)).alias("_tm_day"))
+        within = Window.partitionBy("_tm_bucket").orderBy("_tm_tie").rowsBetween(Window.unboundedPreceding, -1)
+        offsets = (counts.withColumn("_tm_in", F.coalesce(F.sum("_tm_n").over(within), F.lit(0)))
+                   .join(days, "_tm_bucket")
+                   .select(*parts, (F.col("_tm_day") + F.col("_tm_in")).alias("_tm_offset")))
+    else:
+        before = Window.partitionBy(*keys).orderBy("_tm_bucket").rowsBetween(Window.unboundedPreceding, -1)
+        offsets = (counts.withColumn("_tm_offset", F.coalesce(F.sum("_tm_n").over(before), F.lit(0)))
+                   .drop("_tm_n"))
     # offsets has one row per (group, bucket): small next to the data, and
     # left to AQE to broadcast when its measured size allows. Joined on the
     # same keys the rank window partitions by, so one shuffle serves both.
-    ranked = tagged.join(offsets, keys + ["_tm_bucket"])
-    inside = Window.partitionBy(*keys, "_tm_bucket").orderBy(order, *tiebreak)
+    ranked = tagged.join(offsets, keys + parts)
+    inside = Window.partitionBy(*keys, *parts).orderBy(order, *tiebreak)
     ranked = ranked.withColumn(out, F.col("_tm_offset") + F.row_number().over(inside) - 1)
-    return ranked.drop("_tm_offset", "_tm_bucket", *keys)
-
-
-_GROUP_SIZE_MEMO: dict[tuple, int] = {}
-
-
-def max_group_rows(df: DataFrame, by) -> int:
-    """Rows in the largest group: one small aggregate (a partial count per
-    task, then one row per group)."""
-    by = list(by)
-    if not by:
-        return df.count()
-    top = df.groupBy(*by).count().agg(F.max("count")).first()[0]
-    return int(top or 0)
-
-
-def _largest_group(df: DataFrame, by: list[str]) -> int:
-    # Remembered per session and plan: the answer only picks between two
-    # strategies that give the same rows, so a stale value can cost time
-    # but never change a result.
-    key = (df.sparkSession.sparkContext.applicationId, df.semanticHash(), tuple(by))
-    if key not in _GROUP_SIZE_MEMO:
-        _GROUP_SIZE_MEMO[key] = max_group_rows(df, by)
-    return _GROUP_SIZE_MEMO[key]
+    return ranked.drop("_tm_offset", "_tm_bucket", "_tm_tie", *keys)
 
 
 def _rows_frame_blocked(df: DataFrame, agg: Column, order: str, by, tiebreak, rows: int,
@@ -121,9 +118,8 @@ def _rows_frame_blocked(df: DataFrame, agg: Column, order: str, by, tiebreak, ro
 
 def trailing_mean(df: DataFrame, value: str = "TAVG", order: str = "DATE", by=("STATION",),
                   tiebreak=(), *, rows: int = TRAILING_ROWS, out: str = TRAILING_COLUMN,
-                  strategy: str = "auto", bucket_days: int | None = None,
-                  block_rows: int = 4096, max_partition_rows: int = 2_000_000,
-                  exclude_current: bool = False) -> DataFrame:
+                  strategy: str = "blocked", bucket_days: int | None = None,
+                  block_rows: int = 4096, exclude_current: bool = False) -> DataFrame:
     """Mean of ``value`` over the current row and the ``rows`` rows before it.
 
     W1 is ``by=("STATION",)``; W2, the reference's literal ungrouped form,
@@ -134,17 +130,11 @@ def trailing_mean(df: DataFrame, value: str = "TAVG", order: str = "DATE", by=("
     ``exclude_current`` drops the current row from the frame (rows -30..-1):
     the reference includes it, which leaks the label into this feature.
 
-    ``auto`` measures the largest group first (one small aggregate) and
-    takes ``partition`` only when every group has at most
-    ``max_partition_rows`` rows; a hot group, or no group key at all, takes
-    ``blocked``.
+    ``partition`` (one task per group) is used only when the caller names it.
     """
     by, tiebreak = list(by), list(tiebreak)
     agg = F.avg(value)
     last = -1 if exclude_current else 0
-    if strategy == "auto":
-        small = bool(by) and _largest_group(df, by) <= max_partition_rows
-        strategy = "partition" if small else "blocked"
     if strategy == "partition":
         w = Window.partitionBy(*by).orderBy(order, *tiebreak).rowsBetween(-rows, last)
         return df.withColumn(out, agg.over(w))

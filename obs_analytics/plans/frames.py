@@ -1,15 +1,14 @@
 """The shared frames of the job, built from a source of raw observations.
 
 ``Frames`` builds plans only: raw -> cleaned observations -> features with
-the trailing mean -> model rows -> keyed split. ``persist`` pins the two
-frames that every later result reads, for a job that runs many queries.
+the trailing mean -> model rows -> keyed split. Nothing is pinned: a job of
+many queries lands its observations first, so that each reads a pruned scan.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -21,26 +20,17 @@ from ..operators.windows import trailing_mean
 @dataclass
 class Frames:
     raw: DataFrame
-    window_strategy: str = "auto"
-    _obs: DataFrame | None = None
-    _features: DataFrame | None = None
-    _pinned: bool = False
+    window_strategy: str = "blocked"
 
     @property
     def obs(self) -> DataFrame:
         """Cleaned, featured and imputed rows, without the trailing mean."""
-        return self._obs if self._obs is not None else prepare_observations(self.raw)
+        return prepare_observations(self.raw)
 
     @property
     def features(self) -> DataFrame:
         """obs plus TAVG_30DAY_AVG per station."""
-        if self._features is not None:
-            return self._features
-        feats = trailing_mean(self.obs, "TAVG", "DATE", by=["STATION"], strategy=self.window_strategy)
-        if self._pinned:  # built on first use only, then kept
-            self._features = feats.persist(StorageLevel.MEMORY_AND_DISK)
-            return self._features
-        return feats
+        return trailing_mean(self.obs, "TAVG", "DATE", by=["STATION"], strategy=self.window_strategy)
 
     @property
     def model_rows(self) -> DataFrame:
@@ -57,14 +47,3 @@ class Frames:
     @property
     def test(self) -> DataFrame:
         return self.split.filter(~F.col("IS_TRAIN")).drop("IS_TRAIN")
-
-    def persist(self) -> "Frames":
-        """Pin obs now and features on first use (memory, spilling to disk).
-        Lost blocks are recomputed from lineage, so this only saves work."""
-        obs = prepare_observations(self.raw).persist(StorageLevel.MEMORY_AND_DISK)
-        return Frames(self.raw, self.window_strategy, obs, None, True)
-
-    def unpersist(self) -> None:
-        for df in (self._obs, self._features):
-            if df is not None:
-                df.unpersist()

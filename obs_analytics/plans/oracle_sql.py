@@ -138,10 +138,11 @@ _cte("class_metrics", ["per_class"], """
   FROM per_class GROUP BY MODEL""")
 
 _cte("reg_metrics", ["scored"], f"""
-  SELECT MODEL, N_ROWS, sqrt(MSE) AS RMSE, MSE, MAE, R2,
+  SELECT MODEL, N_ROWS, N_SKIPPED, sqrt(MSE) AS RMSE, MSE, MAE, R2,
          1 - (1 - R2) * cast(N_ROWS - 1 AS double) / nullif(cast(N_ROWS - {len(FEATURES)} - 1 AS double), 0) AS ADJ_R2,
          MAPE, TOLERANCE_ACCURACY
-  FROM (SELECT MODEL, count(*) AS N_ROWS,
+  FROM (SELECT MODEL, count(*) FILTER (WHERE TAVG IS NOT NULL AND prediction IS NOT NULL) AS N_ROWS,
+               count(*) FILTER (WHERE TAVG IS NULL OR prediction IS NULL) AS N_SKIPPED,
                avg((TAVG - prediction) * (TAVG - prediction)) AS MSE,
                avg(abs(TAVG - prediction)) AS MAE,
                CASE WHEN var_pop(TAVG) = 0

@@ -8,9 +8,11 @@ summation order in the two engines cannot change the comparison.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -20,8 +22,10 @@ from ..functions.classes import class_label, value_class
 from ..operators import cleaning, distributions, forecasting, metrics, rollups, trends, windows
 from ..operators.modeling import STANDIN_NAMES, fit_feature_stages, midrange_predictor, standin_scores
 from ..operators.sampling import hash_sample
-from ..schema import (CRITICAL_COLUMNS, FEATURES, MODEL_NAMES, PRECIP_COLUMN,
+from ..schema import (CRITICAL_COLUMNS, FEATURES, LR_PARAMS, MODEL_NAMES, PRECIP_COLUMN,
                       RECENT_TREND_START, TEMPERATURE_COLUMNS, TREND_START)
+from ..session import ensure_checkpoint_dir
+from ..sources.observations import land_observations, read_landed
 from ..sources.testdata import raw_observations
 from .frames import Frames
 from .oracle_sql import hash_unit_sql, rounded, value_class_sql, with_ctes
@@ -33,6 +37,10 @@ Builder = Callable[[SparkSession, str], DataFrame]
 # the library defaults are the reference's 1980 / 2000.
 TEST_EARLY_END, TEST_LATE_START = 1996, 2000
 
+# Allowed gap in the linear model's optimality condition, in label deviations:
+# the iterative fit stops at a relative tolerance.
+OPTIMALITY_TOLERANCE = 1e-3
+
 
 @dataclass
 class Query:
@@ -75,6 +83,14 @@ def trained(spark: SparkSession, sf_dir: str) -> TrainedModels:
     return _TRAINED[key]
 
 
+def forget_trained() -> None:
+    """Release the fitted models and their pinned rows; the next query that
+    needs them fits again."""
+    for models in _TRAINED.values():
+        models.release()
+    _TRAINED.clear()
+
+
 RAW_DOUBLES = "LATITUDE LONGITUDE ELEVATION PRCP TMAX TMIN TAVG"
 _KEY = 'STATION, "DATE"'
 
@@ -642,5 +658,118 @@ def _q(spark, d):
 
 @register("model_report")
 def _q(spark, d):
-    cmp, best = _best_trained(spark, d)
-    return (metrics.model_grades(cmp).join(best.select(F.col("BEST_MODEL").alias("MODEL")), "MODEL"))
+    return metrics.model_report(metrics.model_comparison(trained(spark, d).scored(), MODEL_NAMES))
+
+
+@register("model_report_standin", with_ctes("comparison") + """
+SELECT MODEL, RMSE, MAE, R2, ADJ_R2, MAPE, ACCURACY, "PRECISION", RECALL, F1, TOLERANCE_ACCURACY,
+       CASE WHEN R2 > 0.95 THEN 'Excellent' WHEN R2 > 0.90 THEN 'Very good'
+            WHEN R2 > 0.80 THEN 'Good' ELSE 'Moderate' END AS R2_GRADE,
+       CASE WHEN ACCURACY > 0.90 THEN 'Excellent' WHEN ACCURACY > 0.80 THEN 'Good'
+            ELSE 'Moderate' END AS ACCURACY_GRADE,
+       CASE WHEN F1 > 0.90 THEN 'Excellent' WHEN F1 > 0.80 THEN 'Good' ELSE 'Moderate' END AS F1_GRADE,
+       CASE WHEN MAPE < 5 THEN 'High' WHEN MAPE < 10 THEN 'Good' ELSE 'Acceptable' END AS MAPE_GRADE
+FROM comparison ORDER BY R2 DESC NULLS LAST, MODEL_ORDER LIMIT 1""",
+          "RMSE MAE R2 ADJ_R2 MAPE ACCURACY PRECISION RECALL F1 TOLERANCE_ACCURACY")
+def _q(spark, d):
+    return metrics.model_report(metrics.model_comparison(_standin_scored(spark, d), STANDIN_NAMES))
+
+
+# -- checks of the trained path that SQL can express ------------------------------------
+
+_MODELS_SQL = "(VALUES " + ", ".join(f"('{m}')" for m in MODEL_NAMES) + ") m(MODEL)"
+
+
+@register("scored_trained", with_ctes("split") + f"""
+SELECT {_KEY}, MODEL, TAVG, TRUE AS HAS_PREDICTION FROM split CROSS JOIN {_MODELS_SQL}
+WHERE NOT IS_TRAIN""", "TAVG")
+def _q(spark, d):
+    """One finite prediction per test row and model."""
+    p = F.col("prediction")
+    return trained(spark, d).scored().select("STATION", "DATE", "MODEL", "TAVG",
+                                             (p.isNotNull() & ~F.isnan(p)).alias("HAS_PREDICTION"))
+
+
+@register("forecast_inputs_trained", with_ctes("grid") + f"""
+SELECT *, TRUE AS HAS_PREDICTION FROM grid
+WHERE {" AND ".join(f'"{c}" IS NOT NULL' for c in FEATURES)}""", _GRID_DOUBLES)
+def _q(spark, d):
+    """FC2: the rows and features that the best model scored."""
+    p = F.col("prediction")
+    grid = forecasting.forecast_grid(frames(spark, d).obs)
+    return (forecasting.forecast(grid, _best_pipeline(spark, d))
+            .withColumn("HAS_PREDICTION", p.isNotNull() & ~F.isnan(p)).drop("prediction"))
+
+
+@register("models_beat_mean", with_ctes("split") + f"""
+SELECT MODEL, N_ROWS, BASE_RMSE, TRUE AS BEATS_MEAN
+FROM (SELECT count(*) AS N_ROWS, sqrt(avg((TAVG - base) * (TAVG - base))) AS BASE_RMSE
+      FROM split CROSS JOIN (SELECT avg(TAVG) AS base FROM split WHERE IS_TRAIN) b
+      WHERE NOT IS_TRAIN) r CROSS JOIN {_MODELS_SQL}""", "BASE_RMSE")
+def _q(spark, d):
+    """M3-M6: every fitted model has a lower test RMSE than the training mean."""
+    t = trained(spark, d)
+    base = t.frames.train.agg(F.avg("TAVG")).scalar()
+    e, b = F.col("TAVG") - F.col("prediction"), F.col("TAVG") - F.col("base")
+    sums = t.scored().withColumn("base", base).groupBy("MODEL").agg(
+        F.count(F.lit(1)).alias("N_ROWS"), F.sqrt(F.avg(b * b)).alias("BASE_RMSE"), F.sqrt(F.avg(e * e)).alias("rmse"))
+    return sums.select("MODEL", "N_ROWS", "BASE_RMSE", (F.col("rmse") < F.col("BASE_RMSE")).alias("BEATS_MEAN"))
+
+
+@register("linear_optimality", with_ctes("split") + f"""
+SELECT FEATURE, avg(v) AS MEAN, stddev_samp(v) AS STD, TRUE AS OPTIMAL
+FROM (UNPIVOT (SELECT {_UNPIVOT_COLS} FROM split WHERE IS_TRAIN)
+      ON {", ".join(f'"{c}"' for c in FEATURES)} INTO NAME FEATURE VALUE v) u
+GROUP BY FEATURE""", "MEAN STD")
+def _q(spark, d):
+    """M3: the fitted weights satisfy the elastic net's optimality condition, by
+    feature: mean(x r) = lambda (alpha sign(w) + (1 - alpha) w / sd(y)) for a
+    non-zero weight, |mean(x r)| <= lambda alpha for a zero one."""
+    t = trained(spark, d)
+    model = t.model(MODEL_NAMES[0])
+    lam, alpha = LR_PARAMS["regParam"], LR_PARAMS["elasticNetParam"]
+    rows = model.transform(t.frames.train).select(
+        vector_to_array("scaledFeatures").alias("x"), (F.col("TAVG") - F.col("prediction")).alias("r"), "TAVG")
+    found = rows.agg(F.stddev_samp("TAVG").alias("sd"),
+                     *[F.avg(F.get("x", F.lit(j)) * F.col("r")).alias(f"g{j}") for j in range(len(FEATURES))]).first()
+    scaler, weights = model.stages[1], model.stages[-1].coefficients
+    out = []
+    for j, name in enumerate(FEATURES):
+        w, g = float(weights[j]), found[f"g{j}"]
+        if w:
+            gap = abs(g - lam * (alpha * (1 if w > 0 else -1) + (1 - alpha) * w / found.sd))
+        else:
+            gap = max(0.0, abs(g) - lam * alpha)
+        out.append((name, float(scaler.mean[j]), float(scaler.std[j]), gap <= OPTIMALITY_TOLERANCE * found.sd))
+    return spark.createDataFrame(out, "FEATURE string, MEAN double, STD double, OPTIMAL boolean")
+
+
+# -- coverage and the whole job over a landed table ---------------------------------------
+
+@register("forecast_coverage", with_ctes("obs", "max_year") + """
+SELECT count(*) AS N_GROUPS, count(*) FILTER (WHERE last >= MAX_YEAR - 5) AS N_RECENT,
+       count(*) FILTER (WHERE last < MAX_YEAR - 5) AS N_WITHOUT_RECENT
+FROM (SELECT STATION, max("YEAR") AS last FROM obs GROUP BY STATION) s CROSS JOIN max_year""")
+def _q(spark, d):
+    return rollups.lookback_coverage(frames(spark, d).obs, by=["STATION"])
+
+
+@register("landed_analysis", with_ctes("obs", "yearly_since_1950", "clim") + """
+SELECT 'yearly_mean' AS SECTION, cast("YEAR" AS varchar) AS ITEM, avg(TAVG) AS VALUE FROM obs GROUP BY "YEAR"
+UNION ALL SELECT 'decade_mean', cast("DECADE" AS varchar), avg(TAVG) FROM obs GROUP BY "DECADE"
+UNION ALL SELECT 'yearly_precip', cast("YEAR" AS varchar), sum(PRCP) FROM obs GROUP BY "YEAR"
+UNION ALL SELECT 'climatology', cast("MONTH" AS varchar), AVG_TAVG FROM clim
+UNION ALL SELECT 'trend', 'slope', regr_slope(AVG_TEMP, "YEAR") FROM yearly_since_1950""", "VALUE")
+def _q(spark, d):
+    """Land the observations by year on the shared folder, then summaries
+    over pruned scans of the landed table."""
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/observations-{uuid.uuid4().hex}"
+    land_observations(raw_observations(spark, d), path)
+    obs = Frames(read_landed(spark, path)).obs
+    part = lambda df, section, item, value: df.select(
+        F.lit(section).alias("SECTION"), item.cast("string").alias("ITEM"), F.col(value).cast("double").alias("VALUE"))
+    return (part(rollups.yearly_mean(obs), "yearly_mean", F.col("YEAR"), "AVG_TAVG")
+            .union(part(rollups.decade_mean(obs), "decade_mean", F.col("DECADE"), "AVG_TAVG"))
+            .union(part(rollups.yearly_precip(obs), "yearly_precip", F.col("YEAR"), "ANNUAL_PRECIP"))
+            .union(part(rollups.climatology(obs), "climatology", F.col("MONTH"), "AVG_TAVG"))
+            .union(part(trends.trend_assessment(obs, TREND_START), "trend", F.lit("slope"), "SLOPE")))

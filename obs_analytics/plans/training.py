@@ -12,14 +12,14 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
 
 from ..operators.modeling import fit_feature_stages, regressor, score, training_frame
-from ..schema import FEATURES, LABEL, MODEL_NAMES
+from ..schema import FEATURES, LABEL, MODEL_NAMES, TRAINING_PARTITIONS
 from .frames import Frames
 
 
 class TrainedModels:
     """Lazily fitted feature stages and regressors over one ``Frames``."""
 
-    def __init__(self, frames: Frames, partitions: int | None = None, checkpoint: bool = True):
+    def __init__(self, frames: Frames, partitions: int = TRAINING_PARTITIONS, checkpoint: bool = True):
         self.frames = frames
         self.partitions = partitions
         self.checkpoint = checkpoint
@@ -44,7 +44,7 @@ class TrainedModels:
     def model(self, name: str) -> PipelineModel:
         if name not in self._models:
             self._prepare()
-            fitted = regressor(name, LABEL, self._scaled.sparkSession).fit(self._scaled)
+            fitted = regressor(name, LABEL).fit(self._scaled)
             self._models[name] = PipelineModel(stages=[*self._prep.stages, fitted])
         return self._models[name]
 

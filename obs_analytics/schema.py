@@ -73,4 +73,11 @@ MAPE_GRADES = [(5.0, "High"), (10.0, "Good")]
 
 RAW_SCHEMA = T.StructType([T.StructField(n, t, True) for n, t in RAW_FIELDS])
 KEY_COLUMNS = ["STATION", "DATE"]
+CORRUPT_COLUMN = "_corrupt_record"
 TRAILING_COLUMN = "TAVG_30DAY_AVG"
+
+# Model parameters of our own: the layout of the training rows and the tree
+# learners' budget per task. Both influence the fitted trees, so they are
+# constants and do not follow the cluster's cores or memory.
+TRAINING_PARTITIONS = 32
+TREE_MEMORY_MB = 64

@@ -2,19 +2,34 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..schema import RAW_SCHEMA
+from ..schema import CORRUPT_COLUMN, CRITICAL_COLUMNS, RAW_SCHEMA
+
 
-CORRUPT_COLUMN = "_corrupt_record"
+def file_headers(spark: SparkSession, path: str) -> dict[str, list[str]]:
+    """Header line -> files that start with it. One text scan over the first
+    block of each file picks out the lines that name every critical column;
+    only those lines, one per file, reach the driver (which lists the files
+    anyway)."""
+    line = F.upper(F.col("value"))
+    header = F.lit(True)
+    for name in CRITICAL_COLUMNS:
+        header = header & line.rlike(rf'(^|,)\s*"?{name}"?\s*(,|$)')
+    found = (spark.read.text(path).where(F.col("_metadata.file_block_start") == 0).where(header)
+             .select(F.col("_metadata.file_path").alias("file"), F.trim("value").alias("header")).distinct())
+    out: dict[str, list[str]] = {}
+    for row in found.orderBy("file").collect():
+        out.setdefault(row.header, []).append(row.file)
+    return out
 
 
-def _header_names(spark: SparkSession, path: str) -> list[str]:
-    # Reading with header and no schema only parses the first line.
-    return [c.strip() for c in
-            spark.read.option("header", "true").csv(path).limit(0).columns]
+def _names(header: str) -> list[str]:
+    return [c.strip().strip('"').strip() for c in header.split(",")]
 
 
 def read_observations(spark: SparkSession, path: str, *,
@@ -23,29 +38,44 @@ def read_observations(spark: SparkSession, path: str, *,
                       keep_bad_rows: bool = False,
                       nan_as_null: bool = False,
                       date_format: str = "yyyy-MM-dd") -> DataFrame:
-    """Read observation CSV files with the declared schema.
+    """Read a file or folder of observation CSV files with the declared schema.
 
-    The reference applies the schema by position, so a file whose header
-    lists the same columns in another order loads wrongly without error.
-    Here the header is matched by name first: a reordered file is read in
-    its own order and projected back to the declared one, and a file that
-    lacks a declared column is refused. ``enforceSchema=false`` makes Spark
-    check every file's header against the schema, not only the first.
+    Station files differ in the columns that they carry and in their order.
+    Files are grouped by header; each group is read by its own header, matched
+    by name, and projected to the declared columns, an absent one as null.
+    A folder with a file that names none or only some of the critical columns
+    is refused. ``enforceSchema=false`` makes Spark check every file's header.
 
     ``mode`` is Spark's CSV parse mode; with ``keep_bad_rows`` a
     ``_corrupt_record`` column holds the text of rows that failed to parse
-    (PERMISSIVE mode only). ``nan_as_null`` turns NaN doubles into nulls so
-    that null checks and ``dropna`` agree (they differ on NaN otherwise).
+    (PERMISSIVE mode only), which ``row_accounting`` counts. ``nan_as_null``
+    turns NaN doubles into nulls so that null checks and ``dropna`` agree (they
+    differ on NaN otherwise).
     """
-    header = _header_names(spark, path)
+    groups = file_headers(spark, path)
+    known = {f for files in groups.values() for f in files}
+    listed = {r.path for r in spark.read.format("binaryFile").load(path).select("path").collect()}
+    plain = lambda p: p.split(":", 1)[-1].lstrip("/")  # noqa: E731  file:/x and file:///x are one file
+    odd = sorted({plain(p) for p in listed} - {plain(p) for p in known})
+    if odd or not groups:
+        raise ValueError(f"observation files lack columns of {CRITICAL_COLUMNS} in their header: {odd[:5] or path}")
+    parts = [_read_group(spark, _names(header), files, schema, mode, keep_bad_rows, date_format)
+             for header, files in sorted(groups.items())]
+    df = reduce(DataFrame.unionByName, parts)
+    if nan_as_null:
+        df = df.select(*[F.nanvl(F.col(f.name), F.lit(None).cast("double")).alias(f.name)
+                         if isinstance(f.dataType, T.DoubleType) else F.col(f.name)
+                         for f in df.schema.fields])
+    return df
+
+
+def _read_group(spark: SparkSession, header: list[str], files: list[str], schema: T.StructType,
+                mode: str, keep_bad_rows: bool, date_format: str) -> DataFrame:
+    """The files of one header, as the declared columns."""
     wanted = {f.name.upper(): f for f in schema.fields}
-    missing = [n for n in wanted if n not in {h.upper() for h in header}]
-    if missing:
-        raise ValueError(f"observation file lacks columns {missing}; header: {header}")
-    file_fields = [T.StructField(wanted[h.upper()].name, wanted[h.upper()].dataType, True)
-                   if h.upper() in wanted else T.StructField(h, T.StringType(), True)
-                   for h in header]
-    read_schema = T.StructType(file_fields)
+    read_schema = T.StructType([
+        T.StructField(wanted[h.upper()].name, wanted[h.upper()].dataType, True)
+        if h.upper() in wanted else T.StructField(h, T.StringType(), True) for h in header])
     if keep_bad_rows:
         read_schema = read_schema.add(CORRUPT_COLUMN, T.StringType(), True)
     df = (spark.read
@@ -57,30 +87,35 @@ def read_observations(spark: SparkSession, path: str, *,
           .option("dateFormat", date_format)
           .option("columnNameOfCorruptRecord", CORRUPT_COLUMN)
           .schema(read_schema)
-          .csv(path))
-    cols = [F.col(f.name) for f in schema.fields]
-    if nan_as_null:
-        cols = [F.nanvl(F.col(f.name), F.lit(None).cast("double")).alias(f.name)
-                if isinstance(f.dataType, T.DoubleType) else F.col(f.name)
-                for f in schema.fields]
-    if keep_bad_rows:
-        cols.append(F.col(CORRUPT_COLUMN))
-    return df.select(*cols)
+          .csv(files))
+    held = {h.upper() for h in header}
+    cols = [F.col(f.name) if f.name.upper() in held else F.lit(None).cast(f.dataType).alias(f.name)
+            for f in schema.fields]
+    return df.select(*cols, *([F.col(CORRUPT_COLUMN)] if keep_bad_rows else []))
 
 
-def land_observations(df: DataFrame, path: str, mode: str = "overwrite") -> None:
+def land_observations(df: DataFrame, path: str, mode: str = "replace_years") -> None:
     """Write observations as Parquet partitioned by year.
 
+    ``replace_years`` (the default) replaces the years that ``df`` holds and
+    leaves the others as they are; ``append`` adds rows, ``overwrite`` replaces
+    the whole table, ``errorifexists`` refuses to touch one.
+
     Year partitions let the year-range filters of the roll-ups and the
     forecast prune whole directories. Range partitioning on (year, station)
     gives each task a contiguous slice, so a task writes one or two files
     rather than one per year it happens to hold, and rows come out sorted
     by station and date for the per-station windows.
     """
-    (df.withColumn("OBS_YEAR", F.year("DATE"))
-       .repartitionByRange("OBS_YEAR", "STATION", "DATE")
-       .sortWithinPartitions("OBS_YEAR", "STATION", "DATE")
-       .write.mode(mode).partitionBy("OBS_YEAR").parquet(path))
+    writer = (df.withColumn("OBS_YEAR", F.year("DATE"))
+              .repartitionByRange("OBS_YEAR", "STATION", "DATE")
+              .sortWithinPartitions("OBS_YEAR", "STATION", "DATE")
+              .write.partitionBy("OBS_YEAR"))
+    if mode == "replace_years":
+        writer = writer.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    else:
+        writer = writer.mode(mode).option("partitionOverwriteMode", "static")
+    writer.parquet(path)
 
 
 def read_landed(spark: SparkSession, path: str) -> DataFrame:

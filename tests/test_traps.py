@@ -303,20 +303,6 @@ def test_row_accounting_keeps_incomplete_rows(spark):
     rows = _series(spark, "A", range(50)) + [("A", None, 100.0, None, None, None, 1.0),
                                             ("B", D0, None, None, None, None, 1.0)]
     raw = _raw(spark, rows)
-    for strategy in ["partition", "blocked"]:
-        r = rollups.row_accounting(raw, window_strategy=strategy).first()
-        assert (r.RAW_ROWS, r.CLEAN_ROWS, r.MODEL_ROWS) == (52, 50, 50)
-        assert r.TRAIN_ROWS + r.TEST_ROWS == 50
-
-
-def test_tree_memory_budget():
-    from obs_analytics.operators.modeling import _megabytes
-    assert _megabytes("1g") == 1024 and _megabytes("512m") == 512 and _megabytes("2048k") == 2
-    # a quarter of the heap shared by the task slots, between 16 and 256 MB
-    assert int(max(16, min(256, _megabytes("1g") / 4 / 8))) == 32
-    assert int(max(16, min(256, _megabytes("16g") / 4 / 8))) == 256
-
-
-def test_tree_memory_budget_from_session(spark):
-    from obs_analytics.operators.modeling import tree_memory_mb
-    assert 16 <= tree_memory_mb(spark) <= 256
+    r = rollups.row_accounting(raw).first()
+    assert (r.RAW_ROWS, r.CLEAN_ROWS, r.MODEL_ROWS) == (52, 50, 50)
+    assert r.TRAIN_ROWS + r.TEST_ROWS == 50
