@@ -8,7 +8,8 @@ of word shingles. Documents with equal sets are one class, compared once.
    of the first ``n - ceil(t * n) + 1`` shingles in any common order; the
    unique ones among these match nothing, so most documents are done here.
 2. Classes that share such a shingle, directly or through others, are a
-   cluster (connected components).
+   cluster (connected components). A bitmap of the clusters' members picks the
+   texts whose sets are built again, so no set is stored or moved in vain.
 3. Per cluster, the product of the document by n-gram incidence matrix with
    its transpose is taken in blocks of rows and columns; overlap counts
    accumulate over column blocks, and pairs below the bound that their sizes
@@ -40,6 +41,7 @@ from obs_analytics.llm.graph import components
 
 NONE = (1 << 63) - 1  # node of rows without an id
 ROWS, COLUMNS, FREQUENT = 256, 1 << 14, 64
+CELLS = 1 << 26  # the two bitmaps that go to all tasks are 16 MB each
 
 
 def shingle_sets(texts: pa.Array, width: int) -> tuple[np.ndarray, np.ndarray]:
@@ -119,7 +121,7 @@ def links_in(ids: np.ndarray, sides: np.ndarray, sets: list[np.ndarray], percent
     return _forest(ids[i[ok]], ids[j[ok]])
 
 
-def jaccard_join(docs: DataFrame, *, width: int = 3, percent: int = 90, cells: int = sketch.CELLS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def jaccard_join(docs: DataFrame, *, width: int = 3, percent: int = 90, cells: int = CELLS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per document: doc_id, n_shingles and component_id, the smallest id that
     links reach from it."""
     spark = docs.sparkSession
@@ -142,21 +144,20 @@ def jaccard_join(docs: DataFrame, *, width: int = 3, percent: int = 90, cells: i
                 early = order[arrays.ramp(size) < np.repeat(size - _needed(size, percent) + 1, size)]
                 early = early[again[early]]
                 counts = np.bincount(owner[early], minlength=part.num_rows)
-                kept = [bytes(data[8 * a : 8 * b]) if c else None for a, b, c in zip(ends[:-1], ends[1:], counts, strict=True)]
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0), pa.array(size), pa.array(mark[:, 0]), pa.array(mark[:, 1]), arrays.list_array(pa.array(arrays.signed(hashes[early])), counts), pa.array(kept, pa.binary())],
-                    names=["node", "n", "mark1", "mark2", "early", "shingles"],
+                    [part.column(0), pa.array(size), pa.array(mark[:, 0]), pa.array(mark[:, 1]), arrays.list_array(pa.array(arrays.signed(hashes[early])), counts)],
+                    names=["node", "n", "mark1", "mark2", "early"],
                 )
 
-    signed = table(rows.mapInArrow(signatures, "node long, n long, mark1 long, mark2 long, early array<long>, shingles binary"), "signatures")
+    signed = table(rows.mapInArrow(signatures, "node long, n long, mark1 long, mark2 long, early array<long>"), "signatures")
     own = signed.select("node", "n", "mark1", "mark2")
     classes = own.where("n > 0").groupBy("mark1", "mark2").agg(F.min("node").alias("first"), F.count("*").alias("copies"))
     copied = classes.where("copies > 1").select("mark1", "mark2", "first")
-    firsts = signed.where("shingles is not null").select("node", "mark1", "mark2", "early").join(copied, ["mark1", "mark2"], "left").where("first is null or first = node")
+    firsts = signed.where(F.size("early") > 0).select("node", "mark1", "mark2", "early").join(copied, ["mark1", "mark2"], "left").where("first is null or first = node")
     listed = firsts.select("node", F.explode("early").alias("gram"))
     hubs = listed.groupBy("gram").agg(F.min("node").alias("hub"), F.max("node").alias("other")).where("hub <> other").select("gram", "hub")
     clusters = components(listed.join(hubs, "gram").select(F.col("node").alias("a"), F.col("hub").alias("b")))
-    links = components(block_links(signed.where("shingles is not null").select("node", "n", "shingles"), clusters, percent))
+    links = components(block_links(member_sets(rows, clusters, width, cells), clusters, own.where("n > 0").select("node", "n"), percent))
 
     linked = own.join(copied, ["mark1", "mark2"], "left").select("node", "n", F.when(F.col("n") > 0, F.coalesce("first", "node")).otherwise(F.col("node")).alias("first"))
     result = linked.join(links, linked["first"] == links["node"], "left").select(linked["node"], "n", F.coalesce("component", "first").alias("component"))
@@ -165,13 +166,32 @@ def jaccard_join(docs: DataFrame, *, width: int = 3, percent: int = 90, cells: i
     )
 
 
-def block_links(sets: DataFrame, clusters: DataFrame, percent: int, most: int = ROWS) -> DataFrame:
-    """Links (a, b) within clusters (node, component) of sets (node, n, shingles). A cluster of up to ``most`` classes is one
+def member_sets(rows: DataFrame, clusters: DataFrame, width: int, cells: int) -> DataFrame:
+    """(node, shingles) of the rows (node, text) that are in a cluster; a few
+    others may slip through the bitmap and are left to the join."""
+    spark = rows.sparkSession
+    shared = spark.sparkContext.broadcast(sketch.bitmaps(clusters.select("node"), lambda ids: ids.to_numpy().view(arrays.U64), (1,), cells)[0])
+
+    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            member = sketch.reaches(shared.value, batch.column(0).to_numpy().view(arrays.U64))
+            for part in arrays.slices(batch.filter(pa.array(member)), "text"):
+                hashes, owner = shingle_sets(part.column(1), width)
+                size = np.bincount(owner, minlength=part.num_rows)
+                yield pa.RecordBatch.from_arrays([part.column(0), arrays.binaries(hashes.astype("<u8").tobytes(), 8 * size)], names=["node", "shingles"])
+
+    return rows.mapInArrow(sets, "node long, shingles binary")
+
+
+def block_links(sets: DataFrame, clusters: DataFrame, sizes: DataFrame, percent: int, most: int = ROWS) -> DataFrame:
+    """Links (a, b) within clusters (node, component) of sets (node, shingles)
+    with known sizes (node, n). A cluster of up to ``most`` classes is one
     block; a larger one is cut by size class and hash into blocks of about so
     many, and each pair of blocks that can hold links is one task."""
     step = float(np.log(100 / percent))
-    placed = sets.join(clusters, "node").select("component", "node", "shingles", F.floor(F.log("n") / step).cast("int").alias("q"))
-    cells = clusters.join(sets.select("node", F.floor(F.log("n") / step).cast("int").alias("q")), "node").groupBy("component", "q").agg(F.count("*").alias("held"))
+    placed = clusters.join(sizes.groupBy("node").agg(F.max("n").alias("n"), F.min("n").alias("least")), "node")
+    placed = placed.select("component", "node", F.explode(F.sequence(F.floor(F.log("least") / step).cast("int"), F.floor(F.log("n") / step).cast("int"))).alias("q"))
+    cells = placed.groupBy("component", "q").agg(F.count("*").alias("held"))
     large = cells.groupBy("component").agg(F.sum("held").alias("total"), F.map_from_entries(F.collect_list(F.struct("q", F.ceil(F.col("held") / most).cast("int")))).alias("blocks")).where(F.col("total") > most)
     dealt = placed.join(large.select("component", "blocks"), "component", "left")
     n_blocks = lambda q: F.coalesce(F.try_element_at("blocks", q), F.lit(0))
@@ -184,8 +204,9 @@ def block_links(sets: DataFrame, clusters: DataFrame, percent: int, most: int =
         F.transform(upto(n_blocks(q + 1)), lambda j: unit(q, own, q + 1, j, 0)),
         F.transform(upto(n_blocks(q - 1)), lambda j: unit(q - 1, j, q, own, 1)),
     )
-    tasks = dealt.select("component", "node", "shingles", F.explode(F.when(F.col("blocks").isNull(), F.array(unit(one, one, one, one, 0))).otherwise(units)).alias("unit"))
-    tasks = tasks.select(F.xxhash64("component", "unit.q1", "unit.i", "unit.q2", "unit.j").alias("task"), "unit.side", "node", "shingles")
+    tasks = dealt.select("component", "node", F.explode(F.when(F.col("blocks").isNull(), F.array(unit(one, one, one, one, 0))).otherwise(units)).alias("unit"))
+    tasks = tasks.select(F.xxhash64("component", "unit.q1", "unit.i", "unit.q2", "unit.j").alias("task"), "unit.side", "node").distinct()
+    tasks = tasks.join(sets, "node").select("task", "side", "node", "shingles")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, rows, out = None, [], []

@@ -50,16 +50,17 @@ def _partial(keys: list[np.ndarray], cells: int, block: int, most: int) -> pa.Re
     return pa.RecordBatch.from_arrays([pa.array(blocks, pa.int32()), pa.array(numbers, pa.binary()), pa.array(counts, pa.binary())], names=["block", "cells", "counts"])
 
 
-def bitmaps(texts: DataFrame, keys_of: Callable[[pa.Array], np.ndarray], thresholds: tuple[int, ...], cells: int = CELLS) -> np.ndarray:
+def bitmaps(values: DataFrame, keys_of: Callable[[pa.Array], np.ndarray], thresholds: tuple[int, ...], cells: int = CELLS) -> np.ndarray:
     """For each threshold (at most 255) the packed bits, by row, of the cells
-    that are counted so often or more. ``texts`` has the one column text;
-    ``keys_of`` gives the keys to count for a slice of texts."""
+    that are counted so often or more. ``values`` has one column; ``keys_of``
+    gives the keys to count for a slice of it."""
+    is_text = dict(values.dtypes)[values.columns[0]] == "string"
     block, most = min(BLOCK, cells), max(thresholds)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         waiting, n = [], 0
         for batch in batches:
-            for part in arrays.slices(batch, "text"):
+            for part in arrays.slices(batch, batch.schema.names[0]) if is_text else [batch]:
                 waiting.append(keys_of(part.column(0)))
                 n += len(waiting[-1])
                 if n > FLUSH:
@@ -85,7 +86,7 @@ def bitmaps(texts: DataFrame, keys_of: Callable[[pa.Array], np.ndarray], thresho
         packed = b"".join(np.packbits(total >= t).tobytes() for t in thresholds)
         return pa.RecordBatch.from_arrays([pa.array([b], pa.int32()), pa.array([packed], pa.binary())], names=["block", "bits"])
 
-    partial = texts.mapInArrow(count, "block int, cells binary, counts binary")
+    partial = values.mapInArrow(count, "block int, cells binary, counts binary")
     merged = partial.repartition("block").sortWithinPartitions("block").mapInArrow(merge, "block int, bits binary")
     out = np.zeros((len(thresholds), DEPTH * cells // block, block // 8), np.uint8)
     for row in merged.toLocalIterator():
