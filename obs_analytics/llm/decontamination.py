@@ -105,7 +105,7 @@ def build_index(docs: DataFrame, vocabulary: np.ndarray | None = None, *, id_col
                     names=["doc_ids", "first", "terms", "counts", "positions"],
                 )
 
-    return table(rows.mapInArrow(index, INDEX_SCHEMA), "postings")
+    return table(rows.mapInArrow(index, INDEX_SCHEMA).withColumn("shard", F.monotonically_increasing_id()), "postings")
 
 
 def matches(terms: np.ndarray, counts: np.ndarray, positions: np.ndarray, query: Phrases, first: np.ndarray, slack: int = 0) -> tuple[np.ndarray, np.ndarray]:
@@ -144,7 +144,8 @@ def matches(terms: np.ndarray, counts: np.ndarray, positions: np.ndarray, query:
 
 def search(index: DataFrame, query: Phrases, *, slack: int = 0) -> DataFrame:
     """Per indexed document: doc_id, n_words, ``hits`` (its word positions inside
-    matches, ascending) and ``items`` (ids of the items with matches)."""
+    matches, ascending), ``items`` (ids of the items with matches), and shard
+    and place, which tell rows of the same id apart."""
     shared = index.sparkSession.sparkContext.broadcast(query)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -164,11 +165,11 @@ def search(index: DataFrame, query: Phrases, *, slack: int = 0) -> DataFrame:
                 for d, w in zip(docs, windows, strict=True):
                     items[d] += query.items[w]
                 yield pa.RecordBatch.from_arrays(
-                    [ids, pa.array(np.diff(first)), arrays.list_array(pa.array((hit - first[own]).astype(np.int32)), np.bincount(own, minlength=len(ids))), pa.array([sorted(set(x)) for x in items], pa.list_(pa.int64()))],
-                    names=["doc_id", "n_words", "hits", "items"],
+                    [ids, pa.array(np.diff(first)), arrays.list_array(pa.array((hit - first[own]).astype(np.int32)), np.bincount(own, minlength=len(ids))), pa.array([sorted(set(x)) for x in items], pa.list_(pa.int64())), pa.array([batch.column(5)[i].as_py()] * len(ids), pa.int64()), pa.array(np.arange(len(ids)))],
+                    names=["doc_id", "n_words", "hits", "items", "shard", "place"],
                 )
 
-    return index.select(*index.columns).mapInArrow(run, "doc_id long, n_words long, hits array<int>, items array<long>")
+    return index.mapInArrow(run, "doc_id long, n_words long, hits array<int>, items array<long>, shard long, place long")
 
 
 def decontaminate(docs: DataFrame, items: DataFrame, *, window: int = 10, slack: int = 0, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
@@ -179,7 +180,7 @@ def decontaminate(docs: DataFrame, items: DataFrame, *, window: int = 10, slack:
     blocks = max(1, math.ceil(size / QUERY_BYTES))
     if blocks == 1:
         query = phrases(asked, window)
-        return search(build_index(docs, query.vocabulary, id_col=id_col, text_col=text_col), query, slack=slack)
+        return search(build_index(docs, query.vocabulary, id_col=id_col, text_col=text_col), query, slack=slack).drop("shard", "place")
     keyed = docs.select(docs[id_col].cast("long").alias("doc_id"), docs[text_col].alias("text"))
     index = build_index(keyed)
     found = None
@@ -187,4 +188,4 @@ def decontaminate(docs: DataFrame, items: DataFrame, *, window: int = 10, slack:
         part = search(index, phrases(asked.where(F.pmod(F.xxhash64("text"), F.lit(blocks)) == block), window), slack=slack)
         found = part if found is None else found.unionByName(part)
     merge = lambda c: F.array_sort(F.array_distinct(F.flatten(F.collect_list(c)))).alias(c)
-    return found.groupBy("doc_id", "n_words").agg(merge("hits"), merge("items"))
+    return found.groupBy("shard", "place", "doc_id", "n_words").agg(merge("hits"), merge("items")).drop("shard", "place")

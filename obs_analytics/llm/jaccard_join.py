@@ -157,9 +157,13 @@ def jaccard_join(docs: DataFrame, *, width: int = 3, percent: int = 90, cells: i
     listed = firsts.select("node", F.explode("early").alias("gram"))
     hubs = listed.groupBy("gram").agg(F.min("node").alias("hub"), F.max("node").alias("other")).where("hub <> other").select("gram", "hub")
     clusters = components(listed.join(hubs, "gram").select(F.col("node").alias("a"), F.col("hub").alias("b")))
-    links = components(block_links(member_sets(rows, clusters, width, cells), clusters, own.where("n > 0").select("node", "n"), percent))
-
     linked = own.join(copied, ["mark1", "mark2"], "left").select("node", "n", F.when(F.col("n") > 0, F.coalesce("first", "node")).otherwise(F.col("node")).alias("first"))
+    # rows that share an id but not their text tie their classes together
+    several = own.groupBy("node").agg(F.min("mark1").alias("low"), F.max("mark1").alias("high")).where("low <> high").select("node")
+    tied = linked.join(several, "node", "left_semi").select(F.col("node").alias("a"), F.col("first").alias("b"))
+    found = block_links(member_sets(rows, clusters, width, cells), clusters, own.where("n > 0").select("node", "n"), percent)
+    links = components(found.union(tied))
+
     result = linked.join(links, linked["first"] == links["node"], "left").select(linked["node"], "n", F.coalesce("component", "first").alias("component"))
     return result.select(
         F.nullif("node", F.lit(NONE)).alias("doc_id"), F.col("n").alias("n_shingles"), F.nullif("component", F.lit(NONE)).alias("component_id")

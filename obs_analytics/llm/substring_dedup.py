@@ -21,8 +21,9 @@ before the shuffle. Windows are told apart by 96-bit hashes.
 
 Defined results: a null or empty text has no words and keeps the empty text;
 rows without an id come after all others; rows that share an id are one place
-in the order, so exact repeats of a row treat each other as the same
-document; an empty table gives an empty table; further columns are left out.
+in the order: exact repeats keep the same words, and of different texts under
+one id (told apart by a 15-bit hash) that share a passage one keeps it; an
+empty table gives an empty table; further columns are left out.
 """
 
 from __future__ import annotations
@@ -85,25 +86,25 @@ def substring_dedup(docs: DataFrame, *, width: int = 20, cells: int = sketch.CEL
     of characters other than ASCII whitespace."""
     spark = docs.sparkSession
     doc_id = docs[id_col].cast("long")
-    rows = docs.select(doc_id.alias("doc_id"), F.coalesce(doc_id, F.lit(LAST)).alias("place"), docs[text_col].alias("text"))
+    rows = docs.select(doc_id.alias("doc_id"), F.coalesce(doc_id, F.lit(LAST)).alias("place"), F.pmod(F.xxhash64(docs[text_col]), F.lit(1 << 15)).cast("int").alias("variant"), docs[text_col].alias("text"))
     shared = spark.sparkContext.broadcast(sketch.bitmaps(rows.select("text"), lambda texts: anchor_keys(texts, width), (2,), cells)[0])
 
     def starts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = shared.value
         for batch in batches:
             for part in arrays.slices(batch, "text"):
-                found = Windows(part.column(1), width)
+                found = Windows(part.column(2), width)
                 at = estimated_repeated(found, bits)
                 high, low = found.keys(at)
                 doc = np.searchsorted(found.first, at, "right") - 1
-                place, start = part.column(0).to_numpy()[doc], at - found.first[doc]
-                order = np.lexsort((start, place, low, high))
-                high, low, place, start = high[order], low[order], place[order], start[order]
+                place, variant, start = part.column(0).to_numpy()[doc], part.column(1).to_numpy()[doc], at - found.first[doc]
+                order = np.lexsort((start, variant, place, low, high))
+                high, low, place, variant, start = (x[order] for x in (high, low, place, variant, start))
                 new = np.ones(len(at), bool)
                 new[1:] = (high[1:] != high[:-1]) | (low[1:] != low[:-1])
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(arrays.signed(high[new])), pa.array(low[new].view(np.int32)), pa.array(place[new]), pa.array(start[new].astype(np.int32))],
-                    names=["high", "low", "place", "start"],
+                    [pa.array(arrays.signed(high[new])), pa.array(low[new].view(np.int32)), pa.array(place[new]), pa.array(variant[new]), pa.array(start[new].astype(np.int32))],
+                    names=["high", "low", "place", "variant", "start"],
                 )
 
     def remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -115,6 +116,7 @@ def substring_dedup(docs: DataFrame, *, width: int = 20, cells: int = sketch.CEL
                 lists = part.column(2)
                 own = np.repeat(np.arange(len(lists)), lists.value_lengths().fill_null(0).to_numpy())
                 firsts = lists.flatten().to_numpy() + found.first[own]
+                firsts = firsts[firsts < found.first[own + 1]]
                 again = at[~np.isin(at, firsts)]
                 yield _kept(part.column(0), found, again)
 
@@ -139,9 +141,9 @@ def substring_dedup(docs: DataFrame, *, width: int = 20, cells: int = sketch.CEL
         return pa.RecordBatch.from_arrays([ids, pa.array(words), pa.array(words - kept), text], names=names)
 
     first = (
-        rows.select("place", "text").mapInArrow(starts, "high long, low int, place long, start int")
-        .groupBy("high", "low").agg(F.min("place").alias("place"), F.min_by("start", "place").alias("start"))
-        .groupBy("place").agg(F.collect_list("start").alias("firsts"))
+        rows.select("place", "variant", "text").mapInArrow(starts, "high long, low int, place long, variant int, start int")
+        .groupBy("high", "low").agg(F.min("place").alias("place"), F.min_by("variant", "place").alias("variant"), F.min_by("start", "place").alias("start"))
+        .groupBy("place", "variant").agg(F.collect_list("start").alias("firsts"))
     )
-    joined = rows.join(first, "place", "left").select("doc_id", "text", "firsts")
+    joined = rows.join(first, ["place", "variant"], "left").select("doc_id", "text", "firsts")
     return joined.mapInArrow(remove, "doc_id long, n_words long, n_removed long, kept string")

@@ -1,8 +1,9 @@
 """Toxic spans and document scores by a linear-chain CRF (operator 10).
 
 A two-state conditional random field runs over the words of each sentence.
-Emissions are sums of hashed feature weights (the word, its first 3, 4 and 5
-bytes, its last 3), transitions are a 2 x 2 matrix. Training tokens are
+Emissions are sums of feature weights (hashed: the word, its first 3, 4 and 5
+bytes, its last 3; and one that all words share), transitions are a 2 x 2
+matrix. Training tokens are
 labelled from document labels: a word of a toxic document is toxic when the
 word or its stem is at least ``ODDS`` times as frequent, by document, in toxic
 documents as in clean ones. Forward-backward marginals give each word its
@@ -56,7 +57,8 @@ class Words:
         self.starts, self.ends, self.first = arrays.spans(low, self.offsets, arrays.ALNUM[low])
         n = len(self.starts)
         spans = [(self.starts, self.ends)] + [(self.starts, np.minimum(self.starts + k, self.ends)) for k in (3, 4, 5)] + [(np.maximum(self.ends - 3, self.starts), self.ends)]
-        self.features = np.stack([arrays.span_hashes(low, a, b, seed) & arrays.U64(FEATURES - 1) for seed, (a, b) in enumerate(spans)], axis=1).astype(np.int64) if n else np.zeros((0, 5), np.int64)
+        hashed = [(arrays.span_hashes(low, a, b, seed) & arrays.U64(FEATURES - 1)).astype(np.int64) for seed, (a, b) in enumerate(spans)]
+        self.features = np.stack([*hashed, np.full(n, FEATURES)], axis=1)
         breaks = np.concatenate([[0], np.cumsum(_BREAK[self.data])])
         opens = np.zeros(n, bool)
         opens[1:] = breaks[self.starts[1:]] > breaks[self.ends[:-1]]
@@ -109,7 +111,7 @@ def fit(texts: list[str], toxic: np.ndarray) -> Model:
     rows = sorted({(t, int(y)) for t, y in zip(texts, toxic, strict=True) if t})
     toxic = np.array([y for _, y in rows], bool)
     share = (toxic.sum() + 1) / (len(toxic) + 2)
-    model = Model(np.zeros(FEATURES, np.float32), np.zeros((2, 2)), np.array([np.log(share / (1 - share)), 0, 0]))
+    model = Model(np.zeros(FEATURES + 1, np.float32), np.zeros((2, 2)), np.array([np.log(share / (1 - share)), 0, 0]))
     if toxic.all() or not toxic.any():
         return model
     words = Words(pa.array([t for t, _ in rows], pa.large_string()))
@@ -126,13 +128,13 @@ def fit(texts: list[str], toxic: np.ndarray) -> Model:
     at = np.flatnonzero(inner)
     seen_pairs = np.zeros((2, 2))
     np.add.at(seen_pairs, (y[at - 1].astype(int), y[at].astype(int)), 1)
-    weights, transitions = np.zeros(FEATURES), np.zeros((2, 2))
-    square_w, square_t = np.full(FEATURES, 1e-8), np.full((2, 2), 1e-8)
+    weights, transitions = np.zeros(FEATURES + 1), np.zeros((2, 2))
+    square_w, square_t = np.full(FEATURES + 1, 1e-8), np.full((2, 2), 1e-8)
     columns = words.features.T
     for _ in range(PASSES):
         p, expected = marginals(weights[columns].sum(axis=0), words.sentences, transitions)
         gap = y - p
-        slope = sum(np.bincount(c, gap, minlength=FEATURES) for c in columns) - DECAY * len(y) * weights
+        slope = sum(np.bincount(c, gap, minlength=FEATURES + 1) for c in columns) - DECAY * len(y) * weights
         square_w += slope**2
         weights += RATE * slope / np.sqrt(square_w)
         slope_t = seen_pairs - expected
