@@ -16,7 +16,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 1 << 20  # working arrays take up to about 60 times this
 U64 = np.uint64
 _BASE, _STEP = U64(0x9E3779B97F4A7C15), U64(0xD1342543DE82EF95)
 

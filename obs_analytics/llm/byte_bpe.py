@@ -31,7 +31,7 @@ def encode(docs: DataFrame, rank_path: str, pattern: str, *, id_col: str = "doc_
         encoder = tokens.rank_encoder(rank_path, pattern)
         width = np.array([len(t) for t in tokens.read_ranks(rank_path)]) if offsets else None
         for batch in batches:
-            for part in arrays.slices(batch, "text"):
+            for part in arrays.slices(batch, "text", tokens.SLICE_BYTES):
                 ids, counts = encoder.encode(part.column(1))
                 out = [part.column(0), pa.array(counts, pa.int64()), arrays.binaries(ids.astype("<u4").tobytes(), counts * 4)]
                 if offsets:

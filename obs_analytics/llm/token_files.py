@@ -38,7 +38,7 @@ def write_tokens(docs: DataFrame, path: str, tokenizer_path: str, *, end_id: int
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, part, total = tokens.word_encoder(tokenizer_path), TaskContext.get().partitionId(), 0
         for batch in batches:
-            for piece in arrays.slices(batch, "text"):
+            for piece in arrays.slices(batch, "text", tokens.SLICE_BYTES):
                 ids, counts = encoder.encode(piece.column(1))
                 ends = np.cumsum(counts)
                 ids, counts = np.insert(ids, ends, end_id), counts + 1

@@ -20,8 +20,11 @@ import pyarrow as pa
 
 from obs_analytics.llm import arrays
 
-#: Bound on the entries of each per-worker cache; a full cache starts anew.
-CACHE_ENTRIES = 400_000
+#: Text per slice: more than elsewhere, so that more words of a slice repeat.
+SLICE_BYTES = 4 << 20
+#: Bounds on the entries of each per-worker cache (about 250 bytes each); a
+#: full cache starts anew. Word-end BPE saves more per entry.
+RANK_CACHE, WORD_CACHE = 150_000, 400_000
 _LETTER, _MARK = "A-Za-zÀ-ÖØ-öø-ÿ", r"!-&(-/:-;=-@\[-`{-~"  # without ' (contractions) and < (special tokens)
 
 
@@ -75,6 +78,7 @@ class ChunkEncoder:
     plain: re.Pattern
     pieces: re.Pattern
     lower: bool
+    entries: int
     chunk_ids: dict[str, bytes] = field(default_factory=dict)
     piece_ids: dict[str, bytes] = field(default_factory=dict)
 
@@ -87,7 +91,7 @@ class ChunkEncoder:
     def _piece(self, piece: str) -> bytes:
         found = self.piece_ids.get(piece)
         if found is None:
-            if len(self.piece_ids) >= CACHE_ENTRIES:
+            if len(self.piece_ids) >= self.entries:
                 self.piece_ids.clear()
             ids = [t.id for t in self.model.tokenize(piece.translate(self.as_chars))]
             found = self.piece_ids[piece] = np.array(ids, np.uint32).tobytes()
@@ -108,9 +112,9 @@ class ChunkEncoder:
         if odd:
             for i, made in zip(odd, self.tokenizer.encode_batch_fast([chunks[i] for i in odd], add_special_tokens=False), strict=True):
                 out[i] = np.array(made.ids, np.uint32).tobytes()
-        if len(self.chunk_ids) + len(chunks) > CACHE_ENTRIES:
+        if len(self.chunk_ids) + len(chunks) > self.entries:
             self.chunk_ids.clear()
-        self.chunk_ids.update(zip(chunks[:CACHE_ENTRIES], out))
+        self.chunk_ids.update(zip(chunks[: self.entries], out))
         return out
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -161,6 +165,7 @@ def rank_encoder(path: str, pattern: str) -> ChunkEncoder:
             re.compile(rf"[ \n]?[{_LETTER}0-9{_MARK}]+"),
             re.compile(rf" ?[{_LETTER}]+| ?[0-9]+| ?[{_MARK}]+|\n"),
             lower=False,
+            entries=RANK_CACHE,
         )
     return _ENCODERS[key]
 
@@ -178,5 +183,6 @@ def word_encoder(path: str) -> ChunkEncoder:
             re.compile(rf"[ \t\n\r\f\v]*[{_LETTER}0-9{_MARK}]+"),
             re.compile(rf"[{_LETTER}]+|[0-9]|[{_MARK}]+"),
             lower=True,
+            entries=WORD_CACHE,
         )
     return _ENCODERS[key]

@@ -62,7 +62,7 @@ def test_full_caches_change_nothing(monkeypatch):
     import pyarrow as pa
 
     sample = pa.array([t for _, t in EDGES if t and len(t) < 100] * 3)
-    monkeypatch.setattr(tokens, "CACHE_ENTRIES", 3)
+    monkeypatch.setattr(tokens, "RANK_CACHE", 3)
     tokens._ENCODERS.clear()
     small = tokens.rank_encoder(RANKS, PATTERN).encode(sample)
     monkeypatch.undo()
