@@ -6,6 +6,6 @@ projection, the batch operators apply unchanged to a streaming DataFrame;
 only the roll-ups need streaming state, kept as running sums and counts.
 """
 
-from .observations import observation_stream, start_rollups, streaming_rollups
+from .observations import latest_rollup, observation_stream, start_rollups, streaming_rollups
 
-__all__ = ["observation_stream", "streaming_rollups", "start_rollups"]
+__all__ = ["observation_stream", "streaming_rollups", "start_rollups", "latest_rollup"]

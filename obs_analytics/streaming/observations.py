@@ -34,12 +34,20 @@ def streaming_rollups(obs: DataFrame, key: str = "YEAR") -> DataFrame:
         F.max("TMAX").alias("MAX_TMAX"), F.sum("PRCP").alias("SUM_PRCP"))
 
 
-def start_rollups(rollup: DataFrame, checkpoint: str, *, sink: str = "memory",
-                  name: str = "obs_rollups", path: str | None = None,
-                  trigger_seconds: int | None = None) -> StreamingQuery:
+def start_rollups(rollup: DataFrame, checkpoint: str, *, sink: str, name: str = "obs_rollups",
+                  path: str | None = None, trigger_seconds: int | None = None) -> StreamingQuery:
     """Start the roll-up query. ``checkpoint`` must be a shared folder on a
     cluster: the state and the source offsets live there, which is what
-    lets the query resume after a lost executor or driver."""
+    lets the query resume after a lost executor or driver.
+
+    ``parquet`` writes each complete result to a folder of its own below
+    ``path`` (EPOCH=n), so a reader always finds a whole one
+    (``latest_rollup``) and a repeated batch replaces only itself. ``memory``
+    keeps the result on the driver, for tests and small looks."""
+    if sink not in ("parquet", "memory"):
+        raise ValueError(f"unknown sink {sink!r}")
+    if sink == "parquet" and not path:
+        raise ValueError("the parquet sink needs a path")
     w = rollup.writeStream.outputMode("complete").option("checkpointLocation", checkpoint)
     if trigger_seconds:
         w = w.trigger(processingTime=f"{trigger_seconds} seconds")
@@ -47,5 +55,11 @@ def start_rollups(rollup: DataFrame, checkpoint: str, *, sink: str = "memory",
         return w.format("memory").queryName(name).start()
 
     def write_batch(batch: DataFrame, epoch: int) -> None:
-        batch.write.mode("overwrite").parquet(path)
+        batch.write.mode("overwrite").parquet(f"{path}/EPOCH={epoch}")
     return w.foreachBatch(write_batch).start()
+
+
+def latest_rollup(spark: SparkSession, path: str) -> DataFrame:
+    """The newest complete result of the parquet sink."""
+    every = spark.read.parquet(path)
+    return every.where(F.col("EPOCH") == every.agg(F.max("EPOCH")).scalar()).drop("EPOCH")

@@ -16,13 +16,77 @@ from .conftest import SF001
 
 def test_run_analysis_without_models(spark):
     res = run_analysis(raw_observations(spark, SF001), train=False, early_end=1996, late_start=2000)
+    assert res["dataset_overview"].first().TOTAL_RECORDS == 4543
+    assert res["trend_assessment"].first().SLOPE == pytest.approx(0.295134, abs=1e-6)
+    assert res["distribution_shift"].count() == 80
+    assert len(res["value_histogram"].collect()) == 50
+
+
+def test_run_from_files(spark, tmp_path):
+    from obs_analytics.plans.analysis import run_from_files
+    raw = raw_observations(spark, SF001)
+    raw.coalesce(1).write.option("header", "true").csv(str(tmp_path / "csv"))
+    res = run_from_files(spark, str(tmp_path / "csv/*.csv"), str(tmp_path / "table"), train=False,
+                         early_end=1996, late_start=2000)
+    assert res["dataset_overview"].first().TOTAL_RECORDS == 4543
+    assert res["trend_assessment"].first().SLOPE == pytest.approx(0.295134, abs=1e-6)
+
+
+def test_landing_replaces_only_its_years(spark, tmp_path):
+    raw, path = raw_observations(spark, SF001), str(tmp_path / "landed")
+    land_observations(raw, path)
+    one = raw.where(F.year("DATE") == 1999).limit(5)
+    land_observations(one, path)
+    years = {r.OBS_YEAR: r["count"] for r in read_landed(spark, path).groupBy("OBS_YEAR").count().collect()}
+    want = {r.y: r["count"] for r in raw.groupBy(F.year("DATE").alias("y")).count().collect()}
+    assert years == {**want, 1999: 5}
+    land_observations(one, path, mode="overwrite")
+    assert read_landed(spark, path).count() == 5
+
+
+@pytest.fixture(scope="module")
+def landed(spark, tmp_path_factory):
+    from obs_analytics.plans.frames import Frames
+    path = str(tmp_path_factory.mktemp("landed") / "t")
+    land_observations(raw_observations(spark, SF001), path)
+    return Frames(read_landed(spark, path))
+
+
+def _plan(spark, df):
+    spark.conf.set("spark.sql.maxMetadataStringLength", "2000")
     try:
-        assert res["dataset_overview"].first().TOTAL_RECORDS == 4543
-        assert res["trend_assessment"].first().SLOPE == pytest.approx(0.295134, abs=1e-6)
-        assert res["distribution_shift"].count() == 80
-        assert len(res["value_histogram"].collect()) == 50
+        return df._jdf.queryExecution().executedPlan().toString()
     finally:
-        release(res)
+        spark.conf.unset("spark.sql.maxMetadataStringLength")
+
+
+def test_landed_look_back_prunes_years(spark, landed):
+    from obs_analytics.operators import distributions, forecasting
+    for df in (rollups.climatology(landed.obs), rollups.recent_baseline(landed.obs), forecasting.forecast_grid(landed.obs)):
+        assert any("OBS_YEAR" in line.split("PartitionFilters: ")[1].split("]")[0] and "Subquery" in line
+                   for line in _plan(spark, df).splitlines() if "PartitionFilters: [" in line and "PartitionFilters: []" not in line)
+    plan = _plan(spark, distributions.distribution_shift(landed.obs, early_end=1996, late_start=2000))
+    assert "OBS_YEAR" in plan.split("PartitionFilters: ")[1].split("]")[0] and "PushedFilters" in plan
+
+
+def test_landed_plans_read_rows_once(spark, landed):
+    from obs_analytics.operators.modeling import STANDIN_NAMES, midrange_predictor, score, standin_scores, trailing_predictor
+    three = score({"a": midrange_predictor(), "b": trailing_predictor(), "c": midrange_predictor()}, landed.test)
+    assert _plan(spark, three).count("FileScan parquet") == _plan(spark, landed.test).count("FileScan parquet")
+    windows = _plan(spark, landed.test).count("Window [avg")
+    comparison = metrics.model_comparison(standin_scores(landed.test, landed.train), STANDIN_NAMES)
+    assert _plan(spark, comparison).count("Window [avg") <= 2 * windows  # the test rows and the month means
+
+
+def test_no_plan_fires_a_job(spark, landed):
+    """Building any plan of the frames runs nothing."""
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("plans", "plans")
+    try:
+        landed.features, landed.model_rows, landed.train, rollups.row_accounting(landed.raw)
+        assert not tracker.getJobIdsForGroup("plans")
+    finally:
+        spark.sparkContext._jsc.sc().clearJobGroup()
 
 
 def test_models_and_forecast(spark):
@@ -81,7 +145,7 @@ def test_streaming_rollups_match_batch(spark, tmp_path):
                             for m in range(1, 8)]
         (src / f"part{i}.csv").write_text("\n".join(lines) + "\n")
     stream = observation_stream(spark, str(src))
-    q = start_rollups(streaming_rollups(stream), str(tmp_path / "ckpt"), name="obs_rollups_test")
+    q = start_rollups(streaming_rollups(stream), str(tmp_path / "ckpt"), sink="memory", name="obs_rollups_test")
     try:
         q.processAllAvailable()
         got = {r.YEAR: r for r in spark.sql("SELECT * FROM obs_rollups_test").collect()}
@@ -130,5 +194,6 @@ def test_streaming_rollups_to_parquet(spark, tmp_path):
         q.processAllAvailable()
     finally:
         q.stop()
-    got = {r.MONTH: r for r in spark.read.parquet(str(out)).collect()}
+    from obs_analytics.streaming import latest_rollup
+    got = {r.MONTH: r for r in latest_rollup(spark, str(out)).collect()}
     assert len(got) == 9 and got[3].AVG_TAVG == pytest.approx(20.3) and got[3].N_ROWS == 1

@@ -306,3 +306,107 @@ def test_row_accounting_keeps_incomplete_rows(spark):
     r = rollups.row_accounting(raw).first()
     assert (r.RAW_ROWS, r.CLEAN_ROWS, r.MODEL_ROWS) == (52, 50, 50)
     assert r.TRAIN_ROWS + r.TEST_ROWS == 50
+
+
+def test_row_accounting_with_nan_readings(spark):
+    """A NaN reading spoils the trailing means of the rows that reach it."""
+    rows = _series(spark, "A", range(60)) + _series(spark, "B", range(60))
+    raw = _raw(spark, rows).withColumn("TAVG", F.when((F.col("STATION") == "A") & (F.col("DATE") == D0 + dt.timedelta(days=10)),
+                                                     F.lit(float("nan"))).otherwise(F.col("TAVG")))
+    r = rollups.row_accounting(raw).first()
+    want = cleaning.model_rows(trailing_mean(prepare_observations(raw))).count()
+    assert r.MODEL_ROWS == want < 120 and r.CLEAN_ROWS == 120
+
+
+def _scored(spark, rows):
+    return spark.createDataFrame(rows, "MODEL string, TAVG double, prediction double")
+
+
+def test_metrics_over_whole_pairs_only(spark):
+    pairs = [("m", float(i), i + 0.5 * (-1) ** i) for i in range(30)]
+    gaps = [("m", 1000.0, None), ("m", None, 1.0), ("m", float("nan"), 2.0), ("m", 3.0, float("nan"))]
+    whole, both = (metrics.regression_metrics(_scored(spark, x)).first() for x in (pairs, pairs + gaps))
+    assert both.N_SKIPPED == 4 and both.N_ROWS == 30 and both.R2 == pytest.approx(whole.R2)
+    assert both.ADJ_R2 == pytest.approx(whole.ADJ_R2) and both.MAPE == pytest.approx(whole.MAPE)
+    one = metrics.model_comparison(_scored(spark, pairs + gaps), ["m"]).first()
+    for c in ("RMSE", "MAE", "R2", "ADJ_R2", "MAPE", "TOLERANCE_ACCURACY"):
+        assert one[c] == pytest.approx(whole[c])
+
+
+def test_one_pass_comparison_equals_the_single_metrics(spark):
+    rows = [(m, float(i % 41), float((i * k) % 43)) for k, m in enumerate("abc", 3) for i in range(200)] + [("d", 5.0, 5.0)] * 3
+    scored = _scored(spark, rows)
+    comparison = {r.MODEL: r for r in metrics.model_comparison(scored, list("abcd")).collect()}
+    for r in metrics.regression_metrics(scored).join(metrics.class_metrics(scored), "MODEL").collect():
+        for c in ("RMSE", "MAE", "R2", "ADJ_R2", "MAPE", "TOLERANCE_ACCURACY", "ACCURACY", "PRECISION", "RECALL", "F1"):
+            assert comparison[r.MODEL][c] == (pytest.approx(r[c]) if r[c] is not None else None), (r.MODEL, c)
+
+
+def test_nan_never_wins(spark):
+    rows = [("a", 1, 0.8, 0.5, 0.4), ("b", 2, float("nan"), float("nan"), None), ("c", 3, 0.9, 0.5, 0.4)]
+    table = spark.createDataFrame(rows, "MODEL string, MODEL_ORDER int, R2 double, ACCURACY double, F1 double")
+    best = metrics.best_model(table).first()
+    assert (best.BEST_MODEL, best.BEST_R2) == ("c", 0.9)
+    assert {r.METRIC: r.BEST_MODEL for r in metrics.best_by_metric(table).collect()} == {"R2": "c", "ACCURACY": "a", "F1": "a"}
+    none = table.where("MODEL = 'b'")
+    assert metrics.best_model(none).first().BEST_MODEL is None
+
+
+def test_csv_folder_with_three_layouts(spark, tmp_path):
+    from obs_analytics.sources.observations import read_observations
+    names = [f.name for f in RAW_SCHEMA.fields]
+    layouts = [names, names[::-1], ["DATE", "STATION", "LATITUDE", "LONGITUDE", "TAVG", "SNOW"]]
+    line = {"STATION": "S", "DATE": "2001-02-03", "LATITUDE": "1", "LONGITUDE": "2", "TAVG": "200", "TMAX": "300", "SNOW": "9"}
+    for i, layout in enumerate(layouts):
+        rows = [",".join(f'"{c}"' if i == 1 else c for c in layout)] + [",".join({**line, "STATION": f"S{i}"}.get(c, "") for c in layout)] * 2
+        (tmp_path / f"{i}.csv").write_text("\n".join(rows) + "\n")
+    got = read_observations(spark, str(tmp_path), keep_bad_rows=True)
+    assert got.columns[:-1] == names and got.count() == 6
+    assert {(r.STATION, r.TAVG, r.TMAX) for r in got.collect()} == {("S0", 200.0, 300.0), ("S1", 200.0, 300.0), ("S2", 200.0, None)}
+    assert rollups.row_accounting(got).first().CORRUPT_ROWS == 0
+    (tmp_path / "bad.csv").write_text("STATION,DATE,TAVG\nS,2001-01-01,5\n")
+    with pytest.raises(ValueError, match="bad.csv"):
+        read_observations(spark, str(tmp_path))
+
+
+def test_global_sequence_cuts_a_busy_day(spark):
+    """One day holds most rows: the rank buckets cut it by the tie-break."""
+    from obs_analytics.operators.windows import row_rank
+    busy = [(f"ST{i:04d}", D0, float(i), None, None, None, 1.0) for i in range(600)] + [(None, D0, 7.0, None, None, None, 1.0)]
+    obs = prepare_observations(_raw(spark, busy + _series(spark, "A", range(1, 60))))
+    ranked = row_rank(obs, "DATE", [], ["STATION"])
+    order = [(r.DATE, r.STATION) for r in ranked.orderBy("_tm_rank").select("DATE", "STATION").collect()]
+    assert order == sorted(order, key=lambda r: (r[0], r[1] is not None, r[1] or ""))
+    days = obs.groupBy("DATE", F.left("STATION", F.lit(6))).count().agg(F.max("count")).first()[0]
+    assert days == 1 and obs.count() == len(order)
+    a, b = (trailing_mean(obs, by=[], tiebreak=["STATION"], strategy=s, block_rows=64).select("STATION", "DATE", F.round("TAVG_30DAY_AVG", 9).alias("v"))
+            for s in ("partition", "blocked"))
+    assert a.exceptAll(b).count() == 0
+
+
+@pytest.mark.parametrize("parts", [1, 4, 16])
+def test_results_do_not_depend_on_the_layout(spark, parts):
+    rows = _series(spark, "A", range(0, 800, 3), value=lambda i: float(i % 37)) + _series(spark, "B", range(0, 800, 7))
+    obs = prepare_observations(_raw(spark, rows))
+    moved = obs.repartition(parts)
+    for build in (lambda o: trailing_mean(o).select("STATION", "DATE", "TAVG_30DAY_AVG"),
+                  lambda o: trailing_mean(o, by=[], tiebreak=["STATION"]).select("STATION", "DATE", "TAVG_30DAY_AVG"),
+                  lambda o: trailing_mean_days(o).select("STATION", "DATE", "TAVG_30D_MEAN"),
+                  lambda o: distributions.histogram(o), lambda o: distributions.distribution_shift(o, early_end=2000, late_start=2001),
+                  lambda o: forecasting.forecast_grid(o, 2), lambda o: forecasting.forecast_grid(o, 2, by=["STATION"])):
+        a, b = (sorted(tuple(round(v, 9) if isinstance(v, float) else v for v in r) for r in build(o).collect()) for o in (obs, moved))
+        assert a == b
+
+
+def test_unscorable_months_are_counted(spark):
+    obs = prepare_observations(_raw(spark, _series(spark, "A", range(60))))  # January and February only
+    got = forecasting.unscorable(forecasting.forecast_grid(obs, 3)).first()
+    assert (got.N_SCORABLE, got.N_UNSCORABLE) == (6, 30)
+
+
+def test_training_settings_are_constants(spark):
+    from obs_analytics.operators.modeling import regressor, training_frame
+    from obs_analytics.schema import FEATURES, MODEL_NAMES, TRAINING_PARTITIONS, TREE_MEMORY_MB
+    rows = cleaning.model_rows(trailing_mean(prepare_observations(_raw(spark, _series(spark, "A", range(90))))))
+    assert training_frame(rows, FEATURES, checkpoint=False).rdd.getNumPartitions() == TRAINING_PARTITIONS
+    assert all(regressor(n).getMaxMemoryInMB() == TREE_MEMORY_MB for n in MODEL_NAMES[1:])
