@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from ..schema import MIDMONTH_DAY, SEASON_NAMES
+from ..schema import MIDMONTH_DAY, SEASON_MONTHS, SEASON_NAMES
 
 
 def _c(c) -> Column:
@@ -18,11 +18,10 @@ def season_of(month) -> Column:
     December stays in its own calendar year (no season-year shift). One
     definition serves both history and the forecast grid.
     """
-    m = _c(month)
-    return (F.when((m >= 3) & (m <= 5), 1)
-            .when((m >= 6) & (m <= 8), 2)
-            .when((m >= 9) & (m <= 11), 3)
-            .otherwise(0))
+    m, code = _c(month), F.lit(0)
+    for k, (first, last) in enumerate(SEASON_MONTHS, 1):
+        code = F.when(m.between(first, last), k).otherwise(code)
+    return code
 
 
 def season_name(season) -> Column:

@@ -37,6 +37,7 @@ PRCP_FILL = 0.0
 IMPUTE_OFFSET = 5.0  # TMAX = TAVG + 5, TMIN = TAVG - 5
 TRAILING_ROWS = 30  # ROWS BETWEEN 30 PRECEDING AND CURRENT ROW (31 rows)
 SEASON_NAMES = ["Winter", "Spring", "Summer", "Fall"]  # codes 0, 1, 2, 3
+SEASON_MONTHS = [(3, 5), (6, 8), (9, 11)]  # codes 1, 2, 3: first and last month; others are 0
 FEATURES = [
     "YEAR", "MONTH", "DAY_OF_YEAR", "LATITUDE", "LONGITUDE", "ELEVATION",
     "PRCP", "TMAX", "TMIN", "TEMP_RANGE", "SEASON", "TAVG_30DAY_AVG",
