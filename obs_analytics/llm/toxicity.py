@@ -114,25 +114,24 @@ def fit(texts: list[str], toxic: np.ndarray) -> Model:
     model = Model(np.zeros(FEATURES + 1, np.float32), np.zeros((2, 2)), np.array([np.log(share / (1 - share)), 0, 0]))
     if toxic.all() or not toxic.any():
         return model
-    words = Words(pa.array([t for t, _ in rows], pa.large_string()))
-    doc = np.repeat(np.arange(len(rows)), np.diff(words.first))
+    columns, first, sentences = _training_words([t for t, _ in rows])
+    doc = np.repeat(np.arange(len(rows)), np.diff(first))
     hot = np.zeros(len(doc), bool)
-    for column in (0, 2):  # the word, its first four bytes
-        owner, feature = arrays.unique_pairs(doc, words.features[:, column])
+    for column in (columns[0], columns[2]):  # the word, its first four bytes
+        owner, feature = arrays.unique_pairs(doc, column)
         seen = [np.bincount(feature[toxic[owner] == y], minlength=FEATURES) for y in (True, False)]
         odds = ((seen[0] + 0.5) / (toxic.sum() + 1)) / ((seen[1] + 0.5) / ((~toxic).sum() + 1))
-        hot |= odds[words.features[:, column]] >= ODDS
+        hot |= odds[column] >= ODDS
     y = (hot & toxic[doc]).astype(float)
     inner = np.ones(len(y), bool)
-    inner[words.sentences[:-1]] = False
+    inner[sentences[:-1]] = False
     at = np.flatnonzero(inner)
     seen_pairs = np.zeros((2, 2))
     np.add.at(seen_pairs, (y[at - 1].astype(int), y[at].astype(int)), 1)
     weights, transitions = np.zeros(FEATURES + 1), np.zeros((2, 2))
     square_w, square_t = np.full(FEATURES + 1, 1e-8), np.full((2, 2), 1e-8)
-    columns = words.features.T
     for _ in range(PASSES):
-        p, expected = marginals(weights[columns].sum(axis=0), words.sentences, transitions)
+        p, expected = marginals(sum(weights[c] for c in columns), sentences, transitions)
         gap = y - p
         slope = sum(np.bincount(c, gap, minlength=FEATURES + 1) for c in columns) - DECAY * len(y) * weights
         square_w += slope**2
@@ -140,8 +139,22 @@ def fit(texts: list[str], toxic: np.ndarray) -> Model:
         slope_t = seen_pairs - expected
         square_t += slope_t**2
         transitions += RATE * slope_t / np.sqrt(square_t)
-    p, _ = marginals(weights[columns].sum(axis=0), words.sentences, transitions)
-    return Model(weights.astype(np.float32), transitions, _logistic(_summary(p, words.first), toxic))
+    p, _ = marginals(sum(weights[c] for c in columns), sentences, transitions)
+    return Model(weights.astype(np.float32), transitions, _logistic(_summary(p, first), toxic))
+
+
+def _training_words(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(feature columns, first word of each text, sentence bounds) of all texts,
+    gathered slice by slice so that only the features are held at once."""
+    batch = pa.RecordBatch.from_arrays([pa.array(texts, pa.large_string())], names=["text"])
+    columns, first, sentences, n = [], [np.zeros(1, np.int64)], [], 0
+    for part in arrays.slices(batch, "text"):
+        words = Words(part.column(0))
+        columns.append(words.features.T.astype(np.int32))
+        first.append(words.first[1:] + n)
+        sentences.append(words.sentences[:-1] + n)
+        n += len(words.starts)
+    return np.concatenate(columns, axis=1), np.concatenate(first), np.append(np.concatenate(sentences), n)
 
 
 def _logistic(x: np.ndarray, y: np.ndarray, penalty: float = 1.0) -> np.ndarray:
