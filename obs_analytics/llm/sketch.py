@@ -89,7 +89,7 @@ def bitmaps(values: DataFrame, keys_of: Callable[[pa.Array], np.ndarray], thresh
     partial = values.mapInArrow(count, "block int, cells binary, counts binary")
     merged = partial.repartition("block").sortWithinPartitions("block").mapInArrow(merge, "block int, bits binary")
     out = np.zeros((len(thresholds), DEPTH * cells // block, block // 8), np.uint8)
-    for row in merged.toLocalIterator():
+    for row in merged.collect():  # the bitmaps' fixed size, in one job
         out[:, row.block] = np.frombuffer(row.bits, np.uint8).reshape(len(thresholds), -1)
     return out.reshape(len(thresholds), DEPTH, cells // 8)
 
