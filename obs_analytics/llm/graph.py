@@ -11,12 +11,11 @@ from obs_analytics.llm.checkpoints import cut
 def components(links: DataFrame) -> DataFrame:
     """(node, component): the smallest node that each linked node reaches.
     ``links`` has long columns a, b. Alternates the large-star and small-star
-    steps until no link changes; each step is a grouped minimum (combined
+    steps until all links are stars; each step is a grouped minimum (combined
     before the shuffle) and a join back, and is cut to the shared folder, so
     neither links nor nodes pass through the driver. Nulls link nothing."""
     edges = cut(links.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct())
-    before = None
-    while True:
+    while not _stars(edges):
         both = edges.union(edges.select("v", "u"))
         least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
         large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
@@ -24,8 +23,12 @@ def components(links: DataFrame) -> DataFrame:
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).union(least)
         edges = cut(small.where("u <> v").distinct())
-        now = edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if now == before:
-            break
-        before = now
     return edges.select(F.col("u").alias("node"), F.col("v").alias("component")).union(edges.select("v", "v").distinct())
+
+
+def _stars(edges: DataFrame) -> bool:
+    """Whether every node links to one smaller node that links to none itself."""
+    ends = edges.select(F.col("u").alias("x"), F.lit(1).alias("down"), F.lit(0).alias("up"))
+    ends = ends.union(edges.select("v", F.lit(0), F.lit(1)))
+    nodes = ends.groupBy("x").agg(F.sum("down").alias("down"), F.max("up").alias("up"))
+    return nodes.where("down > 1 or (down = 1 and up = 1)").limit(1).count() == 0

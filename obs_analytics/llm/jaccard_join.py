@@ -3,13 +3,18 @@
 Two documents link when 100 * intersection >= threshold * union of their sets
 of word shingles. Documents with equal sets are one class, compared once.
 
-1. A Count-min sketch over all shingles orders each set: shingles estimated
-   to be unique first, very frequent ones last. Two sets that link share one
-   of the first ``n - ceil(t * n) + 1`` shingles in any common order; the
-   unique ones among these match nothing, so most documents are done here.
-2. Classes that share such a shingle, directly or through others, are a
-   cluster (connected components). A bitmap of the clusters' members picks the
-   texts whose sets are built again, so no set is stored or moved in vain.
+1. Sets that link differ in at most ``d = n (100 - percent) / percent`` shingles,
+   n being the smaller size. Shingles are dealt by hash into a few more than d
+   parts (d for the largest n of the size class), so two sets that link agree in
+   some parts; a key is the hash of one part. Empty parts make no key unless a
+   set has so many that a link might rest on them alone. A document
+   makes keys for its own size class and, as the larger of a pair, for the class
+   below. A Count-min sketch of the keys leaves only those that may recur.
+2. Classes that share a key, directly or through others, are a cluster
+   (connected components). A part has about ``percent / (100 - percent)``
+   shingles, so a shared passage alone seldom makes a key recur. A bitmap of the
+   clusters' members picks the texts whose sets are built again, so no set is
+   stored or moved in vain.
 3. Per cluster, the product of the document by n-gram incidence matrix with
    its transpose is taken in blocks of rows and columns; overlap counts
    accumulate over column blocks, and pairs below the bound that their sizes
@@ -40,8 +45,8 @@ from obs_analytics.llm.checkpoints import table
 from obs_analytics.llm.graph import components
 
 NONE = (1 << 63) - 1  # node of rows without an id
-ROWS, COLUMNS, FREQUENT = 256, 1 << 14, 64
-CELLS = 1 << 26  # the two bitmaps that go to all tasks are 16 MB each
+ROWS, COLUMNS = 256, 1 << 14
+CELLS = 1 << 26  # each of the two bitmaps that go to all tasks is 16 MB
 
 
 def shingle_sets(texts: pa.Array, width: int) -> tuple[np.ndarray, np.ndarray]:
@@ -61,9 +66,38 @@ def shingle_sets(texts: pa.Array, width: int) -> tuple[np.ndarray, np.ndarray]:
     return hashes, owner
 
 
-def _needed(n: np.ndarray, percent: int) -> np.ndarray:
-    """ceil(percent * n / 100)."""
-    return -(-percent * n // 100)
+def size_class(n: np.ndarray, percent: int) -> np.ndarray:
+    """Sizes that can link are in equal or neighbouring classes."""
+    return np.floor(np.log(n) / np.log(100 / percent) + 1e-9).astype(np.int64)
+
+
+def part_keys(hashes: np.ndarray, owner: np.ndarray, count: int, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """(key, set number) of the parts of ``count`` sets (hashes by owner), for
+    each set's own size class and the class below."""
+    size = np.bincount(owner, minlength=count)
+    own = size_class(np.maximum(size, 1), percent)
+    keys, owners = [], []
+    for below in (0, 1):
+        group = own - below
+        largest = np.ceil((100 / percent) ** (group + 1)).astype(np.int64)
+        differ = largest * (100 - percent) // percent
+        m = np.where(differ > 0, differ + 2 + differ // 8, 1)
+        part = (arrays.mixed(hashes ^ arrays.U64(0x5DEECE66D)) >> arrays.U64(33)).astype(np.int64) * m[owner] >> 31
+        order = np.lexsort((part, owner))
+        o, p, h = owner[order], part[order], hashes[order]
+        first = np.flatnonzero(np.concatenate([[True], (o[1:] != o[:-1]) | (p[1:] != p[:-1])])) if len(o) else np.zeros(0, np.int64)
+        sums = np.add.reduceat(arrays.mixed(h), first) if len(o) else np.zeros(0, arrays.U64)
+        o, p = o[first], p[first]
+        # a pair's equal parts may all be empty only where so many parts are
+        empty = m - np.bincount(o, minlength=count)
+        for i in np.flatnonzero((size > 0) & (empty >= m - differ) & (m > 1)):
+            missing = np.setdiff1d(np.arange(m[i]), p[o == i])
+            o, p, sums = np.append(o, np.full(len(missing), i)), np.append(p, missing), np.append(sums, np.zeros(len(missing), arrays.U64))
+        salt = (group[o] * (1 << 32) + p).astype(np.int64).view(arrays.U64)
+        keep = m[o] > 1  # one part is the whole set: only equal sets link
+        keys.append(arrays.mixed(sums ^ arrays.mixed(salt))[keep])
+        owners.append(o[keep])
+    return np.concatenate(keys), np.concatenate(owners)
 
 
 def _forest(a: np.ndarray, b: np.ndarray) -> list[tuple[int, int]]:
@@ -126,37 +160,36 @@ def jaccard_join(docs: DataFrame, *, width: int = 3, percent: int = 90, cells: i
     links reach from it."""
     spark = docs.sparkSession
     rows = docs.select(F.coalesce(docs[id_col].cast("long"), F.lit(NONE)).alias("node"), docs[text_col].alias("text"))
-    shared = spark.sparkContext.broadcast(sketch.bitmaps(rows.select("text"), lambda texts: shingle_sets(texts, width)[0], (2, FREQUENT), cells))
+
+    def keys_of(texts: pa.Array) -> np.ndarray:
+        return part_keys(*shingle_sets(texts, width), len(texts), percent)[0]
+
+    shared = spark.sparkContext.broadcast(sketch.bitmaps(rows.select("text"), keys_of, (2,), cells)[0])
 
     def signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        repeated, frequent = shared.value
         for batch in batches:
             for part in arrays.slices(batch, "text"):
                 hashes, owner = shingle_sets(part.column(1), width)
                 ends = np.searchsorted(owner, np.arange(part.num_rows + 1))
-                size = np.diff(ends)
                 data = memoryview(hashes.astype("<u8")).cast("B")
                 marks = [hashlib.blake2b(data[8 * a : 8 * b], digest_size=16).digest() for a, b in zip(ends[:-1], ends[1:], strict=True)]
                 mark = np.frombuffer(b"".join(marks), np.int64).reshape(-1, 2)
-                again = sketch.reaches(repeated, hashes)
-                level = again.astype(np.int8) + (again & sketch.reaches(frequent, hashes))
-                order = np.lexsort((hashes, level, owner))
-                early = order[arrays.ramp(size) < np.repeat(size - _needed(size, percent) + 1, size)]
-                early = early[again[early]]
-                counts = np.bincount(owner[early], minlength=part.num_rows)
+                keys, holder = part_keys(hashes, owner, part.num_rows, percent)
+                again = sketch.reaches(shared.value, keys)
+                holder, keys = arrays.unique_pairs(holder[again], keys[again])
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0), pa.array(size), pa.array(mark[:, 0]), pa.array(mark[:, 1]), arrays.list_array(pa.array(arrays.signed(hashes[early])), counts)],
-                    names=["node", "n", "mark1", "mark2", "early"],
+                    [part.column(0), pa.array(np.diff(ends)), pa.array(mark[:, 0]), pa.array(mark[:, 1]), arrays.list_array(pa.array(arrays.signed(keys)), np.bincount(holder, minlength=part.num_rows))],
+                    names=["node", "n", "mark1", "mark2", "keys"],
                 )
 
-    signed = table(rows.mapInArrow(signatures, "node long, n long, mark1 long, mark2 long, early array<long>"), "signatures")
+    signed = table(rows.mapInArrow(signatures, "node long, n long, mark1 long, mark2 long, keys array<long>"), "signatures")
     own = signed.select("node", "n", "mark1", "mark2")
     classes = own.where("n > 0").groupBy("mark1", "mark2").agg(F.min("node").alias("first"), F.count("*").alias("copies"))
     copied = classes.where("copies > 1").select("mark1", "mark2", "first")
-    firsts = signed.where(F.size("early") > 0).select("node", "mark1", "mark2", "early").join(copied, ["mark1", "mark2"], "left").where("first is null or first = node")
-    listed = firsts.select("node", F.explode("early").alias("gram"))
-    hubs = listed.groupBy("gram").agg(F.min("node").alias("hub"), F.max("node").alias("other")).where("hub <> other").select("gram", "hub")
-    clusters = components(listed.join(hubs, "gram").select(F.col("node").alias("a"), F.col("hub").alias("b")))
+    firsts = signed.where(F.size("keys") > 0).select("node", "mark1", "mark2", "keys").join(copied, ["mark1", "mark2"], "left").where("first is null or first = node")
+    listed = firsts.select("node", F.explode("keys").alias("key"))
+    hubs = listed.groupBy("key").agg(F.min("node").alias("hub"), F.max("node").alias("other")).where("hub <> other").select("key", "hub")
+    clusters = components(listed.join(hubs, "key").select(F.col("node").alias("a"), F.col("hub").alias("b")))
     linked = own.join(copied, ["mark1", "mark2"], "left").select("node", "n", F.when(F.col("n") > 0, F.coalesce("first", "node")).otherwise(F.col("node")).alias("first"))
     # rows that share an id but not their text tie their classes together
     several = own.groupBy("node").agg(F.min("mark1").alias("low"), F.max("mark1").alias("high")).where("low <> high").select("node")
