@@ -152,7 +152,11 @@ def signed(x: np.ndarray) -> np.ndarray:
 
 def unique_pairs(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Distinct (a, b), sorted by a, then b."""
-    order = np.lexsort((b, a))
+    if len(a) and a.min() >= 0 and a.max() < 1 << 16:  # a stable sort of small numbers is a radix sort
+        order = np.argsort(b)
+        order = order[np.argsort(a[order].astype(np.uint16), kind="stable")]
+    else:
+        order = np.lexsort((b, a))
     a, b = a[order], b[order]
     keep = np.ones(len(a), bool)
     keep[1:] = (a[1:] != a[:-1]) | (b[1:] != b[:-1])

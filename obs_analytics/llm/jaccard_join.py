@@ -83,7 +83,7 @@ def part_keys(hashes: np.ndarray, owner: np.ndarray, count: int, percent: int) -
         differ = largest * (100 - percent) // percent
         m = np.where(differ > 0, differ + 2 + differ // 8, 1)
         part = (arrays.mixed(hashes ^ arrays.U64(0x5DEECE66D)) >> arrays.U64(33)).astype(np.int64) * m[owner] >> 31
-        order = np.lexsort((part, owner))
+        order = np.argsort(owner * (int(m.max(initial=1)) + 1) + part)
         o, p, h = owner[order], part[order], hashes[order]
         first = np.flatnonzero(np.concatenate([[True], (o[1:] != o[:-1]) | (p[1:] != p[:-1])])) if len(o) else np.zeros(0, np.int64)
         sums = np.add.reduceat(arrays.mixed(h), first) if len(o) else np.zeros(0, arrays.U64)
