@@ -13,8 +13,6 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
 
 SLICE_BYTES = 1 << 20  # working arrays take up to about 60 times this
 U64 = np.uint64
@@ -30,17 +28,6 @@ LOWER = np.arange(256, dtype=np.uint8)
 LOWER[0x41:0x5B] += 32
 
 
-def row_key(id_col: str, text_col: str) -> list[Column]:
-    """Key of a document row: its id and a hash of its text, so that rows that
-    repeat an id with another text stay apart and exact repeats fall together."""
-    return [F.col(id_col).alias("doc_id"), F.xxhash64(F.col(text_col)).alias("text_key")]
-
-
-def same_row(left: DataFrame, right: DataFrame) -> Column:
-    """Null-safe join condition on ``row_key``."""
-    return left["doc_id"].eqNullSafe(right["doc_id"]) & left["text_key"].eqNullSafe(right["text_key"])
-
-
 def buffers(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """(bytes, offsets) of a string array; null counts as empty."""
     if texts.null_count:
@@ -117,11 +104,6 @@ def rolling(hashes: np.ndarray, width: int, seed: int = 0) -> np.ndarray:
     return mixed(out)
 
 
-def counted(first: np.ndarray) -> np.ndarray:
-    """Number of words of each text."""
-    return np.diff(first)
-
-
 def ramp(counts: np.ndarray) -> np.ndarray:
     """0..c-1 for each count c, joined."""
     ends = np.cumsum(counts)

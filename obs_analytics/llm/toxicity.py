@@ -30,7 +30,6 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from obs_analytics.llm import arrays
 from obs_analytics.llm.labelled import sample
