@@ -3,7 +3,10 @@
 A line is dropped when an earlier line of the corpus (smaller document id, or
 same document and smaller line number) is equal to it or one edit away: one
 character replaced, inserted or deleted. Lines shorter than ``least``
-characters repeat by chance and are always kept.
+characters have near neighbours by chance and are compared for equality only:
+later exact repeats of non-blank lines of ``shortest`` or more characters go.
+By default ``shortest`` is ``least``, the contract of the registered query's
+SQL, and shorter lines are always kept; 1 sends every non-blank line through.
 
 Equal lines are first reduced to one row with their earliest place. Every line
 then emits its variants, itself and each string with one character deleted, as
@@ -49,17 +52,23 @@ def _half_keys(line: Column, size: Column) -> Column:
     return F.array(*pair(size), *pair(size - 1))
 
 
-def line_dedup(docs: DataFrame, *, least: int = LEAST, id_col: str = "doc_id", text_col: str = "text", carry: list[str] | None = None) -> DataFrame:
+def line_dedup(docs: DataFrame, *, least: int = LEAST, shortest: int | None = None, id_col: str = "doc_id", text_col: str = "text", carry: list[str] | None = None) -> DataFrame:
     """Per document: doc_id, n_lines, n_removed and ``kept``, its remaining lines
     joined by newlines, after them the columns in ``carry``."""
     others = F.struct(*(docs[c].alias(f"c{i}") for i, c in enumerate(carry or [])) or [F.lit(None).alias("c0")])
     doc_id = docs[id_col].cast("long")
     rows = docs.select(F.coalesce(doc_id, F.lit(LAST)).alias("place"), F.xxhash64(docs[text_col]).alias("text_key"), F.coalesce(docs[text_col], F.lit("")).alias("text"), others.alias("others"))
     line, size = F.col("line"), F.length("line")
+
+    def compared(line: Column) -> Column:
+        long = F.length(line) >= least
+        return long if shortest is None else long | ((F.length(line) >= shortest) & line.rlike(r"\S"))
+
     order = F.col("place").cast("decimal(38,0)") * F.lit(1 << 32).cast("decimal(10,0)") + F.col("no")
 
-    lines = rows.select("place", "text_key", F.posexplode(F.split("text", "\n")).alias("no", "line")).where(size >= least)
-    marked = lines.select("place", "text_key", "no", F.xxhash64("line").alias("h"), F.xxhash64(F.lit(1), "line").alias("g"), order.cast("decimal(38,0)").alias("at"), _half_keys(line, size).alias("halves"))
+    lines = rows.select("place", "text_key", F.posexplode(F.split("text", "\n")).alias("no", "line")).where(compared(line))
+    halves = _half_keys(line, size) if shortest is None else F.when(size >= least, _half_keys(line, size)).otherwise(F.array().cast("array<bigint>"))
+    marked = lines.select("place", "text_key", "no", F.xxhash64("line").alias("h"), F.xxhash64(F.lit(1), "line").alias("g"), order.cast("decimal(38,0)").alias("at"), halves.alias("halves"))
     distinct = marked.groupBy("h", "g").agg(
         F.min("at").alias("at"), F.min_by(F.struct("place", "text_key", "no"), F.struct("at", "text_key")).alias("first"), F.first("halves").alias("halves"),
     )
@@ -77,7 +86,7 @@ def line_dedup(docs: DataFrame, *, least: int = LEAST, id_col: str = "doc_id", t
     firsts = distinct.join(dropped, ["h", "at"], "left_anti").groupBy("place", "text_key").agg(F.collect_list("no").alias("firsts"))
     numbered = rows.join(firsts, ["place", "text_key"], "left").select("place", "others", F.split("text", "\n").alias("lines"), F.coalesce("firsts", F.array().cast("array<int>")).alias("firsts"))
     numbers = F.sequence(F.lit(0), F.size("lines") - 1)
-    judged = F.filter(numbers, lambda i: F.length(F.get("lines", i)) >= least)
+    judged = F.filter(numbers, lambda i: compared(F.get("lines", i)))
     left = numbered.select("place", "others", "lines", F.array_except(numbers, F.array_except(judged, "firsts")).alias("left"))
     return left.select(
         F.nullif("place", F.lit(LAST)).alias("doc_id"), F.size("lines").cast("long").alias("n_lines"),

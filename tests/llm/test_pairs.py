@@ -171,6 +171,19 @@ def test_lines(spark):
     assert sorted(map(tuple, got.collect()), key=str) == brute_lines(rows, line_dedup.LEAST)
 
 
+def test_short_lines_repeat(spark):
+    """Exact repeats of short lines go, near copies of them and blank lines stay."""
+    long = "a line of more than twenty characters"
+    rows = [(1, "Share\nRead more\n\n好\n  "), (2, f"Read more\nRead mode\n\n{long}\nx\n  "), (3, f"x\n{long}!\n好\nRead more\n{long}"), (None, "Share\nalone")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    want = {1: "Share\nRead more\n\n好\n  ", 2: f"Read mode\n\n{long}\nx\n  ", 3: "", None: "alone"}
+    got = line_dedup.line_dedup(df, shortest=1).collect()
+    assert {r.doc_id: r.kept for r in got} == want
+    assert {r.doc_id: (r.n_lines, r.n_removed) for r in got} == {1: (5, 0), 2: (6, 1), 3: (5, 5), None: (2, 1)}
+    five = {r.doc_id: r.kept for r in line_dedup.line_dedup(df, shortest=6).collect()}
+    assert five == {**want, 3: "x\n好", None: "Share\nalone"}
+
+
 def test_lines_carry_columns_and_empty(edges, nothing):
     got = line_dedup.line_dedup(edges, carry=["place", "kept"])
     assert got.columns == ["doc_id", "n_lines", "n_removed", "kept", "place", "kept"] and got.count() == len(EDGES)
