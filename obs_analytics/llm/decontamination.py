@@ -79,22 +79,15 @@ def phrases(items: DataFrame, window: int) -> Phrases:
     return Phrases(vocabulary, terms, np.array([len(w) for w in ordered], np.int64), [sorted(found[w]) for w in ordered])
 
 
-def build_index(docs: DataFrame, vocabulary: np.ndarray | None = None, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The index table of the documents, stored: postings of all terms, or of
-    the sorted term hashes in ``vocabulary`` when only those will be asked for."""
-    shared = docs.sparkSession.sparkContext.broadcast(vocabulary)
+def build_index(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The index table of the documents, stored: postings of all their terms."""
     rows = docs.select(docs[id_col].cast("long").alias("doc_id"), docs[text_col].alias("text"))
 
     def index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        wanted = shared.value
         for batch in batches:
             for part in arrays.slices(batch, "text", SHARD_BYTES):
                 hashes, first = terms_of(part.column(1))
-                at = np.arange(len(hashes))
-                if wanted is not None:
-                    slot = np.searchsorted(wanted, hashes)
-                    at = np.flatnonzero(wanted[np.minimum(slot, len(wanted) - 1)] == hashes) if len(wanted) else at[:0]
-                order = at[np.argsort(hashes[at], kind="stable")]
+                order = np.argsort(hashes, kind="stable")
                 terms, counts = np.unique(hashes[order], return_counts=True)
                 n = np.array([part.num_rows])
                 yield pa.RecordBatch.from_arrays(
@@ -178,11 +171,9 @@ def decontaminate(docs: DataFrame, items: DataFrame, *, window: int = 10, slack:
     asked = items.select(items[item_col].cast("long").alias("item_id"), items[item_text_col].alias("text"))
     size = asked.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     blocks = max(1, math.ceil(size / QUERY_BYTES))
+    index = build_index(docs, id_col=id_col, text_col=text_col)
     if blocks == 1:
-        query = phrases(asked, window)
-        return search(build_index(docs, query.vocabulary, id_col=id_col, text_col=text_col), query, slack=slack).drop("shard", "place")
-    keyed = docs.select(docs[id_col].cast("long").alias("doc_id"), docs[text_col].alias("text"))
-    index = build_index(keyed)
+        return search(index, phrases(asked, window), slack=slack).drop("shard", "place")
     found = None
     for block in range(blocks):
         part = search(index, phrases(asked.where(F.pmod(F.xxhash64("text"), F.lit(blocks)) == block), window), slack=slack)

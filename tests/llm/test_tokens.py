@@ -143,6 +143,18 @@ def test_decontamination(spark, monkeypatch, block):
     assert sorted(((r.doc_id, r.n_words, r.hits, r["items"]) for r in got.collect()), key=str) == brute_hits(rows, items, 10)
 
 
+def test_decontamination_index_holds_all_terms(spark, monkeypatch):
+    """The query's index has the postings of all training tokens, also of words
+    that no benchmark item holds."""
+    kept, build = [], decontamination.build_index
+    monkeypatch.setattr(decontamination, "build_index", lambda *a, **k: kept.append(build(*a, **k)) or kept[-1])
+    docs = spark.createDataFrame([(1, "alpha beta gamma alpha"), (2, "delta"), (3, None)], "doc_id long, text string")
+    items = spark.createDataFrame([(1, "beta gamma")], "item_id long, text string")
+    found = {r.doc_id: r.hits for r in decontamination.decontaminate(docs, items).collect()}
+    assert found == {1: [1, 2], 2: [], 3: []}
+    assert sum(len(r.positions) // 4 for r in kept[0].collect()) == 5
+
+
 def test_decontamination_slack_and_empty(spark, edges, nothing):
     items = spark.createDataFrame([(1, "alpha beta gamma delta")], "item_id long, text string")
     docs = spark.createDataFrame([(1, "x alpha beta gamma delta"), (2, "alpha beta well gamma delta"), (3, "alpha one two three beta gamma delta")], "doc_id long, text string")
