@@ -11,8 +11,10 @@ rarest term's list, and so on, which leaves exact phrase matches; with
 (proximity matches). A document lies in one shard, so nothing is shuffled.
 
 Bounds: one shard holds about ``SHARD_BYTES`` of text or one longer document.
-Phrases go to all tasks in blocks of at most ``QUERY_BYTES`` of item text; a
-larger item table is searched block by block. Terms are 64-bit hashes.
+The phrases are a table of distinct (window, item) pairs, dealt by hash into
+blocks of about ``QUERY_BYTES`` of term hashes and ids, whatever the length of
+an item; the driver holds one block at a time, as arrays, and sends it to all
+tasks. Several blocks read the index once each. Terms are 64-bit hashes.
 
 Defined results: null and empty texts have no words, no windows and no hits;
 repeated rows of documents each give their row, repeated items count once;
@@ -35,6 +37,7 @@ from obs_analytics.llm import arrays
 from obs_analytics.llm.checkpoints import table
 
 SHARD_BYTES, QUERY_BYTES = 512 << 10, 32 << 20
+WINDOW_ROWS = 1 << 16  # windows in one batch of their table
 INDEX_SCHEMA = "doc_ids array<long>, first array<int>, terms binary, counts binary, positions binary"
 
 
@@ -49,34 +52,57 @@ def terms_of(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 @dataclass
 class Phrases:
-    """Distinct windows of a block of items, as term numbers by offset (-1 after
-    the end of a short window), and the items that hold each window."""
+    """Distinct windows of a block, as term numbers by offset (-1 after the end
+    of a short window), and the items that hold window w:
+    ``items[first[w]:first[w + 1]]``."""
 
     vocabulary: np.ndarray
     terms: np.ndarray
     lengths: np.ndarray
-    items: list[list[int]]
+    first: np.ndarray
+    items: np.ndarray
 
 
-def phrases(items: DataFrame, window: int) -> Phrases:
-    """The windows of the items (columns item_id, text), collected: the caller
-    has checked their size."""
+def windows(items: DataFrame, window: int) -> DataFrame:
+    """The distinct (item_id, terms) of items (columns item_id, text), stored:
+    the term hashes of each window, those of all words for a shorter item."""
 
-    def words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            hashes, first = terms_of(batch.column(1))
-            yield pa.RecordBatch.from_arrays([batch.column(0), arrays.list_array(pa.array(arrays.signed(hashes)), np.diff(first))], names=["item_id", "terms"])
-
-    found: dict[tuple, set[int]] = {}
-    for row in items.mapInArrow(words, "item_id long, terms array<long>").collect():
-        for at in range(max(len(row.terms) - window, 0) + 1 if row.terms else 0):
-            found.setdefault(tuple(row.terms[at : at + window]), set()).update([] if row.item_id is None else [row.item_id])
-    ordered = sorted(found)
-    vocabulary = np.unique(np.array([t for w in ordered for t in w], np.int64).view(arrays.U64))
-    terms = np.full((len(ordered), window), -1, np.int64)
-    for i, w in enumerate(ordered):
-        terms[i, : len(w)] = np.searchsorted(vocabulary, np.array(w, np.int64).view(arrays.U64))
-    return Phrases(vocabulary, terms, np.array([len(w) for w in ordered], np.int64), [sorted(found[w]) for w in ordered])
+            for part in arrays.slices(batch, "text"):
+                hashes, first = terms_of(part.column(1))
+                size = np.diff(first)
+                short = np.flatnonzero((size > 0) & (size < window))
+                start = np.concatenate([arrays.window_starts(first, window), first[short]])
+                length = np.concatenate([np.full(len(start) - len(short), window), size[short]])
+                owner = np.searchsorted(first, start, "right") - 1
+                for at in range(0, len(start), WINDOW_ROWS):
+                    s, n = start[at : at + WINDOW_ROWS], length[at : at + WINDOW_ROWS]
+                    data = hashes[np.repeat(s, n) + arrays.ramp(n)].astype("<u8").tobytes()
+                    ids = part.column(0).take(pa.array(owner[at : at + WINDOW_ROWS]))
+                    yield pa.RecordBatch.from_arrays([ids, arrays.binaries(data, 8 * n)], names=["item_id", "terms"])
+
+    return table(items.mapInArrow(cut, "item_id long, terms binary").distinct(), "windows")
+
+
+def phrases(block: DataFrame, window: int) -> Phrases:
+    """A block of the windows table, collected: the caller has bounded it."""
+    found = block.select("item_id", "terms").toArrow().combine_chunks()
+    coded = found.column("terms").to_pylist()
+    size = np.fromiter(map(len, coded), np.int64, len(coded)) // 8
+    hashes = np.frombuffer(b"".join(coded), "<u8").astype(arrays.U64)
+    del coded
+    vocabulary = np.unique(hashes)
+    terms = np.full((len(size), window), -1, np.int64)
+    terms[np.repeat(np.arange(len(size)), size), arrays.ramp(size)] = np.searchsorted(vocabulary, hashes)
+    order = np.lexsort(terms.T)
+    terms, size = terms[order], size[order]
+    new = np.ones(len(size), bool)
+    new[1:] = (terms[1:] != terms[:-1]).any(axis=1)
+    ids = found.column("item_id").take(pa.array(order))
+    named = ids.is_valid().to_numpy(zero_copy_only=False)
+    held = np.bincount((np.cumsum(new) - 1)[named], minlength=int(new.sum()))
+    return Phrases(vocabulary, terms[new], size[new], np.concatenate([[0], np.cumsum(held)]), ids.drop_null().to_numpy())
 
 
 def build_index(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -153,12 +179,11 @@ def search(index: DataFrame, query: Phrases, *, slack: int = 0) -> DataFrame:
                 np.add.at(cover, start + query.lengths[which], -1)
                 hit = np.flatnonzero(np.cumsum(cover)[:-1] > 0)
                 own = np.searchsorted(first, hit, "right") - 1
-                items: list[list[int]] = [[] for _ in range(len(ids))]
-                docs, windows = arrays.unique_pairs(np.searchsorted(first, start, "right") - 1, which)
-                for d, w in zip(docs, windows, strict=True):
-                    items[d] += query.items[w]
+                docs, found = arrays.unique_pairs(np.searchsorted(first, start, "right") - 1, which)
+                held = (query.first[1:] - query.first[:-1])[found]
+                docs, items = arrays.unique_pairs(np.repeat(docs, held), query.items[np.repeat(query.first[:-1][found], held) + arrays.ramp(held)])
                 yield pa.RecordBatch.from_arrays(
-                    [ids, pa.array(np.diff(first)), arrays.list_array(pa.array((hit - first[own]).astype(np.int32)), np.bincount(own, minlength=len(ids))), pa.array([sorted(set(x)) for x in items], pa.list_(pa.int64())), pa.array([batch.column(5)[i].as_py()] * len(ids), pa.int64()), pa.array(np.arange(len(ids)))],
+                    [ids, pa.array(np.diff(first)), arrays.list_array(pa.array((hit - first[own]).astype(np.int32)), np.bincount(own, minlength=len(ids))), arrays.list_array(pa.array(items, pa.int64()), np.bincount(docs, minlength=len(ids))), pa.array([batch.column(5)[i].as_py()] * len(ids), pa.int64()), pa.array(np.arange(len(ids)))],
                     names=["doc_id", "n_words", "hits", "items", "shard", "place"],
                 )
 
@@ -169,14 +194,15 @@ def decontaminate(docs: DataFrame, items: DataFrame, *, window: int = 10, slack:
     """Per document: doc_id, n_words, ``hits`` and ``items`` for the windows of
     ``window`` consecutive item words (an item with fewer is one window)."""
     asked = items.select(items[item_col].cast("long").alias("item_id"), items[item_text_col].alias("text"))
-    size = asked.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    blocks = max(1, math.ceil(size / QUERY_BYTES))
+    pairs = windows(asked, window)
+    blocks = max(1, math.ceil(pairs.count() / max(1, QUERY_BYTES // (8 * window + 8))))
     index = build_index(docs, id_col=id_col, text_col=text_col)
     if blocks == 1:
-        return search(index, phrases(asked, window), slack=slack).drop("shard", "place")
+        return search(index, phrases(pairs, window), slack=slack).drop("shard", "place")
     found = None
     for block in range(blocks):
-        part = search(index, phrases(asked.where(F.pmod(F.xxhash64("text"), F.lit(blocks)) == block), window), slack=slack)
+        part = search(index, phrases(pairs.where(F.pmod(F.xxhash64("terms", "item_id"), F.lit(blocks)) == block), window), slack=slack)
+        part = table(part.where(F.size("hits") > 0) if block else part, "found")
         found = part if found is None else found.unionByName(part)
     merge = lambda c: F.array_sort(F.array_distinct(F.flatten(F.collect_list(c)))).alias(c)
     return found.groupBy("shard", "place", "doc_id", "n_words").agg(merge("hits"), merge("items")).drop("shard", "place")

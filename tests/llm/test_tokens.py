@@ -155,6 +155,23 @@ def test_decontamination_index_holds_all_terms(spark, monkeypatch):
     assert sum(len(r.positions) // 4 for r in kept[0].collect()) == 5
 
 
+def test_decontamination_blocks_are_bounded(spark, monkeypatch):
+    """No block that the driver collects is much above the bound, even of one
+    long item, and results are those of a single block."""
+    rng = random.Random(8)
+    long = " ".join(f"q{rng.randrange(5000)}" for _ in range(3000))
+    items = spark.createDataFrame([(1, long), (2, long), (None, long), (3, "two words")], "item_id long, text string")
+    ws = long.split()
+    docs = spark.createDataFrame([(1, " ".join(ws[100:140])), (2, "these two words here"), (3, long), (4, "none")], "doc_id long, text string")
+    whole = sorted(map(tuple, decontamination.decontaminate(docs, items).collect()))
+    sizes, collect = [], decontamination.phrases
+    monkeypatch.setattr(decontamination, "phrases", lambda *a: sizes.append((q := collect(*a)).terms.size) or q)
+    monkeypatch.setattr(decontamination, "QUERY_BYTES", 200_000)
+    assert sorted(map(tuple, decontamination.decontaminate(docs, items).collect())) == whole
+    assert [(r[0], len(r[2]), r[3]) for r in whole] == [(1, 40, [1, 2]), (2, 2, [3]), (3, 3000, [1, 2]), (4, 0, [])]
+    assert len(sizes) > 3 and max(sizes) * 8 < 300_000
+
+
 def test_decontamination_slack_and_empty(spark, edges, nothing):
     items = spark.createDataFrame([(1, "alpha beta gamma delta")], "item_id long, text string")
     docs = spark.createDataFrame([(1, "x alpha beta gamma delta"), (2, "alpha beta well gamma delta"), (3, "alpha one two three beta gamma delta")], "doc_id long, text string")
