@@ -25,8 +25,9 @@ of word shingles. Documents with equal sets are one class, compared once.
 
 Defined results: null, empty and wordless texts have the empty set and link
 with nothing; ties (equal sets) are one class; rows that share an id are one
-node, linked by any of their texts; rows without an id get a null component
-unless they link to one; an empty table gives an empty table; further columns
+node, linked by any of their texts; rows without an id are one node per text (a
+negative number from its 64-bit hash), so they bridge groups only by links of
+that text, and get a null component unless their group has an id; an empty table gives an empty table; further columns
 are left out. Shingles are told apart by 64-bit hashes, classes by 128 bits.
 """
 
@@ -44,7 +45,7 @@ from obs_analytics.llm import arrays, sketch
 from obs_analytics.llm.checkpoints import table
 from obs_analytics.llm.graph import components
 
-NONE = (1 << 63) - 1  # node of rows without an id
+NAMELESS = -(1 << 63)  # bit of the nodes of rows without an id
 ROWS, COLUMNS = 256, 1 << 14
 CELLS = 1 << 26  # each of the two bitmaps that go to all tasks is 16 MB
 
@@ -159,7 +160,8 @@ def jaccard_join(docs: DataFrame, *, width: int = 3, percent: int = 90, cells: i
     """Per document: doc_id, n_shingles and component_id, the smallest id that
     links reach from it."""
     spark = docs.sparkSession
-    rows = docs.select(F.coalesce(docs[id_col].cast("long"), F.lit(NONE)).alias("node"), docs[text_col].alias("text"))
+    rows = docs.select(docs[id_col].cast("long").alias("id"), docs[text_col].alias("text"))
+    rows = rows.select(F.coalesce("id", F.xxhash64("text").bitwiseOR(F.lit(NAMELESS))).alias("node"), "text", "id")
 
     def keys_of(texts: pa.Array) -> np.ndarray:
         return part_keys(*shingle_sets(texts, width), len(texts), percent)[0]
@@ -178,28 +180,33 @@ def jaccard_join(docs: DataFrame, *, width: int = 3, percent: int = 90, cells: i
                 again = sketch.reaches(shared.value, keys)
                 holder, keys = arrays.unique_pairs(holder[again], keys[again])
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0), pa.array(np.diff(ends)), pa.array(mark[:, 0]), pa.array(mark[:, 1]), arrays.list_array(pa.array(arrays.signed(keys)), np.bincount(holder, minlength=part.num_rows))],
-                    names=["node", "n", "mark1", "mark2", "keys"],
+                    [part.column(0), part.column(2), pa.array(np.diff(ends)), pa.array(mark[:, 0]), pa.array(mark[:, 1]), arrays.list_array(pa.array(arrays.signed(keys)), np.bincount(holder, minlength=part.num_rows))],
+                    names=["node", "id", "n", "mark1", "mark2", "keys"],
                 )
 
-    signed = table(rows.mapInArrow(signatures, "node long, n long, mark1 long, mark2 long, keys array<long>"), "signatures")
-    own = signed.select("node", "n", "mark1", "mark2")
-    classes = own.where("n > 0").groupBy("mark1", "mark2").agg(F.min("node").alias("first"), F.count("*").alias("copies"))
-    copied = classes.where("copies > 1").select("mark1", "mark2", "first")
+    signed = table(rows.mapInArrow(signatures, "node long, id long, n long, mark1 long, mark2 long, keys array<long>"), "signatures")
+    own = signed.select("node", "id", "n", "mark1", "mark2")
+    classes = own.where("n > 0").groupBy("mark1", "mark2").agg(F.min("id").alias("least"), F.min("node").alias("first"), F.count("*").alias("copies"))
+    copied = classes.where("copies > 1").select("mark1", "mark2", F.coalesce("least", "first").alias("first"), "least")
     firsts = signed.where(F.size("keys") > 0).select("node", "mark1", "mark2", "keys").join(copied, ["mark1", "mark2"], "left").where("first is null or first = node")
     listed = firsts.select("node", F.explode("keys").alias("key"))
     hubs = listed.groupBy("key").agg(F.min("node").alias("hub"), F.max("node").alias("other")).where("hub <> other").select("key", "hub")
     clusters = components(listed.join(hubs, "key").select(F.col("node").alias("a"), F.col("hub").alias("b")))
-    linked = own.join(copied, ["mark1", "mark2"], "left").select("node", "n", F.when(F.col("n") > 0, F.coalesce("first", "node")).otherwise(F.col("node")).alias("first"))
+    linked = own.join(copied, ["mark1", "mark2"], "left")
+    linked = linked.select("node", "id", "n", F.when(F.col("n") > 0, F.coalesce("first", "node")).otherwise(F.col("node")).alias("first"), F.coalesce("least", "id").alias("least"))
     # rows that share an id but not their text tie their classes together
     several = own.groupBy("node").agg(F.min("mark1").alias("low"), F.max("mark1").alias("high")).where("low <> high").select("node")
     tied = linked.join(several, "node", "left_semi").select(F.col("node").alias("a"), F.col("first").alias("b"))
-    found = block_links(member_sets(rows, clusters, width, cells), clusters, own.where("n > 0").select("node", "n"), percent)
+    texts = rows.where("id is not null").union(rows.where("id is null").dropDuplicates(["node"])).select("node", "text")
+    found = block_links(member_sets(texts, clusters, width, cells), clusters, own.where("n > 0").select("node", "n"), percent)
     links = components(found.union(tied))
+    nameless = own.where("id is null").select("node", F.lit(True).alias("nameless")).distinct()
+    least = links.join(nameless, "node", "left").groupBy("component").agg(F.min(F.when(F.col("nameless").isNull(), F.col("node"))).alias("least_id"))
+    links = links.join(least, "component").select(F.col("node").alias("member"), "least_id")
 
-    result = linked.join(links, linked["first"] == links["node"], "left").select(linked["node"], "n", F.coalesce("component", "first").alias("component"))
+    result = linked.join(links, linked["first"] == links["member"], "left")
     return result.select(
-        F.nullif("node", F.lit(NONE)).alias("doc_id"), F.col("n").alias("n_shingles"), F.nullif("component", F.lit(NONE)).alias("component_id")
+        F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"), F.when(F.col("member").isNull(), F.col("least")).otherwise(F.col("least_id")).alias("component_id")
     )
 
 

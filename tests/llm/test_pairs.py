@@ -231,6 +231,18 @@ def test_jaccard(spark, monkeypatch, width, percent, most):
     assert sorted(map(tuple, got.collect()), key=str) == brute_components(rows, width, percent)
 
 
+def test_jaccard_rows_without_an_id_bridge_nothing(spark):
+    """Copies without an id join their own groups and tie none together; a
+    text without an id that links to two documents still joins them."""
+    a, b, c, e = (" ".join(f"{x}{i}" for i in range(60)) for x in "abce")
+    near = lambda text, *at: " ".join(f"z{i}" if i in at else w for i, w in enumerate(text.split()))
+    rows = [(5, a), (9, b), (None, a), (None, b), (None, near(b, 0)), (None, c), (None, near(c, 0)), (-7, e), (None, e), (None, ""), (None, None)]
+    rows += [(20, "k " + a + " " + c), (21, near("k " + a + " " + c, 0, 1, 2)), (None, near("k " + a + " " + c, 0))]
+    got = jaccard_join.jaccard_join(spark.createDataFrame(rows, "doc_id long, text string"), cells=1 << 18).collect()
+    assert sorted(((r.doc_id, r.component_id) for r in got), key=str) == sorted(
+        [(5, 5), (9, 9), (-7, -7), (20, 20), (21, 20), *((None, x) for x in (5, 9, 9, None, None, -7, None, None, 20))], key=str)
+
+
 def test_jaccard_clashing_columns_and_empty(edges, nothing):
     assert jaccard_join.jaccard_join(edges, cells=1 << 18).count() == len(EDGES)
     assert jaccard_join.jaccard_join(nothing, cells=1 << 18).count() == 0
