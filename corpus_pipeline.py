@@ -4,14 +4,15 @@ Each stage takes (spark, docs, sf_dir) and returns a DataFrame that is written
 as Parquet and read again as the next stage's documents. All but the last
 return the columns of documents.
 
-Rows without an id pass the stages that compare documents by id; rows that
-share an id stay or go together there.
+Decisions are taken back to the rows by id (also a null id) and text: rows that
+share an id but not their text are judged each by its own text, except that
+near_copies compares them as one document and lets one of equal rows with words stay.
 """
 
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from obs_analytics.llm import byte_bpe, decontamination, jaccard_join, line_dedup, quality
@@ -23,6 +24,11 @@ BYTE_RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
+def _same_row(docs: DataFrame, keys: DataFrame) -> Column:
+    """Whether a document has an id and text of ``keys`` (id, text_key)."""
+    return docs["doc_id"].eqNullSafe(keys["id"]) & (F.xxhash64(docs["text"]) == keys["text_key"])
+
+
 def good_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality discriminant scores 0.5 or more. It learns
     from all labels outside the held-out fold."""
@@ -31,7 +37,7 @@ def good_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     vectors = quality.measured(docs)
     model = quality.train(vectors, labels.select("doc_id", F.col("quality").alias("label")))
     good = quality.score(vectors, model).where("score >= 0.5").select(F.col("doc_id").alias("id"), "text_key")
-    return docs.join(good, docs["doc_id"].eqNullSafe(good["id"]) & (F.xxhash64(docs["text"]) == good["text_key"]), "left_semi").select(COLUMNS)
+    return docs.join(good, _same_row(docs, good), "left_semi").select(COLUMNS)
 
 
 def distinct_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -45,18 +51,22 @@ def distinct_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The first document of each group linked by a Jaccard likeness of 0.8 or
-    more over five-word shingles."""
+    more over five-word shingles; wordless texts link with nothing and stay."""
     ship(spark)
-    found = jaccard_join.jaccard_join(docs, width=5, percent=80)
-    later = found.where("doc_id <> component_id").select("doc_id")
-    return docs.join(later, "doc_id", "left_anti").select(COLUMNS)
+    found = table(jaccard_join.jaccard_join(docs, width=5, percent=80, keyed=True).select(F.col("doc_id").alias("id"), "text_key", "n_shingles", "leads"), "groups")
+    later = found.where("not leads").select("id", "text_key")
+    repeated = found.where("leads and n_shingles > 0").groupBy("id", "text_key").count().where("count > 1").select("id", "text_key")
+    once = docs.join(repeated, _same_row(docs, repeated), "left_semi").select(COLUMNS).dropDuplicates(["doc_id", "text"])
+    gone = later.union(repeated)
+    return docs.join(gone, _same_row(docs, gone), "left_anti").select(COLUMNS).union(once)
 
 
 def uncontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a ten-word phrase of a benchmark item."""
     ship(spark)
-    found = decontamination.decontaminate(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
-    return docs.join(found.where(F.size("hits") > 0).select("doc_id"), "doc_id", "left_anti").select(COLUMNS)
+    found = decontamination.decontaminate(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"), keyed=True)
+    hit = found.where(F.size("hits") > 0).select(F.col("doc_id").alias("id"), "text_key")
+    return docs.join(hit, _same_row(docs, hit), "left_anti").select(COLUMNS)
 
 
 def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -38,7 +38,7 @@ from obs_analytics.llm.checkpoints import table
 
 SHARD_BYTES, QUERY_BYTES = 512 << 10, 32 << 20
 WINDOW_ROWS = 1 << 16  # windows in one batch of their table
-INDEX_SCHEMA = "doc_ids array<long>, first array<int>, terms binary, counts binary, positions binary"
+INDEX_SCHEMA = "doc_ids array<long>, keys array<long>, first array<int>, terms binary, counts binary, positions binary"
 
 
 def terms_of(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -107,7 +107,7 @@ def phrases(block: DataFrame, window: int) -> Phrases:
 
 def build_index(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The index table of the documents, stored: postings of all their terms."""
-    rows = docs.select(docs[id_col].cast("long").alias("doc_id"), docs[text_col].alias("text"))
+    rows = docs.select(docs[id_col].cast("long").alias("doc_id"), docs[text_col].alias("text"), F.xxhash64(docs[text_col]).alias("text_key"))
 
     def index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -118,10 +118,10 @@ def build_index(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "tex
                 n = np.array([part.num_rows])
                 yield pa.RecordBatch.from_arrays(
                     [
-                        arrays.list_array(part.column(0), n), arrays.list_array(pa.array(first.astype(np.int32)), n + 1),
+                        arrays.list_array(part.column(0), n), arrays.list_array(part.column(2), n), arrays.list_array(pa.array(first.astype(np.int32)), n + 1),
                         *(pa.array([x.tobytes()], pa.binary()) for x in (terms.astype("<u8"), counts.astype("<u4"), order.astype("<u4"))),
                     ],
-                    names=["doc_ids", "first", "terms", "counts", "positions"],
+                    names=["doc_ids", "keys", "first", "terms", "counts", "positions"],
                 )
 
     return table(rows.mapInArrow(index, INDEX_SCHEMA).withColumn("shard", F.monotonically_increasing_id()), "postings")
@@ -162,7 +162,7 @@ def matches(terms: np.ndarray, counts: np.ndarray, positions: np.ndarray, query:
 
 
 def search(index: DataFrame, query: Phrases, *, slack: int = 0) -> DataFrame:
-    """Per indexed document: doc_id, n_words, ``hits`` (its word positions inside
+    """Per indexed document: doc_id, text_key (the xxhash64 of its text), n_words, ``hits`` (its word positions inside
     matches, ascending), ``items`` (ids of the items with matches), and shard
     and place, which tell rows of the same id apart."""
     shared = index.sparkSession.sparkContext.broadcast(query)
@@ -171,8 +171,8 @@ def search(index: DataFrame, query: Phrases, *, slack: int = 0) -> DataFrame:
         query = shared.value
         for batch in batches:
             for i in range(batch.num_rows):
-                ids, first = batch.column(0)[i].values, batch.column(1)[i].values.to_numpy().astype(np.int64)
-                terms, counts, positions = (np.frombuffer(batch.column(c)[i].as_buffer(), kind).astype(wide) for c, kind, wide in ((2, "<u8", arrays.U64), (3, "<u4", np.int64), (4, "<u4", np.int64)))
+                ids, keys, first = batch.column(0)[i].values, batch.column(1)[i].values, batch.column(2)[i].values.to_numpy().astype(np.int64)
+                terms, counts, positions = (np.frombuffer(batch.column(c)[i].as_buffer(), kind).astype(wide) for c, kind, wide in ((3, "<u8", arrays.U64), (4, "<u4", np.int64), (5, "<u4", np.int64)))
                 which, start = matches(terms, counts, positions, query, first, slack)
                 cover = np.zeros(int(first[-1]) + 1, np.int64)
                 np.add.at(cover, start, 1)
@@ -183,26 +183,27 @@ def search(index: DataFrame, query: Phrases, *, slack: int = 0) -> DataFrame:
                 held = (query.first[1:] - query.first[:-1])[found]
                 docs, items = arrays.unique_pairs(np.repeat(docs, held), query.items[np.repeat(query.first[:-1][found], held) + arrays.ramp(held)])
                 yield pa.RecordBatch.from_arrays(
-                    [ids, pa.array(np.diff(first)), arrays.list_array(pa.array((hit - first[own]).astype(np.int32)), np.bincount(own, minlength=len(ids))), arrays.list_array(pa.array(items, pa.int64()), np.bincount(docs, minlength=len(ids))), pa.array([batch.column(5)[i].as_py()] * len(ids), pa.int64()), pa.array(np.arange(len(ids)))],
-                    names=["doc_id", "n_words", "hits", "items", "shard", "place"],
+                    [ids, keys, pa.array(np.diff(first)), arrays.list_array(pa.array((hit - first[own]).astype(np.int32)), np.bincount(own, minlength=len(ids))), arrays.list_array(pa.array(items, pa.int64()), np.bincount(docs, minlength=len(ids))), pa.array([batch.column(6)[i].as_py()] * len(ids), pa.int64()), pa.array(np.arange(len(ids)))],
+                    names=["doc_id", "text_key", "n_words", "hits", "items", "shard", "place"],
                 )
 
-    return index.mapInArrow(run, "doc_id long, n_words long, hits array<int>, items array<long>, shard long, place long")
+    return index.mapInArrow(run, "doc_id long, text_key long, n_words long, hits array<int>, items array<long>, shard long, place long")
 
 
-def decontaminate(docs: DataFrame, items: DataFrame, *, window: int = 10, slack: int = 0, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
-    """Per document: doc_id, n_words, ``hits`` and ``items`` for the windows of
+def decontaminate(docs: DataFrame, items: DataFrame, *, window: int = 10, slack: int = 0, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", keyed: bool = False) -> DataFrame:
+    """Per document: doc_id, with ``keyed`` text_key (the xxhash64 of its text), n_words, ``hits`` and ``items`` for the windows of
     ``window`` consecutive item words (an item with fewer is one window)."""
     asked = items.select(items[item_col].cast("long").alias("item_id"), items[item_text_col].alias("text"))
     pairs = windows(asked, window)
     blocks = max(1, math.ceil(pairs.count() / max(1, QUERY_BYTES // (8 * window + 8))))
     index = build_index(docs, id_col=id_col, text_col=text_col)
+    inner = ["shard", "place"] if keyed else ["shard", "place", "text_key"]
     if blocks == 1:
-        return search(index, phrases(pairs, window), slack=slack).drop("shard", "place")
+        return search(index, phrases(pairs, window), slack=slack).drop(*inner)
     found = None
     for block in range(blocks):
         part = search(index, phrases(pairs.where(F.pmod(F.xxhash64("terms", "item_id"), F.lit(blocks)) == block), window), slack=slack)
         part = table(part.where(F.size("hits") > 0) if block else part, "found")
         found = part if found is None else found.unionByName(part)
     merge = lambda c: F.array_sort(F.array_distinct(F.flatten(F.collect_list(c)))).alias(c)
-    return found.groupBy("shard", "place", "doc_id", "n_words").agg(merge("hits"), merge("items")).drop("shard", "place")
+    return found.groupBy("shard", "place", "doc_id", "text_key", "n_words").agg(merge("hits"), merge("items")).drop(*inner)

@@ -156,12 +156,14 @@ def links_in(ids: np.ndarray, sides: np.ndarray, sets: list[np.ndarray], percent
     return _forest(ids[i[ok]], ids[j[ok]])
 
 
-def jaccard_join(docs: DataFrame, *, width: int = 3, percent: int = 90, cells: int = CELLS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def jaccard_join(docs: DataFrame, *, width: int = 3, percent: int = 90, cells: int = CELLS, id_col: str = "doc_id", text_col: str = "text", keyed: bool = False) -> DataFrame:
     """Per document: doc_id, n_shingles and component_id, the smallest id that
-    links reach from it."""
+    links reach from it; with ``keyed`` also text_key, the xxhash64 of its text,
+    and leads, whether it is the document that its group is named after (in a
+    group without ids, the one text that stands for it)."""
     spark = docs.sparkSession
     rows = docs.select(docs[id_col].cast("long").alias("id"), docs[text_col].alias("text"))
-    rows = rows.select(F.coalesce("id", F.xxhash64("text").bitwiseOR(F.lit(NAMELESS))).alias("node"), "text", "id")
+    rows = rows.select(F.coalesce("id", F.xxhash64("text").bitwiseOR(F.lit(NAMELESS))).alias("node"), "text", "id", F.xxhash64("text").alias("text_key"))
 
     def keys_of(texts: pa.Array) -> np.ndarray:
         return part_keys(*shingle_sets(texts, width), len(texts), percent)[0]
@@ -180,12 +182,12 @@ def jaccard_join(docs: DataFrame, *, width: int = 3, percent: int = 90, cells: i
                 again = sketch.reaches(shared.value, keys)
                 holder, keys = arrays.unique_pairs(holder[again], keys[again])
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0), part.column(2), pa.array(np.diff(ends)), pa.array(mark[:, 0]), pa.array(mark[:, 1]), arrays.list_array(pa.array(arrays.signed(keys)), np.bincount(holder, minlength=part.num_rows))],
-                    names=["node", "id", "n", "mark1", "mark2", "keys"],
+                    [part.column(0), part.column(2), part.column(3), pa.array(np.diff(ends)), pa.array(mark[:, 0]), pa.array(mark[:, 1]), arrays.list_array(pa.array(arrays.signed(keys)), np.bincount(holder, minlength=part.num_rows))],
+                    names=["node", "id", "text_key", "n", "mark1", "mark2", "keys"],
                 )
 
-    signed = table(rows.mapInArrow(signatures, "node long, id long, n long, mark1 long, mark2 long, keys array<long>"), "signatures")
-    own = signed.select("node", "id", "n", "mark1", "mark2")
+    signed = table(rows.mapInArrow(signatures, "node long, id long, text_key long, n long, mark1 long, mark2 long, keys array<long>"), "signatures")
+    own = signed.select("node", "id", "text_key", "n", "mark1", "mark2")
     classes = own.where("n > 0").groupBy("mark1", "mark2").agg(F.min("id").alias("least"), F.min("node").alias("first"), F.count("*").alias("copies"))
     copied = classes.where("copies > 1").select("mark1", "mark2", F.coalesce("least", "first").alias("first"), "least")
     firsts = signed.where(F.size("keys") > 0).select("node", "mark1", "mark2", "keys").join(copied, ["mark1", "mark2"], "left").where("first is null or first = node")
@@ -193,7 +195,7 @@ def jaccard_join(docs: DataFrame, *, width: int = 3, percent: int = 90, cells: i
     hubs = listed.groupBy("key").agg(F.min("node").alias("hub"), F.max("node").alias("other")).where("hub <> other").select("key", "hub")
     clusters = components(listed.join(hubs, "key").select(F.col("node").alias("a"), F.col("hub").alias("b")))
     linked = own.join(copied, ["mark1", "mark2"], "left")
-    linked = linked.select("node", "id", "n", F.when(F.col("n") > 0, F.coalesce("first", "node")).otherwise(F.col("node")).alias("first"), F.coalesce("least", "id").alias("least"))
+    linked = linked.select("node", "id", "text_key", "n", F.when(F.col("n") > 0, F.coalesce("first", "node")).otherwise(F.col("node")).alias("first"), F.coalesce("least", "id").alias("least"))
     # rows that share an id but not their text tie their classes together
     several = own.groupBy("node").agg(F.min("mark1").alias("low"), F.max("mark1").alias("high")).where("low <> high").select("node")
     tied = linked.join(several, "node", "left_semi").select(F.col("node").alias("a"), F.col("first").alias("b"))
@@ -202,11 +204,12 @@ def jaccard_join(docs: DataFrame, *, width: int = 3, percent: int = 90, cells: i
     links = components(found.union(tied))
     nameless = own.where("id is null").select("node", F.lit(True).alias("nameless")).distinct()
     least = links.join(nameless, "node", "left").groupBy("component").agg(F.min(F.when(F.col("nameless").isNull(), F.col("node"))).alias("least_id"))
-    links = links.join(least, "component").select(F.col("node").alias("member"), "least_id")
+    links = links.join(least, "component").select(F.col("node").alias("member"), "least_id", F.coalesce("least_id", "component").alias("leader"))
 
     result = linked.join(links, linked["first"] == links["member"], "left")
     return result.select(
-        F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"), F.when(F.col("member").isNull(), F.col("least")).otherwise(F.col("least_id")).alias("component_id")
+        F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"), F.when(F.col("member").isNull(), F.col("least")).otherwise(F.col("least_id")).alias("component_id"),
+        *([F.col("text_key"), (F.col("node") == F.coalesce("leader", "first")).alias("leads")] if keyed else []),
     )
 
 

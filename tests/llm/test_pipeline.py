@@ -60,3 +60,23 @@ def test_edge_rows(spark):
             now = table(stage(spark, now, SF001), "edge")
         assert now.where("not round_trip").count() == 0
     assert public_tokenizers.path("byte_bpe_50k.tiktoken") == corpus_pipeline.BYTE_RANKS
+
+
+def test_decisions_apply_to_rows(spark):
+    """Rows without an id go by their own text, a clean row stays beside a
+    contaminated one of its id, and one of several equal rows stays."""
+    item = next(r.text for r in spark.read.parquet(f"{SF001}/benchmark.parquet").orderBy("item_id").collect() if len(r.text.split()) >= 10)
+    a, b, c = (" ".join(f"{x}{i}" for i in range(60)) for x in "abc")
+    frame = lambda data: spark.createDataFrame([(d, t, "en", "s", 0) for d, t in data], "doc_id long, text string, lang string, source string, n_chars long")
+
+    def left(stage, data):
+        return sorted(rows(stage(spark, frame(data), SF001)), key=str)
+
+    got = left(corpus_pipeline.uncontaminated, [(1, item), (1, "clean words"), (None, "x " + item), (None, "no phrase"), (None, None), (2, None)])
+    assert got == sorted([(1, "clean words"), (None, "no phrase"), (None, None), (2, None)], key=str)
+
+    data = [(5, a), (9, b), (None, a), (None, b), (7, "one row"), (7, "one row"), (7, "another text"), (None, c), (None, c), (None, c + " z"), (None, ""), (None, "")]
+    got = left(corpus_pipeline.one_of_each_group, data)
+    rest = [r for r in got if r[0] is not None or not r[1]]
+    assert rest == sorted([(5, a), (9, b), (7, "one row"), (7, "another text"), (None, ""), (None, "")], key=str)
+    assert len(got) == len(rest) + 1 and set(got) - set(rest) <= {(None, c), (None, c + " z")}
