@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from obs_analytics.llm import byte_bpe, decontamination, fingerprints, jaccard_join, language, line_dedup, quality, substring_dedup, token_files, toxicity
+from obs_analytics.llm import byte_bpe, decontamination, fingerprints, hard_negatives, jaccard_join, language, line_dedup, quality, substring_dedup, token_files, toxicity
 from obs_analytics.llm.checkpoints import shared_folder
 from obs_analytics.llm.labelled import fold
 from obs_analytics.llm.shipping import ship
@@ -106,6 +106,13 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", F.coalesce(held_out, F.lit(True)).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"), F.size("spans").alias("n_spans"))
 
 
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors, seventh = read(spark, sf_dir, "embeddings"), F.col("vec_id") % 7 == 0
+    label = F.col("label").cast("long")
+    vectors = vectors.withColumn("label", F.when(seventh, (label + 1) % 10).otherwise(label))
+    return hard_negatives.hard_negatives(vectors, anchor=vectors["vec_id"] % 100 == 0)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_substring_dedup": op1_substring_dedup,
     "op2_fingerprints": op2_fingerprints,
@@ -117,6 +124,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality": op8_quality,
     "op9_decontamination": op9_decontamination,
     "op10_toxicity": op10_toxicity,
+    "op13_hard_negatives": op13_hard_negatives,
 }
 
 _OP1 = r"""
@@ -217,4 +225,26 @@ SELECT words.doc_id, cast(len(ws) AS BIGINT) AS n_words, cast(coalesce(n_hit, 0)
 FROM words LEFT JOIN hit USING (doc_id) LEFT JOIN items USING (doc_id)
 """
 
-SQL: dict[str, str] = {"op1_substring_dedup": _OP1, "op5_line_dedup": _OP5, "op6_jaccard_join": _OP6, "op9_decontamination": _OP9}
+_OP13 = r"""
+WITH vec AS (
+  SELECT vec_id, cast(CASE WHEN vec_id % 7 = 0 THEN (cast(label AS BIGINT) + 1) % 10 ELSE label END AS BIGINT) AS label,
+         list_transform(embedding, lambda x: floor(256 * cast(x AS DOUBLE))) AS v
+  FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0
+), scored AS (
+  SELECT a.vec_id AS anchor_id, b.vec_id AS id, a.label = b.label AS same, cast(list_dot_product(a.v, b.v) AS BIGINT) AS score
+  FROM vec a JOIN vec b ON a.vec_id <> b.vec_id WHERE a.vec_id % 100 = 0
+), positive AS (
+  SELECT anchor_id, id AS positive_id, score AS positive_score FROM scored WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5
+), negative AS (
+  SELECT anchor_id, positive_id, cast(row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, id) AS INTEGER) AS rank,
+         id AS negative_id, positive_score, score AS negative_score
+  FROM positive JOIN scored USING (anchor_id)
+  WHERE NOT same AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score
+)
+SELECT * FROM negative WHERE rank <= 10
+"""
+
+SQL: dict[str, str] = {"op1_substring_dedup": _OP1, "op5_line_dedup": _OP5, "op6_jaccard_join": _OP6, "op9_decontamination": _OP9, "op13_hard_negatives": _OP13}
