@@ -12,8 +12,8 @@ labels whose score lies between ``low`` and ``high`` per cent of the positive's.
 2. A task scores the root of each tree against a tile of rows. The score at a
    child differs from the score at its parent by at most the edge's distance
    times the row's norm, so a row's interval at a child follows from the parent's.
-   Only rows whose interval meets the child's window are scored exactly;
-   where most do, the child is scored for the whole tile in one product.
+   Only rows whose interval meets the child's window are scored exactly; a child
+   that needs many of a tile's rows is scored for the whole tile in one product.
 3. A window starts at the lowest score that can still matter: the rows are taken
    in rounds of a 64th, an 8th and all of them, the bounds of a round being the
    last places of the round before. A bound never exceeds the true last place,
@@ -46,7 +46,7 @@ GROUP_BYTES = 16 << 20  # quantised anchors that are broadcast at a time
 ROUNDS, BUCKETS = ((0, 1), (1, 8), (8, 64)), 64
 SIGNS = 16
 HELD = 1 << 20  # rows that a task gathers before it keeps the best
-DENSE = 0.05  # share of rows to rescore from which one product is cheaper
+DENSE = 0.2  # share of a tile's rows to rescore from which the whole tile is scored in one product
 
 
 def quantised(vectors: pa.Array, scale: float) -> tuple[np.ndarray, np.ndarray]:
@@ -141,23 +141,22 @@ class Search:
                 live = (low <= high).any(1)
                 first, last = np.where(low <= high, low, LAST).min(1), np.where(low <= high, high, -LAST).max(1)
                 wanted = fits & live[:, None] & (largest[nodes] >= first[:, None].astype(float) - 1) & (least[nodes] <= last[:, None].astype(float) + 1)
-                n_wanted = int(wanted.sum())
                 self.seen += wanted.size
-                if root or n_wanted > DENSE * wanted.size:
-                    scores = products(g.vectors[at], vectors)
-                    self.rescored += wanted.size
-                    least[nodes] = largest[nodes] = scores
-                    i, c = np.nonzero(wanted & (scores >= first[:, None]) & (scores <= last[:, None]))
-                    found = scores[i, c]
-                elif n_wanted:
-                    i, c = np.nonzero(wanted)
-                    self.rescored += len(i)
-                    found = np.concatenate([
-                        products(g.vectors[at[i[k : k + 1]]], vectors[c[i == i[k]]])[0] for k in np.flatnonzero(np.diff(i, prepend=-1))
-                    ])
-                    least[nodes[i], c] = largest[nodes[i], c] = found
-                else:
-                    continue
+                share = wanted.mean(1)
+                most = share > (-1 if root else DENSE)
+                scores = products(g.vectors[at[most]], vectors)
+                self.rescored += scores.size
+                least[nodes[most]] = largest[nodes[most]] = scores
+                row = np.flatnonzero(most)
+                i, c = np.nonzero(wanted[most] & (scores >= first[most][:, None]) & (scores <= last[most][:, None]))
+                rows, columns, found = [row[i]], [c], [scores[i, c]]
+                for k in np.flatnonzero(~most & (share > 0)):
+                    c = np.flatnonzero(wanted[k])
+                    scores = products(g.vectors[at[k]][None], vectors[c])[0]
+                    self.rescored += len(c)
+                    least[nodes[k], c] = largest[nodes[k], c] = scores
+                    rows, columns, found = [*rows, np.full(len(c), k)], [*columns, c], [*found, scores]
+                i, c, found = np.concatenate(rows), np.concatenate(columns), np.concatenate(found)
                 for j in range(self.low.shape[1]):
                     ok = (found >= low[i, j]) & (found <= high[i, j])
                     if ok.any():

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from obs_analytics.llm import byte_bpe, decontamination, fingerprints, hard_negatives, jaccard_join, language, line_dedup, quality, substring_dedup, token_files, toxicity
+from obs_analytics.llm import byte_bpe, decontamination, fingerprints, hard_negatives, jaccard_join, language, line_dedup, quality, simhash, substring_dedup, token_files, toxicity
 from obs_analytics.llm.checkpoints import shared_folder
 from obs_analytics.llm.labelled import fold
 from obs_analytics.llm.shipping import ship
@@ -106,6 +106,10 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", F.coalesce(held_out, F.lit(True)).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"), F.size("spans").alias("n_spans"))
 
 
+def op12_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.simhash_dedup(read(spark, sf_dir, "documents"))
+
+
 def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors, seventh = read(spark, sf_dir, "embeddings"), F.col("vec_id") % 7 == 0
     label = F.col("label").cast("long")
@@ -124,6 +128,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality": op8_quality,
     "op9_decontamination": op9_decontamination,
     "op10_toxicity": op10_toxicity,
+    "op12_simhash": op12_simhash,
     "op13_hard_negatives": op13_hard_negatives,
 }
 
