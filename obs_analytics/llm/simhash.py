@@ -169,36 +169,55 @@ def near_links(classes: DataFrame, most: int = MOST) -> DataFrame:
             prints = batch.column(0).to_numpy().view(arrays.U64)
             for at in range(0, len(prints), MOST):
                 found, owner = segment_keys(prints[at : at + MOST])
-                yield pa.RecordBatch.from_arrays([pa.array(found.astype(np.int32)), pa.array(arrays.signed(prints[at : at + MOST][owner]))], names=["key", "fingerprint"])
+                yield pa.RecordBatch.from_arrays([pa.array(found.astype(np.int64)), pa.array(arrays.signed(prints[at : at + MOST][owner]))], names=["task", "fingerprint"])
 
-    listed = table(classes.select("fingerprint").mapInArrow(keys, "key int, fingerprint long"), "segment-keys")
-    shared = listed.groupBy("key").agg(F.count("*").alias("held")).where("held > 1")
-    blocks = F.ceil(F.col("held") / most).cast("int")
-    dealt = listed.join(shared.select("key", blocks.alias("blocks")), "key")
-    own = F.pmod(F.xxhash64("fingerprint"), F.col("blocks")).cast("int")
-    others = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda j: F.least(own, j) * F.col("blocks") + F.greatest(own, j))
-    tasks = dealt.select("key", "fingerprint", F.explode(others).alias("pair")).select((F.col("key").cast("long") * (1 << 32) + F.col("pair")).alias("task"), "fingerprint")
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[tuple[np.ndarray, np.ndarray]] = []
+    def compared(rows: DataFrame, limit: int | None) -> DataFrame:
+        ordered = rows.repartition("task").sortWithinPartitions("task")
+        return ordered.mapInArrow(lambda batches: _runs(batches, limit), "task long, a long, b long")
 
-        def linked(task: np.ndarray, prints: np.ndarray) -> pa.RecordBatch:
-            a, b = group_links(task, prints)
-            return pa.RecordBatch.from_arrays([pa.array(arrays.signed(a)), pa.array(arrays.signed(b))], names=["a", "b"])
-
-        for batch in batches:
-            task, prints = batch.column(0).to_numpy(), batch.column(1).to_numpy().view(arrays.U64)
-            if len(task):
-                held.append((task, prints))
-            if len(task) and held[0][0][0] != task[-1]:  # a run has ended
-                task, prints = (np.concatenate(x) for x in zip(*held, strict=True))
-                done = int(np.searchsorted(task, task[-1]))
-                held = [(task[done:], prints[done:])]
-                yield linked(task[:done], prints[:done])
-        if held:
-            yield linked(*(np.concatenate(x) for x in zip(*held, strict=True)))
-
-    return tasks.repartition("task").sortWithinPartitions("task").mapInArrow(run, "a long, b long").distinct()
+    # keys of more than ``most`` classes come back as they are, to be dealt out
+    listed = classes.select("fingerprint").mapInArrow(keys, "task long, fingerprint long")
+    found = table(compared(listed, most), "key-links")
+    large = found.where("task is not null").select(F.col("task").alias("key"), F.col("a").alias("fingerprint"))
+    blocks = large.groupBy("key").agg(F.ceil(F.count("*") / most).cast("int").alias("blocks"))
+    own = F.pmod(F.xxhash64("fingerprint"), F.col("blocks")).cast("int")
+    pairs = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda j: F.least(own, j) * F.col("blocks") + F.greatest(own, j))
+    dealt = large.join(blocks, "key").select("key", "fingerprint", F.explode(pairs).alias("pair"))
+    dealt = dealt.select((F.col("key") * (1 << 32) + F.col("pair")).alias("task"), "fingerprint")
+    return found.where("task is null").union(compared(dealt, None)).select("a", "b").distinct()
+
+
+def _runs(batches: Iterator[pa.RecordBatch], limit: int | None) -> Iterator[pa.RecordBatch]:
+    """(null, a, b): spanning links of each run of equal tasks in rows (task,
+    fingerprint); the rows of longer runs than ``limit`` as (task, fingerprint, null)."""
+    no_task, no_prints = np.zeros(0, np.int64), np.zeros(0, arrays.U64)
+    task, prints, passing = no_task, no_prints, None
+
+    def rows(task: np.ndarray, a: np.ndarray, b: np.ndarray) -> pa.RecordBatch:
+        n = max(len(task), len(a))
+        columns = [pa.array(x) if len(x) else pa.nulls(n, pa.int64()) for x in (task, arrays.signed(a), arrays.signed(b))]
+        return pa.RecordBatch.from_arrays(columns, names=["task", "a", "b"])
+
+    def ended(task: np.ndarray, prints: np.ndarray) -> Iterator[pa.RecordBatch]:
+        long = np.zeros(len(task), bool)
+        if limit is not None and len(task):
+            start = np.flatnonzero(np.diff(task, prepend=task[0] - 1))
+            size = np.diff(np.append(start, len(task)))
+            long = np.repeat(size > limit, size) | (task == passing)
+        yield rows(task[long], prints[long], no_prints)
+        yield rows(no_task, *group_links(task[~long], prints[~long]))
+
+    for batch in batches:
+        task = np.concatenate([task, batch.column(0).to_numpy()])
+        prints = np.concatenate([prints, batch.column(1).to_numpy().view(arrays.U64)])
+        done = int(np.searchsorted(task, task[-1])) if len(task) else 0  # the last run may go on
+        yield from ended(task[:done], prints[:done])
+        task, prints = task[done:], prints[done:]
+        if limit is not None and len(task) > limit:
+            passing = task[0]
+            yield rows(task, prints, no_prints)
+            task, prints = no_task, no_prints
+    yield from ended(task, prints)
 
 
 def simhash_dedup(docs: DataFrame, *, width: int = 4, most: int = MOST, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
