@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from obs_analytics.llm import byte_bpe, decontamination, fingerprints, hard_negatives, jaccard_join, language, line_dedup, quality, simhash, substring_dedup, token_files, toxicity
+from obs_analytics.llm import byte_bpe, collocations, decontamination, fingerprints, hard_negatives, jaccard_join, language, line_dedup, quality, simhash, substring_dedup, token_files, toxicity
 from obs_analytics.llm.checkpoints import shared_folder
 from obs_analytics.llm.labelled import fold
 from obs_analytics.llm.shipping import ship
@@ -106,6 +106,10 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", F.coalesce(held_out, F.lit(True)).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"), F.size("spans").alias("n_spans"))
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(read(spark, sf_dir, "documents"))
+
+
 def op12_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.simhash_dedup(read(spark, sf_dir, "documents"))
 
@@ -128,6 +132,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality": op8_quality,
     "op9_decontamination": op9_decontamination,
     "op10_toxicity": op10_toxicity,
+    "op11_collocations": op11_collocations,
     "op12_simhash": op12_simhash,
     "op13_hard_negatives": op13_hard_negatives,
 }
@@ -230,6 +235,41 @@ SELECT words.doc_id, cast(len(ws) AS BIGINT) AS n_words, cast(coalesce(n_hit, 0)
 FROM words LEFT JOIN hit USING (doc_id) LEFT JOIN items USING (doc_id)
 """
 
+_OP11 = r"""
+WITH doc AS (
+  SELECT row_number() OVER () AS d, coalesce(lang, 'und') AS lang,
+         regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]') AS pieces
+  FROM documents
+), piece AS (
+  SELECT lang, regexp_extract_all(p, '[^\x20\x09]+') AS ws FROM (SELECT lang, unnest(pieces) AS p FROM doc)
+), words AS (
+  SELECT lang, cast(sum(len(ws)) AS BIGINT) AS n FROM piece GROUP BY lang
+), f AS (
+  SELECT lang, phrase, count(*) AS a
+  FROM (SELECT lang, array_to_string(list_slice(ws, i, i + k - 1), ' ') AS phrase
+        FROM (SELECT lang, ws, k, unnest(range(1, len(ws) - k + 2)) AS i FROM piece, (SELECT unnest([1, 2, 3]) AS k) WHERE len(ws) >= k))
+  GROUP BY lang, phrase HAVING count(*) >= 10
+), cand AS (
+  SELECT lang, phrase, a, string_split(phrase, ' ') AS g FROM f WHERE contains(phrase, ' ')
+), halves AS (
+  SELECT lang, phrase, a, k, array_to_string(list_slice(g, 1, k), ' ') AS head, array_to_string(list_slice(g, k + 1, len(g)), ' ') AS tail
+  FROM (SELECT *, unnest(range(1, len(g))) AS k FROM cand)
+), cut AS (
+  SELECT h.lang, h.phrase, h.a, h.k, x.a AS l, y.a AS r,
+         cast(cast(1000000 AS HUGEINT) * h.a * h.a // (cast(x.a AS HUGEINT) * y.a) AS BIGINT) AS score
+  FROM halves h JOIN f x ON x.lang = h.lang AND x.phrase = h.head JOIN f y ON y.lang = h.lang AND y.phrase = h.tail
+), best AS (
+  SELECT * FROM cut QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1
+), inside AS (
+  SELECT lang, a, unnest([array_to_string(list_slice(g, 1, 2), ' '), array_to_string(list_slice(g, 2, 3), ' ')]) AS phrase FROM cand WHERE len(g) = 3
+), covered AS (
+  SELECT DISTINCT c.lang, c.phrase FROM cand c JOIN inside i ON i.lang = c.lang AND i.phrase = c.phrase WHERE 100 * i.a >= 50 * c.a
+)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score
+FROM best ANTI JOIN covered USING (lang, phrase) JOIN words USING (lang)
+QUALIFY rank <= 2000
+"""
+
 _OP13 = r"""
 WITH vec AS (
   SELECT vec_id, cast(CASE WHEN vec_id % 7 = 0 THEN (cast(label AS BIGINT) + 1) % 10 ELSE label END AS BIGINT) AS label,
@@ -252,4 +292,4 @@ WITH vec AS (
 SELECT * FROM negative WHERE rank <= 10
 """
 
-SQL: dict[str, str] = {"op1_substring_dedup": _OP1, "op5_line_dedup": _OP5, "op6_jaccard_join": _OP6, "op9_decontamination": _OP9, "op13_hard_negatives": _OP13}
+SQL: dict[str, str] = {"op1_substring_dedup": _OP1, "op5_line_dedup": _OP5, "op6_jaccard_join": _OP6, "op9_decontamination": _OP9, "op11_collocations": _OP11, "op13_hard_negatives": _OP13}
