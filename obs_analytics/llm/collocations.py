@@ -24,8 +24,8 @@ counts of the phrase and of its two parts; its lowest-scoring cut counts.
 Bounds: the bitmap sent to all tasks has ``2 * cells`` bits whatever the input;
 with many more word pairs than cells the sketch lets more phrases through (up
 to one row per phrase and task) and the results stay the same. A range holds
-the phrases of about ``RANGE_BYTES`` of text. Words are told apart by 64-bit
-hashes.
+the phrases of about ``RANGE_BYTES`` of text. Words, and the phrases of a task,
+are told apart by 64-bit hashes.
 
 Defined results: null, empty and wordless texts count nothing; a null language
 is ``und``; ids play no part, and rows that repeat count each; ties are ranked
@@ -47,7 +47,7 @@ from obs_analytics.llm.checkpoints import table
 
 CELLS = 1 << 27
 RANGE_BYTES = 32 << 20
-HELD = 1 << 20  # distinct phrases that a task gathers before it emits their transducers
+HELD = 1 << 18  # distinct phrases that a task gathers before it emits their transducers
 SALTS = 4
 U64 = arrays.U64
 
@@ -84,44 +84,39 @@ def _sketch_keys(texts: pa.Array) -> np.ndarray:
     return np.concatenate([found.hashes, arrays.rolling(found.hashes, 2)[found.runs(2)]])
 
 
-def _condensed(phrases: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Equal phrases added up (but for clashes of their hashes), in any order."""
-    key = phrases[:, 0].copy()
-    for column in phrases.T[1:]:
-        key = arrays.mixed(key) ^ column
-    order = np.argsort(key)
-    phrases, counts = phrases[order], counts[order]
-    new = np.ones(len(phrases), bool)
-    new[1:] = (phrases[1:] != phrases[:-1]).any(1)
-    start = np.flatnonzero(new)
-    return phrases[start], np.add.reduceat(counts, start) if len(start) else counts
+def _condensed(keys: np.ndarray, phrases: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Rows of equal keys added up."""
+    order = np.argsort(keys)
+    keys = keys[order]
+    start = np.flatnonzero(np.diff(keys, prepend=~keys[:1]))
+    return keys[start], phrases[order[start]], np.add.reduceat(counts[order], start) if len(start) else counts
 
 
-def phrases_of(found: Pieces, langs: np.ndarray, longest: int, bits: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(phrases, counts) of one slice: per language its words in all, then words
-    and runs of words as far as the sketch lets them through. A phrase starts
-    with its language (``langs`` per text)."""
+def phrases_of(found: Pieces, langs: np.ndarray, longest: int, bits: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(keys, phrases, counts) of one slice: per language its words in all, then
+    words and runs of words as far as the sketch lets them through. A phrase
+    starts with its language (``langs`` per text); its key is its hash."""
     lang = np.repeat(langs, np.diff(found.first))
     often = sketch.reaches(bits, found.hashes)
     pair = np.zeros(len(often), bool)
     at = found.runs(2)
     pair[at] = sketch.reaches(bits, arrays.rolling(found.hashes, 2)[at])
-    rows = [np.zeros((len(lang), longest + 1), U64)]
-    rows[0][:, 0] = lang
+    total, where = np.unique(langs, return_inverse=True)
+    rows = np.zeros((len(total), longest + 1), U64)
+    rows[:, 0] = total
+    out = [(total, rows, np.bincount(where, np.diff(found.first), len(total)).astype(np.int64))]
     at = np.flatnonzero(often)
     for n in range(1, longest + 1):
         if n > 1:
             at = at[at + n - 1 < len(pair)]
             at = at[pair[at + n - 2]]
-        made = np.zeros((len(at), longest + 1), U64)
-        made[:, 0] = lang[at]
+        keys, one, counts = np.unique(arrays.mixed(lang[at] + arrays.rolling(found.hashes, n, n)[at]), return_index=True, return_counts=True)
+        rows = np.zeros((len(one), longest + 1), U64)
+        rows[:, 0] = lang[at[one]]
         for j in range(n):
-            made[:, j + 1] = found.hashes[at + j]
-        rows.append(made)
-    totals = _condensed(rows[0], np.ones(len(lang), np.int64))
-    rest = np.concatenate(rows[1:])
-    rest = _condensed(rest, np.ones(len(rest), np.int64))
-    return np.concatenate([totals[0], rest[0]]), np.concatenate([totals[1], rest[1]])
+            rows[:, j + 1] = found.hashes[at[one] + j]
+        out.append((keys, rows, counts))
+    return tuple(np.concatenate(x) for x in zip(*out, strict=True))
 
 
 def range_of(phrases: np.ndarray, ranges: int) -> np.ndarray:
@@ -167,7 +162,7 @@ def _count(docs: DataFrame, longest: int, least: int, cells: int, ranges: int) -
                 data, offsets = arrays.buffers(kinds.dictionary)
                 langs = np.maximum(arrays.span_hashes(data, offsets[:-1], offsets[1:], 1), U64(1)) if len(data) else np.ones(len(kinds.dictionary), U64)
                 names.update(zip(langs.tolist(), kinds.dictionary.to_pylist(), strict=True))
-                phrases, counts = phrases_of(found, langs[kinds.indices.to_numpy()], longest, shared.value)
+                keys, phrases, counts = phrases_of(found, langs[kinds.indices.to_numpy()], longest, shared.value)
                 often = np.unique(phrases[:, 1])
                 hashes, at = np.unique(found.hashes, return_index=True)
                 at = at[np.isin(hashes, often, assume_unique=True)]
@@ -175,16 +170,16 @@ def _count(docs: DataFrame, longest: int, least: int, cells: int, ranges: int) -
                 for h, a, b in zip(found.hashes[at].tolist(), found.starts[at].tolist(), found.ends[at].tolist(), strict=True):
                     if h not in names:
                         names[h] = text[a:b].decode()
-                held.append((phrases, counts))
+                held.append((keys, phrases, counts))
                 n += len(counts)
                 if n > 2 * HELD:
                     held = [_condensed(*(np.concatenate(x) for x in zip(*held, strict=True)))]
-                    n = len(held[0][1])
+                    n = len(held[0][0])
                     if n > HELD:
-                        yield from shard(*held[0], names)
+                        yield from shard(*held[0][1:], names)
                         held, names, n = [], {}, 0
         if held:
-            yield from shard(*(np.concatenate(x) for x in zip(*held, strict=True)), names)
+            yield from shard(*_condensed(*(np.concatenate(x) for x in zip(*held, strict=True)))[1:], names)
 
     def united(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, parts, names = None, [], {}
