@@ -18,6 +18,10 @@ from obs_analytics.llm import arrays
 U64 = np.uint64
 
 
+def _narrow(values: np.ndarray) -> np.ndarray:
+    return values.astype(np.min_scalar_type(int(values.max(initial=0))))
+
+
 @dataclass
 class Transducer:
     """Arcs of state s: ``first[s]:first[s + 1]``, sorted by label."""
@@ -29,18 +33,22 @@ class Transducer:
     target: np.ndarray
 
     def to_bytes(self) -> bytes:
-        head = np.array([self.root, len(self.first), len(self.label)], np.int64)
-        return b"".join(x.tobytes() for x in (head, self.first.astype(np.int32), self.label, self.weight, self.target.astype(np.int32)))
+        """Labels once each, arcs by the number of their label, every list in the
+        narrowest integers that hold it."""
+        labels, number = np.unique(self.label, return_inverse=True)
+        lists = [_narrow(x) for x in (np.diff(self.first), number, self.weight, self.target)]
+        head = np.array([self.root, len(self.first) - 1, len(self.label), len(labels), *(x.itemsize for x in lists)], np.int64)
+        return b"".join(x.tobytes() for x in (head, labels, *lists))
 
     @staticmethod
     def from_bytes(data: bytes) -> Transducer:
-        root, states, arcs = np.frombuffer(data, np.int64, 3).tolist()
-        at, parts = 24, []
-        for kind, n in ((np.int32, states), (U64, arcs), (np.int64, arcs), (np.int32, arcs)):
-            parts.append(np.frombuffer(data, kind, n, at))
-            at += n * np.dtype(kind).itemsize
-        first, label, weight, target = parts
-        return Transducer(root, first.astype(np.int64), label, weight, target.astype(np.int64))
+        root, states, arcs, distinct, *sizes = np.frombuffer(data, np.int64, 8).tolist()
+        at, parts = 64, []
+        for n, size in zip((distinct, states, arcs, arcs, arcs), (8, *sizes), strict=True):
+            parts.append(np.frombuffer(data, f"<u{size}", n, at))
+            at += n * size
+        labels, degree, number, weight, target = parts
+        return Transducer(root, np.concatenate([[0], np.cumsum(degree, dtype=np.int64)]), labels[number], weight.astype(np.int64), target.astype(np.int64))
 
     def compose(self, phrases: np.ndarray) -> np.ndarray:
         """Counts of the given phrases: the transducer composed with their paths."""

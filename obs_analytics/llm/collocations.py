@@ -46,8 +46,8 @@ from obs_analytics.llm import arrays, automata, sketch
 from obs_analytics.llm.checkpoints import table
 
 CELLS = 1 << 27
-RANGE_BYTES = 32 << 20
-HELD = 1 << 18  # distinct phrases that a task gathers before it emits their transducers
+RANGE_BYTES = 16 << 20
+HELD = 1 << 19  # distinct phrases that a task gathers before it emits their transducers
 SALTS = 4
 U64 = arrays.U64
 
@@ -185,7 +185,7 @@ def _count(docs: DataFrame, longest: int, least: int, cells: int, ranges: int) -
         now, parts, names = None, [], {}
 
         def done() -> pa.RecordBatch:
-            phrases, counts = automata.union(parts, width)
+            phrases, counts = automata.union([automata.Transducer.from_bytes(p) for p in parts], width)
             kept = (counts >= least) | (phrases[:, 1] == 0)
             return _row(now, phrases[kept], counts[kept], names)
 
@@ -195,7 +195,7 @@ def _count(docs: DataFrame, longest: int, least: int, cells: int, ranges: int) -
                     if parts:
                         yield done()
                     now, parts, names = r.as_py(), [], {}
-                parts.append(automata.Transducer.from_bytes(automaton.as_py()))
+                parts.append(automaton.as_py())
                 names.update(zip(labels.values.to_numpy().view(U64).tolist(), words.as_py(), strict=True))
         if parts:
             yield done()
