@@ -10,10 +10,12 @@ from pyspark.sql import functions as F
 from ..schema import (DENSITY_BINS, EARLY_PERIOD_END, HIST_BINS, KEY_COLUMNS,
                       LATE_PERIOD_START, SAMPLE_FRACTION, SEED)
 from .sampling import hash_sample
+from .states import value_ranges
 
 
 def histogram(df: DataFrame, value: str = "TAVG", bins: int = HIST_BINS, by=(),
-              density: bool = False, groups: list | None = None) -> DataFrame:
+              density: bool = False, groups: list | None = None,
+              ranges: DataFrame | None = None) -> DataFrame:
     """H1 / H2: equal-width histogram over each group's own min..max.
 
     Bins are [lo + i*w, lo + (i+1)*w), the last one closed on the right;
@@ -27,14 +29,20 @@ def histogram(df: DataFrame, value: str = "TAVG", bins: int = HIST_BINS, by=(),
     short list (as the two-valued period tag's are): other rows are left out,
     and one range per named value is broadcast. Without it the join is left to
     Spark's size check and AQE.
+
+    ``ranges`` (group columns, _lo, _hi, _n, as ``states.value_ranges`` gives
+    them for TAVG) stands in for the range pass, so the rows are scanned once.
     """
     by = list(by)
     v = F.col(value)
     if groups is not None:
         df = df.filter(F.col(by[0]).isin(groups))
     rows = df.select(*by, v.alias("_v")).filter(F.col("_v").isNotNull() & ~F.isnan("_v"))
-    stats = rows.groupBy(*by).agg(F.min("_v").alias("_lo"), F.max("_v").alias("_hi"),
-                                  F.count(F.lit(1)).alias("_n"))
+    stats = ranges if ranges is not None else rows.groupBy(*by).agg(
+        F.min("_v").alias("_lo"), F.max("_v").alias("_hi"), F.count(F.lit(1)).alias("_n"))
+    if ranges is not None and groups is not None:
+        stats = stats.filter(F.col(by[0]).isin(groups))
+    stats = stats.filter(F.col("_n") > 0)
     same = F.col("_hi") == F.col("_lo")
     stats = stats.select(
         *by, "_n",
@@ -69,9 +77,10 @@ def period_tag(year="YEAR", early_end: int = EARLY_PERIOD_END,
 
 def distribution_shift(obs: DataFrame, value: str = "TAVG", bins: int = DENSITY_BINS,
                        early_end: int = EARLY_PERIOD_END,
-                       late_start: int = LATE_PERIOD_START) -> DataFrame:
+                       late_start: int = LATE_PERIOD_START, states: DataFrame | None = None) -> DataFrame:
     """H2: density histograms of the early and late periods, each on its own
-    range. Years between the two periods are left out: by a DATE range that
+    range, which comes from the stored ``states`` where they are given (TAVG
+    only). Years between the two periods are left out: by a DATE range that
     reaches the scan, and on data landed by year by its partition column."""
     wanted = ((F.col("DATE") < F.lit(_dt.date(early_end + 1, 1, 1)))
               | (F.col("DATE") >= F.lit(_dt.date(late_start, 1, 1))))
@@ -79,7 +88,12 @@ def distribution_shift(obs: DataFrame, value: str = "TAVG", bins: int = DENSITY_
         wanted = wanted & ((F.col("OBS_YEAR") <= early_end) | (F.col("OBS_YEAR") >= late_start))
     tagged = (obs.filter(wanted).select(period_tag("YEAR", early_end, late_start).alias("PERIOD"), value)
               .filter(F.col("PERIOD").isNotNull()))
-    return histogram(tagged, value, bins, by=["PERIOD"], density=True, groups=["early", "late"])
+    ranges = None
+    if states is not None:
+        if value != "TAVG":
+            raise ValueError("states hold the range of TAVG only")
+        ranges = value_ranges(states.select("*", period_tag("YEAR", early_end, late_start).alias("PERIOD")), ["PERIOD"])
+    return histogram(tagged, value, bins, by=["PERIOD"], density=True, groups=["early", "late"], ranges=ranges)
 
 
 def sample_pairs(obs: DataFrame, fraction: float = SAMPLE_FRACTION, seed: int = SEED,
@@ -92,3 +106,23 @@ def relation_summary(obs: DataFrame, x: str = "PRCP", y: str = "TAVG") -> DataFr
     """H4 over all rows: Pearson correlation and pair count (one aggregate)."""
     return obs.agg(F.corr(x, y).alias("CORRELATION"),
                    F.count(F.when(F.col(x).isNotNull() & F.col(y).isNotNull(), 1)).alias("N_PAIRS"))
+
+
+def relation_density(obs: DataFrame, x: str = "PRCP", y: str = "TAVG", bins: int = DENSITY_BINS) -> DataFrame:
+    """H4 over all rows: the plane of (x, y) in bins x bins equal cells over
+    both columns' own ranges, cells with rows only: X_BIN, Y_BIN, their lower
+    edges, COUNT and DENSITY (integrates to 1). Pairs with a null or NaN are
+    left out; a column of one value spans value -/+ 0.5. Two passes: the
+    ranges (one row, broadcast), then one partial aggregate to bins^2 cells."""
+    ok = lambda c: F.col(c).isNotNull() & ~F.isnan(c)
+    rows = obs.filter(ok(x) & ok(y)).select(F.col(x).alias("_x"), F.col(y).alias("_y"))
+    found = rows.agg(F.count(F.lit(1)).alias("_n"), *[f(c).alias(f"{c}_{n}") for c in ("_x", "_y") for f, n in ((F.min, "lo"), (F.max, "hi"))])
+    half = lambda c: F.when(F.col(f"{c}_lo") == F.col(f"{c}_hi"), 0.5).otherwise(0.0)
+    found = found.select("_n", *[e for c in ("_x", "_y") for e in ((F.col(f"{c}_lo") - half(c)).alias(f"{c}_lo"), (F.col(f"{c}_hi") + half(c)).alias(f"{c}_hi"))])
+    width = lambda c: (F.col(f"{c}_hi") - F.col(f"{c}_lo")) / F.lit(float(bins))
+    cell = lambda c: F.least(F.floor((F.col(c) - F.col(f"{c}_lo")) / width(c)), F.lit(bins - 1)).cast("int")
+    cells = rows.crossJoin(F.broadcast(found)).groupBy(
+        cell("_x").alias("X_BIN"), cell("_y").alias("Y_BIN"), "_n", "_x_lo", "_x_hi", "_y_lo", "_y_hi").agg(F.count(F.lit(1)).alias("COUNT"))
+    return cells.select(
+        "X_BIN", "Y_BIN", (F.col("_x_lo") + F.col("X_BIN") * width("_x")).alias("X_LO"), (F.col("_y_lo") + F.col("Y_BIN") * width("_y")).alias("Y_LO"),
+        "COUNT", (F.col("COUNT") / (F.col("_n") * width("_x") * width("_y"))).alias("DENSITY"))

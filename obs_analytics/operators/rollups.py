@@ -17,6 +17,7 @@ from ..schema import (BASELINE_YEARS, CLIMATOLOGY_YEARS, CORRUPT_COLUMN, FEATURE
                       SEASON_NAMES, TRAILING_COLUMN)
 from .cleaning import complete, model_rows_condition, prepare_observations
 from .sampling import hash_split
+from .states import held, is_states
 from .windows import trailing_mean
 
 
@@ -184,9 +185,13 @@ _MEAN_COLS = ["LATITUDE", "LONGITUDE", "ELEVATION", "PRCP", "TAVG", "TMAX", "TMI
 
 
 def monthly_partials(obs: DataFrame, by=(), cols=_MEAN_COLS) -> DataFrame:
-    """Sum and non-null count of each column per (group, YEAR, MONTH)."""
+    """Sum and non-null count of each column per (group, YEAR, MONTH), from
+    observations or from their stored states."""
     aggs = []
     for c in cols:
+        if is_states(obs):
+            aggs += [F.sum(f"S_{c}").alias(f"S_{c}"), F.sum(f"N_{c}").alias(f"N_{c}")]
+            continue
         aggs += [F.sum(c).alias(f"S_{c}"), F.count(c).alias(f"N_{c}")]
     return obs.groupBy(*by, "YEAR", "MONTH").agg(*aggs)
 
@@ -194,9 +199,15 @@ def monthly_partials(obs: DataFrame, by=(), cols=_MEAN_COLS) -> DataFrame:
 def partials_with_max_year(obs: DataFrame, by=(), cols=_MEAN_COLS,
                            years: int = CLIMATOLOGY_YEARS) -> DataFrame:
     """Monthly partials of the years MAX_YEAR - years .. MAX_YEAR, plus MAX_YEAR,
-    the last year of the whole data set."""
-    top = obs.agg(F.max("YEAR")).scalar()
-    recent = obs.filter(F.col("DATE") >= F.make_date(top - years, F.lit(1), F.lit(1)))
+    the last year of the whole data set. Over states (``states``) no observation
+    is read, neither for the last year nor for the look-back."""
+    if is_states(obs):
+        obs = held(obs)
+        top = obs.agg(F.max("YEAR")).scalar()
+        recent = obs.filter(F.col("YEAR") >= top - years)
+    else:
+        top = obs.agg(F.max("YEAR")).scalar()
+        recent = obs.filter(F.col("DATE") >= F.make_date(top - years, F.lit(1), F.lit(1)))
     if "OBS_YEAR" in obs.columns:
         recent = recent.filter(F.col("OBS_YEAR") >= top - years)
     return monthly_partials(recent, by, cols).withColumn("MAX_YEAR", top)

@@ -19,13 +19,13 @@ from pyspark.sql import types as T
 
 from ..functions.calendar import day_of_year_mid_month, season_name
 from ..functions.classes import class_label, value_class
-from ..operators import cleaning, distributions, forecasting, metrics, rollups, trends, windows
+from ..operators import cleaning, distributions, forecasting, metrics, rollups, states, trends, windows
 from ..operators.modeling import STANDIN_NAMES, fit_feature_stages, midrange_predictor, standin_scores
 from ..operators.sampling import hash_sample
 from ..schema import (CRITICAL_COLUMNS, FEATURES, LR_PARAMS, MODEL_NAMES, PRECIP_COLUMN,
                       RECENT_TREND_START, TEMPERATURE_COLUMNS, TREND_START)
 from ..session import ensure_checkpoint_dir
-from ..sources.observations import land_observations, read_landed
+from ..sources.observations import land_observations, land_with_states, read_landed
 from ..sources.testdata import raw_observations
 from .frames import Frames
 from .oracle_sql import hash_unit_sql, rounded, value_class_sql, with_ctes
@@ -773,3 +773,73 @@ def _q(spark, d):
             .union(part(rollups.yearly_precip(obs), "yearly_precip", F.col("YEAR"), "ANNUAL_PRECIP"))
             .union(part(rollups.climatology(obs), "climatology", F.col("MONTH"), "AVG_TAVG"))
             .union(part(trends.trend_assessment(obs, TREND_START), "trend", F.lit("slope"), "SLOPE")))
+
+
+# -- stored partial states beside the landed rows ------------------------------------------
+
+def landed_with_states(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, dict[str, int]]:
+    """(landed observations, their states, the landing's counts) in the shared folder."""
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/landed-{uuid.uuid4().hex}"
+    counts = land_with_states(spark, raw_observations(spark, sf_dir), f"{path}/rows", f"{path}/states")
+    return read_landed(spark, f"{path}/rows"), states.read_states(spark, f"{path}/states"), counts
+
+
+def same_as(name: str) -> dict:
+    return {"sql": REGISTRY[name].sql, "doubles": " ".join(REGISTRY[name].doubles)}
+
+
+@register("state_rollup", **same_as("rollup_all"))
+def _q(spark, d):
+    return states.rollup_states(landed_with_states(spark, d)[1])
+
+
+@register("state_overview", **same_as("dataset_overview"))
+def _q(spark, d):
+    return states.overview(landed_with_states(spark, d)[1])
+
+
+@register("state_climatology", **same_as("climatology"))
+def _q(spark, d):
+    return rollups.climatology(landed_with_states(spark, d)[1])
+
+
+@register("state_baseline", **same_as("recent_baseline"))
+def _q(spark, d):
+    return rollups.recent_baseline(landed_with_states(spark, d)[1])
+
+
+@register("state_forecast_grid", **same_as("forecast_grid"))
+def _q(spark, d):
+    return forecasting.forecast_grid(landed_with_states(spark, d)[1])
+
+
+@register("landed_histogram", **same_as("value_histogram"))
+def _q(spark, d):
+    rows, kept, _ = landed_with_states(spark, d)
+    return distributions.histogram(Frames(rows).obs, "TAVG", 50, ranges=states.value_ranges(kept))
+
+
+@register("landed_shift", **same_as("distribution_shift"))
+def _q(spark, d):
+    rows, kept, _ = landed_with_states(spark, d)
+    return distributions.distribution_shift(Frames(rows).obs, "TAVG", 40, TEST_EARLY_END, TEST_LATE_START, states=kept)
+
+
+@register("landing_counts", with_ctes("raw_obs") + """
+SELECT count(*) AS RAW_ROWS, count(*) FILTER (WHERE "DATE" IS NOT NULL AND TAVG IS NOT NULL
+       AND LATITUDE IS NOT NULL AND LONGITUDE IS NOT NULL) AS CLEAN_ROWS FROM raw_obs""")
+def _q(spark, d):
+    """A12 as the landing job observed it, next to no reading of rows."""
+    counts = landed_with_states(spark, d)[2]
+    return spark.createDataFrame([(counts["RAW_ROWS"], counts["CLEAN_ROWS"])], "RAW_ROWS long, CLEAN_ROWS long")
+
+
+@register("relation_density", with_ctes("obs").rstrip("\n") + """, r AS (
+  SELECT count(*) AS n, min(PRCP) AS xl, max(PRCP) AS xh, min(TAVG) AS yl, max(TAVG) AS yh FROM obs
+), w AS (SELECT *, (xh - xl) / 40.0 AS xw, (yh - yl) / 40.0 AS yw FROM r)
+SELECT X_BIN, Y_BIN, xl + X_BIN * xw AS X_LO, yl + Y_BIN * yw AS Y_LO, count(*) AS COUNT, count(*) / (n * xw * yw) AS DENSITY
+FROM (SELECT w.*, cast(least(floor((PRCP - xl) / xw), 39) AS integer) AS X_BIN,
+             cast(least(floor((TAVG - yl) / yw), 39) AS integer) AS Y_BIN FROM obs CROSS JOIN w) b
+GROUP BY X_BIN, Y_BIN, xl, yl, xw, yw, n""", "X_LO Y_LO DENSITY")
+def _q(spark, d):
+    return distributions.relation_density(frames(spark, d).obs)

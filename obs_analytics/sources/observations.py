@@ -4,26 +4,41 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..operators.cleaning import complete
+from ..operators.states import land_states
 from ..schema import CORRUPT_COLUMN, CRITICAL_COLUMNS, RAW_SCHEMA
+from .headers import first_lines, readable
 
 
 def file_headers(spark: SparkSession, path: str) -> dict[str, list[str]]:
-    """Header line -> files that start with it. One text scan over the first
-    block of each file picks out the lines that name every critical column;
-    only those lines, one per file, reach the driver (which lists the files
-    anyway)."""
-    line = F.upper(F.col("value"))
+    """Header line -> files that start with it, for the files whose first line
+    names every critical column. Only the start of each file is read
+    (``headers.first_lines``); in a store that Arrow does not reach, the lines
+    come from a text scan. One line per file reaches the driver, which lists
+    the files anyway."""
+    return _headers(spark, path, _listed(spark, path))
+
+
+def _listed(spark: SparkSession, path: str) -> list[str]:
+    return sorted(r.path for r in spark.read.format("binaryFile").load(path).select("path").collect())
+
+
+def _headers(spark: SparkSession, path: str, files: list[str]) -> dict[str, list[str]]:
+    line = F.upper(F.col("line"))
     header = F.lit(True)
     for name in CRITICAL_COLUMNS:
         header = header & line.rlike(rf'(^|,)\s*"?{name}"?\s*(,|$)')
-    found = (spark.read.text(path).where(F.col("_metadata.file_block_start") == 0).where(header)
-             .select(F.col("_metadata.file_path").alias("file"), F.trim("value").alias("header")).distinct())
+    if all(map(readable, files)):
+        lines = first_lines(spark, files).select("file", "line")
+    else:
+        lines = (spark.read.text(path).where(F.col("_metadata.file_block_start") == 0)
+                 .select(F.col("_metadata.file_path").alias("file"), F.col("value").alias("line")))
     out: dict[str, list[str]] = {}
-    for row in found.orderBy("file").collect():
+    for row in lines.where(header).select("file", F.trim("line").alias("header")).distinct().orderBy("file").collect():
         out.setdefault(row.header, []).append(row.file)
     return out
 
@@ -52,9 +67,9 @@ def read_observations(spark: SparkSession, path: str, *,
     turns NaN doubles into nulls so that null checks and ``dropna`` agree (they
     differ on NaN otherwise).
     """
-    groups = file_headers(spark, path)
+    listed = _listed(spark, path)
+    groups = _headers(spark, path, listed)
     known = {f for files in groups.values() for f in files}
-    listed = {r.path for r in spark.read.format("binaryFile").load(path).select("path").collect()}
     plain = lambda p: p.split(":", 1)[-1].lstrip("/")  # noqa: E731  file:/x and file:///x are one file
     odd = sorted({plain(p) for p in listed} - {plain(p) for p in known})
     if odd or not groups:
@@ -94,7 +109,7 @@ def _read_group(spark: SparkSession, header: list[str], files: list[str], schema
     return df.select(*cols, *([F.col(CORRUPT_COLUMN)] if keep_bad_rows else []))
 
 
-def land_observations(df: DataFrame, path: str, mode: str = "replace_years") -> None:
+def land_observations(df: DataFrame, path: str, mode: str = "replace_years") -> dict[str, int]:
     """Write observations as Parquet partitioned by year.
 
     ``replace_years`` (the default) replaces the years that ``df`` holds and
@@ -106,16 +121,39 @@ def land_observations(df: DataFrame, path: str, mode: str = "replace_years") ->
     gives each task a contiguous slice, so a task writes one or two files
     rather than one per year it happens to hold, and rows come out sorted
     by station and date for the per-station windows.
+
+    Returns A12's counts as the writing tasks observed them: RAW_ROWS,
+    CLEAN_ROWS and, where the reader kept bad rows, CORRUPT_ROWS. (They are
+    observed after the exchange: the sampling that range partitioning does
+    before it would count rows twice.)
     """
+    counts = Observation()
+    corrupt = [F.count(CORRUPT_COLUMN).alias("CORRUPT_ROWS")] if CORRUPT_COLUMN in df.columns else []
     writer = (df.withColumn("OBS_YEAR", F.year("DATE"))
               .repartitionByRange("OBS_YEAR", "STATION", "DATE")
               .sortWithinPartitions("OBS_YEAR", "STATION", "DATE")
+              .observe(counts, F.count(F.lit(1)).alias("RAW_ROWS"),
+                       F.count(F.when(complete(), 1)).alias("CLEAN_ROWS"), *corrupt)
               .write.partitionBy("OBS_YEAR"))
     if mode == "replace_years":
         writer = writer.mode("overwrite").option("partitionOverwriteMode", "dynamic")
     else:
         writer = writer.mode(mode).option("partitionOverwriteMode", "static")
     writer.parquet(path)
+    return dict(counts.get)
+
+
+def land_with_states(spark: SparkSession, df: DataFrame, path: str, states_path: str) -> dict[str, int]:
+    """Land observations (their years are replaced), then the partial states of
+    the same years from the landed rows. The states are built from what was
+    landed, so an interrupted call is mended by calling it again."""
+    counts = land_observations(df, path)
+    years = [r[0] for r in df.select(F.year("DATE")).distinct().collect()]  # one number per year
+    dated = [y for y in years if y is not None]
+    landed = read_landed(spark, path)
+    held = F.col("OBS_YEAR").isin(dated) | (F.col("OBS_YEAR").isNull() if None in years else F.lit(False))
+    land_states(landed.where(held), states_path)
+    return counts
 
 
 def read_landed(spark: SparkSession, path: str) -> DataFrame:

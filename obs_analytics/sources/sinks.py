@@ -7,7 +7,8 @@ from pyspark.sql import DataFrame
 
 
 def write_result(df: DataFrame, path: str, *, fmt: str = "parquet",
-                 mode: str = "overwrite", partition_by: list[str] | None = None) -> None:
+                 mode: str = "errorifexists", partition_by: list[str] | None = None) -> None:
+    """Write ``df``; an existing result is left alone unless ``mode`` says otherwise."""
     writer = df.write.mode(mode).format(fmt)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
