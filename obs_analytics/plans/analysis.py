@@ -5,7 +5,8 @@ The reference runs seven steps and about 150 driver round trips, none of
 them cached. Here the raw files are landed once as Parquet by year on shared
 storage, every summary is a lazy DataFrame over a pruned scan of that table,
 and the only actions are the landing, the ones Spark ML takes inside ``fit``
-and a three-row read of the winner. Nothing is pinned on executors.
+and a three-row read of the winner. Nothing is pinned on executors: the split
+and the training frame are checkpointed to the shared folder.
 """
 
 from __future__ import annotations
@@ -55,10 +56,11 @@ def impact(f: Frames, early_end: int = EARLY_PERIOD_END,
     }
 
 
-def modelling(f: Frames, future_years: int = FUTURE_YEARS,
-              names=MODEL_NAMES) -> tuple[dict[str, DataFrame], TrainedModels]:
-    """Train, evaluate, pick the winner and forecast with it."""
-    tm = TrainedModels(f)
+def modelling(f: Frames, future_years: int = FUTURE_YEARS, names=MODEL_NAMES,
+              **training) -> tuple[dict[str, DataFrame], TrainedModels]:
+    """Train, evaluate, pick the winner and forecast with it. ``training`` goes
+    to ``TrainedModels``: partitions, memory_mb, checkpoint, store."""
+    tm = TrainedModels(f, **training)
     scored = tm.scored(names)
     comparison = metrics.model_comparison(scored, names)
     best = metrics.best_model(comparison)
@@ -84,16 +86,21 @@ def modelling(f: Frames, future_years: int = FUTURE_YEARS,
 
 
 def run_analysis(raw: DataFrame, *, future_years: int = FUTURE_YEARS, train: bool = True,
-                 early_end: int = EARLY_PERIOD_END, late_start: int = LATE_PERIOD_START) -> dict[str, DataFrame]:
+                 early_end: int = EARLY_PERIOD_END, late_start: int = LATE_PERIOD_START,
+                 names=MODEL_NAMES, **training) -> dict[str, DataFrame]:
     """Every result of the reference's complete run, by name, over raw
     observations. Each result reads ``raw`` again, so it should be a landed
-    table (``run_from_files``); call ``release(results)`` after training."""
+    table (``run_from_files``); call ``release(results)`` after training.
+
+    ``names`` are the models to compare. ``training`` holds the settings of
+    ``TrainedModels``: ``partitions`` (about 100 MB of training rows each),
+    ``memory_mb``, ``checkpoint`` and ``store``, a folder of finished models."""
     f = Frames(raw)
     results: dict[str, DataFrame] = {}
     results.update(exploratory(f))
     results.update(impact(f, early_end, late_start))
     if train:
-        model_results, tm = modelling(f, future_years)
+        model_results, tm = modelling(f, future_years, names, **training)
         results.update(model_results)
         results["_models"] = tm  # type: ignore[assignment]
     return results
@@ -101,7 +108,10 @@ def run_analysis(raw: DataFrame, *, future_years: int = FUTURE_YEARS, train: boo
 
 def run_from_files(spark: SparkSession, csv_path: str, table_path: str, **options) -> dict[str, DataFrame]:
     """R4 from a path: read the observation files, land them as Parquet by year
-    under ``table_path`` (years present there are replaced), analyse the table."""
+    under ``table_path`` (years present there are replaced), analyse the table.
+    ``options`` are those of ``run_analysis``; with ``store`` a second run over
+    the same observations fits nothing, and one that was cut off goes on with
+    the models that are not finished."""
     land_observations(read_observations(spark, csv_path), table_path)
     return run_analysis(read_landed(spark, table_path), **options)
 
