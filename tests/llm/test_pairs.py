@@ -4,6 +4,7 @@ import random
 import re
 
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 
 from obs_analytics.llm import fingerprints, graph, jaccard_join, line_dedup, substring_dedup
@@ -30,16 +31,21 @@ def passages(seed, n=40):
     return out
 
 
+def text_key(text):
+    """Spark's xxhash64 of a string; of null its seed."""
+    return 42 if text is None else (lambda h: h - (1 << 64) if h >> 63 else h)(xxhash.xxh64_intdigest(text.encode(), 42))
+
+
 def brute_substrings(rows, width):
     first, out = {}, []
-    ordered = sorted(((d, words(t)) for d, t in rows), key=lambda r: (r[0] is None, r[0] or 0))
-    for d, ws in ordered:
+    ordered = [(d, words(t)) for d, t in sorted(rows, key=lambda r: (r[0] is None, r[0] or 0, text_key(r[1])))]
+    for row, (_, ws) in enumerate(ordered):
         for i in range(len(ws) - width + 1):
-            first.setdefault(tuple(ws[i : i + width]), (d, i))
-    for d, ws in ordered:
+            first.setdefault(tuple(ws[i : i + width]), (row, i))
+    for row, (d, ws) in enumerate(ordered):
         gone = set()
         for i in range(len(ws) - width + 1):
-            if first[tuple(ws[i : i + width])] != (d, i):
+            if first[tuple(ws[i : i + width])] != (row, i):
                 gone.update(range(i, i + width))
         out.append((d, len(ws), len(gone), " ".join(w for i, w in enumerate(ws) if i not in gone)))
     return sorted(out, key=str)
@@ -58,14 +64,35 @@ def test_substrings_saturated_sketch_loses_nothing(spark):
     assert sorted(map(tuple, got.collect()), key=str) == brute_substrings(rows, 6)
 
 
-def test_substrings_of_one_id(spark):
-    """Different texts under one id: a shared passage stays in one of them, and
-    other documents are not touched."""
-    passage = "one two three four five six seven eight"
-    rows = [(1, passage + " x"), (1, "y " + passage), (1, ""), (2, "alone here with seven other words only"), (3, passage)]
-    got = substring_dedup.substring_dedup(spark.createDataFrame(rows, "doc_id long, text string").coalesce(1), width=6, cells=1 << 16).collect()
-    kept = [(r.doc_id, r.kept) for r in got]
-    assert sum(passage in k for _, k in kept) == 1 and (3, "") in kept and (2, rows[3][1]) in kept
+def shared_passages(ids):
+    """Texts of which each passage is held by two, and some rows twice."""
+    rng = random.Random(8)
+    out = []
+    for i in range(300):
+        passage = [f"p{i}x{j}" for j in range(8)]
+        for copy in range(2):
+            out.append((ids(len(out)), " ".join([f"own{i}c{copy}"] * rng.randrange(4) + passage)))
+    return out + out[:40]
+
+
+@pytest.mark.parametrize("partitions", [1, 5, 8])
+@pytest.mark.parametrize("ids", [lambda i: None, lambda i: 7, lambda i: i // 5 if i % 3 else None], ids=["no ids", "one id", "some"])
+def test_substrings_of_rows_without_ids_of_their_own(spark, ids, partitions):
+    """Missing and repeated ids: the same rows on every layout, as brute force orders them."""
+    rows = shared_passages(ids)
+    got = substring_dedup.substring_dedup(spark.createDataFrame(rows, "doc_id long, text string").repartition(partitions), width=6, cells=1 << 16)
+    assert sorted(map(tuple, got.collect()), key=str) == brute_substrings(rows, 6)
+
+
+def test_substrings_of_small_batches(spark):
+    """A row's starts and equal rows that are spread over Arrow batches."""
+    rows = shared_passages(lambda i: i // 4)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "3")
+    try:
+        got = substring_dedup.substring_dedup(spark.createDataFrame(rows, "doc_id long, text string"), width=6, cells=1 << 16).collect()
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert sorted(map(tuple, got), key=str) == brute_substrings(rows, 6)
 
 
 def test_substrings_clashing_columns_and_empty(edges, nothing):
