@@ -4,9 +4,8 @@ A line is dropped when an earlier line of the corpus (smaller document id, or
 same document and smaller line number) is equal to it or one edit away: one
 character replaced, inserted or deleted. Lines shorter than ``least``
 characters have near neighbours by chance and are compared for equality only:
-later exact repeats of non-blank lines of ``shortest`` or more characters go.
-By default ``shortest`` is ``least``, the contract of the registered query's
-SQL, and shorter lines are always kept; 1 sends every non-blank line through.
+later exact repeats of non-blank lines of ``shortest`` or more characters go,
+by default of every non-blank line.
 
 Equal lines are first reduced to one row with their earliest place. Every line
 then emits its variants, itself and each string with one character deleted, as
@@ -32,7 +31,7 @@ table; further columns are left out.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from obs_analytics.llm.checkpoints import cut
@@ -52,7 +51,7 @@ def _half_keys(line: Column, size: Column) -> Column:
     return F.array(*pair(size), *pair(size - 1))
 
 
-def line_dedup(docs: DataFrame, *, least: int = LEAST, shortest: int | None = None, id_col: str = "doc_id", text_col: str = "text", carry: list[str] | None = None) -> DataFrame:
+def line_dedup(docs: DataFrame, *, least: int = LEAST, shortest: int = 1, id_col: str = "doc_id", text_col: str = "text", carry: list[str] | None = None) -> DataFrame:
     """Per document: doc_id, n_lines, n_removed and ``kept``, its remaining lines
     joined by newlines, after them the columns in ``carry``."""
     others = F.struct(*(docs[c].alias(f"c{i}") for i, c in enumerate(carry or [])) or [F.lit(None).alias("c0")])
@@ -61,13 +60,12 @@ def line_dedup(docs: DataFrame, *, least: int = LEAST, shortest: int | None = No
     line, size = F.col("line"), F.length("line")
 
     def compared(line: Column) -> Column:
-        long = F.length(line) >= least
-        return long if shortest is None else long | ((F.length(line) >= shortest) & line.rlike(r"\S"))
+        return (F.length(line) >= least) | ((F.length(line) >= shortest) & line.rlike(r"\S"))
 
     order = F.col("place").cast("decimal(38,0)") * F.lit(1 << 32).cast("decimal(10,0)") + F.col("no")
 
     lines = rows.select("place", "text_key", F.posexplode(F.split("text", "\n")).alias("no", "line")).where(compared(line))
-    halves = _half_keys(line, size) if shortest is None else F.when(size >= least, _half_keys(line, size)).otherwise(F.array().cast("array<bigint>"))
+    halves = F.when(size >= least, _half_keys(line, size)).otherwise(F.array().cast("array<bigint>"))
     marked = lines.select("place", "text_key", "no", F.xxhash64("line").alias("h"), F.xxhash64(F.lit(1), "line").alias("g"), order.cast("decimal(38,0)").alias("at"), halves.alias("halves"))
     distinct = marked.groupBy("h", "g").agg(
         F.min("at").alias("at"), F.min_by(F.struct("place", "text_key", "no"), F.struct("at", "text_key")).alias("first"), F.first("halves").alias("halves"),
@@ -79,7 +77,9 @@ def line_dedup(docs: DataFrame, *, least: int = LEAST, shortest: int | None = No
     live = halves.join(shared, "key", "left_semi").select("h").distinct()
     asked = distinct.join(live, "h", "left_semi").groupBy("place", "text_key").agg(F.collect_list(F.struct("no", "h", "at")).alias("asked"))
     texts = rows.join(asked, ["place", "text_key"]).select(F.split("text", "\n").alias("lines"), F.explode("asked").alias("a"))
-    texts = cut(texts.select("a.h", "a.at", F.get("lines", F.col("a.no")).alias("line")).dropDuplicates(["h", "at"]))
+    texts = texts.select("a.h", "a.at", F.get("lines", F.col("a.no")).alias("line")).dropDuplicates(["h", "at"])
+    tasks = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))  # each line becomes as many variants as it has characters
+    texts = cut(texts.repartition(tasks, "h"))
 
     near = neighbours(texts)
     dropped = near.where(F.levenshtein("line", "other", 1) >= 0).select("h", "at")
@@ -98,19 +98,18 @@ def line_dedup(docs: DataFrame, *, least: int = LEAST, shortest: int | None = No
 
 def neighbours(lines: DataFrame) -> DataFrame:
     """(h, at, line, other): each line (h, at, line; distinct texts) that has an
-    earlier line among its deletion neighbours by key, and the earliest such."""
+    earlier line among its deletion neighbours by key, and the earliest such.
+    Variants and whole lines meet on one exchange by their key."""
     at_each = F.sequence(F.lit(1), F.length("line"))
-    without = lambda i: F.concat(F.left("line", i - 1), F.substr("line", i + 1))
-    variants = lines.select("h", "at", F.explode(F.transform(at_each, lambda i: F.struct(i.alias("i"), F.xxhash64(without(i)).alias("v")))).alias("x")).select("h", "at", "x.i", "x.v")
-    groups = variants.groupBy("v", "i").agg(F.min("at").alias("first"), F.min_by("h", "at").alias("other"), F.max("at").alias("last")).where("first < last").drop("last")
-    replaced = variants.join(groups, ["v", "i"]).where("at > first").select("h", "at", "other", "first")
-    whole = lines.select(F.xxhash64("line").alias("v"), F.col("h").alias("h0"), F.col("at").alias("at0"))
-    moved = whole.join(variants.select("v", "h", "at"), "v")
-    later = F.col("at") > F.col("at0")
-    moved = moved.where("at <> at0").select(
-        F.when(later, F.col("h")).otherwise(F.col("h0")).alias("h"), F.greatest("at", "at0").alias("at"),
-        F.when(later, F.col("h0")).otherwise(F.col("h")).alias("other"), F.least("at", "at0").alias("first"),
-    )
-    found = replaced.union(moved).groupBy("h", "at").agg(F.min("first").alias("first"), F.min_by("other", "first").alias("other"))
+    without = lambda i: F.xxhash64(F.concat(F.left("line", i - 1), F.substr("line", i + 1)))
+    whole = F.array(F.struct(F.lit(0).alias("i"), F.xxhash64("line").alias("v")))
+    variants = F.concat(whole, F.transform(at_each, lambda i: F.struct(i.alias("i"), without(i).alias("v"))))
+    keyed = lines.select("h", "at", F.explode(variants).alias("x")).select("h", "at", "x.i", "x.v")
+    place = F.struct("at", "h")
+    same = F.min(place).over(Window.partitionBy("v", "i"))  # one character replaced
+    longer = F.min(F.when(F.col("i") > 0, place)).over(Window.partitionBy("v"))  # one inserted in the other
+    shorter = F.min(F.when(F.col("i") == 0, place)).over(Window.partitionBy("v"))  # one deleted in the other
+    met = keyed.repartition("v").select("h", "at", F.when(F.col("i") == 0, longer).otherwise(F.least(same, shorter)).alias("near"))
+    found = met.where("near.at < at").groupBy("h", "at").agg(F.min("near.at").alias("first"), F.min_by("near.h", "near.at").alias("other"))
     others = lines.select(F.col("h").alias("other"), F.col("at").alias("first"), F.col("line").alias("other_line"))
     return lines.join(found, ["h", "at"]).join(others, ["other", "first"]).select("h", "at", "line", F.col("other_line").alias("other"))

@@ -165,13 +165,13 @@ WITH line AS (
   SELECT doc_id, i - 1 AS no, ls[i] AS line
   FROM (SELECT doc_id, ls, unnest(range(1, len(ls) + 1)) AS i FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents))
 ), kind AS (
-  SELECT line, length(line) AS n, min((doc_id, no)) AS first FROM line WHERE length(line) >= 20 GROUP BY line
+  SELECT line, length(line) AS n, min((doc_id, no)) AS first FROM line WHERE length(line) >= 20 OR regexp_matches(line, '[^ \t\n\x0B\f\r]') GROUP BY line
 ), cand AS (
   SELECT a.line AS x, b.line AS y, a.n AS n, b.n AS m FROM kind a JOIN kind b ON left(a.line, 10) = left(b.line, 10)
-  WHERE a.line <> b.line AND a.n - b.n BETWEEN -1 AND 1 AND b.first < a.first
+  WHERE a.n >= 20 AND b.n >= 20 AND a.line <> b.line AND a.n - b.n BETWEEN -1 AND 1 AND b.first < a.first
   UNION
   SELECT a.line, b.line, a.n, b.n FROM kind a JOIN kind b ON right(a.line, 10) = right(b.line, 10)
-  WHERE a.line <> b.line AND a.n - b.n BETWEEN -1 AND 1 AND b.first < a.first
+  WHERE a.n >= 20 AND b.n >= 20 AND a.line <> b.line AND a.n - b.n BETWEEN -1 AND 1 AND b.first < a.first
 ), near AS (
   SELECT DISTINCT x FROM cand WHERE len(list_filter(range(0, greatest(n, m)), lambda i:
     left(x, i) = left(y, i) AND substr(x, i + (CASE WHEN n >= m THEN 2 ELSE 1 END)) = substr(y, i + (CASE WHEN m >= n THEN 2 ELSE 1 END)))) > 0
@@ -180,7 +180,7 @@ WITH line AS (
 )
 SELECT doc_id, cast(count(*) AS BIGINT) AS n_lines, cast(count(*) FILTER (gone) AS BIGINT) AS n_removed,
        sha256(coalesce(string_agg(line, chr(10) ORDER BY no) FILTER (NOT gone), '')) AS kept_sha256
-FROM (SELECT line.*, length(line) >= 20 AND first IS NULL AS gone FROM line LEFT JOIN stays ON stays.first = (doc_id, no))
+FROM (SELECT line.*, (length(line) >= 20 OR regexp_matches(line, '[^ \t\n\x0B\f\r]')) AND first IS NULL AS gone FROM line LEFT JOIN stays ON stays.first = (doc_id, no))
 GROUP BY doc_id
 """
 

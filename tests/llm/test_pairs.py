@@ -170,8 +170,10 @@ def brute_lines(rows, least):
         lines += [((d is None, d or 0, no), line) for no, line in enumerate((t or "").split("\n"))]
     keep = {}
     for at, line in lines:
-        gone = len(line) >= least and any(p < at and len(o) >= least and one_edit(line, o) for p, o in lines)
-        keep[at] = not gone
+        if len(line) >= least:
+            keep[at] = not any(p < at and len(o) >= least and one_edit(line, o) for p, o in lines)
+        else:
+            keep[at] = not re.search(r"[^ \t\n\x0B\f\r]", line) or not any(p < at and line == o for p, o in lines)
     out = []
     for d, t in rows:
         own = (t or "").split("\n")
@@ -204,7 +206,7 @@ def test_short_lines_repeat(spark):
     rows = [(1, "Share\nRead more\n\n好\n  "), (2, f"Read more\nRead mode\n\n{long}\nx\n  "), (3, f"x\n{long}!\n好\nRead more\n{long}"), (None, "Share\nalone")]
     df = spark.createDataFrame(rows, "doc_id long, text string")
     want = {1: "Share\nRead more\n\n好\n  ", 2: f"Read mode\n\n{long}\nx\n  ", 3: "", None: "alone"}
-    got = line_dedup.line_dedup(df, shortest=1).collect()
+    got = line_dedup.line_dedup(df).collect()
     assert {r.doc_id: r.kept for r in got} == want
     assert {r.doc_id: (r.n_lines, r.n_removed) for r in got} == {1: (5, 0), 2: (6, 1), 3: (5, 5), None: (2, 1)}
     five = {r.doc_id: r.kept for r in line_dedup.line_dedup(df, shortest=6).collect()}
