@@ -35,4 +35,13 @@ def table(frame: DataFrame, name: str) -> DataFrame:
     spark = frame.sparkSession
     path = f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
     frame.write.parquet(path)
-    return spark.read.schema(frame.schema).parquet(path)
+    made = spark.read.schema(frame.schema).parquet(path)
+    made.stored_at = path
+    return made
+
+
+def drop(frame: DataFrame) -> None:
+    """Delete the files of a ``table`` that no later plan reads."""
+    spark = frame.sparkSession
+    path = spark._jvm.org.apache.hadoop.fs.Path(frame.stored_at)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

@@ -5,24 +5,27 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from obs_analytics.llm.checkpoints import cut
+from obs_analytics.llm.checkpoints import drop, table
 
 
 def components(links: DataFrame) -> DataFrame:
     """(node, component): the smallest node that each linked node reaches.
     ``links`` has long columns a, b. Alternates the large-star and small-star
     steps until all links are stars; each step is a grouped minimum (combined
-    before the shuffle) and a join back, and is cut to the shared folder, so
-    neither links nor nodes pass through the driver. Nulls link nothing."""
-    edges = cut(links.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct())
+    before the shuffle) and a join back, and is written to the shared folder (the
+    step before it is deleted), so neither links nor nodes pass through the
+    driver. Nulls link nothing."""
+    edges = table(links.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), "links")
     while not _stars(edges):
         both = edges.union(edges.select("v", "u"))
         least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
         large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        large = cut(large.where("u <> v").distinct())
+        large = table(large.where("u <> v").distinct(), "large-star")
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).union(least)
-        edges = cut(small.where("u <> v").distinct())
+        done, edges = edges, table(small.where("u <> v").distinct(), "small-star")
+        drop(done)
+        drop(large)
     return edges.select(F.col("u").alias("node"), F.col("v").alias("component")).union(edges.select("v", "v").distinct())
 
 

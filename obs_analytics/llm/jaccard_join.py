@@ -38,11 +38,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from obs_analytics.llm import arrays, sketch
-from obs_analytics.llm.checkpoints import table
+from obs_analytics.llm.checkpoints import drop, table
 from obs_analytics.llm.graph import components
 
 NAMELESS = -(1 << 63)  # bit of the nodes of rows without an id
@@ -187,20 +187,21 @@ def jaccard_join(docs: DataFrame, *, width: int = 3, percent: int = 90, cells: i
                 )
 
     signed = table(rows.mapInArrow(signatures, "node long, id long, text_key long, n long, mark1 long, mark2 long, keys array<long>"), "signatures")
-    own = signed.select("node", "id", "text_key", "n", "mark1", "mark2")
+    own = table(signed.select("node", "id", "text_key", "n", "mark1", "mark2"), "sets")
     classes = own.where("n > 0").groupBy("mark1", "mark2").agg(F.min("id").alias("least"), F.min("node").alias("first"), F.count("*").alias("copies"))
     copied = classes.where("copies > 1").select("mark1", "mark2", F.coalesce("least", "first").alias("first"), "least")
     firsts = signed.where(F.size("keys") > 0).select("node", "mark1", "mark2", "keys").join(copied, ["mark1", "mark2"], "left").where("first is null or first = node")
     listed = firsts.select("node", F.explode("keys").alias("key"))
-    hubs = listed.groupBy("key").agg(F.min("node").alias("hub"), F.max("node").alias("other")).where("hub <> other").select("key", "hub")
-    clusters = components(listed.join(hubs, "key").select(F.col("node").alias("a"), F.col("hub").alias("b")))
+    hub = F.min("node").over(Window.partitionBy("key"))  # one exchange; a large group spills
+    clusters = components(listed.select(F.col("node").alias("a"), hub.alias("b")))
+    drop(signed)  # its keys are the bulk of what this operator stores
     linked = own.join(copied, ["mark1", "mark2"], "left")
     linked = linked.select("node", "id", "text_key", "n", F.when(F.col("n") > 0, F.coalesce("first", "node")).otherwise(F.col("node")).alias("first"), F.coalesce("least", "id").alias("least"))
     # rows that share an id but not their text tie their classes together
     several = own.groupBy("node").agg(F.min("mark1").alias("low"), F.max("mark1").alias("high")).where("low <> high").select("node")
     tied = linked.join(several, "node", "left_semi").select(F.col("node").alias("a"), F.col("first").alias("b"))
     texts = rows.where("id is not null").union(rows.where("id is null").dropDuplicates(["node"])).select("node", "text")
-    found = block_links(member_sets(texts, clusters, width, cells), clusters, own.where("n > 0").select("node", "n"), percent)
+    found = block_links(member_sets(texts, clusters, width, min(cells, CELLS)), clusters, own.where("n > 0").select("node", "n"), percent)
     links = components(found.union(tied))
     nameless = own.where("id is null").select("node", F.lit(True).alias("nameless")).distinct()
     least = links.join(nameless, "node", "left").groupBy("component").agg(F.min(F.when(F.col("nameless").isNull(), F.col("node"))).alias("least_id"))
