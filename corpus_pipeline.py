@@ -21,6 +21,7 @@ from obs_analytics.llm.labelled import fold
 from obs_analytics.llm.shipping import ship
 
 BYTE_RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
+SKETCH_CELLS = 1 << 27  # a likeness of 0.8 makes twice as many part keys as 0.9
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
@@ -53,7 +54,7 @@ def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     """The first document of each group linked by a Jaccard likeness of 0.8 or
     more over five-word shingles; wordless texts link with nothing and stay."""
     ship(spark)
-    found = table(jaccard_join.jaccard_join(docs, width=5, percent=80, keyed=True).select(F.col("doc_id").alias("id"), "text_key", "n_shingles", "leads"), "groups")
+    found = table(jaccard_join.jaccard_join(docs, width=5, percent=80, cells=SKETCH_CELLS, keyed=True).select(F.col("doc_id").alias("id"), "text_key", "n_shingles", "leads"), "groups")
     later = found.where("not leads").select("id", "text_key")
     repeated = found.where("leads and n_shingles > 0").groupBy("id", "text_key").count().where("count > 1").select("id", "text_key")
     once = docs.join(repeated, _same_row(docs, repeated), "left_semi").select(COLUMNS).dropDuplicates(["doc_id", "text"])
