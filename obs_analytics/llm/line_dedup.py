@@ -54,9 +54,9 @@ def _half_keys(line: Column, size: Column) -> Column:
 def line_dedup(docs: DataFrame, *, least: int = LEAST, shortest: int = 1, id_col: str = "doc_id", text_col: str = "text", carry: list[str] | None = None) -> DataFrame:
     """Per document: doc_id, n_lines, n_removed and ``kept``, its remaining lines
     joined by newlines, after them the columns in ``carry``."""
-    others = F.struct(*(docs[c].alias(f"c{i}") for i, c in enumerate(carry or [])) or [F.lit(None).alias("c0")])
+    others = [F.struct(*(docs[c].alias(f"c{i}") for i, c in enumerate(carry))).alias("others")] if carry else []
     doc_id = docs[id_col].cast("long")
-    rows = docs.select(F.coalesce(doc_id, F.lit(LAST)).alias("place"), F.xxhash64(docs[text_col]).alias("text_key"), F.coalesce(docs[text_col], F.lit("")).alias("text"), others.alias("others"))
+    rows = docs.select(F.coalesce(doc_id, F.lit(LAST)).alias("place"), F.xxhash64(docs[text_col]).alias("text_key"), F.coalesce(docs[text_col], F.lit("")).alias("text"), *others)
     line, size = F.col("line"), F.length("line")
 
     def compared(line: Column) -> Column:
@@ -78,16 +78,16 @@ def line_dedup(docs: DataFrame, *, least: int = LEAST, shortest: int = 1, id_col
     asked = distinct.join(live, "h", "left_semi").groupBy("place", "text_key").agg(F.collect_list(F.struct("no", "h", "at")).alias("asked"))
     texts = rows.join(asked, ["place", "text_key"]).select(F.split("text", "\n").alias("lines"), F.explode("asked").alias("a"))
     texts = texts.select("a.h", "a.at", F.get("lines", F.col("a.no")).alias("line")).dropDuplicates(["h", "at"])
-    tasks = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))  # each line becomes as many variants as it has characters
-    texts = cut(texts.repartition(tasks, "h"))
+    # read three times below, from one exchange; a line becomes as many variants as it has characters
+    texts = texts.repartition(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), "h")
 
-    near = neighbours(texts)
+    near, kept = neighbours(texts), ["others"] if carry else []
     dropped = near.where(F.levenshtein("line", "other", 1) >= 0).select("h", "at")
     firsts = distinct.join(dropped, ["h", "at"], "left_anti").groupBy("place", "text_key").agg(F.collect_list("no").alias("firsts"))
-    numbered = rows.join(firsts, ["place", "text_key"], "left").select("place", "others", F.split("text", "\n").alias("lines"), F.coalesce("firsts", F.array().cast("array<int>")).alias("firsts"))
+    numbered = rows.join(firsts, ["place", "text_key"], "left").select("place", *kept, F.split("text", "\n").alias("lines"), F.coalesce("firsts", F.array().cast("array<int>")).alias("firsts"))
     numbers = F.sequence(F.lit(0), F.size("lines") - 1)
     judged = F.filter(numbers, lambda i: compared(F.get("lines", i)))
-    left = numbered.select("place", "others", "lines", F.array_except(numbers, F.array_except(judged, "firsts")).alias("left"))
+    left = numbered.select("place", *kept, "lines", F.array_except(numbers, F.array_except(judged, "firsts")).alias("left"))
     return left.select(
         F.nullif("place", F.lit(LAST)).alias("doc_id"), F.size("lines").cast("long").alias("n_lines"),
         (F.size("lines") - F.size("left")).cast("long").alias("n_removed"),
