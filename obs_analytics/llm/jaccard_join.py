@@ -46,7 +46,7 @@ from obs_analytics.llm.checkpoints import drop, table
 from obs_analytics.llm.graph import components
 
 NAMELESS = -(1 << 63)  # bit of the nodes of rows without an id
-ROWS, COLUMNS = 256, 1 << 14
+ROWS, COLUMNS = 512, 1 << 13
 CELLS = 1 << 26  # each of the two bitmaps that go to all tasks is 16 MB
 
 
