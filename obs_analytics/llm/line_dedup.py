@@ -34,7 +34,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from obs_analytics.llm.checkpoints import cut
+from obs_analytics.llm.checkpoints import table
 
 LAST = (1 << 63) - 1  # place of rows without an id
 LEAST = 20
@@ -66,11 +66,9 @@ def line_dedup(docs: DataFrame, *, least: int = LEAST, shortest: int = 1, id_col
 
     lines = rows.select("place", "text_key", F.posexplode(F.split("text", "\n")).alias("no", "line")).where(compared(line))
     halves = F.when(size >= least, _half_keys(line, size)).otherwise(F.array().cast("array<bigint>"))
-    marked = lines.select("place", "text_key", "no", F.xxhash64("line").alias("h"), F.xxhash64(F.lit(1), "line").alias("g"), order.cast("decimal(38,0)").alias("at"), halves.alias("halves"))
-    distinct = marked.groupBy("h", "g").agg(
-        F.min("at").alias("at"), F.min_by(F.struct("place", "text_key", "no"), F.struct("at", "text_key")).alias("first"), F.first("halves").alias("halves"),
-    )
-    distinct = cut(distinct.select("h", "g", "at", "first.place", "first.text_key", "first.no", "halves"))
+    marked = lines.select("place", "text_key", "no", F.xxhash64("line").alias("h"), F.xxhash64(F.lit(1), "line").alias("g"), halves.alias("halves"))
+    distinct = marked.groupBy("h", "g").agg(F.min(F.struct("place", "no", "text_key")).alias("first"), F.first("halves").alias("halves"))
+    distinct = table(distinct.select("h", "first.place", "first.text_key", "first.no", "halves"), "lines").withColumn("at", order.cast("decimal(38,0)"))
 
     halves = distinct.select("h", F.explode("halves").alias("key"))
     shared = halves.groupBy("key").agg(F.min("h").alias("a"), F.max("h").alias("b")).where("a <> b").select("key")
