@@ -146,18 +146,19 @@ def matches(terms: np.ndarray, counts: np.ndarray, positions: np.ndarray, query:
     length = query.lengths[live]
     doc = np.searchsorted(first, np.maximum(start, 0), "right") - 1
     fits = (start >= first[doc]) & (start + length[which] <= first[doc + 1])
-    which, start = which[fits], start[fits]
+    which, start, doc = which[fits], start[fits], doc[fits]
     span = np.int64(1) << 33
     postings = np.repeat(np.arange(len(terms)), counts) * span + positions
     for rank in range(1, query.terms.shape[1]):
         used = rank < length[which]
         offset = rarest[which, rank]
         term = query.terms[live[which], offset]
-        key = slot[term] * span + start + offset
-        near = np.searchsorted(postings, key - slack)
+        low = slot[term] * span + np.maximum(start + offset - slack, first[doc])
+        high = slot[term] * span + np.minimum(start + offset + slack, first[doc + 1] - 1)
+        near = np.searchsorted(postings, low)
         ok = postings[np.minimum(near, len(postings) - 1)]
-        keep = ~used | ((near < len(postings)) & (ok >= key - slack) & (ok <= key + slack))
-        which, start = which[keep], start[keep]
+        keep = ~used | ((near < len(postings)) & (ok >= low) & (ok <= high))
+        which, start, doc = which[keep], start[keep], doc[keep]
     return live[which], start
 
 
