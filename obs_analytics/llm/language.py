@@ -41,19 +41,21 @@ _SPACED[[b for b in range(128) if not chr(b).isalpha()]] = 0x20  # ASCII other t
 
 def presence(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """(0/1 matrix of n-gram columns, root of each text's number of them)."""
-    data, offsets = arrays.buffers(texts)
-    data = _SPACED[data].astype(np.int64)
-    doc = np.repeat(np.arange(len(texts)), np.diff(offsets))
+    every, offsets = arrays.buffers(texts)
     out = np.zeros((len(texts), sum(COLUMNS)), np.float32)
-    flat, base, code = out.ravel(), 0, data
-    for order, columns in enumerate(COLUMNS, 1):
-        if order > 1:
-            code = code[:-1] * 256 + data[order - 1 :]
-        if len(code) > 0:
-            whole = doc[: len(code)] == doc[order - 1 :]
-            column = (code * 0x9E3779B1 >> 13) % columns if order > 1 else code
-            flat[(doc[: len(code)] * sum(COLUMNS) + base + column)[whole]] = 1
-        base += columns
+    flat = out.ravel()
+    for at in range(0, len(every), arrays.SLICE_BYTES):  # blocks overlap by an n-gram less one byte
+        data = _SPACED[every[at : at + arrays.SLICE_BYTES + len(COLUMNS) - 1]].astype(np.int64)
+        doc = np.searchsorted(offsets, np.arange(at, at + len(data)), "right") - 1
+        base, code = 0, data
+        for order, columns in enumerate(COLUMNS, 1):
+            if order > 1:
+                code = code[:-1] * 256 + data[order - 1 :]
+            if len(code) > 0:
+                whole = doc[: len(code)] == doc[order - 1 :]
+                column = (code * 0x9E3779B1 >> 13) % columns if order > 1 else code
+                flat[(doc[: len(code)] * sum(COLUMNS) + base + column)[whole]] = 1
+            base += columns
     return out, np.sqrt(np.maximum(out.sum(axis=1), 1))
 
 

@@ -36,6 +36,7 @@ from obs_analytics.llm.labelled import sample
 
 FEATURES = 1 << 18
 ODDS, PASSES, RATE, DECAY = 20.0, 30, 0.5, 1e-5
+PIECE = 512  # longer sentences are cut for the recursions and joined by products of their steps
 _BREAK = np.zeros(256, bool)
 _BREAK[[0x0A, 0x21, 0x2E, 0x3F]] = True  # newline ! . ?
 
@@ -67,32 +68,71 @@ class Words:
 
 def marginals(emission: np.ndarray, sentences: np.ndarray, transitions: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(probability of the toxic state of each word, expected transition counts)
-    by forward-backward over all sentences at once."""
-    length = np.diff(sentences)
-    order = np.argsort(-length, kind="stable")
-    begin, length = sentences[:-1][order], length[order]
+    by forward-backward over all sentences at once, in pieces of ``PIECE`` words."""
     weight, t = np.exp(np.clip(emission, -20, 20)), np.exp(transitions)
+    begin, length, inner, before, after = _pieces(weight, sentences, t)
+    order = np.argsort(-length, kind="stable")
+    begin, length, inner, before, after = (x[order] for x in (begin, length, inner, before, after))
     forward, backward = np.empty(len(emission)), np.ones(len(emission))
+    backward[(begin + length - 1)[length > 0]] = after[length > 0]
     steps = int(length[0]) if len(length) else 0
     running = np.searchsorted(-length, -np.arange(steps), "left")  # sentences longer than each step
     for k in range(steps):
         at = begin[: running[k]] + k
         if k == 0:
-            forward[at] = weight[at]
+            r, first = before[: len(at)], ~inner[: len(at)]
+            forward[at] = weight[at] * np.where(first, 1, (t[0, 1] + r * t[1, 1]) / (t[0, 0] + r * t[1, 0]))
         else:
             r = forward[at - 1]
             forward[at] = weight[at] * (t[0, 1] + r * t[1, 1]) / (t[0, 0] + r * t[1, 0])
     expected = np.zeros((2, 2))
-    for k in range(steps - 1, 0, -1):
+    for k in range(steps - 1, -1, -1):
         at = begin[: running[k]] + k
+        if k == 0:  # the value of the word before is already known
+            at = at[inner[: len(at)]]
         x, r = weight[at] * backward[at], forward[at - 1]
-        backward[at - 1] = (t[1, 0] + t[1, 1] * x) / (t[0, 0] + t[0, 1] * x)
+        if k > 0:
+            backward[at - 1] = (t[1, 0] + t[1, 1] * x) / (t[0, 0] + t[0, 1] * x)
         joint = np.stack([np.full(len(at), t[0, 0]), t[0, 1] * x, t[1, 0] * r, t[1, 1] * r * x])
         expected += (joint / joint.sum(axis=0)).sum(axis=1).reshape(2, 2)
     odds = forward * backward
     return odds / (1 + odds), expected
 
 
+def _pieces(weight: np.ndarray, sentences: np.ndarray, t: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Sentences cut into pieces of up to ``PIECE`` words: (first word, length,
+    whether it goes on a sentence, forward ratio before the piece, backward
+    ratio at its last word). A piece's steps are one 2 x 2 matrix, so that the
+    ratios at its borders follow piece by piece."""
+    count = np.maximum(-(-np.diff(sentences) // PIECE), 1)
+    begin = np.repeat(sentences[:-1], count) + PIECE * arrays.ramp(count)
+    length = np.minimum(np.repeat(sentences[1:], count) - begin, PIECE)
+    inner = arrays.ramp(count) > 0
+    before, after = np.ones(len(begin)), np.ones(len(begin))
+    cut = np.flatnonzero(np.repeat(count, count) > 1)
+    if len(cut) == 0:
+        return begin, length, inner, before, after
+    high, low = np.tile([1.0, 0.0], (len(cut), 1)), np.tile([0.0, 1.0], (len(cut), 1))  # rows of the products
+    for k in range(PIECE):
+        live = np.flatnonzero(length[cut] > k)
+        w = weight[begin[cut[live]] + k][:, None]
+        a, b = high[live], low[live]
+        opens = ((k == 0) & ~inner[cut[live]])[:, None]
+        a, b = np.where(opens, a, t[0, 0] * a + t[1, 0] * b), w * np.where(opens, b, t[0, 1] * a + t[1, 1] * b)
+        total = (a + b).sum(axis=1, keepdims=True)
+        high[live], low[live] = a / total, b / total
+    steps = list(zip(cut.tolist(), inner[cut].tolist(), *high.T.tolist(), *low.T.tolist(), strict=True))
+    r = 1.0
+    for i, goes_on, a, b, c, d in steps:
+        r = before[i] = r if goes_on else 1.0
+        r = (c + d * r) / (a + b * r)
+    r = 1.0
+    for i, goes_on, a, b, c, d in reversed(steps):
+        after[i] = r
+        r = (b + d * r) / (a + c * r) if goes_on else 1.0
+    return begin, length, inner, before, after
+
+
 def _summary(p: np.ndarray, first: np.ndarray) -> np.ndarray:
     """Per document: 1, log(1 + sum), maximum of its words' marginals."""
     out = np.zeros((len(first) - 1, 3))

@@ -2,6 +2,7 @@
 
 import itertools
 import random
+import time
 
 import numpy as np
 import pyarrow as pa
@@ -108,6 +109,38 @@ def test_forward_backward_against_enumeration():
     assert p == pytest.approx(want) and expected == pytest.approx(pairs)
 
 
+@pytest.mark.parametrize("lengths", [[7], [3, 1, 11, 4], [1, 1], [9, 2, 3]])
+def test_long_sentences_in_pieces(monkeypatch, lengths):
+    """Sentences cut into pieces give the marginals and transitions of whole ones."""
+    rng = np.random.default_rng(sum(lengths))
+    sentences = np.concatenate([[0], np.cumsum(lengths)])
+    emission, transitions = 2 * rng.normal(size=sentences[-1]), rng.normal(size=(2, 2))
+    p, expected = toxicity.marginals(emission, sentences, transitions)
+    for piece in (1, 2, 3):
+        monkeypatch.setattr(toxicity, "PIECE", piece)
+        q, pairs = toxicity.marginals(emission, sentences, transitions)
+        assert q == pytest.approx(p) and pairs == pytest.approx(expected)
+
+
+def test_one_very_long_sentence():
+    """300,000 words without a sentence's end: a step per piece, not per word."""
+    n = 300_000
+    emission, sentences = np.random.default_rng(2).normal(size=n), np.array([0, 5, n])
+    start = time.process_time()
+    p, expected = toxicity.marginals(emission, sentences, np.array([[0.3, -1.0], [0.2, 0.9]]))
+    assert time.process_time() - start < 3
+    assert np.isfinite(p).all() and expected.sum() == pytest.approx(n - 2)
+
+
+def test_presence_in_blocks(monkeypatch):
+    """Long texts are read in blocks; n-grams across a block's end count."""
+    texts = pa.array(["", "abcdefghij" * 7, None, "é xyz", "", "q" * 40 + "ab"], pa.large_string())
+    whole, _ = language.presence(texts)
+    for block in (1, 2, 5, 16):
+        monkeypatch.setattr(language.arrays, "SLICE_BYTES", block)
+        assert np.array_equal(language.presence(texts)[0], whole)
+
+
 def test_toxic_spans(spark, edges, nothing):
     clean = toy(5, 150, ["an", "the", "ing"])
     rude = [f"{t} VILE{e} {t}" for t, e in zip(toy(6, 150, ["an", "the", "ing"]), itertools.cycle(["", "ly", "st"]))]
