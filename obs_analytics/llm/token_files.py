@@ -59,13 +59,16 @@ def write_tokens(docs: DataFrame, path: str, tokenizer_path: str, *, end_id: int
     )
 
 
-def read_tokens(spark: SparkSession, path: str) -> DataFrame:
+def read_tokens(spark: SparkSession, path: str, *, ids: tuple[int, int] | None = None) -> DataFrame:
     """The files' rows with ``start``: the number of ids of all documents before
-    the row. Only the parts' totals, one small row per write task, are summed up
+    the row. With ``ids`` only the documents of that closed range, whose bounds
+    reach the scan, so that other row groups and pages are passed over. Only the parts' totals, one small row per write task, are summed up
     and broadcast (16 bytes each, so 16 MB for a million tasks)."""
     rows = spark.read.schema(FILE_SCHEMA).parquet(path)
     totals = rows.groupBy("part").agg(F.sum("n_tokens").alias("total"))
     before = totals.select("part", F.coalesce(F.sum("total").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("before"))
+    if ids is not None:
+        rows = rows.where(F.col("doc_id").between(*ids))
     return rows.join(F.broadcast(before), "part").select("doc_id", (F.col("before") + F.col("part_start")).alias("start"), "n_tokens", "ids")
 
 

@@ -1,5 +1,6 @@
 """Substring dedup, fingerprints, line dedup and the Jaccard join against brute force."""
 
+import hashlib
 import random
 import re
 
@@ -7,10 +8,11 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from obs_analytics.llm import fingerprints, graph, jaccard_join, line_dedup, substring_dedup
+from obs_analytics.llm import fingerprints, graph, jaccard_join, line_dedup, queries, substring_dedup
 
 from .conftest import EDGES
 
+SF_DIR = "/root/testdata/sf0.001"
 SPACE_WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
 
@@ -153,6 +155,35 @@ def test_next_documents_across_ranges(spark, monkeypatch):
     assert got == {3 * i: f"text {(i + 1) % 100}" for i in range(100)}
 
 
+def test_fingerprint_query(spark):
+    """op2's whole result, from texts edited in Python and sketches compared by sets."""
+    rows = spark.read.parquet(f"{SF_DIR}/documents.parquet").select("doc_id", "text").orderBy("doc_id").collect()
+    texts = [r.text or "" for r in rows]
+    edited = []
+    for i, text in enumerate(texts):
+        cut = len(text) // 4
+        edited.append(text[: len(text) - cut] + texts[(i + 1) % len(texts)][:cut])
+    pairs = spark.createDataFrame([(i, a, b) for i, (a, b) in enumerate(zip(texts, edited, strict=True))], "i long, a string, b string")
+    own, other = {}, {}
+    for r in pairs.select("i", fingerprints.fingerprint(F.col("a")).alias("x"), fingerprints.fingerprint(F.col("b")).alias("y")).collect():
+        own[r.i], other[r.i] = r.x, r.y
+
+    def like(a, b):
+        union = sorted({*a, *b})[: fingerprints.K]
+        return len({*union} & {*a} & {*b}) / len(union) if union else 1.0
+
+    def text_of(f):
+        return "".join(f"{x & (1 << 64) - 1:016X}" for x in f)
+
+    got = {r.doc_id: r for r in queries.op2_fingerprints(spark, SF_DIR).collect()}
+    assert len(got) == len(rows)
+    for i, row in enumerate(rows):
+        r = got[row.doc_id]
+        assert (r.n_chars, r.edited_sha256) == (len(texts[i]), hashlib.sha256(edited[i].encode()).hexdigest())
+        assert (r.fingerprint, r.edited_fingerprint) == (text_of(own[i]), text_of(other[i]))
+        assert r.near_edited == pytest.approx(like(own[i], other[i])) and r.near_next == pytest.approx(like(own[i], own[(i + 1) % len(rows)]))
+
+
 def one_edit(a, b):
     if a == b:
         return True

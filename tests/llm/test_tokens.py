@@ -88,6 +88,18 @@ def test_token_files(spark, texts, nothing):
     assert token_files.read_tokens(spark, path + "-none").count() == 0
 
 
+def test_token_files_read_by_id(spark, texts):
+    path = f"{shared_folder(spark)}/tokens-{random.random()}"
+    token_files.write_tokens(spark.createDataFrame(texts, "doc_id long, text string").repartition(5), path, WORDS)
+    some = sorted(d for d, _ in texts if d is not None)[2:5]
+    picked = token_files.read_tokens(spark, path, ids=(some[0], some[-1]))
+    want = [r for r in token_files.read_tokens(spark, path).orderBy("start").collect() if r.doc_id is not None and some[0] <= r.doc_id <= some[-1]]
+    assert len(want) >= 3 and picked.orderBy("start").collect() == want
+    plan = picked.select("doc_id", "start")._jdf.queryExecution().executedPlan().toString()
+    assert f"GreaterThanOrEqual(doc_id,{some[0]})" in plan and f"LessThanOrEqual(doc_id,{some[-1]})" in plan
+    assert "ReadSchema" in plan and "ids:array" not in plan
+
+
 def test_token_files_format(spark, texts):
     import glob
 
@@ -178,6 +190,8 @@ def test_decontamination_slack_and_empty(spark, edges, nothing):
     exact = {r.doc_id: bool(r.hits) for r in decontamination.decontaminate(docs, items).collect()}
     near = {r.doc_id: bool(r.hits) for r in decontamination.decontaminate(docs, items, slack=1).collect()}
     assert exact == {1: True, 2: False, 3: False} and near == {1: True, 2: True, 3: False}
+    borders = spark.createDataFrame([(1, "alpha beta gamma x"), (2, "delta other"), (3, "alpha beta gamma"), (4, "x delta")], "doc_id long, text string").coalesce(1)
+    assert not any(r.hits for slack in (1, 2, 5) for r in decontamination.decontaminate(borders, items, slack=slack).collect())
     none = items.where("false")
     assert decontamination.decontaminate(edges, none).where(F.size("hits") > 0).count() == 0
     assert decontamination.decontaminate(edges, none).count() == len(EDGES)
