@@ -9,7 +9,9 @@ of word shingles. Documents with equal sets are one class, compared once.
    some parts; a key is the hash of one part. Empty parts make no key unless a
    set has so many that a link might rest on them alone. A document
    makes keys for its own size class and, as the larger of a pair, for the class
-   below. A Count-min sketch of the keys leaves only those that may recur.
+   below. A Count-min sketch of the keys leaves only those that may recur, and
+   of a document's keys for a class all go unless as many recur as the parts
+   that a linked set must share: a passage common to two texts fills few parts.
 2. Classes that share a key, directly or through others, are a cluster
    (connected components). A part has about ``percent / (100 - percent)``
    shingles, so a shared passage alone seldom makes a key recur. A bitmap of the
@@ -72,12 +74,14 @@ def size_class(n: np.ndarray, percent: int) -> np.ndarray:
     return np.floor(np.log(n) / np.log(100 / percent) + 1e-9).astype(np.int64)
 
 
-def part_keys(hashes: np.ndarray, owner: np.ndarray, count: int, percent: int) -> tuple[np.ndarray, np.ndarray]:
-    """(key, set number) of the parts of ``count`` sets (hashes by owner), for
-    each set's own size class and the class below."""
+def part_keys(hashes: np.ndarray, owner: np.ndarray, count: int, percent: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(key, set number, below, need) of the parts of ``count`` sets (hashes by
+    owner), for each set's own size class (below 0) and the class below (1). A
+    set that links with one of that class shares at least ``need`` of these keys
+    with it: the parts, less those that may differ and those that make no key."""
     size = np.bincount(owner, minlength=count)
     own = size_class(np.maximum(size, 1), percent)
-    keys, owners = [], []
+    found = []
     for below in (0, 1):
         group = own - below
         largest = np.ceil((100 / percent) ** (group + 1)).astype(np.int64)
@@ -91,14 +95,16 @@ def part_keys(hashes: np.ndarray, owner: np.ndarray, count: int, percent: int) -
         o, p = o[first], p[first]
         # a pair's equal parts may all be empty only where so many parts are
         empty = m - np.bincount(o, minlength=count)
-        for i in np.flatnonzero((size > 0) & (empty >= m - differ) & (m > 1)):
+        keyed = (size > 0) & (empty >= m - differ) & (m > 1)
+        need = np.maximum(m - differ - np.where(keyed, 0, empty), 1)
+        for i in np.flatnonzero(keyed):
             missing = np.setdiff1d(np.arange(m[i]), p[o == i])
             o, p, sums = np.append(o, np.full(len(missing), i)), np.append(p, missing), np.append(sums, np.zeros(len(missing), arrays.U64))
         salt = (group[o] * (1 << 32) + p).astype(np.int64).view(arrays.U64)
         keep = m[o] > 1  # one part is the whole set: only equal sets link
-        keys.append(arrays.mixed(sums ^ arrays.mixed(salt))[keep])
-        owners.append(o[keep])
-    return np.concatenate(keys), np.concatenate(owners)
+        o = o[keep]
+        found.append((arrays.mixed(sums ^ arrays.mixed(salt))[keep], o, np.full(len(o), below), need[o]))
+    return tuple(np.concatenate(x) for x in zip(*found, strict=True))
 
 
 def _forest(a: np.ndarray, b: np.ndarray) -> list[tuple[int, int]]:
@@ -178,8 +184,10 @@ def jaccard_join(docs: DataFrame, *, width: int = 3, percent: int = 90, cells: i
                 data = memoryview(hashes.astype("<u8")).cast("B")
                 marks = [hashlib.blake2b(data[8 * a : 8 * b], digest_size=16).digest() for a, b in zip(ends[:-1], ends[1:], strict=True)]
                 mark = np.frombuffer(b"".join(marks), np.int64).reshape(-1, 2)
-                keys, holder = part_keys(hashes, owner, part.num_rows, percent)
+                keys, holder, below, need = part_keys(hashes, owner, part.num_rows, percent)
                 again = sketch.reaches(shared.value, keys)
+                kind = 2 * holder + below
+                again &= np.bincount(kind[again], minlength=2 * part.num_rows)[kind] >= need
                 holder, keys = arrays.unique_pairs(holder[again], keys[again])
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0), part.column(2), part.column(3), pa.array(np.diff(ends)), pa.array(mark[:, 0]), pa.array(mark[:, 1]), arrays.list_array(pa.array(arrays.signed(keys)), np.bincount(holder, minlength=part.num_rows))],
