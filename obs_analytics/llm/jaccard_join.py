@@ -12,6 +12,8 @@ of word shingles. Documents with equal sets are one class, compared once.
    below. A Count-min sketch of the keys leaves only those that may recur, and
    of a document's keys for a class all go unless as many recur as the parts
    that a linked set must share: a passage common to two texts fills few parts.
+   Of those left only the rarest are compared, all but one less than must be
+   shared: two sets that share so many keys share one of these.
 2. Classes that share a key, directly or through others, are a cluster
    (connected components). A part has about ``percent / (100 - percent)``
    shingles, so a shared passage alone seldom makes a key recur. A bitmap of the
@@ -188,20 +190,27 @@ def jaccard_join(docs: DataFrame, *, width: int = 3, percent: int = 90, cells: i
                 again = sketch.reaches(shared.value, keys)
                 kind = 2 * holder + below
                 again &= np.bincount(kind[again], minlength=2 * part.num_rows)[kind] >= need
-                holder, keys = arrays.unique_pairs(holder[again], keys[again])
+                needs = np.ones(2 * part.num_rows, np.int32)
+                needs[kind] = need
+                lists = []
+                for b in (0, 1):
+                    own = again & (below == b)
+                    of, found = arrays.unique_pairs(holder[own], keys[own])
+                    lists += [arrays.list_array(pa.array(arrays.signed(found)), np.bincount(of, minlength=part.num_rows)), pa.array(needs[b::2])]
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0), part.column(2), part.column(3), pa.array(np.diff(ends)), pa.array(mark[:, 0]), pa.array(mark[:, 1]), arrays.list_array(pa.array(arrays.signed(keys)), np.bincount(holder, minlength=part.num_rows))],
-                    names=["node", "id", "text_key", "n", "mark1", "mark2", "keys"],
+                    [part.column(0), part.column(2), part.column(3), pa.array(np.diff(ends)), pa.array(mark[:, 0]), pa.array(mark[:, 1]), *lists],
+                    names=["node", "id", "text_key", "n", "mark1", "mark2", "keys0", "need0", "keys1", "need1"],
                 )
 
-    signed = table(rows.mapInArrow(signatures, "node long, id long, text_key long, n long, mark1 long, mark2 long, keys array<long>"), "signatures")
+    signed = table(rows.mapInArrow(signatures, "node long, id long, text_key long, n long, mark1 long, mark2 long, keys0 array<long>, need0 int, keys1 array<long>, need1 int"), "signatures")
     own = table(signed.select("node", "id", "text_key", "n", "mark1", "mark2"), "sets")
     classes = own.where("n > 0").groupBy("mark1", "mark2").agg(F.min("id").alias("least"), F.min("node").alias("first"), F.count("*").alias("copies"))
     copied = classes.where("copies > 1").select("mark1", "mark2", F.coalesce("least", "first").alias("first"), "least")
-    firsts = signed.where(F.size("keys") > 0).select("node", "mark1", "mark2", "keys").join(copied, ["mark1", "mark2"], "left").where("first is null or first = node")
-    listed = firsts.select("node", F.explode("keys").alias("key"))
-    hub = F.min("node").over(Window.partitionBy("key"))  # one exchange; a large group spills
-    clusters = components(listed.select(F.col("node").alias("a"), hub.alias("b")))
+    kinds = [F.struct(F.lit(b).alias("below"), F.col(f"need{b}").alias("need"), F.col(f"keys{b}").alias("keys")) for b in (0, 1)]
+    asked = signed.where("size(keys0) > 0 or size(keys1) > 0").select("node", "mark1", "mark2", F.array(*kinds).alias("kinds"))
+    firsts = asked.join(copied, ["mark1", "mark2"], "left").where("first is null or first = node")
+    listed = firsts.select("node", F.inline("kinds")).select("node", "below", "need", F.explode("keys").alias("key"))
+    clusters = components(key_links(rarest_keys(listed)))
     drop(signed)  # its keys are the bulk of what this operator stores
     linked = own.join(copied, ["mark1", "mark2"], "left")
     linked = linked.select("node", "id", "text_key", "n", F.when(F.col("n") > 0, F.coalesce("first", "node")).otherwise(F.col("node")).alias("first"), F.coalesce("least", "id").alias("least"))
@@ -222,6 +231,24 @@ def jaccard_join(docs: DataFrame, *, width: int = 3, percent: int = 90, cells: i
     )
 
 
+def rarest_keys(listed: DataFrame) -> DataFrame:
+    """(node, key) of the keys (node, below, need, key) that must be compared.
+    Keys are ordered by the number of rows that hold them, then by value; a node
+    keeps all but its last need - 1, and none where it has fewer than ``need``
+    that others hold too. Two nodes that share ``need`` keys share the first of
+    them among those kept. Rows of one node are taken together, which keeps more."""
+    held = listed.withColumn("held", F.count("*").over(Window.partitionBy("key"))).where("held > 1")
+    ranked = held.groupBy("node", "below").agg(F.min("need").alias("need"), F.sort_array(F.collect_list(F.struct("held", "key"))).alias("keys"))
+    kept = ranked.where(F.size("keys") >= F.col("need")).select("node", F.explode(F.slice("keys", F.lit(1), F.size("keys") - F.col("need") + 1)).alias("kept"))
+    return kept.select("node", F.col("kept.key").alias("key"))
+
+
+def key_links(keys: DataFrame) -> DataFrame:
+    """Links (a, b) of each node with the smallest that shares a key (node, key)."""
+    hub = F.min("node").over(Window.partitionBy("key"))  # one exchange; a large group spills
+    return keys.select(F.col("node").alias("a"), hub.alias("b"))
+
+
 def member_sets(rows: DataFrame, clusters: DataFrame, width: int, cells: int) -> DataFrame:
     """(node, shingles) of the rows (node, text) that are in a cluster; a few
     others may slip through the bitmap and are left to the join."""
