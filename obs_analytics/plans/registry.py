@@ -484,6 +484,14 @@ def _q(spark, d):
         "STATION", "DATE", "TAVG", "TAVG_30D_MEAN")
 
 
+@register("trailing_mean_30d_global", with_ctes("obs") + f"""
+SELECT {_KEY}, TAVG, avg(TAVG) OVER (ORDER BY "DATE"
+       RANGE BETWEEN INTERVAL 29 DAYS PRECEDING AND CURRENT ROW) AS TAVG_30D_MEAN
+FROM obs""", "TAVG TAVG_30D_MEAN")
+def _q(spark, d):
+    return windows.trailing_mean_days(frames(spark, d).obs, by=[]).select("STATION", "DATE", "TAVG", "TAVG_30D_MEAN")
+
+
 # -- forecast -----------------------------------------------------------------------
 
 _GRID_DOUBLES = "LATITUDE LONGITUDE ELEVATION PRCP TMAX TMIN TEMP_RANGE TAVG_30DAY_AVG"
@@ -843,3 +851,21 @@ FROM (SELECT w.*, cast(least(floor((PRCP - xl) / xw), 39) AS integer) AS X_BIN,
 GROUP BY X_BIN, Y_BIN, xl, yl, xw, yw, n""", "X_LO Y_LO DENSITY")
 def _q(spark, d):
     return distributions.relation_density(frames(spark, d).obs)
+
+
+@register("station_estimates", with_ctes("obs") + """
+SELECT "YEAR", count(DISTINCT STATION) AS STATIONS, count(*) AS N_ROWS, TRUE AS WITHIN_BOUND
+FROM obs GROUP BY GROUPING SETS (("YEAR"), ())""")
+def _q(spark, d):
+    """A11 from stored sketches, by year and over all: beside the exact count,
+    whether the estimate is within four standard errors (and one station) of it."""
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/sketches-{uuid.uuid4().hex}"
+    raw = raw_observations(spark, d)
+    states.land_sketches(raw, path)
+    kept = states.read_states(spark, path)
+    every = states.distinct_stations(kept, by=[]).withColumn("YEAR", F.lit(None).cast("int"))
+    found = states.distinct_stations(kept).unionByName(every).withColumnRenamed("STATIONS", "estimate")
+    exact = Frames(raw).obs.groupingSets([["YEAR"], []], "YEAR").agg(F.countDistinct("STATION").alias("STATIONS")).withColumnRenamed("YEAR", "_y")
+    bound = 1 + F.col("STATIONS") * (4 * 1.04 / 2 ** (states.SKETCH_PRECISION / 2))
+    return (found.join(exact, F.col("YEAR").eqNullSafe(F.col("_y")))
+            .select("YEAR", "STATIONS", "N_ROWS", (F.abs(F.col("estimate") - F.col("STATIONS")) <= bound).alias("WITHIN_BOUND")))

@@ -129,3 +129,20 @@ def test_entry_without_text_operators():
     code = ("import sys; sys.modules['public_tokenizers'] = None; import __spark_entry__ as e; "
             "q = e.queries(); assert len(q) >= 72 and 'rollup_all' in q and not any(n.startswith('op') for n in q); assert set(e.oracle_sql()) <= set(q)")
     subprocess.run([sys.executable, "-c", code], check=True, timeout=120, cwd=__import__("os").path.dirname(__import__("os").path.dirname(__file__)))
+
+
+def test_sketches_merge_and_follow_their_year(spark, tmp_path):
+    """Stored sketches give the exact number while it is small, one year at a
+    time; landing a year again replaces that year's sketch only."""
+    kept, raw = str(tmp_path / "kept"), raw_observations(spark, SF001)
+    states.land_sketches(raw, kept)
+    exact = {r.YEAR: r.n for r in Frames(raw).obs.groupBy("YEAR").agg(F.countDistinct("STATION").alias("n")).collect()}
+    got = lambda: {r.YEAR: r.STATIONS for r in states.distinct_stations(states.read_states(spark, kept)).collect()}
+    assert got() == exact
+    other = raw.where(F.year("DATE") == 1999).withColumn("STATION", F.lit("ONE"))
+    states.land_sketches(other, kept)
+    assert got() == exact | {1999: 1}
+    states.land_sketches(other.withColumn("TAVG", F.lit(None).cast("double")), kept)
+    assert 1999 not in got()
+    states.land_sketches(raw.limit(0), kept)
+    assert states.distinct_stations(states.read_states(spark, kept), by=[]).first().STATIONS >= max(exact.values())

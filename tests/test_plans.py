@@ -37,3 +37,11 @@ def test_global_window_is_partitioned(spark):
 def test_partial_aggregation(spark):
     plan = _plan(spark, "rollup_all")
     assert "partial_avg" in plan and "Expand" in plan
+
+
+def test_ungrouped_days_shuffle_no_rows(spark):
+    """The rows look up their day's mean; only daily partial sums are shuffled
+    beyond the adapter's own exchanges, and never to a single task."""
+    plan = _plan(spark, "trailing_mean_30d_global")
+    assert "partial_sum(TAVG" in plan and "BroadcastHashJoin" in plan
+    assert "hashpartitioning(_tm_block" in plan and "SinglePartition" not in plan

@@ -99,3 +99,23 @@ def test_split_is_disjoint_complete_and_layout_free(spark, rows, parts):
     a = {tuple(r) for r in hash_split(df).select("STATION", "DATE", "IS_TRAIN").collect()}
     b = {tuple(r) for r in hash_split(df.repartition(parts)).select("STATION", "DATE", "IS_TRAIN").collect()}
     assert a == b and len(a) == df.count()
+
+
+def test_daily_sums_slide_as_rows_do(spark):
+    """W3 over daily partials equals the plain window, ungrouped and by
+    station: repeated days, gaps, block borders, null values, days and stations."""
+    import datetime
+    import random
+    rnd = random.Random(7)
+    rows = [(rnd.choice(["A", "B", None]), datetime.date(1999, 1, 1) + datetime.timedelta(days=rnd.choice([rnd.randrange(60), rnd.randrange(900)])) if rnd.random() > 0.02 else None,
+             rnd.choice([None, float(rnd.randrange(-300, 300))]), i) for i in range(1500)]
+    df = spark.createDataFrame(rows, "STATION string, DATE date, TAVG double, i int").repartition(5)
+    for by in ([], ["STATION"]):
+        want = {r.i: r.TAVG_30D_MEAN for r in trailing_mean_days(df, by=by, strategy="partition").collect()}
+        for block in (31, 366):
+            found = trailing_mean_days(df, by=by, strategy="daily", block_days=block)
+            assert found.columns == [*df.columns, "TAVG_30D_MEAN"]
+            got = {r.i: r.TAVG_30D_MEAN for r in found.collect()}
+            assert got.keys() == want.keys()
+            assert all((got[i] is None) == (want[i] is None) and (want[i] is None or abs(got[i] - want[i]) < 1e-9) for i in want)
+    assert trailing_mean_days(df.limit(0), by=[]).count() == 0
