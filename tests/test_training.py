@@ -1,8 +1,11 @@
-"""The rows that the models are fitted on: the stored split."""
+"""The rows that the models are fitted on: stored split, order of the forest's rows."""
 
+from pyspark.sql import functions as F
+
+from obs_analytics.operators import modeling
 from obs_analytics.plans import training
 from obs_analytics.plans.frames import Frames
-from obs_analytics.schema import FEATURES, KEY_COLUMNS, LABEL, RAW_SCHEMA
+from obs_analytics.schema import FEATURES, KEY_COLUMNS, LABEL, MODEL_NAMES, RAW_SCHEMA
 
 
 def _rows(spark, n=400):
@@ -22,3 +25,38 @@ def test_split_is_stored_as_the_models_columns(spark):
         assert models._side(side).columns == columns
         assert sorted(map(tuple, models._side(side).collect()), key=str) == sorted(map(tuple, plain.select(columns).collect()), key=str)
     assert "FileScan parquet" in models.test._jdf.queryExecution().executedPlan().toString()
+
+
+def test_forest_order_moves_no_row_to_another_partition(spark):
+    laid = modeling.training_frame(_rows(spark).train, partitions=4)
+    ordered = modeling.forest_order(laid)
+    assert "Exchange" not in ordered._jdf.queryExecution().executedPlan().toString()
+    parted = lambda df: df.withColumn("part", F.spark_partition_id())
+    assert sorted(map(tuple, parted(ordered).collect()), key=str) == sorted(map(tuple, parted(laid).collect()), key=str)
+    for part in ordered.select(LABEL, "TMAX", "TMIN", *KEY_COLUMNS).rdd.glom().collect():
+        assert [tuple(r) for r in part] == sorted(tuple(r) for r in part)
+
+
+def test_forest_is_fitted_on_ordered_rows_and_stores_no_node_ids(spark, monkeypatch):
+    seen = []
+
+    class Fitted(Exception):
+        pass
+
+    class Probe:
+        def fit(self, rows):
+            seen.append([r[LABEL] for part in rows.rdd.glom().collect() for r in part])
+            seen.append([len(part) for part in rows.rdd.glom().collect()])
+            raise Fitted
+
+    monkeypatch.setattr(training, "regressor", lambda name, label, memory: Probe())
+    models = training.TrainedModels(_rows(spark), partitions=4)
+    try:
+        models.model(MODEL_NAMES[1])
+    except Fitted:
+        pass
+    labels, sizes = seen
+    for n in sizes:
+        part, labels = labels[:n], labels[n:]
+        assert part == sorted(part)
+    assert modeling.regressor(MODEL_NAMES[1]).getCheckpointInterval() == -1
