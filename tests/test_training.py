@@ -1,6 +1,6 @@
-"""The rows that the models are fitted on: stored split, order of the forest's rows."""
+"""The rows that the models are fitted on: the stored split, no stored node ids."""
 
-from pyspark.sql import functions as F
+import os
 
 from obs_analytics.operators import modeling
 from obs_analytics.plans import training
@@ -27,36 +27,18 @@ def test_split_is_stored_as_the_models_columns(spark):
     assert "FileScan parquet" in models.test._jdf.queryExecution().executedPlan().toString()
 
 
-def test_forest_order_moves_no_row_to_another_partition(spark):
-    laid = modeling.training_frame(_rows(spark).train, partitions=4)
-    ordered = modeling.forest_order(laid)
-    assert "Exchange" not in ordered._jdf.queryExecution().executedPlan().toString()
-    parted = lambda df: df.withColumn("part", F.spark_partition_id())
-    assert sorted(map(tuple, parted(ordered).collect()), key=str) == sorted(map(tuple, parted(laid).collect()), key=str)
-    for part in ordered.select(LABEL, "TMAX", "TMIN", *KEY_COLUMNS).rdd.glom().collect():
-        assert [tuple(r) for r in part] == sorted(tuple(r) for r in part)
-
-
-def test_forest_is_fitted_on_ordered_rows_and_stores_no_node_ids(spark, monkeypatch):
-    seen = []
-
-    class Fitted(Exception):
-        pass
-
-    class Probe:
-        def fit(self, rows):
-            seen.append([r[LABEL] for part in rows.rdd.glom().collect() for r in part])
-            seen.append([len(part) for part in rows.rdd.glom().collect()])
-            raise Fitted
-
-    monkeypatch.setattr(training, "regressor", lambda name, label, memory: Probe())
+def test_forest_checkpoints_no_node_ids(spark, tmp_path):
     models = training.TrainedModels(_rows(spark), partitions=4)
+    models._training()
+    context, before = spark.sparkContext, spark.sparkContext.getCheckpointDir()
+    context.setCheckpointDir(str(tmp_path))
+    # a file in the folder's place: whatever is checkpointed fails
+    folder = context.getCheckpointDir().removeprefix("file:")
+    os.rmdir(folder)
+    open(folder, "w").close()
+    scaled = models.feature_model.transform(models._training()).select("scaledFeatures", LABEL)
     try:
-        models.model(MODEL_NAMES[1])
-    except Fitted:
-        pass
-    labels, sizes = seen
-    for n in sizes:
-        part, labels = labels[:n], labels[n:]
-        assert part == sorted(part)
-    assert modeling.regressor(MODEL_NAMES[1]).getCheckpointInterval() == -1
+        # a pass per level and group of nodes: more than ten passes
+        modeling.regressor(MODEL_NAMES[1], memory_mb=1).fit(scaled)
+    finally:
+        context._jsc.sc().setCheckpointDir(before)
