@@ -1,9 +1,12 @@
 """The rows that the models are fitted on: the stored split, no stored node ids."""
 
 import os
+import threading
+
+import pytest
 
 from obs_analytics.operators import modeling
-from obs_analytics.plans import training
+from obs_analytics.plans import registry, training
 from obs_analytics.plans.frames import Frames
 from obs_analytics.schema import FEATURES, KEY_COLUMNS, LABEL, MODEL_NAMES, RAW_SCHEMA
 
@@ -42,3 +45,41 @@ def test_forest_checkpoints_no_node_ids(spark, tmp_path):
         modeling.regressor(MODEL_NAMES[1], memory_mb=1).fit(scaled)
     finally:
         context._jsc.sc().setCheckpointDir(before)
+
+
+def test_checks_read_the_stored_split(spark, monkeypatch):
+    """The mean and the linear model's residuals come from it, not from a second
+    run over the trailing mean."""
+    models = training.TrainedModels(_rows(spark), partitions=4)
+    base, names = models.train.agg({LABEL: "avg"}).first()[0], MODEL_NAMES[:1]
+    models.models(names), models.test.count()
+    monkeypatch.setattr(registry, "trained", lambda *_: models)
+    monkeypatch.setattr(models, "scored", lambda: modeling.score(models.models(names), models.test))
+    monkeypatch.setattr(models, "frames", None)  # whatever reads the frames again fails
+    monkeypatch.setattr(training.TrainedModels, "_spark", spark)
+    row = registry.REGISTRY["models_beat_mean"].build(spark, "").first()
+    tavg = [r[LABEL] for r in models.test.select(LABEL).collect()]
+    assert row.N_ROWS == len(tavg)
+    assert row.BASE_RMSE == pytest.approx((sum((x - base) ** 2 for x in tavg) / len(tavg)) ** 0.5)
+    assert registry.REGISTRY["linear_optimality"].build(spark, "").count() == len(FEATURES)
+
+
+def test_missing_models_are_fitted_at_the_same_time(spark, monkeypatch):
+    frames = _rows(spark)
+    alone = training.TrainedModels(frames, partitions=4)
+    alone = {n: alone.model(n) for n in MODEL_NAMES[:2]}
+    both, make = threading.Barrier(2, timeout=120), modeling.regressor
+
+    def regressor(*args, **kwargs):
+        both.wait()  # passed only while the other fit is under way
+        return make(*args, **kwargs)
+
+    monkeypatch.setattr(training, "regressor", regressor)
+    models = training.TrainedModels(frames, partitions=4)
+    found = models.models(MODEL_NAMES[:2])
+    assert models.fitted == [training.FEATURE_STAGES, *MODEL_NAMES[:2]]
+    assert models.models(MODEL_NAMES[:2]) == found
+    linear, forest = (lambda m: m[MODEL_NAMES[0]].stages[-1]), (lambda m: m[MODEL_NAMES[1]].stages[-1])
+    assert list(linear(found).coefficients) == pytest.approx(list(linear(alone).coefficients))
+    assert forest(found).totalNumNodes == forest(alone).totalNumNodes
+    assert list(forest(found).featureImportances.toArray()) == pytest.approx(list(forest(alone).featureImportances.toArray()))
