@@ -9,11 +9,12 @@ of word shingles. Documents with equal sets are one class, compared once.
    some parts; a key is the hash of one part. Empty parts make no key unless a
    set has so many that a link might rest on them alone. A document
    makes keys for its own size class and, as the larger of a pair, for the class
-   below. A Count-min sketch of the keys leaves only those that may recur, and
-   of a document's keys for a class all go unless as many recur as the parts
-   that a linked set must share: a passage common to two texts fills few parts.
-   Of those left only the rarest are compared, all but one less than must be
-   shared: two sets that share so many keys share one of these.
+   below. One exchange by key tells how many rows hold each, so the rows moved are
+   the keys, in proportion to the text. Of a document's keys for a class all go
+   unless as many recur as the parts that a linked set must share: a passage
+   common to two texts fills few parts. Of those left only the rarest are
+   compared, all but one less than must be shared: two sets that share so many
+   keys share one of these.
 2. Classes that share a key, directly or through others, are a cluster
    (connected components). A part has about ``percent / (100 - percent)``
    shingles, so a shared passage alone seldom makes a key recur. A bitmap of the
@@ -51,7 +52,7 @@ from obs_analytics.llm.graph import components
 
 NAMELESS = -(1 << 63)  # bit of the nodes of rows without an id
 ROWS, COLUMNS = 512, 1 << 13
-CELLS = 1 << 26  # each of the two bitmaps that go to all tasks is 16 MB
+CELLS = 1 << 26  # the bitmap of cluster members that goes to all tasks is 16 MB
 
 
 def shingle_sets(texts: pa.Array, width: int) -> tuple[np.ndarray, np.ndarray]:
@@ -169,15 +170,9 @@ def jaccard_join(docs: DataFrame, *, width: int = 3, percent: int = 90, cells: i
     links reach from it; with ``keyed`` also text_key, the xxhash64 of its text,
     and leads, whether it is the document that its group is named after (in a
     group without ids, the one text that stands for it)."""
-    spark = docs.sparkSession
     rows = docs.select(docs[id_col].cast("long").alias("id"), docs[text_col].alias("text"))
     rows = rows.select(F.coalesce("id", F.xxhash64("text").bitwiseOR(F.lit(NAMELESS))).alias("node"), "text", "id", F.xxhash64("text").alias("text_key"))
 
-    def keys_of(texts: pa.Array) -> np.ndarray:
-        return part_keys(*shingle_sets(texts, width), len(texts), percent)[0]
-
-    shared = spark.sparkContext.broadcast(sketch.bitmaps(rows.select("text"), keys_of, (2,), cells)[0])
-
     def signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in arrays.slices(batch, "text"):
@@ -187,16 +182,13 @@ def jaccard_join(docs: DataFrame, *, width: int = 3, percent: int = 90, cells: i
                 marks = [hashlib.blake2b(data[8 * a : 8 * b], digest_size=16).digest() for a, b in zip(ends[:-1], ends[1:], strict=True)]
                 mark = np.frombuffer(b"".join(marks), np.int64).reshape(-1, 2)
                 keys, holder, below, need = part_keys(hashes, owner, part.num_rows, percent)
-                again = sketch.reaches(shared.value, keys)
-                kind = 2 * holder + below
-                again &= np.bincount(kind[again], minlength=2 * part.num_rows)[kind] >= need
                 needs = np.ones(2 * part.num_rows, np.int32)
-                needs[kind] = need
+                needs[2 * holder + below] = need
                 lists = []
                 for b in (0, 1):
-                    own = again & (below == b)
-                    of, found = arrays.unique_pairs(holder[own], keys[own])
-                    lists += [arrays.list_array(pa.array(arrays.signed(found)), np.bincount(of, minlength=part.num_rows)), pa.array(needs[b::2])]
+                    own = np.flatnonzero(below == b)
+                    own = own[np.argsort(holder[own], kind="stable")]
+                    lists += [arrays.list_array(pa.array(arrays.signed(keys[own])), np.bincount(holder[own], minlength=part.num_rows)), pa.array(needs[b::2])]
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0), part.column(2), part.column(3), pa.array(np.diff(ends)), pa.array(mark[:, 0]), pa.array(mark[:, 1]), *lists],
                     names=["node", "id", "text_key", "n", "mark1", "mark2", "keys0", "need0", "keys1", "need1"],
@@ -205,7 +197,8 @@ def jaccard_join(docs: DataFrame, *, width: int = 3, percent: int = 90, cells: i
     signed = table(rows.mapInArrow(signatures, "node long, id long, text_key long, n long, mark1 long, mark2 long, keys0 array<long>, need0 int, keys1 array<long>, need1 int"), "signatures")
     own = table(signed.select("node", "id", "text_key", "n", "mark1", "mark2"), "sets")
     classes = own.where("n > 0").groupBy("mark1", "mark2").agg(F.min("id").alias("least"), F.min("node").alias("first"), F.count("*").alias("copies"))
-    copied = classes.where("copies > 1").select("mark1", "mark2", F.coalesce("least", "first").alias("first"), "least")
+    # stored, so that its size is known before the keys are joined with it
+    copied = table(classes.where("copies > 1").select("mark1", "mark2", F.coalesce("least", "first").alias("first"), "least"), "copied")
     kinds = [F.struct(F.lit(b).alias("below"), F.col(f"need{b}").alias("need"), F.col(f"keys{b}").alias("keys")) for b in (0, 1)]
     asked = signed.where("size(keys0) > 0 or size(keys1) > 0").select("node", "mark1", "mark2", F.array(*kinds).alias("kinds"))
     firsts = asked.join(copied, ["mark1", "mark2"], "left").where("first is null or first = node")

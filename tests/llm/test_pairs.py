@@ -291,6 +291,17 @@ def test_jaccard(spark, monkeypatch, width, percent, most):
     assert sorted(map(tuple, got.collect()), key=str) == brute_components(rows, width, percent)
 
 
+def test_jaccard_keys_listed_grow_with_the_rows(spark, monkeypatch):
+    """Unlike texts list their own keys and no more, however many rows there are."""
+    rng, found, rarest = random.Random(2), [], jaccard_join.rarest_keys
+    monkeypatch.setattr(jaccard_join, "rarest_keys", lambda listed: (found.append(listed.count()), rarest(listed))[1])
+    for n in (40, 200):
+        rows = [(i, " ".join(f"w{rng.randrange(10**6)}" for _ in range(100))) for i in range(n)]
+        got = jaccard_join.jaccard_join(spark.createDataFrame(rows, "doc_id long, text string"), cells=1 << 12).collect()
+        assert sorted((r.doc_id, r.component_id) for r in got) == [(i, i) for i in range(n)]
+    assert found[0] and found[1] < 5.5 * found[0]
+
+
 def test_jaccard_rows_without_an_id_bridge_nothing(spark):
     """Copies without an id join their own groups and tie none together; a
     text without an id that links to two documents still joins them."""
