@@ -27,6 +27,8 @@ from obs_analytics.llm import arrays, tokens
 
 FILE_SCHEMA = "doc_id long, part int, part_start long, n_tokens long, ids array<int>"
 ROW_GROUP_BYTES, PAGE_BYTES = 16 << 20, 128 << 10
+#: Text per slice: a word that repeats in a slice is looked up once.
+SLICE_BYTES = 8 << 20
 
 
 def write_tokens(docs: DataFrame, path: str, tokenizer_path: str, *, end_id: int = 1, id_col: str = "doc_id", text_col: str = "text") -> None:
@@ -38,7 +40,7 @@ def write_tokens(docs: DataFrame, path: str, tokenizer_path: str, *, end_id: int
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, part, total = tokens.word_encoder(tokenizer_path), TaskContext.get().partitionId(), 0
         for batch in batches:
-            for piece in arrays.slices(batch, "text", tokens.SLICE_BYTES):
+            for piece in arrays.slices(batch, "text", SLICE_BYTES):
                 ids, counts = encoder.encode(piece.column(1))
                 ends = np.cumsum(counts)
                 ids, counts = np.insert(ids, ends, end_id), counts + 1

@@ -13,6 +13,7 @@ from __future__ import annotations
 import base64
 import os
 import re
+from array import array
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -89,29 +90,26 @@ class ChunkEncoder:
         self.model = self.tokenizer.model
 
     def _piece(self, piece: str) -> bytes:
-        found = self.piece_ids.get(piece)
-        if found is None:
-            if len(self.piece_ids) >= self.entries:
-                self.piece_ids.clear()
-            ids = [t.id for t in self.model.tokenize(piece.translate(self.as_chars))]
-            found = self.piece_ids[piece] = np.array(ids, np.uint32).tobytes()
+        if len(self.piece_ids) >= self.entries:
+            self.piece_ids.clear()
+        ids = [t.id for t in self.model.tokenize(piece.translate(self.as_chars))]
+        found = self.piece_ids[piece] = array("I", ids).tobytes()
         return found
 
     def _chunks(self, chunks: list[str]) -> list[bytes]:
-        out: list[bytes | None] = [self.chunk_ids.get(c) for c in chunks]
-        odd = []
-        for i, ids in enumerate(out):
-            if ids is None:
-                chunk = chunks[i]
-                if self.plain.fullmatch(chunk):
-                    if self.lower:
-                        chunk = chunk.lower()
-                    out[i] = b"".join([self._piece(p) for p in self.pieces.findall(chunk)])
-                else:
-                    odd.append(i)
+        out: list[bytes | None] = list(map(self.chunk_ids.get, chunks))
+        odd, known, plain, pieces = [], self.piece_ids.get, self.plain.fullmatch, self.pieces.findall
+        for i in [i for i, ids in enumerate(out) if ids is None]:
+            chunk = chunks[i]
+            if plain(chunk):
+                parts = pieces(chunk.lower() if self.lower else chunk)
+                ids = known(parts[0]) if len(parts) == 1 else None
+                out[i] = ids if ids is not None else b"".join([self._piece(p) if (x := known(p)) is None else x for p in parts])
+            else:
+                odd.append(i)
         if odd:
             for i, made in zip(odd, self.tokenizer.encode_batch_fast([chunks[i] for i in odd], add_special_tokens=False), strict=True):
-                out[i] = np.array(made.ids, np.uint32).tobytes()
+                out[i] = array("I", made.ids).tobytes()
         if len(self.chunk_ids) + len(chunks) > self.entries:
             self.chunk_ids.clear()
         self.chunk_ids.update(zip(chunks[: self.entries], out))

@@ -7,6 +7,7 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import tiktoken
 from pyspark.sql import functions as F
@@ -196,3 +197,16 @@ def test_decontamination_slack_and_empty(spark, edges, nothing):
     assert decontamination.decontaminate(edges, none).where(F.size("hits") > 0).count() == 0
     assert decontamination.decontaminate(edges, none).count() == len(EDGES)
     assert decontamination.decontaminate(nothing, items).count() == 0
+
+
+def test_known_pieces_are_not_merged_again(monkeypatch):
+    encoder = tokens.word_encoder(public_tokenizers.path("word_bpe_49k.json"))
+    first, second = pa.array(["Alpha beta, gamma 12", "alpha"]), pa.array(["beta alpha gamma 21,"])
+    got = encoder.encode(first)[0].tolist()
+
+    def merged(piece):
+        raise AssertionError(piece)
+
+    monkeypatch.setattr(type(encoder), "_piece", merged)
+    again, counts = encoder.encode(second)
+    assert sorted(again.tolist()) == sorted(got[: counts[0]]) and len(got) > counts[0]
