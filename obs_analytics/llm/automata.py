@@ -22,6 +22,16 @@ def _narrow(values: np.ndarray) -> np.ndarray:
     return values.astype(np.min_scalar_type(int(values.max(initial=0))))
 
 
+def _planes(values: np.ndarray) -> bytes:
+    """Integers byte plane by byte plane (high planes are mostly zeros, which the
+    shuffle's compression removes)."""
+    return np.ascontiguousarray(values).view(np.uint8).reshape(-1, values.itemsize).T.tobytes()
+
+
+def _from_planes(data: bytes, n: int, size: int, at: int) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(data, np.uint8, n * size, at).reshape(size, n).T).view(f"<u{size}").ravel()
+
+
 @dataclass
 class Transducer:
     """Arcs of state s: ``first[s]:first[s + 1]``, sorted by label."""
@@ -32,22 +42,29 @@ class Transducer:
     weight: np.ndarray
     target: np.ndarray
 
-    def to_bytes(self) -> bytes:
-        """Labels once each, arcs by the number of their label, every list in the
-        narrowest integers that hold it."""
+    def to_bytes(self, known: np.ndarray = np.zeros(0, U64)) -> bytes:
+        """Labels once each, arcs by the gap to the number of their label from the
+        arc before, every list in the narrowest integers that hold it. ``known``
+        are labels that the reader has from elsewhere and that are not written."""
         labels, number = np.unique(self.label, return_inverse=True)
-        lists = [_narrow(x) for x in (np.diff(self.first), number, self.weight, self.target)]
-        head = np.array([self.root, len(self.first) - 1, len(self.label), len(labels), *(x.itemsize for x in lists)], np.int64)
-        return b"".join(x.tobytes() for x in (head, labels, *lists))
+        number = _narrow(number)
+        gaps = number.copy()
+        gaps[1:] -= number[:-1]  # modulo the integers' size
+        lists = [_narrow(np.diff(self.first)), gaps, _narrow(self.weight), _narrow(self.target)]
+        rest = labels[~np.isin(labels, known, assume_unique=True)]
+        head = np.array([self.root, len(self.first) - 1, len(self.label), len(rest), *(x.itemsize for x in lists)], np.int64)
+        return b"".join([head.tobytes(), rest.tobytes(), *map(_planes, lists)])
 
     @staticmethod
-    def from_bytes(data: bytes) -> Transducer:
-        root, states, arcs, distinct, *sizes = np.frombuffer(data, np.int64, 8).tolist()
-        at, parts = 64, []
-        for n, size in zip((distinct, states, arcs, arcs, arcs), (8, *sizes), strict=True):
-            parts.append(np.frombuffer(data, f"<u{size}", n, at))
+    def from_bytes(data: bytes, known: np.ndarray = np.zeros(0, U64)) -> Transducer:
+        root, states, arcs, rest, *sizes = np.frombuffer(data, np.int64, 8).tolist()
+        labels = np.sort(np.concatenate([known, np.frombuffer(data, U64, rest, 64)]))
+        at, parts = 64 + 8 * rest, []
+        for n, size in zip((states, arcs, arcs, arcs), sizes, strict=True):
+            parts.append(_from_planes(data, n, size, at))
             at += n * size
-        labels, degree, number, weight, target = parts
+        degree, gaps, weight, target = parts
+        number = np.cumsum(gaps, dtype=gaps.dtype)
         return Transducer(root, np.concatenate([[0], np.cumsum(degree, dtype=np.int64)]), labels[number], weight.astype(np.int64), target.astype(np.int64))
 
     def compose(self, phrases: np.ndarray) -> np.ndarray:

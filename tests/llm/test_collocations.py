@@ -119,3 +119,42 @@ def test_runs_build_the_same_automaton():
     assert (made.compose(phrases) == counts).all() and len(made.first) == len(whole.first)
     arcs = [tuple(map(tuple, np.stack([whole.label[a:b].astype(np.int64), whole.weight[a:b], whole.target[a:b]]).tolist())) for a, b in zip(whole.first[:-2], whole.first[1:-1], strict=True)]
     assert len(set(arcs)) == len(arcs)
+
+
+def test_rare_triples_of_frequent_pairs_are_left_out(spark):
+    """Runs of three words that occur too seldom stay in their task, though their pairs occur often."""
+    rng = random.Random(5)
+    rows = [(" ".join(rng.choice("abcdefghij") for _ in range(300)),) for _ in range(10)]
+    texts = spark.createDataFrame(rows, "text string")
+    least, cells = 6, 1 << 20
+    bits = co.sketch.bitmaps(texts, co._sketch_keys, (least,), cells)[0]
+    keys = lambda t: co._linked(co.Pieces(t), co._let_through(co.Pieces(t), bits)[1])[2]
+    linked_bits = co.sketch.bitmaps(texts, keys, (least,), cells)[0]
+    found = co.Pieces(co.pa.array([r[0] for r in rows]))
+    phrases = co.phrases_of(found, np.ones(len(rows), np.uint64), 3, bits, linked_bits)[1]
+    told = Counter(len(p.split()) for p in Counter(" ".join(r[0].split()[i : i + n]) for r in rows for n in (1, 2, 3) for i in range(300 - n + 1)))
+    often = Counter(w for r in rows for w in zip(r[0].split(), r[0].split()[1:], r[0].split()[2:]))
+    assert told[3] > 800 and ((phrases != 0).sum(1) == 4).sum() == sum(n >= least for n in often.values())
+
+
+def test_written_small():
+    """Labels that follow from names are not written, arcs by narrow gaps; what is read is the same."""
+    rng = np.random.default_rng(3)
+    words = [f"w{i}" for i in range(3000)]
+    names = co._packed(["en", ""], words)
+    labels, strings = co._named(co.pa.scalar(names, co.pa.binary()))
+    assert sorted(strings.to_pylist()) == sorted(["en", "", *words]) and (np.diff(labels.astype(object)) > 0).all()
+    assert (co.Pieces(co.pa.array(words)).hashes == labels[[strings.to_pylist().index(w) for w in words]]).all()
+    phrases, counts = np.stack([np.full(20000, labels[0]), rng.choice(labels, 20000), np.where(rng.random(20000) < 0.5, rng.choice(labels, 20000), 0)], 1), np.ones(20000, np.int64)
+    phrases, counts = automata.summed(phrases.astype(np.uint64), counts)
+    made = automata.build(phrases, counts)
+    data = made.to_bytes(labels)
+    assert len(data) + len(names) < len(made.to_bytes())
+    read = automata.Transducer.from_bytes(data, labels)
+    assert (read.compose(phrases) == counts).all() and (read.label == made.label).all()
+
+
+def test_empty_language(spark):
+    """An empty language is one of its own beside others."""
+    rows = [(i, "a b a b", lang) for i in range(6) for lang in ("", "en", None)]
+    assert found(spark, rows, least=3) == brute(rows, least=3)
