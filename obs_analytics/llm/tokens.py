@@ -5,7 +5,9 @@ match of the supported split patterns crosses such a cut, so the ids of a text
 are the ids of its chunks, joined. Each distinct chunk of a batch is looked up
 in a bounded per-worker cache; chunks of plain Latin letters, digits and
 punctuation are split here and merged by the library's model, all others go
-through the library's whole normaliser / pre-tokenizer / model chain.
+through the library's whole normaliser / pre-tokenizer / model chain. Word-end
+BPE drops whitespace, so there the pieces themselves are cut out of the bytes and
+each distinct one is looked up once.
 """
 
 from __future__ import annotations
@@ -25,7 +27,7 @@ from obs_analytics.llm import arrays
 SLICE_BYTES = 4 << 20
 #: Bounds on the entries of each per-worker cache (about 250 bytes each); a
 #: full cache starts anew. Word-end BPE saves more per entry.
-RANK_CACHE, WORD_CACHE = 150_000, 400_000
+RANK_CACHE, WORD_CACHE = 150_000, 600_000
 _LETTER, _MARK = "A-Za-zÀ-ÖØ-öø-ÿ", r"!-&(-/:-;=-@\[-`{-~"  # without ' (contractions) and < (special tokens)
 
 
@@ -123,14 +125,72 @@ class ChunkEncoder:
         starts = chunk_starts(data, offsets)
         bounds = np.append(starts, len(data)).astype(np.int32)
         chunks = pa.StringArray.from_buffers(len(starts), pa.py_buffer(bounds), pa.py_buffer(np.ascontiguousarray(data))).dictionary_encode()
-        coded = self._chunks(chunks.dictionary.to_pylist())
-        flat = np.frombuffer(b"".join(coded), np.uint32)
-        size = np.fromiter(map(len, coded), np.int64, len(coded)) // 4
-        which = chunks.indices.to_numpy(zero_copy_only=False)
-        counts = size[which]
-        ids = flat[np.repeat((np.cumsum(size) - size)[which], counts) + arrays.ramp(counts)]
-        ends = np.concatenate([[0], np.cumsum(counts)])
-        return ids, np.diff(ends[np.searchsorted(starts, offsets)])
+        return _joined(self._chunks(chunks.dictionary.to_pylist()), chunks.indices.to_numpy(zero_copy_only=False), starts, offsets)
+
+
+#: Kinds of the bytes of plain chunks; 0 is in no plain chunk.
+LETTERS, DIGITS, MARKS, SPACES, ODD = range(1, 6)
+KIND = np.zeros(256, np.uint8)
+KIND[[i for i in range(0x80) if re.match(r"[A-Za-z]", chr(i))]] = LETTERS
+KIND[[i for i in range(0x80) if re.match(rf"[{_MARK}]", chr(i))]] = MARKS
+KIND[0x30:0x3A], KIND[arrays.SPACE] = DIGITS, SPACES
+
+
+@dataclass
+class PieceEncoder(ChunkEncoder):
+    """Where whitespace has no ids: plain chunks are cut into pieces, lower-cased,
+    as byte spans of the whole slice; each distinct piece, and each distinct other
+    chunk, is looked up once."""
+
+    def _items(self, items: list[str]) -> list[bytes]:
+        out: list[bytes | None] = list(map(self.piece_ids.get, items))
+        odd, plain = [], self.pieces.fullmatch
+        for i in [i for i, ids in enumerate(out) if ids is None]:
+            if plain(items[i]):
+                out[i] = self._piece(items[i])
+            else:
+                odd.append(i)
+        if odd:
+            for i, made in zip(odd, self.tokenizer.encode_batch_fast([items[i] for i in odd], add_special_tokens=False), strict=True):
+                if len(self.piece_ids) >= self.entries:
+                    self.piece_ids.clear()
+                out[i] = self.piece_ids[items[i]] = array("I", made.ids).tobytes()
+        return out
+
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        data, offsets = arrays.buffers(texts)
+        if len(data) == 0:
+            return np.zeros(0, np.uint32), np.zeros(len(texts), np.int64)
+        chunks = chunk_starts(data, offsets)
+        kind, lowered = KIND[data], arrays.LOWER[data]
+        at = np.flatnonzero(data[:-1] == 0xC3)  # U+00C0 to U+00FF, two signs among them
+        second = data[at + 1]
+        at, second = at[(second != 0x97) & (second != 0xB7)], second[(second != 0x97) & (second != 0xB7)]
+        kind[at] = kind[at + 1] = LETTERS
+        lowered[at + 1] += np.where(second < 0x9F, 0x20, 0).astype(np.uint8)
+        plain = np.repeat(np.minimum.reduceat(kind, chunks) > 0, np.diff(np.append(chunks, len(data))))
+        kind[~plain] = ODD
+        cut = kind == DIGITS
+        cut[1:] |= kind[1:] != kind[:-1]
+        cut[chunks] = True
+        starts, kept = np.flatnonzero(cut), kind != SPACES
+        starts = starts[kept[starts]]
+        if len(starts) == 0:
+            return np.zeros(0, np.uint32), np.zeros(len(texts), np.int64)
+        spans = np.where(plain, lowered, data)[kept]
+        bounds = np.append((np.cumsum(kept, dtype=np.int32) - 1)[starts], len(spans)).astype(np.int32)
+        items = pa.StringArray.from_buffers(len(starts), pa.py_buffer(bounds), pa.py_buffer(spans)).dictionary_encode()
+        return _joined(self._items(items.dictionary.to_pylist()), items.indices.to_numpy(zero_copy_only=False), starts, offsets)
+
+
+def _joined(coded: list[bytes], which: np.ndarray, starts: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Ids of all spans, that start at ``starts``, and their number in each text."""
+    flat = np.frombuffer(b"".join(coded), np.uint32)
+    size = np.fromiter(map(len, coded), np.int64, len(coded)) // 4
+    counts = size[which]
+    ids = flat[np.repeat((np.cumsum(size) - size)[which], counts) + arrays.ramp(counts)]
+    ends = np.concatenate([[0], np.cumsum(counts)])
+    return ids, np.diff(ends[np.searchsorted(starts, offsets)])
 
 
 def chunk_starts(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
@@ -168,7 +228,7 @@ def rank_encoder(path: str, pattern: str) -> ChunkEncoder:
     return _ENCODERS[key]
 
 
-def word_encoder(path: str) -> ChunkEncoder:
+def word_encoder(path: str) -> PieceEncoder:
     """Encoder of a lower-casing word-end BPE file that drops whitespace; one
     per worker process."""
     key = ("words", path)
@@ -176,7 +236,7 @@ def word_encoder(path: str) -> ChunkEncoder:
         from tokenizers import Tokenizer
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        _ENCODERS[key] = ChunkEncoder(
+        _ENCODERS[key] = PieceEncoder(
             Tokenizer.from_file(path),
             re.compile(rf"[ \t\n\r\f\v]*[{_LETTER}0-9{_MARK}]+"),
             re.compile(rf"[{_LETTER}]+|[0-9]|[{_MARK}]+"),

@@ -210,3 +210,22 @@ def test_known_pieces_are_not_merged_again(monkeypatch):
     monkeypatch.setattr(type(encoder), "_piece", merged)
     again, counts = encoder.encode(second)
     assert sorted(again.tolist()) == sorted(got[: counts[0]]) and len(got) > counts[0]
+
+
+def test_word_pieces_are_cut_as_the_library_cuts():
+    """Each distinct piece is looked up once, whatever stands beside it; ids are the library's."""
+    path = public_tokenizers.path("word_bpe_49k.json")
+    encoder, library, seen = tokens.word_encoder(path), Tokenizer.from_file(path), []
+    items = encoder._items
+    encoder._items = lambda found: seen.extend(found) or items(found)
+    try:
+        encoder.encode(pa.array(["new words, NEW\nwords\t new... É12 é", "×words don't \x0b"]))
+        assert sorted(seen) == sorted(["new", "words", ",", "...", "é", "1", "2", "×words", " don't"])
+        rng = random.Random(4)
+        signs = [*"aZ09 .,'<|>\t\n\x0b\x1c\x85\xa0×÷ÀÞßÿÉéµª", "é", "İ", "日本", " ", "　", "<|endoftext|>", "'s", "don't", "  "]
+        texts = [None, "", " ", "\n", *("".join(rng.choice(signs) for _ in range(rng.randrange(1, 30))) for _ in range(3000))]
+        ids, counts = encoder.encode(pa.array(texts))
+        want = [library.encode(t or "", add_special_tokens=False).ids for t in texts]
+        assert counts.tolist() == list(map(len, want)) and ids.tolist() == [i for w in want for i in w]
+    finally:
+        del encoder._items
