@@ -83,3 +83,24 @@ def test_missing_models_are_fitted_at_the_same_time(spark, monkeypatch):
     assert list(linear(found).coefficients) == pytest.approx(list(linear(alone).coefficients))
     assert forest(found).totalNumNodes == forest(alone).totalNumNodes
     assert list(forest(found).featureImportances.toArray()) == pytest.approx(list(forest(alone).featureImportances.toArray()))
+
+
+def test_forest_caches_its_points_alone(spark):
+    models = training.TrainedModels(_rows(spark), partitions=4)
+    scaled = models.feature_model.transform(models._training()).select("scaledFeatures", LABEL)
+    kept = spark.sparkContext._jsc.getPersistentRDDs
+    before, seen, ended = set(kept()), [], threading.Event()
+
+    def watch():
+        while not ended.wait(0.01):
+            seen.append(len(set(kept()) - before))
+
+    watcher = threading.Thread(target=watch)
+    watcher.start()
+    try:
+        # a pass per level and group of nodes: more than ten passes
+        modeling.regressor(MODEL_NAMES[1], memory_mb=1).fit(scaled)
+    finally:
+        ended.set()
+        watcher.join()
+    assert max(seen) == 1
