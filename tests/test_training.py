@@ -2,6 +2,7 @@
 
 import os
 import threading
+import time
 
 import pytest
 
@@ -104,3 +105,26 @@ def test_forest_caches_its_points_alone(spark):
         ended.set()
         watcher.join()
     assert max(seen) == 1
+
+
+def test_tree_learners_follow_one_another(spark, monkeypatch):
+    make, under_way, met = modeling.regressor, [], []
+
+    class Linear:
+        def __init__(self, name):
+            self.name = name
+
+        def fit(self, rows):
+            met.extend((self.name, other) for other in under_way)
+            under_way.append(self.name)
+            time.sleep(0.5)
+            try:
+                return make(MODEL_NAMES[0]).fit(rows)
+            finally:
+                under_way.remove(self.name)
+
+    monkeypatch.setattr(training, "regressor", lambda name, *_: Linear(name))
+    models = training.TrainedModels(_rows(spark), partitions=4)
+    assert list(models.models()) == MODEL_NAMES
+    assert models.fitted == [training.FEATURE_STAGES, *MODEL_NAMES]
+    assert not {tuple(sorted(pair)) for pair in met} & {tuple(sorted(MODEL_NAMES[1:]))}
